@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from panelcast import fixtures
 from panelcast.operators import aggregates
 from panelcast.operators.forecast import observed
@@ -78,12 +80,18 @@ SLICES_SQL = dense_sql(f"""
 select area, consumer_type, round(sqrt(avg(pow({APE}, 2))), 6) as "RMSPE", round(avg({APE}), 6) as "MAPE",
        false as overall from pairs group by 1, 2
 union all
-select null, null, round(sqrt(avg(pow({APE}, 2))), 6), round(avg({APE}), 6), true from pairs""", PAIRS)
+select cast(-1 as tinyint), -1, round(sqrt(avg(pow({APE}, 2))), 6), round(avg({APE}), 6), true from pairs""", PAIRS)
 
 
 @query("e07_slice_metrics", SLICES_SQL)
 def e07(spark, sf_dir):
-    return rounded(aggregates.score_slices(pairs(spark, sf_dir)), "RMSPE", "MAPE")
+    return slices(aggregates.score_slices(pairs(spark, sf_dir)))
+
+
+def slices(scores):
+    """Metrics as compared: six decimals, and -1 for the keys of the overall row."""
+    keys = {"area": F.coalesce("area", F.lit(-1).cast("tinyint")), "consumer_type": F.coalesce("consumer_type", F.lit(-1))}
+    return rounded(scores.withColumns(keys), "RMSPE", "MAPE")
 
 
 @query("e08_mape_per_hour", dense_sql(f'select datetime_utc, round(avg({APE}), 6) as "MAPE" from pairs group by 1', PAIRS))

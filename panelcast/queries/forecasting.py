@@ -10,7 +10,7 @@ from panelcast.operators import forecast as fc
 from panelcast.operators.aggregates import best_config, mean_over_folds, score_slices
 from panelcast.operators.timeseries import label_folds, lags
 from panelcast.plans import prediction, training
-from panelcast.queries.aggregation import FOLDS, INDEXED, SEASON_TRIALS, SLICES_SQL, season_results
+from panelcast.queries.aggregation import FOLDS, INDEXED, SEASON_TRIALS, SLICES_SQL, season_results, slices
 from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import dense_sql, panel_sql
 from panelcast.queries.timeseries import OVER
@@ -101,13 +101,13 @@ def k03b(spark, sf_dir):
 @query("k04_evaluate")
 def k04(spark, sf_dir):
     model, train, test = fitted(spark, sf_dir)
-    return rounded(score_slices(fc.evaluate(model, train, test)), "RMSPE", "MAPE")
+    return slices(score_slices(fc.evaluate(model, train, test)))
 
 
 @query("k04b_evaluate_baseline", SLICES_SQL)
 def k04b(spark, sf_dir):
     train, test = training.split(fixtures.dense(spark, sf_dir))
-    return rounded(score_slices(training.baseline_pairs(train, test)), "RMSPE", "MAPE")
+    return slices(score_slices(training.baseline_pairs(train, test)))
 
 
 @query("k05_compare_with_baseline")

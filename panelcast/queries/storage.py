@@ -146,12 +146,12 @@ def _snapshot(spark, sf_dir) -> str:
 
 
 @query("a09_training_snapshot", panel_sql(f"""
-select cast(datetime_utc as date) as day, count(*) as rows,
+select strftime(datetime_utc, '%Y-%m-%d') as day, count(*) as rows,
        cast(sum(cast(energy_consumption as decimal(18,2))) as double) as total
 from panel where {RANGE_SQL} group by 1"""))
 def a09(spark, sf_dir):
     stored = snapshots.read_snapshot(spark, _snapshot(spark, sf_dir))
-    return stored.groupBy(F.to_date("datetime_utc").alias("day")).agg(
+    return stored.groupBy(F.date_format("datetime_utc", "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("energy_consumption").cast("decimal(18,2)")).cast("double").alias("total"),
     )
@@ -209,7 +209,7 @@ def a13(spark, sf_dir):
   select cast(floor(date_diff('hour', timestamp '1970-01-01', datetime_utc) / 168) as integer) as version,
          count(*) as rows from panel group by 1),
 ranked as (select *, row_number() over (order by version desc) as r from weeks)
-select 'panel' as name, version, rows, r > 2 as expired, case when r <= 2 then rows end as rows_left from ranked"""))
+select 'panel' as name, version, rows, r > 2 as expired, case when r <= 2 then rows else 0 end as rows_left from ranked"""))
 def a14(spark, sf_dir):
     root = scratch_path(spark, "versions")
     panel = fixtures.panel(spark, sf_dir)
@@ -225,7 +225,7 @@ def a14(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("rows_left"))
     )
     return feature_table.mark_expired(listing, keep=2).join(left, "version", "left").select(
-        "name", "version", "rows", "expired", "rows_left"
+        "name", "version", "rows", "expired", F.coalesce("rows_left", F.lit(0)).cast("bigint").alias("rows_left")
     )
 
 
