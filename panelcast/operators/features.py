@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.operators.clean import AttachKeys
 from panelcast.operators.timeseries import (
-    LAGS, MEAN_WINDOWS, STD_WINDOWS, calendar, full_history, history,
+    LAGS, MEAN_WINDOWS, STD_WINDOWS, calendar, full_history, hours_before, look_back,
 )
-from panelcast.schemas import KEYS
+from panelcast.schemas import KEYS, VALUE
 
 CALENDAR = ("day_of_week", "hour_of_day")
 KEY_FEATURES = tuple(f"{k}{AttachKeys.suffix}" for k in KEYS)
@@ -24,6 +24,10 @@ def depth_of(lags, means, stds) -> int:
     return max([*lags, *[s + n - 1 for s, n in (*means, *stds)]])
 
 
+def vector_size(lags, means, stds) -> int:
+    return len(lags) + len(means) + len(stds) + len(CALENDAR) + len(KEY_FEATURES)
+
+
 def hours_of(past: Column, shift: int, length: int) -> Column:
     """The ``length`` values that end ``shift`` hours before the end of an oldest-first array."""
     return F.slice(past, -(shift + length - 1), length)
@@ -84,21 +88,37 @@ class WindowFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return self.getOrDefault("lags"), self.getOrDefault("means"), self.getOrDefault("stds")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        settings = self.settings()
-        depth = depth_of(*settings)
-        ready = history(dataset, depth).transform(full_history, depth)
-        return ready.withColumn("window", window_values(F.col("history"), *settings)).drop("history")
+        lags, means, stds = self.settings()
+        depth = depth_of(lags, means, stds)
+        # One Window operator gives the lags as an array and the rolling statistics as columns; a
+        # full history implies that every shorter window is full.
+        columns = {"history": F.collect_list(VALUE).over(hours_before(1, depth))}
+        columns.update({f"_mean{i}": F.avg(VALUE).over(hours_before(s, s + n - 1)) for i, (s, n) in enumerate(means)})
+        columns.update({f"_std{i}": F.stddev_samp(VALUE).over(hours_before(s, s + n - 1)) for i, (s, n) in enumerate(stds)})
+        ready = look_back(dataset, columns, depth).transform(full_history, depth)
+        window = F.array(
+            *[F.element_at("history", -k) for k in lags],
+            *[F.col(f"_mean{i}") for i in range(len(means))], *[F.col(f"_std{i}") for i in range(len(stds))],
+        )
+        return ready.withColumn("window", window).drop(*columns)
 
 
 class FeatureVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Collects window, calendar and key features into the vector ``features``."""
+    """Collects window, calendar and key features into the vector ``features``.
+
+    ``size`` declares the vector's length in the schema, so fitting needs no extra job to look at a row.
+    """
+
+    size = Param(Params._dummy(), "size", "length of the vector")
 
     @keyword_only
-    def __init__(self):
+    def __init__(self, size=0):
         super().__init__()
+        self._set(size=size)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn("features", feature_vector()).drop("window")
+        vectors = dataset.withColumn("features", feature_vector()).drop("window")
+        return vectors.withMetadata("features", {"ml_attr": {"num_attrs": self.getOrDefault("size")}})
 
 
 def feature_vector() -> Column:

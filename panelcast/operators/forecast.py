@@ -18,7 +18,7 @@ from panelcast.operators.aggregates import mean_over_folds, score
 from panelcast.operators.clean import AttachKeys
 from panelcast.operators.features import (
     CALENDAR, KEY_FEATURES, CalendarFeatures, FeatureVector, WindowFeatures, depth_of, feature_vector,
-    hours_of, sample_std, window_values,
+    hours_of, sample_std, vector_size, window_values,
 )
 from panelcast.operators.joins import pair
 from panelcast.operators.timeseries import LAGS, MEAN_WINDOWS, STD_WINDOWS, fold_bounds
@@ -34,6 +34,9 @@ GRID = {
 }
 GRID_STD_WINDOWS = ((1, 24), (1, 48))
 
+# Parts of a linear model's weights, as used by the recursion.
+WEIGHTS = ("lag", "std", "calendar", "key", "intercept")
+
 # Spark's boosted trees have a depth limit; this stands for "unlimited".
 DEEPEST_TREE = 8
 # Recursion rounds of a tree model between two reliable checkpoints.
@@ -63,7 +66,8 @@ def build_forecaster(config: dict | None = None) -> Pipeline:
     windows = WindowFeatures(
         lags=config.get("lag", LAGS), means=config.get("mean", MEAN_WINDOWS), stds=config.get("std", STD_WINDOWS),
     )
-    return Pipeline(stages=[AttachKeys(), CalendarFeatures(), windows, FeatureVector(), regressor(config)])
+    vector = FeatureVector(size=vector_size(*windows.settings()))
+    return Pipeline(stages=[AttachKeys(), CalendarFeatures(), windows, vector, regressor(config)])
 
 
 def features_of(panel: DataFrame, config: dict | None = None) -> DataFrame:
@@ -74,8 +78,20 @@ def features_of(panel: DataFrame, config: dict | None = None) -> DataFrame:
 
 
 def fit(train: DataFrame, config: dict | None = None) -> PipelineModel:
-    """Fit one model over all series of an hourly panel."""
-    return build_forecaster(config).fit(train)
+    """Fit one model over all series of an hourly panel.
+
+    The learner reads its input more than once, so the two columns it needs are kept for the time of
+    the fit (in memory, beyond that on the executors' disks).
+    """
+    *stages, learner = build_forecaster(config).getStages()
+    rows = train
+    for stage in stages:
+        rows = stage.transform(rows)
+    rows = rows.select("features", VALUE).persist()
+    try:
+        return PipelineModel([*stages, learner.fit(rows)])
+    finally:
+        rows.unpersist()
 
 
 def window_settings(model: PipelineModel) -> tuple[list, list, list]:
@@ -209,6 +225,16 @@ def linear_forecast(
     )
 
 
+def forecast_with(
+    state: DataFrame, model: DataFrame, stds=STD_WINDOWS, horizon: int = HORIZON, keys=KEYS,
+) -> DataFrame:
+    """``linear_forecast`` with weights from a one-row table, read as a scalar."""
+    packed = model.select(F.struct(*WEIGHTS).alias("weights")).scalar()
+    held = state.withColumn("_weights", packed)
+    weights = {name: F.col(f"_weights.{name}") for name in WEIGHTS}
+    return linear_forecast(held, weights, stds, horizon, keys).drop("_weights")
+
+
 def tree_forecast(state: DataFrame, model: PipelineModel, horizon: int = HORIZON) -> DataFrame:
     """``linear_forecast`` for any Spark ML regressor: one transform per step over the series table.
 
@@ -219,16 +245,17 @@ def tree_forecast(state: DataFrame, model: PipelineModel, horizon: int = HORIZON
     settings, learner = window_settings(model), model.stages[-1]
     if horizon > ROUNDS_PER_CHECKPOINT:
         ensure_checkpoints(spark)
-    grown = AttachKeys().transform(state)
+    # Filtered once, before the recursion: a later filter would pull every step's prediction into it.
+    known = F.col("history").isNotNull() & ~F.exists("history", lambda x: x.isNull())
+    grown = AttachKeys().transform(state.filter(known))
     for step in range(1, horizon + 1):
         at = add_hours("last", step)
         ready = grown.withColumns({
             "window": window_values(F.col("history"), *settings),
             CALENDAR[0]: day_of_week(at), CALENDAR[1]: hour_of_day(at),
         }).withColumn("features", feature_vector())
-        known = F.col("history").isNotNull() & ~F.exists("history", lambda x: x.isNull())
         grown = (
-            learner.transform(ready.filter(known))
+            learner.transform(ready)
             .withColumn("history", F.concat("history", F.array("prediction")))
             .select(*state.columns, *KEY_FEATURES)
         )
@@ -360,7 +387,7 @@ def cross_validate(
 
     models = spark.createDataFrame(rows, FOLD_RESULTS)
     state = fold_histories(panel, folds, depth_of(*settings)).join(models, "fold")
-    weights = {n: F.col(n) for n in ("lag", "std", "calendar", "key", "intercept")}
+    weights = {n: F.col(n) for n in WEIGHTS}
     began = perf_counter()
     predicted = as_rows(linear_forecast(state, weights, std, horizon), horizon, ("config_id", "fold", *KEYS))
     pairs = predicted.withColumnRenamed(VALUE, "p").join(

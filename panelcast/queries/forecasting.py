@@ -88,14 +88,13 @@ def k03b(spark, sf_dir):
     """The general recursion with all weight on lag 24: 72 steps, so each value feeds the next day."""
     dense = fixtures.dense(spark, sf_dir)
     line = fc.lag_regression(lags(dense, (24,)), "lag_24")
-    slope, intercept = line.select("slope").scalar(), line.select("intercept").scalar()
-    none = F.array(F.lit(0.0), F.lit(0.0))
-    weights = {
-        "lag": F.concat(F.array(slope), F.array_repeat(F.lit(0.0), 23)), "std": none, "calendar": none, "key": none,
-        "intercept": intercept,
-    }
-    state = fc.latest_history(dense, 24)
-    return rounded(fc.as_rows(fc.linear_forecast(state, weights, (), 72), 72), "energy_consumption")
+    zero = F.array(F.lit(0.0), F.lit(0.0))
+    weights = line.select(
+        F.concat(F.array("slope"), F.array_repeat(F.lit(0.0), 23)).alias("lag"), zero.alias("std"),
+        zero.alias("calendar"), zero.alias("key"), "intercept",
+    )
+    done = fc.forecast_with(fc.latest_history(dense, 24), weights, (), 72)
+    return rounded(fc.as_rows(done, 72), "energy_consumption")
 
 
 @query("k04_evaluate")

@@ -73,7 +73,7 @@ def n04(spark, sf_dir):
     panel.repartition(2, "datetime_utc").write.parquet(truth)
     errors = jobs.matched_errors(
         jobs.landed_stream(spark, forecasts, FORECAST),
-        jobs.deduplicate(jobs.landed_stream(spark, truth, FORECAST, files_per_batch=1)),
+        jobs.landed_stream(spark, truth, FORECAST, files_per_batch=1),
     )
     partials = scratch_path(spark, "score-parts")
     drained(jobs.start_scoring(errors, partials, scratch_path(spark, "score-checkpoint")))

@@ -32,11 +32,16 @@ def latest_by_key(df: DataFrame, on=ROW_KEYS, order: str | None = None) -> DataF
     )
 
 
-def _write_days(df: DataFrame, path: str, mode: str) -> None:
-    """Files laid out by day; the rebalance splits large days and merges small ones."""
+def _by_day(df: DataFrame) -> DataFrame:
+    """One shuffle to day order; the rebalance splits large days and merges small ones."""
+    return df.hint("rebalance", DAY)
+
+
+def _write_days(df: DataFrame, path: str) -> None:
+    """Replace the days that ``df`` holds, with files sorted for row-group skipping."""
     (
-        df.hint("rebalance", DAY).sortWithinPartitions(DAY, *KEYS, TIME)
-        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+        df.sortWithinPartitions(DAY, *KEYS, TIME)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
     )
 
 
@@ -54,20 +59,20 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, schema: T.Struct
     that stops while publishing can be repeated.
     """
     batch = latest_by_key(incoming.select(*schema.names)).withColumn(DAY, F.to_date(TIME))
-    staged = scratch_path(spark, "upsert")
-    if has_data(spark, path):
-        landed = scratch_path(spark, "batch")
-        batch.write.parquet(landed)
-        batch = spark.read.schema(_with_day(schema)).parquet(landed)
+    if not has_data(spark, path):
+        _write_days(_by_day(batch), path)
+        return
+    batch = batch.persist()
+    try:
         first, last = batch.agg(F.min(DAY), F.max(DAY)).first()
         if first is None:
             return
-        merged = merge_rows(touched_days(spark, path, batch, first, last, schema), batch)
-    else:
-        merged = batch
-    _write_days(merged, staged, "overwrite")
-    republish = spark.read.schema(_with_day(schema)).parquet(staged)
-    _write_days(republish, path, "overwrite")
+        staged = scratch_path(spark, "upsert")
+        _write_days(_by_day(merge_rows(touched_days(spark, path, batch, first, last, schema), batch)), staged)
+    finally:
+        batch.unpersist()
+    # The staged files are laid out already, so publishing copies them without a shuffle.
+    _write_days(spark.read.schema(_with_day(schema)).parquet(staged), path)
 
 
 def touched_days(

@@ -55,12 +55,13 @@ def with_instant(stream: DataFrame, delay: str, time: str = TIME) -> DataFrame:
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
 
 
+def unique_rows(stream: DataFrame, on=ROW_KEYS, delay: str = ARRIVAL_LAG, time: str = TIME) -> DataFrame:
+    """The first row of each (series, hour) within the arrival lag; the time stays an instant."""
+    return with_instant(stream, delay, time).dropDuplicatesWithinWatermark(list(on))
+
+
 def deduplicate(stream: DataFrame, on=ROW_KEYS, delay: str = ARRIVAL_LAG, time: str = TIME) -> DataFrame:
-    """The first row of each (series, hour) within the arrival lag."""
-    return (
-        with_instant(stream, delay, time).dropDuplicatesWithinWatermark(list(on))
-        .withColumn(time, F.col(time).cast("timestamp_ntz"))
-    )
+    return unique_rows(stream, on, delay, time).withColumn(time, F.col(time).cast("timestamp_ntz"))
 
 
 def hourly_totals(
@@ -87,10 +88,11 @@ def matched_errors(
     """Stream-stream join of forecasts and late observations with the error of each match.
 
     The hour is part of the join key and carries the watermark on both sides, so state older than
-    the arrival lag is dropped. Both inputs must be free of duplicates.
+    the arrival lag is dropped. Both sides are deduplicated first, because a repeated row would be
+    matched again.
     """
-    left = with_instant(forecasts.select(*on, F.col(value).alias("p")), delay, time)
-    right = with_instant(truth.select(*on, F.col(value).alias("y")), delay, time)
+    left = unique_rows(forecasts.select(*on, F.col(value).alias("p")), on, delay, time)
+    right = unique_rows(truth.select(*on, F.col(value).alias("y")), on, delay, time)
     return left.join(right, list(on)).filter(F.col("y") > 0).select(
         F.col(time).cast("timestamp_ntz").alias(time), absolute_percentage_error("y", "p").alias("ape")
     )
