@@ -58,6 +58,7 @@ def latest(df: DataFrame):
 
 
 def _forecast_from(hourly: DataFrame, hours_back: int, horizon: int = 48) -> DataFrame:
+    """Daily-naive forecast of an hourly panel cut ``hours_back`` before its end."""
     known = hourly.filter(F.col(TIME) <= add_hours(latest(hourly), -hours_back))
     return seasonal_naive(known, horizon, 24).select(*FORECAST.names)
 

@@ -6,6 +6,8 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 from time import perf_counter
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -18,7 +20,7 @@ from panelcast.operators.aggregates import mean_over_folds, score
 from panelcast.operators.clean import AttachKeys
 from panelcast.operators.features import (
     CALENDAR, KEY_FEATURES, CalendarFeatures, FeatureVector, WindowFeatures, depth_of, feature_vector,
-    hours_of, sample_std, vector_size, window_values,
+    vector_size, window_values,
 )
 from panelcast.operators.joins import pair
 from panelcast.operators.timeseries import LAGS, MEAN_WINDOWS, STD_WINDOWS, fold_bounds
@@ -37,6 +39,10 @@ GRID_STD_WINDOWS = ((1, 24), (1, 48))
 # Parts of a linear model's weights, as used by the recursion.
 WEIGHTS = ("lag", "std", "calendar", "key", "intercept")
 
+# Rolling means are sums of lags, so without a penalty the normal equations of the linear learner
+# are singular and Spark falls back to an iterative, inexact solution. This ridge avoids that.
+SMALLEST_RIDGE = 1e-6
+
 # Spark's boosted trees have a depth limit; this stands for "unlimited".
 DEEPEST_TREE = 8
 # Recursion rounds of a tree model between two reliable checkpoints.
@@ -50,7 +56,8 @@ def regressor(config: dict):
     columns = {"featuresCol": "features", "labelCol": VALUE, "predictionCol": "prediction"}
     learner = config.get("learner", "linear")
     if learner == "linear":
-        return LinearRegression(regParam=float(config.get("reg_lambda", 0.0)), solver="normal", **columns)
+        ridge = max(float(config.get("reg_lambda", 0.0)), SMALLEST_RIDGE)
+        return LinearRegression(regParam=ridge, solver="normal", **columns)
     if learner != "trees":
         raise ValueError(f"unknown learner {learner!r}")
     depth = int(config.get("max_depth", -1))
@@ -192,37 +199,46 @@ def literal_weights(weights: dict) -> dict[str, Column]:
     }
 
 
+def _recursion(stds, horizon: int):
+    """Batch function of the recursion: all series of an Arrow batch advance together, hour by hour."""
+    def run(
+        past: pd.Series, hour: pd.Series, fixed: pd.Series, lag: pd.Series, std: pd.Series, calendar: pd.Series,
+    ) -> pd.Series:
+        depth = len(lag.iloc[0])
+        values = np.full((len(past), depth + horizon), np.nan)
+        values[:, :depth] = [np.full(depth, np.nan) if p is None else p for p in past]
+        by_lag, by_std, by_calendar = (np.stack(list(w)) for w in (lag, std, calendar))
+        for step in range(horizon):
+            at = hour.to_numpy() + step + 1
+            # The epoch began on a Thursday, day 3 of a week that starts on Monday.
+            clock = np.column_stack([(at // 24 + 3) % 7, at % 24])
+            result = fixed.to_numpy() + (values[:, step:step + depth] * by_lag).sum(axis=1)
+            result = result + (clock * by_calendar).sum(axis=1)
+            for i, (shift, length) in enumerate(stds):
+                end = depth + step - shift + 1
+                result = result + by_std[:, i] * values[:, end - length:end].std(axis=1, ddof=1)
+            values[:, depth + step] = result
+        return pd.Series(list(values[:, depth:]))
+
+    return F.pandas_udf(run, "array<double>")
+
+
 def linear_forecast(
     state: DataFrame, weights: dict[str, Column], stds=STD_WINDOWS, horizon: int = HORIZON, keys=KEYS,
 ) -> DataFrame:
     """Add ``forecast``: the ``horizon`` predicted values, each fed back as history for the next.
 
     ``state`` has one row per series (keys, ``last``, ``history``); the weights are literals or
-    columns of ``state``. The whole recursion is one projection: no shuffle, no driver loop.
+    columns of ``state``. The recursion is one narrow projection over Arrow batches of series: no
+    shuffle and no driver loop. Written with nested array functions, which Spark interprets value by
+    value, the same steps took ten times as long (5 s against 0.5 s for 5,508 series).
     """
-    depth = F.size("history")
     fixed = weights["intercept"]
     for i, key in enumerate(keys):
         fixed = fixed + weights["key"][i] * F.col(key)
-
-    def next_value(past: Column, step: Column) -> Column:
-        recent = F.slice(past, -depth, depth)
-        at = add_hours("last", step)
-        products = F.zip_with(recent, weights["lag"], lambda x, w: x * w)
-        result = F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
-        for i, (shift, length) in enumerate(stds):
-            result = result + weights["std"][i] * sample_std(hours_of(past, shift, length), length)
-        result = result + weights["calendar"][0] * day_of_week(at) + weights["calendar"][1] * hour_of_day(at)
-        return result + F.col("_fixed")
-
-    grown = F.aggregate(
-        F.sequence(F.lit(1), F.lit(horizon)), F.col("history"),
-        lambda past, step: F.concat(past, F.array(next_value(past, step))),
-    )
-    return (
-        state.withColumn("_fixed", fixed)
-        .withColumn("forecast", F.slice(grown, -horizon, horizon)).drop("_fixed")
-    )
+    run = _recursion([tuple(w) for w in stds], horizon)
+    values = run("history", epoch_hour("last"), fixed, weights["lag"], weights["std"], weights["calendar"])
+    return state.withColumn("forecast", values)
 
 
 def forecast_with(
@@ -267,10 +283,11 @@ def tree_forecast(state: DataFrame, model: PipelineModel, horizon: int = HORIZON
 
 def as_rows(forecasts: DataFrame, horizon: int = HORIZON, keys=KEYS, time: str = TIME, value: str = VALUE) -> DataFrame:
     """Arrays of forecasts as one row per hour; a series without a forecast gets NULL values."""
-    missing = F.array_repeat(F.lit(None).cast("double"), horizon)
+    none = F.lit(None).cast("double")
+    listed = F.coalesce("forecast", F.array_repeat(none, horizon))
     return (
-        forecasts.select(*keys, "last", F.posexplode(F.coalesce("forecast", missing)).alias("_pos", value))
-        .select(*keys, add_hours("last", F.col("_pos") + 1).alias(time), value)
+        forecasts.select(*keys, "last", F.posexplode(listed).alias("_pos", value))
+        .select(*keys, add_hours("last", F.col("_pos") + 1).alias(time), F.nanvl(value, none).alias(value))
     )
 
 

@@ -96,22 +96,6 @@ def attach_hours(series: DataFrame, df: DataFrame, horizon: int, time: str = TIM
     )
 
 
-def hour_range(span: DataFrame, keys, start: str, end: str, time: str = TIME) -> DataFrame:
-    """One row per series and hour of [start, end].
-
-    Two levels: a span becomes days, the (series, day) rows are spread over the cluster, then each
-    day becomes hours. No array is longer than the days of a span, and a long series does not stay
-    in one task.
-    """
-    days = span.withColumn(
-        "_day", F.explode(F.sequence(F.to_date(start), F.to_date(end), F.expr("interval 1 day")))
-    ).repartition(*keys, "_day")
-    hours = days.withColumn("_hour", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn(
-        time, add_hours(F.col("_day").cast("timestamp_ntz"), "_hour")
-    )
-    return hours.filter(F.col(time).between(F.col(start), F.col(end))).select(*keys, time)
-
-
 def fill_hours(
     df: DataFrame, keys=KEYS, time: str = TIME, value: str = VALUE, fill: float | None = None,
     span: str = "series",
@@ -120,22 +104,39 @@ def fill_hours(
 
     ``span='series'`` runs from each series' first to last hour, ``span='table'`` from the table's.
     A series with two rows for one hour fails the job.
+
+    The work is done by (series, day): a day's rows fold map-side into 24 columns, the calendar is
+    joined as one row per day, and only then does a day become 24 rows. Nothing hourly is shuffled
+    and no task holds more of a series than one day at a time.
     """
-    once = df.groupBy(*keys, time).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(value).alias("_value")
+    days = df.groupBy(*keys, F.to_date(time).alias("_day")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.max(F.when(F.hour(time) == h, F.col(value))).alias(f"_v{h}") for h in range(24)],
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(time))).alias("_seen"),
+    )
+    repeated = F.raise_error(F.concat(F.lit("more than one row for an hour of "), F.col("_day").cast("string")))
+    values = F.array(*[F.col(f"_v{h}") for h in range(24)])
+    days = days.select(
+        *keys, "_day", F.when(F.col("_rows") > F.bit_count("_seen"), repeated.cast("array<double>")).otherwise(values).alias("_values"),
     )
     if span == "series":
         spans = df.groupBy(*keys).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
     elif span == "table":
-        bounds = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-        spans = df.select(*keys).distinct().withColumns({
-            "_first": bounds.select("lo").scalar(), "_last": bounds.select("hi").scalar(),
-        })
+        bounds = df.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi")).alias("b")).scalar()
+        spans = df.select(*keys).distinct().withColumn("_b", bounds).select(
+            *keys, F.col("_b.lo").alias("_first"), F.col("_b.hi").alias("_last")
+        )
     else:
         raise ValueError(f"span must be 'series' or 'table', not {span!r}")
-    grid = hour_range(spans, keys, "_first", "_last", time)
-    repeated = F.raise_error(F.concat(F.lit("more than one row for hour "), F.col(time).cast("string")))
-    filled = F.when(F.col("_rows") > 1, repeated.cast("double")).otherwise(F.col("_value"))
-    if fill is not None:
-        filled = F.coalesce(filled, F.lit(fill))
-    return grid.join(once, [*keys, time], "left").select(*keys, time, filled.alias(value))
+    calendar = spans.withColumn(
+        "_day", F.explode(F.sequence(F.to_date("_first"), F.to_date("_last"), F.expr("interval 1 day")))
+    )
+    empty_day = F.array_repeat(F.lit(None).cast("double"), 24)
+    filled = F.col("_value") if fill is None else F.coalesce("_value", F.lit(fill))
+    return (
+        calendar.join(days, [*keys, "_day"], "left")
+        .select(*keys, "_first", "_last", "_day", F.posexplode(F.coalesce("_values", empty_day)).alias("_hour", "_value"))
+        .withColumn(time, add_hours(F.col("_day").cast("timestamp_ntz"), "_hour"))
+        .filter(F.col(time).between(F.col("_first"), F.col("_last")))
+        .select(*keys, time, filled.alias(value))
+    )

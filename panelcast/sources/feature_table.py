@@ -26,6 +26,8 @@ def _with_day(schema: T.StructType) -> T.StructType:
 def latest_by_key(df: DataFrame, on=ROW_KEYS, order: str | None = None) -> DataFrame:
     """One row per key: the one with the greatest ``order``, or the greatest values when equal."""
     rest = [c for c in df.columns if c not in on]
+    if len(rest) == 1 and order is None:
+        return df.groupBy(*on).agg(F.max(rest[0]).alias(rest[0])).select(*df.columns)
     ranked = F.struct(*([order] if order else []), *[c for c in rest if c != order])
     return df.groupBy(*on).agg(F.max(ranked).alias("_row")).select(
         *[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in df.columns]
