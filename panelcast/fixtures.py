@@ -20,14 +20,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _type_code():
-    code = F.lit(None).cast("int")
-    for name, number in TYPE_OF_EVENT.items():
-        code = F.when(F.col("event_type") == name, number).otherwise(code)
-    return code.cast("int")
+    cases = " ".join(f"when '{name}' then {number}" for name, number in TYPE_OF_EVENT.items())
+    return F.expr(f"case event_type {cases} end")
 
 
 def _user_area():
-    return F.element_at(F.array(*[F.lit(a) for a in AREA_OF_USER]), (F.pmod("user_id", F.lit(3)) + 1).cast("int"))
+    names = ", ".join(f"'{a}'" for a in AREA_OF_USER)
+    return F.expr(f"element_at(array({names}), cast(pmod(user_id, 3) + 1 as int))")
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,18 +87,14 @@ def features_of(panel: DataFrame, config: dict | None = None) -> DataFrame:
 def fit(train: DataFrame, config: dict | None = None) -> PipelineModel:
     """Fit one model over all series of an hourly panel.
 
-    The learner reads its input more than once, so the two columns it needs are kept for the time of
-    the fit (in memory, beyond that on the executors' disks).
+    The learner reads its input more than once, so the panel (about 30 bytes a row) is kept for the
+    time of the fit; the features, some 700 bytes a row, are made anew in each pass.
     """
-    *stages, learner = build_forecaster(config).getStages()
-    rows = train
-    for stage in stages:
-        rows = stage.transform(rows)
-    rows = rows.select("features", VALUE).persist()
+    panel = train.select(*KEYS, TIME, VALUE).persist()
     try:
-        return PipelineModel([*stages, learner.fit(rows)])
+        return build_forecaster(config).fit(panel)
     finally:
-        rows.unpersist()
+        panel.unpersist()
 
 
 def window_settings(model: PipelineModel) -> tuple[list, list, list]:
@@ -193,10 +189,12 @@ def weights_of(model: PipelineModel) -> dict:
 
 
 def literal_weights(weights: dict) -> dict[str, Column]:
-    return {
-        name: F.lit(w) if isinstance(w, float) else F.array(*[F.lit(x) for x in w]).cast("array<double>")
-        for name, w in weights.items()
-    }
+    def constant(weight) -> Column:
+        if isinstance(weight, float):
+            return F.lit(weight)
+        return F.expr(f"cast(array({', '.join(f'{x!r}D' for x in weight)}) as array<double>)")
+
+    return {name: constant(weight) for name, weight in weights.items()}
 
 
 def _recursion(stds, horizon: int):
@@ -264,10 +262,11 @@ def tree_forecast(state: DataFrame, model: PipelineModel, horizon: int = HORIZON
     # Filtered once, before the recursion: a later filter would pull every step's prediction into it.
     known = F.col("history").isNotNull() & ~F.exists("history", lambda x: x.isNull())
     grown = AttachKeys().transform(state.filter(known))
+    window = window_values(F.col("history"), *settings)
     for step in range(1, horizon + 1):
         at = add_hours("last", step)
         ready = grown.withColumns({
-            "window": window_values(F.col("history"), *settings),
+            "window": window,
             CALENDAR[0]: day_of_week(at), CALENDAR[1]: hour_of_day(at),
         }).withColumn("features", feature_vector())
         grown = (
@@ -370,11 +369,13 @@ FOLD_RESULTS = "config_id int, fold int, reg_lambda double, fit_time double, lag
 
 def cross_validate(
     panel: DataFrame, configs: list[dict], horizon: int = HORIZON, k: int = 3, parallel_trials: int = 4,
-    std=GRID_STD_WINDOWS,
+    std=GRID_STD_WINDOWS, keep_features: bool = True,
 ) -> DataFrame:
     """Fold results (config_id, fold, reg_lambda, MAPE, fit_time, prediction_time) of linear trials.
 
-    Features are built once and shared. Each trial is a Spark job on the rows before its fold's
+    The feature rows, some 700 bytes each, are kept and shared by all trials; with
+    ``keep_features=False`` only the panel is kept and each trial makes its own, for training tables
+    whose features do not fit the cluster's memory and local disks. Each trial is a Spark job on the rows before its fold's
     cut; the fitted coefficients, a few numbers per trial, come back and become a table, so the
     forecasts of all trials are made and scored in a single plan.
     """
@@ -382,7 +383,10 @@ def cross_validate(
     folds = fold_bounds(panel, horizon, k)
     cuts = [(r["fold"], r["train_end"], r["origin"]) for r in folds.collect()]
     settings = (list(LAGS), [list(w) for w in MEAN_WINDOWS], [list(w) for w in std])
-    ready = features_of(panel, {"std": std}).select(TIME, VALUE, "features").persist()
+    kept = panel.select(*KEYS, TIME, VALUE).persist()
+    ready = features_of(kept, {"std": std}).select(TIME, VALUE, "features")
+    if keep_features:
+        ready = ready.persist()
 
     def trial(job) -> tuple:
         config, (fold, train_end, origin) = job
@@ -401,6 +405,7 @@ def cross_validate(
             rows = pool.map(inheritable_thread_target(spark)(trial), list(product(configs, cuts)))
     finally:
         ready.unpersist()
+        kept.unpersist()
 
     models = spark.createDataFrame(rows, FOLD_RESULTS)
     state = fold_histories(panel, folds, depth_of(*settings)).join(models, "fold")

@@ -111,11 +111,11 @@ def fill_hours(
     """
     days = df.groupBy(*keys, F.to_date(time).alias("_day")).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.max(F.when(F.hour(time) == h, F.col(value))).alias(f"_v{h}") for h in range(24)],
+        *[F.expr(f"max(case when hour(`{time}`) = {h} then `{value}` end) as _v{h}") for h in range(24)],
         F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(time))).alias("_seen"),
     )
     repeated = F.raise_error(F.concat(F.lit("more than one row for an hour of "), F.col("_day").cast("string")))
-    values = F.array(*[F.col(f"_v{h}") for h in range(24)])
+    values = F.expr(f"array({', '.join(f'_v{h}' for h in range(24))})")
     days = days.select(
         *keys, "_day", F.when(F.col("_rows") > F.bit_count("_seen"), repeated.cast("array<double>")).otherwise(values).alias("_values"),
     )

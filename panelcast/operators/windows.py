@@ -11,6 +11,9 @@ from panelcast.schemas import (
     DATASET_END, DATASET_START, DAYS_DELAY, DAYS_EXPORT, RAW_TIME_FORMAT, TIME,
 )
 
+# Ways the rows of one day are spread in a backfill.
+WINDOW_PARTS = 32
+
 
 def export_windows(
     references: DataFrame,
@@ -73,20 +76,23 @@ def daily_references(df: DataFrame, count: int, time: str = TIME) -> DataFrame:
     )
 
 
-def backfill(panel: DataFrame, windows: DataFrame, time: str = TIME) -> DataFrame:
+def backfill(panel: DataFrame, windows: DataFrame, time: str = TIME, parts: int = WINDOW_PARTS) -> DataFrame:
     """Rows of every window: a range join made an equi-join on the calendar day.
 
     Each window is exploded into the days it touches, so Spark hashes on the day and the exact
-    bounds are a residual condition. Row counts per day are even across days, and adaptive skew
-    handling splits a day that is not.
+    bounds are a residual condition. A table has few days and many rows per day, so the rows of a day
+    are dealt over ``parts`` and the (small) window days are copied to each part: if the join
+    shuffles, its tasks are days times parts, whatever the number of series.
     """
-    by_day = windows.withColumn(
-        "_day",
-        F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end"), F.expr("interval 1 day"))),
-    )
-    rows = panel.withColumn("_day", F.to_date(time))
+    by_day = windows.select(
+        "*", F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end"), F.expr("interval 1 day"))).alias("_day"),
+    ).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    rows = panel.withColumns({
+        "_day": F.to_date(time), "_part": F.pmod(F.xxhash64(*panel.columns), F.lit(parts)).cast("int"),
+    })
     inside = (rows[time] >= by_day["window_start"]) & (rows[time] < by_day["window_end"])
-    return rows.join(by_day, (rows["_day"] == by_day["_day"]) & inside).drop("_day")
+    same = (rows["_day"] == by_day["_day"]) & (rows["_part"] == by_day["_part"])
+    return rows.join(by_day, same & inside).drop("_day", "_part")
 
 
 def backfill_coverage(panel: DataFrame, windows: DataFrame, time: str = TIME) -> DataFrame:
