@@ -117,6 +117,13 @@ def found(requests: DataFrame, df: DataFrame, keys=KEYS) -> DataFrame:
     )
 
 
+def require_found(df: DataFrame, what: str) -> DataFrame:
+    """The same table, or an error when it holds nothing for ``what``."""
+    if df.isEmpty():
+        raise LookupError(f"no data found for {what}")
+    return df
+
+
 class AttachKeys(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Copies the series keys into feature columns; ``inverse`` removes them again."""
 

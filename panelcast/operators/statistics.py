@@ -27,8 +27,8 @@ def describe_columns(df: DataFrame, columns, exact_distinct: bool = False) -> Da
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts of equal-width bins between the column's minimum and maximum."""
-    bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = F.greatest(hi - lo, F.lit(5e-324))
     index = F.least(F.floor((F.col(column) - lo) * bins / width), F.lit(bins - 1)).cast("int")
     return (

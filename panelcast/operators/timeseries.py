@@ -102,7 +102,8 @@ def newest(df: DataFrame, count: int, keys=KEYS, time: str = TIME) -> DataFrame:
     """The newest ``count`` rows of every series.
 
     The rank filter is applied by each task before the shuffle (window group limit), so a hot series
-    sends at most ``count`` rows per task.
+    sends at most ``count`` rows per task. Spark does so for counts up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000); raise it for a larger count.
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(time).desc()))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= count).drop("_rank")

@@ -50,6 +50,13 @@ def test_found(spark, make_panel):
     assert {r["area"]: r["found"] for r in got} == {0: True, 9: False}
 
 
+def test_one_series_guard(make_panel):
+    panel = make_panel({(0, 111): [(0, 1.0)]})
+    assert clean.require_found(clean.one_series(panel, 0, 111), "0, 111").count() == 1
+    with pytest.raises(LookupError, match="5, 111"):
+        clean.require_found(clean.one_series(panel, 5, 111), "5, 111")
+
+
 def failing(df):
     return {(r["check"], r["column"]) for r in quality.validate(df, quality.panel_suite(df)).collect() if not r["ok"]}
 
