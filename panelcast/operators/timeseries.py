@@ -52,7 +52,11 @@ def hours_before(first: int, last: int, keys=KEYS) -> Window:
 
 
 def lags(df: DataFrame, offsets=LAGS, keys=KEYS, time: str = TIME, value: str = VALUE) -> DataFrame:
-    """Value ``k`` hours earlier for each offset; NULL where that hour has no row."""
+    """Value ``k`` hours earlier for each offset; NULL where that hour has no row.
+
+    Each offset is a frame of its own in one Window operator. For all lags of an hourly panel use
+    ``history``, which needs a single frame.
+    """
     columns = {f"lag_{k}": F.first(value).over(hours_before(k, k, keys)) for k in offsets}
     return look_back(df, columns, max(offsets), keys, time)
 

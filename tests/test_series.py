@@ -43,6 +43,12 @@ def test_buckets_do_not_change_look_back(make_panel, hour, bucket, hours):
         assert row["n"] == len(past) and (row["s"] or 0.0) == sum(past)
 
 
+def test_a_long_series_is_many_small_windows(make_panel):
+    panel = make_panel({(0, 111): [(h, 1.0) for h in range(5000)]})
+    groups = ts.bucketed(panel, 72).groupBy("area", "consumer_type", "_bucket").count()
+    assert groups.count() >= 7 and groups.agg(F.max("count")).first()[0] <= ts.BUCKET_HOURS + 72
+
+
 def test_first_rows_lack_history(make_panel):
     panel = make_panel({(0, 111): [(h, float(h)) for h in range(100)]})
     full = ts.full_history(ts.history(panel))
