@@ -70,10 +70,10 @@ def n04(spark, sf_dir):
     panel = fixtures.panel(spark, sf_dir).select(*FORECAST.names)
     forecasts, truth = scratch_path(spark, "forecasts"), scratch_path(spark, "truth")
     shift_hours(panel, 24).write.parquet(forecasts)
-    panel.repartition(2, "datetime_utc").write.parquet(truth)
+    panel.write.parquet(truth)
     errors = jobs.matched_errors(
         jobs.landed_stream(spark, forecasts, FORECAST),
-        jobs.landed_stream(spark, truth, FORECAST, files_per_batch=1),
+        jobs.landed_stream(spark, truth, FORECAST),
     )
     partials = scratch_path(spark, "score-parts")
     drained(jobs.start_scoring(errors, partials, scratch_path(spark, "score-checkpoint")))
