@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import embed_dedup, mixing, packing, sql, topk
+from panelcast.llm import embed_dedup, minhash, mixing, packing, sql, topk
 from panelcast.llm.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+@query("op8_minhash_dedup", sql.NEAR_DUPLICATES)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.NearDuplicates().classify(table(spark, sf_dir, "documents"))
+
+
 @query("op9_topk", sql.TOPK)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")

@@ -61,3 +61,22 @@ lowest as (
 select e.vec_id, (select count(*) from links l where l.x = e.vec_id) as n_links, y as component_id, e.vec_id = y as kept
 from embeddings e join lowest on x = e.vec_id
 """
+
+NEAR_DUPLICATES = r"""
+with recursive tokens as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                               else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end) as s from tokens),
+members as (
+  select doc_id, len(s) as n, unnest(s) as shingle from sets),
+links as (
+  select a.doc_id as x, b.doc_id as y from members a join members b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached(x, y) as (
+  select doc_id, doc_id from documents union select r.x, l.y from reached r join links l on r.y = l.x),
+lowest as (
+  select x, min(y) as y from reached group by x)
+select s.doc_id, len(s.s)::bigint as n_shingles, y as component_id, s.doc_id = y as kept from sets s join lowest on x = s.doc_id
+"""
