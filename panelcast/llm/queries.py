@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, minhash, mixing, packing, sql, topk
+from panelcast.llm import embed_dedup, minhash, mixing, packing, quality, sql, topk, toxicity
+from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,11 +35,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), ranks())
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, place = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), place > 0)
+    return (toxicity.scored(docs.select("doc_id", "text"), model)
+            .select("doc_id", (place == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 @query("op4_mixing", sql.MIXING)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, place = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 4)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), (place != 2) & (place >= 0))
+    return (quality.scored(docs.select("doc_id", "text"), model)
+            .select("doc_id", (place == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")))
+
+
 @query("op8_minhash_dedup", sql.NEAR_DUPLICATES)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.NearDuplicates().classify(table(spark, sf_dir, "documents"))
