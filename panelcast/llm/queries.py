@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, minhash, mixing, packing, quality, sql, topk, toxicity
+from panelcast.llm import embed_dedup, language, minhash, mixing, packing, quality, sql, topk, toxicity
 from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import table
 
@@ -43,6 +43,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (place == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+@query("op3_language")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, place = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 3)
+    model = language.fit(docs, (place != 1) & (place >= 0))
+    return (language.labelled(docs.select("doc_id", "text"), model)
+            .select("doc_id", (place == 1).alias("held_out"), "lang_pred", "score"))
+
+
 @query("op4_mixing", sql.MIXING)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
