@@ -9,7 +9,7 @@ from panelcast.llm.staging import staged
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 8_192
 SEED = "mix"
 
 
