@@ -33,7 +33,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> SHIFT)
 
 
-def _odd(count: int, seed: int) -> np.ndarray:
+def random_factors(count: int, seed: int) -> np.ndarray:
+    """Odd 64-bit numbers."""
     return np.random.default_rng(seed).integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -46,7 +47,7 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     hashed = np.fromiter(map(digest, tokens), np.uint64, len(tokens))
     length = min(size, len(tokens))
     total = np.full(len(tokens) - length + 1, length, np.uint64)
-    for i, factor in enumerate(_odd(length, SEED)):
+    for i, factor in enumerate(random_factors(length, SEED)):
         total += hashed[i:i + len(total)] * factor
     return np.unique(_mixed(total))
 
@@ -113,7 +114,7 @@ class NearDuplicates:
 
     def _prints(self, source: DataFrame) -> DataFrame:
         shingle, count, seed = self.shingle, self.bands * self.rows, self.seed
-        factors, shifts = _odd(count, seed + 1), _odd(count, seed + 2)
+        factors, shifts = random_factors(count, seed + 1), random_factors(count, seed + 2)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -133,7 +134,7 @@ class NearDuplicates:
         bands, rows, seed = self.bands, self.rows, self.seed
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            factors, salts = _odd(rows, seed + 3), _odd(bands, seed + 4)
+            factors, salts = random_factors(rows, seed + 3), random_factors(bands, seed + 4)
             for batch in batches:
                 minima = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, bands, rows).astype(np.uint64)
                 keys = _mixed((minima * factors).sum(axis=2, dtype=np.uint64) ^ salts).view(np.int64)

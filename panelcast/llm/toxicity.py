@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.llm.labelled import SAMPLE_ROWS, labelled_sample
 from panelcast.llm.logistic import fit_logistic, probability
+from panelcast.llm.minhash import random_factors, shingle_set, signature
 
 #: Characters that often stand for letters belong to a word.
 TOKEN = re.compile(r"\w[\w@$*]*")
@@ -26,6 +27,8 @@ LEAST_DOCUMENTS = 3
 LEAST_LOG_ODDS = 3.0
 PREFIXES = range(4, 9)
 MAX_STATES = 50_000
+MINIMA = 32
+COMPARED = 200
 
 # Words that report another's words, and words that address a reader, in the languages of the tables.
 REPORTING = set("said says say wrote writes quote quoted quotes called calls told claims claimed according reported word term "
@@ -133,6 +136,7 @@ class LexiconAutomaton:
 
 
 FEATURES = ("exact", "exact_quoted", "fuzzy", "fuzzy_quoted", "addressed", "strongest", "density")
+UNSEEN = (0.0, 0.4, 0.9, 0.3, 0.0, 0.0, 0.0)
 
 
 @dataclass
@@ -155,7 +159,7 @@ class ToxicityModel:
                 known.clear()
             if "_automaton" not in self.__dict__:
                 self._automaton = LexiconAutomaton(self.terms)
-            found = [(self.log_odds[i] / (1 + edits), edits == 0) for i, edits in self._automaton.match(word)
+            found = [(self.log_odds[i] / (1 + edits / 2), edits == 0) for i, edits in self._automaton.match(word)
                      if edits == 0 or word not in self.innocent]
             known[word] = max(found, default=None)
         return known[word]
@@ -214,7 +218,38 @@ def _counted(sample: DataFrame, terms, least: int) -> list:
             .where(F.col("toxic") + F.col("clean") >= least).orderBy(F.desc("toxic"), "term", "open").limit(MAX_CANDIDATES).collect())
 
 
-def _surprise(toxic: int, clean: int, base: float) -> float:
+def _different_documents(sample: DataFrame, terms: list[tuple[str, bool]]) -> dict[tuple[str, bool], float]:
+    """How many documents hold each term if near copies count as one: n / (1 + (n - 1) * mean likeness of two of them).
+
+    Agreeing minima of word hashes estimate the likeness; up to a half it is that of any two texts of a language and
+    counts as none. At most ``COMPARED`` documents of a term are compared."""
+    number = {term: i for i, term in enumerate(terms)}
+    factors, shifts = random_factors(MINIMA, 1), random_factors(MINIMA, 2)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([signature(shingle_set(t, 1), factors, shifts).tolist() for t in texts], pa.list_(pa.int64())),
+                pa.array([[number[k] for k in _terms_of(t) if k in number] for t in texts], pa.list_(pa.int64()))], names=["minima", "terms"])
+
+    rows = sample.select("text").mapInArrow(sketch, "minima array<long>, terms array<long>").collect()
+    minima = np.array([r["minima"] for r in rows], np.int64).reshape(-1, MINIMA)
+    holders: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        for k in r["terms"]:
+            holders.setdefault(k, []).append(i)
+    out = {}
+    for term, k in number.items():
+        own = holders.get(k, [])
+        compared = minima[own[:COMPARED]]
+        alike = sum(float(np.maximum(0, 2 * (compared == one).mean(axis=1) - 1).sum()) - 1 for one in compared)
+        mean = alike / max(1, len(compared) * (len(compared) - 1))
+        out[term] = len(own) / (1 + (len(own) - 1) * mean) if own else 0.0
+    return out
+
+
+def _surprise(toxic: float, clean: int, base: float) -> float:
     """A lower bound of -log of the chance to see so large a share of toxic documents (Chernoff)."""
     share = toxic / (toxic + clean)
     if share <= base:
@@ -226,16 +261,18 @@ def _surprise(toxic: int, clean: int, base: float) -> float:
 def learn_lexicon(sample: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[list[tuple[str, bool]], list[float]]:
     """Terms whose odds of a toxic document are high, with their log odds.
 
-    Chance must be an unlikely reason for so many toxic documents, given that so many terms were looked at. Stems come
-    first, the shortest of a family; a stem that one word makes up, nearly alone, is that word.
+    Chance must be an unlikely reason for so many different toxic documents, given that so many terms were looked at.
+    Stems come first, the shortest of a family; a stem that one word makes up, nearly alone, is that word.
     """
     frequent = _counted(sample.where("label = 1"), _terms_of, LEAST_DOCUMENTS)
     candidates = frozenset((r["term"], r["open"]) for r in frequent)
     rows = _counted(sample, lambda text: _terms_of(text) & candidates, LEAST_DOCUMENTS)
     base, doubt = toxic_rows / (toxic_rows + clean_rows), math.log(10 * max(1, len(rows)))
-    odds = {(r["term"], r["open"]): (math.log((r["toxic"] + 0.5) / (toxic_rows + 1)) - math.log((r["clean"] + 0.5) / (clean_rows + 1)), r["toxic"])
+    odds = {(r["term"], r["open"]): (math.log((r["toxic"] + 0.5) / (toxic_rows + 1)) - math.log((r["clean"] + 0.5) / (clean_rows + 1)), r["toxic"], r["clean"])
             for r in rows if r["toxic"] >= LEAST_DOCUMENTS and _surprise(r["toxic"], r["clean"], base) >= doubt}
     strong = {k: v for k, v in odds.items() if v[0] >= LEAST_LOG_ODDS}
+    different = _different_documents(sample.where("label = 1"), sorted(strong))
+    strong = {k: v for k, v in strong.items() if different[k] >= LEAST_DOCUMENTS - 0.5 and _surprise(different[k], v[2], base) >= doubt}
     kept: dict[tuple[str, bool], float] = {}
     words = sorted(k[0] for k in strong if not k[1])
     for term, _ in sorted((k for k in strong if k[1]), key=lambda k: (len(k[0]), k[0])):
@@ -277,7 +314,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, limit: int = SAMPL
 
     rows = weight_part.select("text", "label").mapInArrow(featured, "x array<double>, label long").collect()
     if len({r["label"] for r in rows}) == 2:
-        model.coefficients = fit_logistic(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows], float), least=0.0)
+        x = np.array([r["x"] for r in rows])
+        model.coefficients = fit_logistic(x, np.array([r["label"] for r in rows], float), least=0.0)
+        for i, share in enumerate(UNSEEN):  # what no labelled text shows is weighed against a direct, exact word
+            if share and not x[:, i].any():
+                model.coefficients[1 + i] = share * model.coefficients[1]
     else:  # too few labels to weigh the features: any strong word counts
         model.coefficients = np.array([-4.0, 3.0, 0.0, 1.0, 0.0, 0.5, 1.0, 1.0])
     return model
