@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, language, minhash, mixing, packing, quality, sql, topk, toxicity
+from panelcast.llm import embed_dedup, language, minhash, mixing, packing, pii, quality, sql, topk, toxicity
 from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import table
 
@@ -56,6 +56,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_entities")
+
+
 @query("op7_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, place = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 4)
