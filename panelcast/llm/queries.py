@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, language, minhash, mixing, packing, pii, quality, sql, topk, toxicity
+from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, sql, topk, toxicity
 from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import table
 
@@ -61,6 +61,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_entities")
 
 
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against conversations as the target; the background is the documents themselves."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    models = language_model.learn(table(spark, sf_dir, "conversations"), docs, ranks())
+    return language_model.scored(docs, models, ranks()).drop("text")
+
+
 @query("op7_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, place = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 4)
