@@ -1,28 +1,55 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences: five stages, each written and read again."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import mixing, packing
+from panelcast.llm import minhash, mixing, packing, pii, toxicity
+from panelcast.llm.labelled import remainder
 from panelcast.llm.queries import ranks
 from panelcast.llm.staging import staged, table
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # learned scores, keyed surrogates and token ids have no SQL; a test compares with a brute-force version
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not call toxic."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(F.col("doc_id"), 5) > 0)
+    return toxicity.scored(docs, model, score_col="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates, the one with the smallest id."""
+    return minhash.keep_one(docs, minhash.NearDuplicates())
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for personal data; ``n_chars`` follows the text."""
+    changed = pii.pseudonymise(docs, count_col="_mentions")
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.when(F.col("_mentions") > 0, F.length("text")).otherwise(F.col("n_chars"))
+                                     .cast(docs.schema["n_chars"].dataType))
+    return changed.drop("_mentions")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target takes them; a document at a cut gives its first words."""
     return mixing.repeated(docs, mixing.mix(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and the sequences they are in."""
     return packing.pack(docs, ranks())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("mixing", mix_sources), ("packing", pack_sequences),
+    ("toxicity", reject_toxic),
+    ("near_duplicates", keep_one_of_each_group),
+    ("personal_data", replace_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 

@@ -235,4 +235,6 @@ def keep_one(docs: DataFrame, near: NearDuplicates) -> DataFrame:
     repeated = counted.where("count > 1 and doc_id is not null").select("doc_id")
     same = lambda ids: docs[near.id_col].eqNullSafe(ids["doc_id"])
     kept = docs.join(once, same(once), "left_semi")
+    if repeated.isEmpty():
+        return kept
     return kept.union(docs.join(repeated, same(repeated), "left_semi").dropDuplicates([near.id_col]))
