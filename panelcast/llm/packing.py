@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -17,7 +18,7 @@ SIZE = 1024
 WINDOWS = 16
 FAN_IN = 64
 SEPARATOR = (0).to_bytes(4, "little")
-CACHE_WORDS = 300_000
+PART_CHARACTERS = 1 << 20
 BATCH_ROWS = 20_000
 
 PIECES = pa.schema([
@@ -29,18 +30,15 @@ PIECES_DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens
               "part long, ids binary")
 
 
-class WordTokenizer:
+class Tokenizer:
     """Ids of a text as little-endian 32-bit bytes, by a byte-level BPE vocabulary of ranks.
 
-    The vocabulary's pattern always starts a new token at a single space between two visible characters, so
-    a text is cut there and the ids of the words seen lately are kept; the vocabulary must be one with that
-    property. Any other use of white space at a space sends the whole text to the encoder. The strings of
-    special tokens are ordinary text.
+    The strings of special tokens are ordinary text. The vocabulary's pattern starts a new token at a single space
+    between two visible characters, so a very long text is cut there into parts of a bounded size.
     """
 
-    _loaded: dict[str, "WordTokenizer"] = {}
-    #: A space that is not alone between two visible characters.
-    irregular = re.compile(r"\s | \s|\A | \Z")
+    _loaded: dict[str, "Tokenizer"] = {}
+    cut = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, ranks_path: str):
         import public_tokenizers
@@ -49,35 +47,21 @@ class WordTokenizer:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
 
     @classmethod
-    def load(cls, ranks_path: str) -> "WordTokenizer":
+    def load(cls, ranks_path: str) -> "Tokenizer":
         """One per worker process."""
         if ranks_path not in cls._loaded:
             cls._loaded[ranks_path] = cls(ranks_path)
         return cls._loaded[ranks_path]
 
-    def _new(self, text: str) -> bytes:
-        return self.encoding.encode_to_numpy(text).astype("<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.irregular.search(text):
-            return self._new(text)
-        known, out = self.known, []
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        first, *others = text.split(" ")
-        out.append(self._new(first))
-        for word in others:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._new(" " + word)
-                if len(word) <= 64:
-                    known[word] = ids
-            out.append(ids)
+    def encode(self, text: str | None, part: int = PART_CHARACTERS) -> bytes:
+        out, at, text = [], 0, text or ""
+        while at < len(text):
+            found = self.cut.search(text, at + part) if len(text) - at > part else None
+            end = found.start() if found else len(text)
+            out.append(np.array(self.encoding.encode_ordinary(text[at:end]), "<u4").tobytes())
+            at = end
         return b"".join(out)
 
 
@@ -177,7 +161,7 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        tokenizer, packer = WordTokenizer.load(ranks_path), Packer(size, windows, part << 32)
+        tokenizer, packer = Tokenizer.load(ranks_path), Packer(size, windows, part << 32)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for i in range(batch.num_rows):
