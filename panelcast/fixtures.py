@@ -8,7 +8,7 @@ from panelcast.functions.hours import add_hours, to_hour
 from panelcast.operators.clean import clean
 from panelcast.operators.joins import fill_hours
 from panelcast.operators.timeseries import seasonal_naive
-from panelcast.schemas import FORECAST, PANEL, RAW_TIME_FORMAT, TIME
+from panelcast.schemas import FORECAST, OBSERVED, PANEL, RAW_TIME_FORMAT, TIME
 
 # Event type -> consumer type, remainder of the user id -> area.
 TYPE_OF_EVENT = {"click": 111, "error": 112, "purchase": 119, "signup": 121, "view": 122}
@@ -48,8 +48,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every observed series at every hour of the table's span; hours without a record are 0."""
-    return fill_hours(panel(spark, sf_dir), fill=0.0, span="table")
+    """Every observed series at every hour of the table's span; hours without a record are 0 and flagged."""
+    return fill_hours(panel(spark, sf_dir), fill=0.0, span="table", observed=OBSERVED)
 
 
 def latest(df: DataFrame):

@@ -24,7 +24,7 @@ from panelcast.operators.features import (
 )
 from panelcast.operators.joins import pair
 from panelcast.operators.timeseries import LAGS, MEAN_WINDOWS, STD_WINDOWS, fold_bounds
-from panelcast.schemas import HORIZON, KEYS, TIME, VALUE
+from panelcast.schemas import HORIZON, KEYS, OBSERVED, TIME, VALUE
 from panelcast.session import ensure_checkpoints
 
 # The searched parameter lists.
@@ -317,13 +317,13 @@ def _linear_model_type():
 
 
 def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """(actual, forecast) pairs of the test hours that have an observation above zero."""
+    """(actual, forecast) pairs of the test hours that have an observation, whatever its value."""
     return pair(observed(test), forecast(model, train, horizon))
 
 
-def observed(df: DataFrame, value: str = VALUE) -> DataFrame:
-    """Rows with a usable denominator for percentage errors."""
-    return df.filter(F.col(value) > 0)
+def observed(df: DataFrame, value: str = VALUE, flag: str = OBSERVED) -> DataFrame:
+    """Rows with an observation: those that a gap-filled panel flags as such, or all with a value."""
+    return df.filter(F.col(flag)) if flag in df.columns else df.filter(F.col(value).isNotNull())
 
 
 # --- AR(lag) closed form ----------------------------------------------------------------------

@@ -6,7 +6,7 @@ shuffle stays even when one series holds a large share of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from panelcast.functions.hours import add_hours
 from panelcast.schemas import KEYS, ROW_KEYS, TIME, VALUE
@@ -98,45 +98,52 @@ def attach_hours(series: DataFrame, df: DataFrame, horizon: int, time: str = TIM
 
 def fill_hours(
     df: DataFrame, keys=KEYS, time: str = TIME, value: str = VALUE, fill: float | None = None,
-    span: str = "series",
+    span: str = "series", observed: str | None = None,
 ) -> DataFrame:
     """Make every series hourly; hours without a row get NULL, or ``fill``.
 
     ``span='series'`` runs from each series' first to last hour, ``span='table'`` from the table's.
-    A series with two rows for one hour fails the job.
+    ``observed`` names a boolean column that tells hours with a value in ``df`` from filled ones. A
+    series with two rows for one hour, or with a row that is not on a full hour, fails the job.
 
-    The work is done by (series, day): a day's rows fold map-side into 24 columns, the calendar is
-    joined as one row per day, and only then does a day become 24 rows. Nothing hourly is shuffled
-    and no task holds more of a series than one day at a time.
+    The work is done by (series, day): a day's rows fold map-side into 24 columns, a window over the
+    days of a series finds the gaps between them, and only then does a day become 24 rows. Nothing
+    hourly is shuffled, no calendar is joined, and no task holds more of a series than its days.
     """
+    if span not in ("series", "table"):
+        raise ValueError(f"span must be 'series' or 'table', not {span!r}")
     days = df.groupBy(*keys, F.to_date(time).alias("_day")).agg(
-        F.count(F.lit(1)).alias("_rows"),
+        F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_lo"), F.max(time).alias("_hi"),
         *[F.expr(f"max(case when hour(`{time}`) = {h} then `{value}` end) as _v{h}") for h in range(24)],
         F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(time))).alias("_seen"),
+        F.max(F.when(F.col(time) != F.date_trunc("hour", time), F.col(time))).alias("_off"),
     )
-    repeated = F.raise_error(F.concat(F.lit("more than one row for an hour of "), F.col("_day").cast("string")))
+    at_fault = (
+        F.when(F.col("_off").isNotNull(), F.raise_error(F.concat(F.lit("not on a full hour: "), F.col("_off").cast("string"))))
+        .when(F.col("_rows") > F.bit_count("_seen"), F.raise_error(F.concat(F.lit("more than one row for an hour of "), F.col("_day").cast("string"))))
+    ).cast("array<double>")
     values = F.expr(f"array({', '.join(f'_v{h}' for h in range(24))})")
-    days = days.select(
-        *keys, "_day", F.when(F.col("_rows") > F.bit_count("_seen"), repeated.cast("array<double>")).otherwise(values).alias("_values"),
-    )
+    days = days.select(*keys, "_day", "_lo", "_hi", F.coalesce(at_fault, values).alias("_values"))
+    series = Window.partitionBy(*keys)
     if span == "series":
-        spans = df.groupBy(*keys).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
-    elif span == "table":
-        bounds = df.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi")).alias("b")).scalar()
-        spans = df.select(*keys).distinct().withColumn("_b", bounds).select(
-            *keys, F.col("_b.lo").alias("_first"), F.col("_b.hi").alias("_last")
-        )
+        first, last = F.min("_lo").over(series), F.max("_hi").over(series)
     else:
-        raise ValueError(f"span must be 'series' or 'table', not {span!r}")
-    calendar = spans.withColumn(
-        "_day", F.explode(F.sequence(F.to_date("_first"), F.to_date("_last"), F.expr("interval 1 day")))
-    )
+        first, last = df.agg(F.min(time)).scalar(), df.agg(F.max(time)).scalar()
+    by_day = series.orderBy("_day")
+    bounded = days.withColumns({
+        "_first": first, "_last": last, "_before": F.lag("_day").over(by_day), "_next": F.lead("_day").over(by_day),
+    })
+    one = F.expr("interval 1 day")
+    start = F.when(F.col("_before").isNull(), F.to_date("_first")).otherwise(F.col("_day"))
+    end = F.when(F.col("_next").isNull(), F.to_date("_last")).otherwise(F.date_sub("_next", 1))
     empty_day = F.array_repeat(F.lit(None).cast("double"), 24)
     filled = F.col("_value") if fill is None else F.coalesce("_value", F.lit(fill))
+    extra = [F.col("_value").isNotNull().alias(observed)] if observed else []
     return (
-        calendar.join(days, [*keys, "_day"], "left")
-        .select(*keys, "_first", "_last", "_day", F.posexplode(F.coalesce("_values", empty_day)).alias("_hour", "_value"))
-        .withColumn(time, add_hours(F.col("_day").cast("timestamp_ntz"), "_hour"))
+        bounded.withColumn("_date", F.explode(F.sequence(start, end, one)))
+        .withColumn("_hours", F.when(F.col("_date") == F.col("_day"), F.col("_values")).otherwise(empty_day))
+        .select(*keys, "_first", "_last", "_date", F.posexplode("_hours").alias("_hour", "_value"))
+        .withColumn(time, add_hours(F.col("_date").cast("timestamp_ntz"), "_hour"))
         .filter(F.col(time).between(F.col("_first"), F.col("_last")))
-        .select(*keys, time, filled.alias(value))
+        .select(*keys, time, filled.alias(value), *extra)
     )

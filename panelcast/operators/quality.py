@@ -71,6 +71,9 @@ def panel_suite(df: DataFrame) -> list[Expectation]:
     return [r for r in rules if r.schema_ok is not None or r.column in df.columns]
 
 
+REPORT = "check string, column string, ok boolean, bad_count bigint, rows_checked bigint"
+
+
 def validate(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     """One row (check, column, ok, bad_count, rows_checked) per rule, from one aggregate over the table."""
     def bad(rule: Expectation) -> Column:
@@ -106,18 +109,29 @@ def quarantine(df: DataFrame, suite: list[Expectation]) -> tuple[DataFrame, Data
     return df.filter(~failing), df.filter(failing)
 
 
-def enforce(df: DataFrame, suite: list[Expectation], policy: str = "fail") -> DataFrame:
+def enforce(
+    df: DataFrame, suite: list[Expectation], policy: str = "fail", rejected: str | None = None, report: str | None = None,
+) -> DataFrame:
     """Apply a policy: ``fail`` raises, ``warn`` passes all rows on, ``quarantine`` keeps the good rows.
 
-    Only the report, one row per rule, comes to the driver.
+    ``report`` is a table that the report of every run is appended to; ``warn`` needs it. Rows that
+    ``quarantine`` takes out are appended to the table ``rejected``, which it needs; a rule about the
+    schema can't be met by taking rows out and raises. Only the report, one row per rule, comes to
+    the driver.
     """
-    if policy == "warn":
-        return df
-    if policy == "quarantine":
-        return quarantine(df, suite)[0]
-    if policy != "fail":
+    if policy not in ("fail", "warn", "quarantine"):
         raise ValueError(f"unknown policy {policy!r}")
-    broken = [f"{r['check']}({r['column']}): {r['bad_count']}" for r in validate(df, suite).collect() if not r["ok"]]
+    if policy == "quarantine" and rejected is None or policy == "warn" and report is None:
+        raise ValueError(f"policy {policy!r} needs a table for what it finds")
+    rows = validate(df, suite).collect()
+    if report is not None:
+        found = df.sparkSession.createDataFrame(rows, REPORT).withColumn("checked_at", F.current_timestamp())
+        found.coalesce(1).write.mode("append").parquet(report)
+    broken = [r for r, rule in zip(rows, suite) if not r["ok"] and (policy == "fail" or policy == "quarantine" and rule.failing is None)]
     if broken:
-        raise ValueError("expectations not met: " + "; ".join(broken))
+        raise ValueError("expectations not met: " + "; ".join(f"{r['check']}({r['column']}): {r['bad_count']}" for r in broken))
+    if policy == "quarantine" and any(not r["ok"] for r in rows):
+        good, bad = quarantine(df, suite)
+        bad.write.mode("append").parquet(rejected)
+        return good
     return df

@@ -37,9 +37,13 @@ def look_back(
     df: DataFrame, columns: dict[str, Column], halo: int, keys=KEYS, time: str = TIME,
     bucket_hours: int = BUCKET_HOURS,
 ) -> DataFrame:
-    """Add window columns that look at most ``halo`` hours back."""
+    """Add window columns that look at most ``halo`` hours back.
+
+    The rows are dealt by series *and* bucket even when they are already together by series, or a
+    long series would stay in one task.
+    """
     return (
-        bucketed(df, halo, time, bucket_hours).withColumns(columns)
+        bucketed(df, halo, time, bucket_hours).repartition(*keys, "_bucket").withColumns(columns)
         .filter(~F.col("_halo")).drop("_hour", "_bucket", "_halo")
     )
 

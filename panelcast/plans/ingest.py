@@ -41,13 +41,18 @@ def run_ingest(
     days_delay: int = DAYS_DELAY, days_export: int = DAYS_EXPORT, version: int = 1, source: str = "landed",
     dataset_start: datetime = DATASET_START, dataset_end: datetime = DATASET_END, policy: str = "fail",
 ) -> DataFrame:
-    """Window, completeness, clean, validate, upsert; returns the run's record."""
+    """Window, completeness, clean, validate, upsert; returns the run's record.
+
+    The validation report is kept in ``validation``, rows that a quarantine takes out in ``rejected``.
+    """
     start, end = export_window(reference, days_delay, days_export, dataset_start, dataset_end)
     records = in_window(raw, start, end).persist()
     try:
         require_complete(records, days_export, "HourUTC")
         panel = records.transform(clean).select(*PANEL.names)
-        upsert(spark, table_path(root, version), enforce(panel, panel_suite(panel), policy))
+        base = root.rstrip("/")
+        checked = enforce(panel, panel_suite(panel), policy, f"{base}/rejected", f"{base}/validation")
+        upsert(spark, table_path(root, version), checked)
         run = export_metadata(records, start, end, source, days_delay, days_export, "HourUTC", RAW_TIME_FORMAT)
         record_run(run.withColumn("feature_group_version", F.lit(version)), root, "feature")
     finally:

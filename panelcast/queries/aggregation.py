@@ -24,7 +24,7 @@ INDEXED = "indexed as (select d.*, date_diff('hour', lo, datetime_utc) as i from
 SEASON_TRIALS = f"""trials as (
   select s.config_id, s.season, f.fold, abs(a.energy_consumption - b.energy_consumption)
          / greatest(abs(a.energy_consumption), 2.220446049250313e-16) as ape
-  from folds f join indexed a on a.i >= f.train_end and a.i < f.test_end and a.energy_consumption > 0
+  from folds f join indexed a on a.i >= f.train_end and a.i < f.test_end and a.observed
   cross join (values (0, 24), (1, 48), (2, 168)) s(config_id, season)
   join indexed b on b.area = a.area and b.consumer_type = a.consumer_type and b.i = a.i - s.season),
 results as (select config_id, season, fold, avg(ape) as "MAPE" from trials group by 1, 2, 3),

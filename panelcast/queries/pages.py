@@ -28,7 +28,7 @@ CACHE = """cache as (
 # Observations of the last 36 hours, restricted to the span of the cache.
 SCORED = """scored as (
   select t.area, t.consumer_type, t.datetime_utc, t.energy_consumption as y, c.energy_consumption as p
-  from truth t join cache c using (area, consumer_type, datetime_utc) where t.energy_consumption > 0)"""
+  from truth t join cache c using (area, consumer_type, datetime_utc))"""
 CACHE_PARTS = (CACHED, NEW, MERGED, CACHE)
 
 

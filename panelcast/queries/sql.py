@@ -26,7 +26,8 @@ SPAN = "span as (select min(datetime_utc) as lo, max(datetime_utc) as hi from pa
 DENSE = """hours as (
   select unnest(generate_series(lo, hi, interval 1 hour)) as datetime_utc from span),
 dense as (
-  select k.area, k.consumer_type, h.datetime_utc, coalesce(p.energy_consumption, 0.0) as energy_consumption
+  select k.area, k.consumer_type, h.datetime_utc, coalesce(p.energy_consumption, 0.0) as energy_consumption,
+         p.energy_consumption is not null as observed
   from (select distinct area, consumer_type from panel) k cross join hours h
   left join panel p on p.area = k.area and p.consumer_type = k.consumer_type and p.datetime_utc = h.datetime_utc)"""
 
@@ -53,7 +54,7 @@ PAIRS = """pairs as (
   select t.area, t.consumer_type, t.datetime_utc, t.energy_consumption as y, e.energy_consumption as p
   from dense t join dense e on e.area = t.area and e.consumer_type = t.consumer_type
        and e.datetime_utc = t.datetime_utc - interval 24 hour, span
-  where t.datetime_utc > hi - interval 24 hour and t.energy_consumption > 0)"""
+  where t.datetime_utc > hi - interval 24 hour and t.observed)"""
 
 APE = "abs(y - p) / greatest(abs(y), 2.220446049250313e-16)"
 BASE = (PANEL, SPAN, DENSE)

@@ -13,6 +13,7 @@ from panelcast.queries.aggregation import FOLDS, INDEXED
 from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import RAW, ctes, dense_sql, panel_sql
 from panelcast.queries.storage import landed_payloads
+from panelcast.schemas import OBSERVED
 from panelcast.sources.landed import read_payloads
 
 OVER = "over (partition by area, consumer_type order by datetime_utc"
@@ -61,7 +62,7 @@ select * from (
            {OVER} rows between 72 preceding and 1 preceding) as history,
          row_number() {OVER}) as r from dense) where r > 72""").replace("select * from (\n  select", "select * exclude (r) from (\n  select"))
 def f04(spark, sf_dir):
-    full = ts.full_history(ts.history(fixtures.dense(spark, sf_dir)))
+    full = ts.full_history(ts.history(fixtures.dense(spark, sf_dir).drop(OBSERVED)))
     money = F.transform("history", lambda x: x.cast("decimal(18,2)").cast("string"))
     return full.withColumn("history", F.array_join(money, ","))
 
@@ -84,7 +85,7 @@ select f.fold, case when i < f.train_end then 'train' else 'test' end as split,
        x.area, x.consumer_type, x.datetime_utc, x.energy_consumption
 from indexed x join folds f on x.i < f.test_end""", FOLDS, INDEXED))
 def f07(spark, sf_dir):
-    return ts.label_folds(fixtures.dense(spark, sf_dir))
+    return ts.label_folds(fixtures.dense(spark, sf_dir).drop(OBSERVED))
 
 
 @query("f07b_fold_bounds", dense_sql("select fold, lo as origin, train_end, test_end from folds, span", FOLDS))
@@ -152,5 +153,5 @@ union all
 select area, consumer_type, datetime_utc + interval 24 hour, energy_consumption, 'y_pred'
 from dense, span where datetime_utc > hi - interval 48 hour and datetime_utc <= hi - interval 24 hour"""))
 def h02(spark, sf_dir):
-    train, test = split(fixtures.dense(spark, sf_dir))
+    train, test = split(fixtures.dense(spark, sf_dir).drop(OBSERVED))
     return label_splits({"y_train": train, "y_test": test, "y_pred": ts.seasonal_naive(train)})

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 KEYS = ("area", "consumer_type")
 TIME = "datetime_utc"
 VALUE = "energy_consumption"
+# In a gap-filled panel: whether the hour had a row.
+OBSERVED = "observed"
 ROW_KEYS = (*KEYS, TIME)
 
 # Fixed values -----------------------------------------------------------------------------

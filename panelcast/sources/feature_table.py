@@ -24,14 +24,26 @@ def _with_day(schema: T.StructType) -> T.StructType:
 
 
 def latest_by_key(df: DataFrame, on=ROW_KEYS, order: str | None = None) -> DataFrame:
-    """One row per key: the one with the greatest ``order``, or the greatest values when equal."""
-    rest = [c for c in df.columns if c not in on]
-    if len(rest) == 1 and order is None:
-        return df.groupBy(*on).agg(F.max(rest[0]).alias(rest[0])).select(*df.columns)
-    ranked = F.struct(*([order] if order else []), *[c for c in rest if c != order])
-    return df.groupBy(*on).agg(F.max(ranked).alias("_row")).select(
-        *[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in df.columns]
+    """One row per key: the one that landed last by ``order``.
+
+    Without an order, or with equal ones, rows of a key must be equal: which of two different values
+    is the correction cannot be told, and the job fails rather than choose.
+    """
+    rest = [c for c in df.columns if c not in on and c != order]
+    row = F.struct(*rest)
+    if order is None:
+        low, high = F.min(row), F.max(row)
+    else:
+        numeric = isinstance(df.schema[order].dataType, T.NumericType)
+        at = F.coalesce((F.col(order) if numeric else F.col(order).cast("timestamp")).cast("double"), F.lit(float("-inf")))
+        low = F.min(F.struct((-at).alias("o"), row.alias("r")))["r"]
+        high = F.max(F.struct(at.alias("o"), row.alias("r")))["r"]
+    text = F.concat(F.lit("different rows for one key landed together: "), *[F.concat(F.col(c).cast("string"), F.lit(" ")) for c in on])
+    chosen = df.groupBy(*on).agg(low.alias("_low"), high.alias("_row")).withColumn(
+        "_row", F.when(F.col("_low").eqNullSafe(F.col("_row")), F.col("_row")).otherwise(F.raise_error(text).cast(df.select(*rest).schema))
     )
+    columns = [c for c in df.columns if c != order]
+    return chosen.select(*[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in columns])
 
 
 def _by_day(df: DataFrame) -> DataFrame:
@@ -53,14 +65,17 @@ def merge_rows(stored: DataFrame, incoming: DataFrame, on=ROW_KEYS) -> DataFrame
     return kept.unionByName(incoming)
 
 
-def upsert(spark: SparkSession, path: str, incoming: DataFrame, schema: T.StructType = PANEL) -> None:
-    """Insert or replace rows by series and hour.
+def upsert(
+    spark: SparkSession, path: str, incoming: DataFrame, schema: T.StructType = PANEL, order: str | None = None,
+) -> None:
+    """Insert or replace rows by series and hour; ``order`` is the column that says which row of a key landed last.
 
     Only the days present in the batch are read and rewritten. The merged days are written to the
     shared scratch folder first: no file is overwritten while a task may still read it, and a run
     that stops while publishing can be repeated.
     """
-    batch = latest_by_key(incoming.select(*schema.names)).withColumn(DAY, F.to_date(TIME))
+    rows = incoming.select(*schema.names, *([order] if order else []))
+    batch = latest_by_key(rows, order=order).withColumn(DAY, F.to_date(TIME))
     if not has_data(spark, path):
         _write_days(_by_day(batch), path)
         return
@@ -75,6 +90,7 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, schema: T.Struct
         batch.unpersist()
     # The staged files are laid out already, so publishing copies them without a shuffle.
     _write_days(spark.read.schema(_with_day(schema)).parquet(staged), path)
+    remove(spark, staged)
 
 
 def touched_days(

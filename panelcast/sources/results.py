@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from panelcast.functions.hours import epoch_hour, from_epoch_hour
 from panelcast.schemas import TIME
 from panelcast.session import scratch_path
-from panelcast.sources.paths import has_data
+from panelcast.sources.paths import has_data, remove
 
 
 def encode_hours(df: DataFrame, time: str = TIME) -> DataFrame:
@@ -36,6 +36,7 @@ def replace_self(spark: SparkSession, df: DataFrame, path: str) -> None:
     staged = scratch_path(spark, "publish")
     df.write.parquet(staged)
     spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    remove(spark, staged)
 
 
 def read_published(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:

@@ -34,15 +34,19 @@ def landed_stream(
 
 def start_ingest(
     spark: SparkSession, landing: str, table: str, checkpoint: str, schema: StructType = RAW,
-    files_per_batch: int | None = None, policy: str = "fail",
+    files_per_batch: int | None = None, policy: str = "fail", rejected: str | None = None, report: str | None = None,
 ) -> StreamingQuery:
     """Clean, validate and upsert each new set of landed files.
 
-    The upsert is keyed, so a batch that is replayed after a failure changes nothing.
+    The upsert is keyed, so a batch that is replayed after a failure changes nothing. The batch is
+    read and cleaned once; ``rejected`` and ``report`` are the tables of ``enforce``.
     """
     def write(batch: DataFrame, _: int) -> None:
-        panel = batch.transform(clean).select(*PANEL.names)
-        upsert(batch.sparkSession, table, enforce(panel, panel_suite(panel), policy))
+        panel = batch.transform(clean).select(*PANEL.names).persist()
+        try:
+            upsert(batch.sparkSession, table, enforce(panel, panel_suite(panel), policy, rejected, report))
+        finally:
+            panel.unpersist()
 
     stream = landed_stream(spark, landing, schema, files_per_batch=files_per_batch)
     return (
@@ -93,7 +97,7 @@ def matched_errors(
     """
     left = unique_rows(forecasts.select(*on, F.col(value).alias("p")), on, delay, time)
     right = unique_rows(truth.select(*on, F.col(value).alias("y")), on, delay, time)
-    return left.join(right, list(on)).filter(F.col("y") > 0).select(
+    return left.join(right, list(on)).filter(F.col("y").isNotNull()).select(
         F.col(time).cast("timestamp_ntz").alias(time), absolute_percentage_error("y", "p").alias("ape")
     )
 

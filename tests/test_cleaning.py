@@ -90,12 +90,23 @@ def test_column_rules(make_panel):
     assert failing(panel.withColumn("extra", F.lit(1))) == {ordered, ("column_count", "*")}
 
 
-def test_policies(make_panel):
+def test_policies(spark, make_panel, tmp_path):
     panel = make_panel({(0, 111): [(0, 1.0), (1, -1.0)]})
     suite = quality.panel_suite(panel)
+    rejected, report = str(tmp_path / "rejected"), str(tmp_path / "report")
     with pytest.raises(ValueError, match="at_least"):
-        quality.enforce(panel, suite)
-    assert quality.enforce(panel, suite, "warn").count() == 2
-    assert quality.enforce(panel, suite, "quarantine").count() == 1
+        quality.enforce(panel, suite, report=report)
+    assert quality.enforce(panel, suite, "warn", report=report).count() == 2
+    good = quality.enforce(panel, suite, "quarantine", rejected, report)
+    assert [r.energy_consumption for r in good.collect()] == [1.0]
+    assert [r.energy_consumption for r in spark.read.parquet(rejected).collect()] == [-1.0]
+    stored = spark.read.parquet(report).where("check = 'at_least'").collect()
+    assert [(r.ok, r.bad_count, r.rows_checked) for r in stored] == [(False, 1, 2)] * 3
+    for policy in ("warn", "quarantine"):  # nothing may go unrecorded
+        with pytest.raises(ValueError, match="needs a table"):
+            quality.enforce(panel, suite, policy)
+    extra = panel.withColumn("more", panel.area)
+    with pytest.raises(ValueError, match="column"):
+        quality.enforce(extra, quality.panel_suite(extra), "quarantine", rejected)
     with pytest.raises(ValueError):
         quality.enforce(panel, suite, "other")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.operators import forecast as fc, hooks
+from panelcast.operators import forecast as fc, hooks, joins
 from panelcast.operators.aggregates import score
 from panelcast.plans import monitoring, pages, prediction, training
 from panelcast.schemas import FORECAST, METRICS, VALUE
@@ -188,3 +188,17 @@ def test_user_metric_and_forecaster(spark, panel):
     assert df.agg(F.avg(error)).first()[0] == pytest.approx(0.1)
     last = hooks.forecast_each(panel, lambda rows: rows.tail(1), history_hours=5)
     assert last.count() == 3
+
+
+def test_zero_and_negative_observations_are_scored(make_panel):
+    rows = {(0, 111): [(h, 5.0 if h < 48 else (5.0, 0.0, -3.0)[h % 3]) for h in range(72)]}
+    train, test = training.split(make_panel(rows))
+    assert training.baseline_pairs(train, test).count() == 24
+    trials = training.season_trials(make_panel({(0, 111): [(h, float(h % 5 - 2)) for h in range(24 * 30)]}), (24,))
+    assert trials.count() == 3 and trials.where("MAPE is null").count() == 0
+
+
+def test_filled_hours_are_not_scored(make_panel):
+    sparse = make_panel({(0, 111): [(h, 5.0) for h in range(72) if h != 60]})
+    train, test = training.split(joins.fill_hours(sparse, fill=0.0, observed="observed"))
+    assert training.baseline_pairs(train, test).count() == 23

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import aggregates, joins, timeseries as ts
 from panelcast.functions.hours import day_of_week, hour_of_day
+from panelcast.plans.training import split
 from panelcast.schemas import EPSILON
 
 
@@ -178,3 +179,30 @@ def test_series_by_split(make_panel):
     labelled = aggregates.label_splits({"y_train": train, "y_test": test})
     row = aggregates.series_by_split(labelled, ("y_train", "y_test")).first()
     assert row["y_train"] == [1.0, 2.0] and row["y_test"] == [3.0]
+
+
+def test_fill_hours_flags_observations_and_refuses_other_times(spark, make_panel, hour):
+    panel = make_panel({(0, 111): [(3, 0.0), (50, -2.0)], (1, 112): [(5, 1.0)]})
+    filled = joins.fill_hours(panel, fill=0.0, span="table", observed="observed")
+    assert filled.count() == 96
+    seen = {(r.area, r.datetime_utc): r.energy_consumption for r in filled.where("observed").collect()}
+    assert seen == {(0, hour(3)): 0.0, (0, hour(50)): -2.0, (1, hour(5)): 1.0}
+    late = panel.withColumn("datetime_utc", F.timestamp_add("MINUTE", F.lit(30), "datetime_utc"))
+    with pytest.raises(Exception, match="not on a full hour"):
+        joins.fill_hours(late).collect()
+    assert joins.fill_hours(panel.limit(0), span="table").count() == 0
+
+
+def test_gap_filling_reads_its_input_once(make_panel):
+    panel = make_panel({(0, 111): [(3, 0.0), (50, -2.0)]})
+    plan = joins.fill_hours(panel)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan ExistingRDD") <= 2  # initial and final plan of one scan
+
+
+def test_a_long_series_is_dealt_by_bucket_after_a_split(make_panel):
+    """Also where the rows are together by series already."""
+    panel = make_panel({(0, 111): [(h, 1.0) for h in range(100)]})
+    train = split(panel)[0].repartition("area", "consumer_type")
+    plan = ts.history(train, length=3)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("_bucket" in line for line in exchanges)

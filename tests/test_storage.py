@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +133,31 @@ def test_ingest_job(spark, hour):
         run_ingest(spark, raw_rows(spark, range(30), hour), root, hour(24 * 4), **options)
     with pytest.raises(ValueError, match="at_least"):
         run_ingest(spark, raw_rows(spark, range(24 * 6), hour, -1.0), root, hour(24 * 4), **options)
+
+
+def test_the_row_that_landed_last_wins_even_if_it_lowers_a_value(spark, make_panel, tmp_path):
+    path = str(tmp_path / "table")
+    batch = make_panel({(0, 111): [(0, 9.0), (1, 5.0)]}).withColumn("landed", F.lit(1))
+    correction = make_panel({(0, 111): [(0, 4.0)]}).withColumn("landed", F.lit(2))
+    for _ in range(2):
+        feature_table.upsert(spark, path, batch.union(correction), order="landed")
+        got = feature_table.read_table(spark, path).orderBy("datetime_utc").collect()
+        assert [r.energy_consumption for r in got] == [4.0, 5.0]
+
+
+def test_different_rows_for_one_key_without_an_order_fail(spark, make_panel, tmp_path):
+    twice = make_panel({(0, 111): [(0, 9.0)]}).union(make_panel({(0, 111): [(0, 4.0)]}))
+    with pytest.raises(Exception, match="different rows for one key"):
+        feature_table.upsert(spark, str(tmp_path / "table"), twice)
+    same = make_panel({(0, 111): [(0, 9.0)]})
+    assert feature_table.latest_by_key(same.union(same)).count() == 1
+
+
+def test_staged_copies_are_removed(spark, make_panel, tmp_path):
+    folder = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    listed = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before, path = listed(), str(tmp_path / "table")
+    for value in (1.0, 2.0):
+        feature_table.upsert(spark, path, make_panel({(0, 111): [(0, value)]}))
+    results.replace_self(spark, make_panel({(0, 111): [(0, 1.0)]}), str(tmp_path / "cache"))
+    assert listed() == before
