@@ -24,8 +24,13 @@ def depth_of(lags, means, stds) -> int:
     return max([*lags, *[s + n - 1 for s, n in (*means, *stds)]])
 
 
-def vector_size(lags, means, stds) -> int:
-    return len(lags) + len(means) + len(stds) + len(CALENDAR) + len(KEY_FEATURES)
+def other_features(config: dict) -> list[str]:
+    """The calendar and key features of a configuration; both are on unless it says otherwise."""
+    return [*(CALENDAR if config.get("calendar", True) else ()), *(KEY_FEATURES if config.get("keys", True) else ())]
+
+
+def vector_size(lags, means, stds, others=(*CALENDAR, *KEY_FEATURES)) -> int:
+    return len(lags) + len(means) + len(stds) + len(others)
 
 
 def hours_of(past: Column, shift: int, length: int) -> Column:
@@ -110,17 +115,19 @@ class FeatureVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """
 
     size = Param(Params._dummy(), "size", "length of the vector")
+    others = Param(Params._dummy(), "others", "columns after the windows")
 
     @keyword_only
-    def __init__(self, size=0):
+    def __init__(self, size=0, others=(*CALENDAR, *KEY_FEATURES)):
         super().__init__()
-        self._set(size=size)
+        self._set(size=size, others=list(others))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        vectors = dataset.withColumn("features", feature_vector()).drop("window")
+        vectors = dataset.withColumn("features", feature_vector(self.getOrDefault("others"))).drop("window")
         return vectors.withMetadata("features", {"ml_attr": {"num_attrs": self.getOrDefault("size")}})
 
 
-def feature_vector() -> Column:
-    others = [F.col(c).cast("double") for c in (*CALENDAR, *KEY_FEATURES)]
-    return array_to_vector(F.concat(F.col("window"), F.array(*others)))
+def feature_vector(others=(*CALENDAR, *KEY_FEATURES)) -> Column:
+    if not others:
+        return array_to_vector(F.col("window"))
+    return array_to_vector(F.concat(F.col("window"), F.array(*[F.col(c).cast("double") for c in others])))

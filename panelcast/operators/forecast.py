@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from itertools import product
 from multiprocessing.pool import ThreadPool
 from time import perf_counter
@@ -20,7 +21,7 @@ from panelcast.operators.aggregates import mean_over_folds, score
 from panelcast.operators.clean import AttachKeys
 from panelcast.operators.features import (
     CALENDAR, KEY_FEATURES, CalendarFeatures, FeatureVector, WindowFeatures, depth_of, feature_vector,
-    vector_size, window_values,
+    other_features, vector_size, window_values,
 )
 from panelcast.operators.joins import pair
 from panelcast.operators.timeseries import LAGS, MEAN_WINDOWS, STD_WINDOWS, fold_bounds
@@ -51,30 +52,59 @@ ROUNDS_PER_CHECKPOINT = 8
 
 # --- model ------------------------------------------------------------------------------------
 
+# Names a configuration may have.
+SETTINGS = frozenset({
+    "config_id", "lag", "mean", "std", "calendar", "keys", "learner", "reg_lambda", "smallest_ridge",
+    "n_estimators", "learning_rate", "max_depth", "deepest", "seed",
+})
+
+
+def checked(config: dict | None) -> dict:
+    """A configuration without names that would be ignored."""
+    unknown = set(config or {}) - SETTINGS
+    if unknown:
+        raise ValueError(f"unknown settings {sorted(unknown)}")
+    return dict(config or {})
+
+
+def effective(config: dict) -> dict:
+    """What the learner really gets: the ridge or depth that stands for "none" is stated here."""
+    if config.get("learner", "linear") == "linear":
+        return {"reg_lambda": max(float(config.get("reg_lambda", 0.0)), float(config.get("smallest_ridge", SMALLEST_RIDGE)))}
+    depth = int(config.get("max_depth", -1))
+    return {
+        "n_estimators": int(config.get("n_estimators", 20)), "learning_rate": float(config.get("learning_rate", 0.1)),
+        "max_depth": depth if depth > 0 else int(config.get("deepest", DEEPEST_TREE)),
+    }
+
+
 def regressor(config: dict):
     """The learner of a configuration: ``linear`` (default) or ``trees``."""
     columns = {"featuresCol": "features", "labelCol": VALUE, "predictionCol": "prediction"}
-    learner = config.get("learner", "linear")
+    learner, used = checked(config).get("learner", "linear"), effective(config)
     if learner == "linear":
-        ridge = max(float(config.get("reg_lambda", 0.0)), SMALLEST_RIDGE)
-        return LinearRegression(regParam=ridge, solver="normal", **columns)
+        return LinearRegression(regParam=used["reg_lambda"], solver="normal", **columns)
     if learner != "trees":
         raise ValueError(f"unknown learner {learner!r}")
-    depth = int(config.get("max_depth", -1))
     return GBTRegressor(
-        maxIter=int(config.get("n_estimators", 20)), stepSize=float(config.get("learning_rate", 0.1)),
-        maxDepth=depth if depth > 0 else DEEPEST_TREE, seed=int(config.get("seed", 7)), **columns,
+        maxIter=used["n_estimators"], stepSize=used["learning_rate"], maxDepth=used["max_depth"],
+        seed=int(config.get("seed", 7)), **columns,
     )
 
 
+def feature_settings(config: dict) -> tuple[list, list, list]:
+    """(lags, means, stds) of a configuration."""
+    windows = config.get("lag", LAGS), config.get("mean", MEAN_WINDOWS), config.get("std", STD_WINDOWS)
+    return list(windows[0]), [list(w) for w in windows[1]], [list(w) for w in windows[2]]
+
+
 def build_forecaster(config: dict | None = None) -> Pipeline:
     """Keys as features, calendar, look-back windows, vector, pooled regressor."""
-    config = config or {}
-    windows = WindowFeatures(
-        lags=config.get("lag", LAGS), means=config.get("mean", MEAN_WINDOWS), stds=config.get("std", STD_WINDOWS),
-    )
-    vector = FeatureVector(size=vector_size(*windows.settings()))
-    return Pipeline(stages=[AttachKeys(), CalendarFeatures(), windows, vector, regressor(config)])
+    config = checked(config)
+    lags, means, stds = feature_settings(config)
+    others = other_features(config)
+    vector = FeatureVector(size=vector_size(lags, means, stds, others), others=others)
+    return Pipeline(stages=[AttachKeys(), CalendarFeatures(), WindowFeatures(lags=lags, means=means, stds=stds), vector, regressor(config)])
 
 
 def features_of(panel: DataFrame, config: dict | None = None) -> DataFrame:
@@ -101,6 +131,11 @@ def window_settings(model: PipelineModel) -> tuple[list, list, list]:
     return next(s for s in model.stages if isinstance(s, WindowFeatures)).settings()
 
 
+def others_of(model: PipelineModel) -> list[str]:
+    stage = next(s for s in model.stages if isinstance(s, FeatureVector))
+    return list(stage.getOrDefault("others"))
+
+
 # --- history ----------------------------------------------------------------------------------
 
 def latest_history(
@@ -160,7 +195,7 @@ def _as_history(listed: DataFrame, length: int, keys, fill: str | None) -> DataF
 
 # --- recursive forecast -----------------------------------------------------------------------
 
-def linear_weights(coefficients, intercept: float, settings) -> dict:
+def linear_weights(coefficients, intercept: float, settings, others=(*CALENDAR, *KEY_FEATURES)) -> dict:
     """Coefficients of a fitted linear model, arranged for the recursion.
 
     A rolling mean is itself a weighted sum of lags, so its coefficient is spread over the lags and
@@ -177,15 +212,16 @@ def linear_weights(coefficients, intercept: float, settings) -> dict:
         for k in range(shift, shift + length):
             by_lag[k] += weight / length
     rest = rest[len(means):]
+    given = dict(zip(others, rest[len(stds):]))
     return {
-        "lag": by_lag[:0:-1], "std": rest[: len(stds)], "calendar": rest[len(stds): len(stds) + len(CALENDAR)],
-        "key": rest[len(stds) + len(CALENDAR):], "intercept": float(intercept),
+        "lag": by_lag[:0:-1], "std": rest[: len(stds)], "calendar": [given.get(c, 0.0) for c in CALENDAR],
+        "key": [given.get(c, 0.0) for c in KEY_FEATURES], "intercept": float(intercept),
     }
 
 
 def weights_of(model: PipelineModel) -> dict:
     fitted = model.stages[-1]
-    return linear_weights(fitted.coefficients, fitted.intercept, window_settings(model))
+    return linear_weights(fitted.coefficients, fitted.intercept, window_settings(model), others_of(model))
 
 
 def literal_weights(weights: dict) -> dict[str, Column]:
@@ -249,14 +285,15 @@ def forecast_with(
     return linear_forecast(held, weights, stds, horizon, keys).drop("_weights")
 
 
-def tree_forecast(state: DataFrame, model: PipelineModel, horizon: int = HORIZON) -> DataFrame:
+def tree_forecast(
+    state: DataFrame, learner, settings, horizon: int = HORIZON, others=(*CALENDAR, *KEY_FEATURES),
+) -> DataFrame:
     """``linear_forecast`` for any Spark ML regressor: one transform per step over the series table.
 
     The history travels in the row, so a step shuffles nothing. Reliable checkpoints keep the plan
     short.
     """
     spark = state.sparkSession
-    settings, learner = window_settings(model), model.stages[-1]
     if horizon > ROUNDS_PER_CHECKPOINT:
         ensure_checkpoints(spark)
     # Filtered once, before the recursion: a later filter would pull every step's prediction into it.
@@ -268,7 +305,7 @@ def tree_forecast(state: DataFrame, model: PipelineModel, horizon: int = HORIZON
         ready = grown.withColumns({
             "window": window,
             CALENDAR[0]: day_of_week(at), CALENDAR[1]: hour_of_day(at),
-        }).withColumn("features", feature_vector())
+        }).withColumn("features", feature_vector(others))
         grown = (
             learner.transform(ready)
             .withColumn("history", F.concat("history", F.array("prediction")))
@@ -307,7 +344,7 @@ def forecast(
     if isinstance(model.stages[-1], _linear_model_type()):
         done = linear_forecast(state, literal_weights(weights_of(model)), settings[2], horizon)
     else:
-        done = tree_forecast(state, model, horizon)
+        done = tree_forecast(state, model.stages[-1], settings, horizon, others_of(model))
     return as_rows(done, horizon)
 
 
@@ -363,66 +400,83 @@ def trial_plan(labelled: DataFrame, parameters: dict[str, list] = GRID) -> DataF
     return expand_grid(sizes, parameters)
 
 
-FOLD_RESULTS = "config_id int, fold int, reg_lambda double, fit_time double, lag array<double>, std array<double>, " \
-    "calendar array<double>, key array<double>, intercept double"
+FOLD_WEIGHTS = "config_id int, fold int, lag array<double>, std array<double>, calendar array<double>, " \
+    "key array<double>, intercept double"
+FOLD_RESULTS = "config_id int, fold int, config string, MAPE double, fit_time double, prediction_time double"
 
 
 def cross_validate(
     panel: DataFrame, configs: list[dict], horizon: int = HORIZON, k: int = 3, parallel_trials: int = 4,
     std=GRID_STD_WINDOWS, keep_features: bool = True,
 ) -> DataFrame:
-    """Fold results (config_id, fold, reg_lambda, MAPE, fit_time, prediction_time) of linear trials.
-
-    The feature rows, some 700 bytes each, are kept and shared by all trials; with
-    ``keep_features=False`` only the panel is kept and each trial makes its own, for training tables
-    whose features do not fit the cluster's memory and local disks. Each trial is a Spark job on the rows before its fold's
-    cut; the fitted coefficients, a few numbers per trial, come back and become a table, so the
-    forecasts of all trials are made and scored in a single plan.
+    """Fold results (config_id, fold, config, MAPE, fit_time, prediction_time) of all trials.
+
+    Every setting of a configuration counts; ``config`` is the whole of it with what the learner really
+    got, as JSON. Configurations with the same features share them: the feature rows, some 700 bytes
+    each, are kept for their trials, or with ``keep_features=False`` made anew by each trial, for
+    training tables whose features do not fit the cluster's memory and local disks. Each trial is a
+    Spark job on the rows before its fold's cut. Linear models come back as a few numbers per trial and
+    are forecast in a single plan; a tree model is forecast by its own trial.
     """
     spark = panel.sparkSession
+    configs = [{"std": std, **checked(c)} for c in configs]
     folds = fold_bounds(panel, horizon, k)
     cuts = [(r["fold"], r["train_end"], r["origin"]) for r in folds.collect()]
-    settings = (list(LAGS), [list(w) for w in MEAN_WINDOWS], [list(w) for w in std])
     kept = panel.select(*KEYS, TIME, VALUE).persist()
-    ready = features_of(kept, {"std": std}).select(TIME, VALUE, "features")
+    truth = observed(panel).select(*KEYS, TIME, F.col(VALUE).alias("y"))
+    alike: dict[str, list[dict]] = {}
+    for config in configs:
+        alike.setdefault(json.dumps([feature_settings(config), other_features(config)]), []).append(config)
+    try:
+        results = [r for group in alike.values() for r in _trials(spark, kept, truth, folds, cuts, group, horizon, parallel_trials, keep_features)]
+    finally:
+        kept.unpersist()
+    return spark.createDataFrame(sorted(results), FOLD_RESULTS)
+
+
+def _trials(spark, panel, truth, folds, cuts, configs: list[dict], horizon, parallel_trials, keep_features) -> list[tuple]:
+    """Trials of configurations that have the same features."""
+    settings, others = feature_settings(configs[0]), other_features(configs[0])
+    ready = features_of(panel, configs[0]).select(TIME, VALUE, "features")
     if keep_features:
         ready = ready.persist()
+    histories = fold_histories(panel, folds, depth_of(*settings))
+
+    def scored(predicted: DataFrame, by) -> list:
+        return score(predicted.withColumnRenamed(VALUE, "p").join(truth, [*KEYS, TIME]), by).collect()
 
     def trial(job) -> tuple:
         config, (fold, train_end, origin) = job
         cut = F.timestamp_add("HOUR", F.lit(train_end).cast("int"), F.lit(str(origin)).cast("timestamp_ntz"))
         began = perf_counter()
-        fitted = regressor({**config, "learner": "linear"}).fit(ready.filter(F.col(TIME) < cut))
+        fitted = regressor(config).fit(ready.filter(F.col(TIME) < cut))
         elapsed = perf_counter() - began
-        w = linear_weights(fitted.coefficients, fitted.intercept, settings)
-        return (
-            config["config_id"], fold, float(config.get("reg_lambda", 0.0)), elapsed,
-            w["lag"], w["std"], w["calendar"], w["key"], w["intercept"],
-        )
+        if isinstance(fitted, _linear_model_type()):
+            w = linear_weights(fitted.coefficients, fitted.intercept, settings, others)
+            return config, fold, elapsed, (w["lag"], w["std"], w["calendar"], w["key"], w["intercept"]), None, None
+        began = perf_counter()
+        done = tree_forecast(histories.filter(F.col("fold") == fold).drop("fold"), fitted, settings, horizon, others)
+        rows = scored(as_rows(done, horizon), ())
+        return config, fold, elapsed, None, rows[0]["MAPE"], perf_counter() - began
 
     try:
         with ThreadPool(parallel_trials) as pool:
-            rows = pool.map(inheritable_thread_target(spark)(trial), list(product(configs, cuts)))
+            done = pool.map(inheritable_thread_target(spark)(trial), list(product(configs, cuts)))
+        lines = [(c["config_id"], fold, *weights) for c, fold, _, weights, _, _ in done if weights]
+        by_trial, each = {}, 0.0
+        if lines:
+            state = histories.join(spark.createDataFrame(lines, FOLD_WEIGHTS), "fold")
+            began = perf_counter()
+            predicted = as_rows(linear_forecast(state, {n: F.col(n) for n in WEIGHTS}, settings[2], horizon), horizon, ("config_id", "fold", *KEYS))
+            by_trial = {(r["config_id"], r["fold"]): r["MAPE"] for r in scored(predicted, ("config_id", "fold"))}
+            each = (perf_counter() - began) / len(lines)
     finally:
         ready.unpersist()
-        kept.unpersist()
-
-    models = spark.createDataFrame(rows, FOLD_RESULTS)
-    state = fold_histories(panel, folds, depth_of(*settings)).join(models, "fold")
-    weights = {n: F.col(n) for n in WEIGHTS}
-    began = perf_counter()
-    predicted = as_rows(linear_forecast(state, weights, std, horizon), horizon, ("config_id", "fold", *KEYS))
-    pairs = predicted.withColumnRenamed(VALUE, "p").join(
-        observed(panel).withColumnRenamed(VALUE, "y"), [*KEYS, TIME]
-    )
-    scored = score(pairs, ("config_id", "fold")).select("config_id", "fold", "MAPE")
-    scored_rows = scored.collect()
-    predict_time = (perf_counter() - began) / max(len(rows), 1)
-    by_trial = {(r["config_id"], r["fold"]): r["MAPE"] for r in scored_rows}
-    results = [(c, f, lam, by_trial.get((c, f)), t, predict_time) for c, f, lam, t, *_ in rows]
-    return spark.createDataFrame(
-        results, "config_id int, fold int, reg_lambda double, MAPE double, fit_time double, prediction_time double"
-    )
+    return [
+        (c["config_id"], fold, json.dumps({**c, **effective(c)}), by_trial.get((c["config_id"], fold), mape), fit_time,
+         each if predict_time is None else predict_time)
+        for c, fold, fit_time, _, mape, predict_time in done
+    ]
 
 
 def validation_summary(results: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,14 +12,12 @@ from panelcast.operators.forecast import (
     cross_validate, evaluate, fit, forecast, grid_configs, observed, validation_summary,
 )
 from panelcast.operators.joins import pair
-from panelcast.operators.timeseries import (
-    append_sorted, label_folds, label_last_hours, lags, seasonal_naive,
-)
+from panelcast.operators.timeseries import label_folds, label_last_hours, lags, seasonal_naive
 from panelcast.schemas import HORIZON, VALUE
 from panelcast.sources.models import register_model
 from panelcast.sources.paths import has_data
 
-BEST_CONFIG = "config_id int, MAPE double, fit_time double, prediction_time double, reg_lambda double"
+BEST_CONFIG = "config_id int, MAPE double, fit_time double, prediction_time double, config string"
 
 
 def split(panel: DataFrame, horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:
@@ -29,12 +29,14 @@ def split(panel: DataFrame, horizon: int = HORIZON) -> tuple[DataFrame, DataFram
 
 
 def search(panel: DataFrame, parameters: dict[str, list], horizon: int = HORIZON, k: int = 3) -> DataFrame:
-    """The best configuration of a grid, as a one-row table."""
-    configs = grid_configs(parameters)
-    results = cross_validate(panel, configs, horizon, k)
-    best = best_config(validation_summary(results))
-    chosen = results.select("config_id", "reg_lambda").distinct()
-    return best.join(chosen, "config_id")
+    """The best configuration of a grid, whole, as a one-row table."""
+    results = cross_validate(panel, grid_configs(parameters), horizon, k)
+    return best_of(results)
+
+
+def best_of(results: DataFrame) -> DataFrame:
+    chosen = results.select("config_id", "config").distinct()
+    return best_config(validation_summary(results)).join(chosen, "config_id")
 
 
 def publish_best(best: DataFrame, root: str) -> None:
@@ -49,6 +51,11 @@ def read_best(spark: SparkSession, root: str, schema: str = BEST_CONFIG) -> Data
     return spark.read.schema(schema).json(path)
 
 
+def published_config(spark: SparkSession, root: str) -> dict:
+    """The settings of the published configuration, as training takes them."""
+    return json.loads(read_best(spark, root).first()["config"])
+
+
 def baseline_pairs(train: DataFrame, test: DataFrame, horizon: int = HORIZON) -> DataFrame:
     return pair(observed(test), seasonal_naive(train, horizon))
 
@@ -67,15 +74,19 @@ def refit_and_forecast(
     train: DataFrame, test: DataFrame, config: dict, horizon: int = HORIZON,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on all hours and forecast the ``horizon`` hours after the test split."""
-    everything = append_sorted(train, test)
+    everything = train.unionByName(test)  # a fit does not depend on the order of rows
     model = fit(everything, config)
-    return model, forecast(model, train.unionByName(test), horizon)
+    return model, forecast(model, everything, horizon)
 
 
 def train_and_register(
-    spark: SparkSession, panel: DataFrame, root: str, config: dict, horizon: int = HORIZON, name: str = "best_model",
+    spark: SparkSession, panel: DataFrame, root: str, config: dict | None = None, horizon: int = HORIZON, name: str = "best_model",
 ) -> int:
-    """Score on the test hours, refit on everything, store as a new version; returns the version."""
+    """Score on the test hours, refit on everything, store as a new version; returns the version.
+
+    Without a configuration, the published one is used.
+    """
+    config = published_config(spark, root) if config is None else config
     train, test = split(panel, horizon)
     scores = score(evaluate(fit(train, config), train, test, horizon))
     final, _ = refit_and_forecast(train, test, config, horizon)

@@ -12,7 +12,9 @@ from panelcast.operators.timeseries import label_folds, lags
 from panelcast.plans import prediction, training
 from panelcast.queries.aggregation import FOLDS, INDEXED, SEASON_TRIALS, SLICES_SQL, season_results, slices
 from panelcast.queries.registry import query, rounded
-from panelcast.queries.sql import dense_sql, panel_sql
+from panelcast.queries.sql import (
+    APE, LAGGED, LINE, LINE_OF_ALL, LINE_OF_TRAIN, LINE_PAIRS, NEXT_FORECAST, PAIRS, TEST_FORECAST, dense_sql, panel_sql,
+)
 from panelcast.queries.timeseries import OVER
 from panelcast.schemas import KEYS, TIME
 from panelcast.session import scratch_path
@@ -46,11 +48,14 @@ def k01(spark, sf_dir):
     return rounded(wide, "mean_24", "mean_72", "std_24", "std_72")
 
 
-@query("k02_pooled_fit")
+@query("k02_pooled_fit", dense_sql("""
+select 0 as feature, round(b, 6) as weight, (select count(*) from dense, span where datetime_utc <= hi - interval 24 hour) as rows_trained from line
+union all
+select -1, round(a, 6), (select count(*) from dense, span where datetime_utc <= hi - interval 24 hour) from line""", LAGGED, LINE_OF_TRAIN))
 def k02(spark, sf_dir):
-    model, train, _ = fitted(spark, sf_dir)
+    model, train, _ = fitted(spark, sf_dir, LINE)
     learner = model.stages[-1]
-    terms = [(i, float(c)) for i, c in enumerate(learner.coefficients)] + [(-1, float(learner.intercept))]
+    terms = [(i, round(float(c), 6)) for i, c in enumerate(learner.coefficients)] + [(-1, round(float(learner.intercept), 6))]
     return spark.createDataFrame(terms, "feature int, weight double").withColumn(
         "rows_trained", train.agg(F.count(F.lit(1))).scalar()
     )
@@ -65,15 +70,19 @@ def k02b(spark, sf_dir):
     return rounded(fc.lag_regression(lagged, "lag_24"), "slope", "intercept")
 
 
-@query("k02c_boosted_trees_fit")
+@query("k02c_boosted_trees_fit", dense_sql("""
+select k.area, k.consumer_type, hi - interval 24 hour + to_hours(cast(s as integer)) as datetime_utc, true as finite
+from (select distinct area, consumer_type from panel) k, span, range(1, 25) t(s)"""))
 def k02c(spark, sf_dir):
+    """Trees have no SQL: it states keys, hours and that all values are finite; a test checks the values."""
     model, train, _ = fitted(spark, sf_dir, {"learner": "trees", "n_estimators": 5, "max_depth": 4})
-    return rounded(fc.forecast(model, train, 6), "energy_consumption")
+    finite = F.col("energy_consumption").isNotNull() & (F.abs("energy_consumption") < float("inf"))
+    return fc.forecast(model, train).select(*KEYS, TIME, F.coalesce(finite, F.lit(False)).alias("finite"))
 
 
-@query("k03_recursive_forecast")
+@query("k03_recursive_forecast", dense_sql(TEST_FORECAST, LAGGED, LINE_OF_TRAIN))
 def k03(spark, sf_dir):
-    model, train, _ = fitted(spark, sf_dir)
+    model, train, _ = fitted(spark, sf_dir, LINE)
     return rounded(fc.forecast(model, train), "energy_consumption")
 
 
@@ -97,9 +106,9 @@ def k03b(spark, sf_dir):
     return rounded(fc.as_rows(done, 72), "energy_consumption")
 
 
-@query("k04_evaluate")
+@query("k04_evaluate", dense_sql(SLICES_SQL[SLICES_SQL.rindex("select area"):SLICES_SQL.rindex("from pairs")].replace("from pairs", "from line_pairs") + "from line_pairs", LAGGED, LINE_OF_TRAIN, LINE_PAIRS))
 def k04(spark, sf_dir):
-    model, train, test = fitted(spark, sf_dir)
+    model, train, test = fitted(spark, sf_dir, LINE)
     return slices(score_slices(fc.evaluate(model, train, test)))
 
 
@@ -109,16 +118,19 @@ def k04b(spark, sf_dir):
     return slices(score_slices(training.baseline_pairs(train, test)))
 
 
-@query("k05_compare_with_baseline")
+@query("k05_compare_with_baseline", dense_sql(f"""
+select 'model' as model, round(sqrt(avg(pow({APE}, 2))), 6) as "RMSPE", round(avg({APE}), 6) as "MAPE" from line_pairs
+union all
+select 'baseline', round(sqrt(avg(pow({APE}, 2))), 6), round(avg({APE}), 6) from pairs""", PAIRS, LAGGED, LINE_OF_TRAIN, LINE_PAIRS))
 def k05(spark, sf_dir):
-    model, train, test = fitted(spark, sf_dir)
+    model, train, test = fitted(spark, sf_dir, LINE)
     return rounded(training.compare_with_baseline(model, train, test), "RMSPE", "MAPE")
 
 
-@query("k06_refit_and_forecast")
+@query("k06_refit_and_forecast", dense_sql(NEXT_FORECAST, LAGGED, LINE_OF_ALL))
 def k06(spark, sf_dir):
     train, test = training.split(fixtures.dense(spark, sf_dir))
-    return rounded(training.refit_and_forecast(train, test, {})[1], "energy_consumption")
+    return rounded(training.refit_and_forecast(train, test, LINE)[1], "energy_consumption")
 
 
 @query("k07_grid_of_trials", dense_sql("""
@@ -137,11 +149,39 @@ def k07(spark, sf_dir):
     return fc.trial_plan(label_folds(fixtures.dense(spark, sf_dir)))
 
 
-@query("k08_cross_validated_search")
+@query("k08_cross_validated_search", dense_sql(f"""
+, train as (select x.* from indexed x, span where datetime_utc <= hi - interval 24 hour),
+folds_of_train as (
+  select cast(row_number() over (order by train_end) - 1 as integer) as fold, train_end, train_end + 24 as test_end
+  from (select unnest(generate_series(greatest(72, n // 3 - 24), n - 24, n // 3)) as train_end
+        from (select count(distinct datetime_utc) as n from train))),
+seasons as (select * from (values (0, 24), (1, 48), (2, 168)) s(config_id, season)),
+earlier as (
+  select s.config_id, a.area, a.consumer_type, a.i, a.observed, a.energy_consumption as y, b.energy_consumption as l
+  from train a, seasons s join train b on b.area = a.area and b.consumer_type = a.consumer_type and b.i = a.i - s.season),
+lines as (
+  select config_id, fold, regr_slope(y, l) as b, regr_intercept(y, l) as a
+  from earlier join folds_of_train on i < train_end group by 1, 2)
+select config_id, fold, round(avg(abs(y - (a + b * l)) / greatest(abs(y), 2.220446049250313e-16)), 6) as "MAPE"
+from earlier join folds_of_train on i >= train_end and i < test_end join lines using (config_id, fold)
+where observed group by 1, 2""", INDEXED))
 def k08(spark, sf_dir):
+    """Three sets of features, each a search of its own lag."""
     train, _ = training.split(fixtures.dense(spark, sf_dir))
-    results = fc.cross_validate(train, fc.grid_configs({"reg_lambda": fc.GRID["reg_lambda"]}))
-    return results.select("config_id", "reg_lambda", "fold", F.round("MAPE", 6).alias("MAPE"))
+    results = fc.cross_validate(train, [{**LINE, "config_id": i, "lag": (season,)} for i, season in enumerate((24, 48, 168))])
+    return results.select("config_id", "fold", F.round("MAPE", 6).alias("MAPE"))
+
+
+@query("k08b_tree_grid", dense_sql("""
+select config_id, fold, n_estimators, max_depth, true as finite
+from (values (0, 3, 2), (1, 3, 4), (2, 6, 2), (3, 6, 4)) c(config_id, n_estimators, max_depth),
+     (select fold from folds) f""", FOLDS))
+def k08b(spark, sf_dir):
+    """Trees have no SQL: it states the trials, their settings, and that all errors are finite; a test checks the values."""
+    grid = fc.grid_configs({"learner": ["trees"], "n_estimators": [3, 6], "max_depth": [2, 4]})
+    results = fc.cross_validate(fixtures.dense(spark, sf_dir), grid)
+    used = F.from_json("config", "n_estimators int, max_depth int")
+    return results.select("config_id", "fold", used.alias("c"), (F.col("MAPE") >= 0).alias("finite")).select("config_id", "fold", "c.*", "finite")
 
 
 @query("k09_publish_best_config", dense_sql("""

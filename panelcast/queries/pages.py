@@ -14,7 +14,7 @@ from panelcast.operators.timeseries import newest
 from panelcast.plans import monitoring, pages, prediction, training
 from panelcast.queries.aggregation import HOUR, money_list, text_list
 from panelcast.queries.registry import listed, lists_as_text, query, rounded
-from panelcast.queries.sql import CACHED, MERGED, NEW, TRUTH, dense_sql, panel_sql
+from panelcast.queries.sql import CACHED, LAGGED, LINE, LINE_OF_TRAIN, MERGED, NEW, TRUTH, dense_sql, panel_sql
 from panelcast.schemas import FORECAST
 from panelcast.session import scratch_path
 from panelcast.sources.feature_table import upsert
@@ -52,13 +52,22 @@ def m01(spark, sf_dir):
     return prediction.update_cache(spark, fixtures.new_forecasts(hourly), root, start)
 
 
-@query("m02_batch_prediction")
+@query("m02_batch_prediction", dense_sql("""
+, ranged as (select * from panel where datetime_utc >= timestamp '2024-01-01' and datetime_utc < timestamp '2024-01-30 12:00:00'),
+latest as (select max(datetime_utc) as t from ranged),
+recent as (select r.* from ranged r, latest where datetime_utc > t - interval 24 hour)
+select k.area, c.consumer_type, t + to_hours(cast(s as integer)) as datetime_utc,
+       case when exists (select 1 from recent r where r.area = k.area and r.consumer_type = c.consumer_type)
+            then round(a + b * coalesce(v.energy_consumption, 0.0), 6) end as energy_consumption
+from (select distinct area from ranged) k, (select distinct consumer_type from ranged) c, latest, line, range(1, 25) h(s)
+left join recent v on v.area = k.area and v.consumer_type = c.consumer_type
+     and v.datetime_utc = t + to_hours(cast(s as integer)) - interval 24 hour""", LAGGED, LINE_OF_TRAIN))
 def m02(spark, sf_dir):
     root, table = scratch_path(spark, "batch"), scratch_path(spark, "batch-table")
     panel = fixtures.panel(spark, sf_dir)
     upsert(spark, table, panel)
     train, test = training.split(fixtures.dense(spark, sf_dir))
-    model = fc.fit(train)
+    model = fc.fit(train, LINE)
     register_model(spark, model, score(fc.evaluate(model, train, test)), f"{root}/models", "best_model")
     first, end = datetime(2024, 1, 1), datetime(2024, 1, 30, 12)
     return rounded(

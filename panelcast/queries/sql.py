@@ -59,6 +59,24 @@ PAIRS = """pairs as (
 APE = "abs(y - p) / greatest(abs(y), 2.220446049250313e-16)"
 BASE = (PANEL, SPAN, DENSE)
 
+# One lag, no penalty, no other features: ordinary least squares, which SQL can state.
+LINE = {"lag": (24,), "mean": (), "std": (), "calendar": False, "keys": False, "smallest_ridge": 0.0}
+
+LAGGED = "lagged as (select *, lag(energy_consumption, 24) over (partition by area, consumer_type order by datetime_utc) as l from dense)"
+LINE_OF_TRAIN = """line as (
+  select regr_slope(energy_consumption, l) as b, regr_intercept(energy_consumption, l) as a
+  from lagged, span where datetime_utc <= hi - interval 24 hour)"""
+LINE_OF_ALL = "line as (select regr_slope(energy_consumption, l) as b, regr_intercept(energy_consumption, l) as a from lagged)"
+LINE_PAIRS = """line_pairs as (
+  select area, consumer_type, datetime_utc, energy_consumption as y, a + b * l as p
+  from lagged, line, span where datetime_utc > hi - interval 24 hour and observed)"""
+TEST_FORECAST = """
+select area, consumer_type, datetime_utc, round(a + b * l, 6) as energy_consumption
+from lagged, line, span where datetime_utc > hi - interval 24 hour"""
+NEXT_FORECAST = """
+select area, consumer_type, datetime_utc + interval 24 hour as datetime_utc, round(a + b * energy_consumption, 6) as energy_consumption
+from dense, line, span where datetime_utc > hi - interval 24 hour"""
+
 
 def ctes(*parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n"

@@ -17,7 +17,7 @@ from panelcast.operators.windows import between_hours, export_metadata
 from panelcast.plans import training
 from panelcast.plans.ingest import FEATURE_RUN
 from panelcast.queries.registry import query, rounded
-from panelcast.queries.sql import CACHED, NEW, RAW, ctes, dense_sql, panel_sql
+from panelcast.queries.sql import CACHED, LAGGED, LINE, LINE_OF_TRAIN, NEW, RAW, TEST_FORECAST, ctes, dense_sql, panel_sql
 from panelcast.schemas import COLUMN_DOCS, FORECAST, PANEL
 from panelcast.session import scratch_path
 from panelcast.sources import feature_table, landed, models, paths, results, snapshots
@@ -229,12 +229,12 @@ def a14(spark, sf_dir):
     )
 
 
-@query("a15_model_versions")
+@query("a15_model_versions", dense_sql(TEST_FORECAST.replace("from lagged", ", 2 as version from lagged"), LAGGED, LINE_OF_TRAIN))
 def a15(spark, sf_dir):
     root = scratch_path(spark, "models")
     panel = fixtures.dense(spark, sf_dir)
     train, test = training.split(panel)
-    model = fc.fit(train)
+    model = fc.fit(train, LINE)
     scores = score(fc.evaluate(model, train, test))
     models.register_model(spark, model, scores, root, "best_model")
     models.register_model(spark, model, scores, root, "best_model")

@@ -1,3 +1,4 @@
+import json
 import math
 
 import numpy as np
@@ -120,8 +121,28 @@ def test_search_publishes_a_config(spark, panel):
     root = scratch_path(spark, "best")
     with pytest.raises(FileNotFoundError):
         training.read_best(spark, root)
-    training.publish_best(training.search(panel, {"reg_lambda": [0.0, 0.5]}), root)
-    assert training.read_best(spark, root).first()["reg_lambda"] in (0.0, 0.5)
+    best = training.search(panel, {"reg_lambda": [0.0, 0.5], "lag": [(24,), (1, 24)], "mean": [()]})
+    training.publish_best(best, root)
+    config = training.published_config(spark, root)
+    assert config["config_id"] == best.first()["config_id"] and config["reg_lambda"] in (1e-6, 0.5) and config["lag"] in ([24], [1, 24])
+    assert training.train_and_register(spark, panel, root) == 1  # the published configuration, whole
+
+
+def test_tree_trials_honour_their_settings(panel):
+    grid = fc.grid_configs({"learner": ["trees"], "n_estimators": [1, 4], "max_depth": [-1, 2], "lag": [(24,)], "mean": [()], "std": [()]})
+    got = {(r["config_id"], r["fold"]): r for r in fc.cross_validate(panel, [{**c, "deepest": 3} for c in grid], 3, 3).collect()}
+    assert len({got[c, 1]["MAPE"] for c in range(4)}) == 4
+    assert json.loads(got[0, 0]["config"])["max_depth"] == 3 and json.loads(got[1, 0]["config"])["max_depth"] == 2
+    from panelcast.operators.timeseries import label_folds
+    folds = label_folds(panel, 3, 3).filter("fold = 1")
+    train, test = (folds.filter(F.col("split") == part).select(*panel.columns) for part in ("train", "test"))
+    fitted = fc.fit(train, grid[1])
+    assert got[1, 1]["MAPE"] == pytest.approx(score(fc.evaluate(fitted, train, test, 3)).first()["MAPE"], rel=1e-6)
+
+
+def test_unknown_settings_are_refused():
+    with pytest.raises(ValueError, match="num_trees"):
+        fc.build_forecaster({"num_trees": 5})
 
 
 def test_grid_numbering_agrees(spark):
