@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelcast.functions.errors import absolute_percentage_error, mape, rmspe
 from panelcast.functions.hours import epoch_hour
-from panelcast.functions.payloads import field_of, ordered_pairs
+from panelcast.functions.payloads import field_of
 from panelcast.schemas import KEYS, TIME, VALUE
 
 # Hours in one page of a result list: a leap year.
@@ -132,9 +132,11 @@ def series_by_split(
     first = labelled.agg(F.min(epoch_hour(time))).scalar()
     page = F.floor((epoch_hour(time) - first) / page_hours).cast("int")
     grouped = labelled.withColumn("page", page).groupBy(*keys, "page")
+    # A row of another split is NULL, which the lists skip, so all lists together hold each row once.
     listed = {
-        s: ordered_pairs(F.when(F.col(label) == s, F.col(time)), F.col(value)) for s in splits
+        s: F.array_sort(F.collect_list(F.when(F.col(label) == s, F.struct(F.col(time).alias("t"), F.col(value).alias("v")))))
+        for s in splits
     }
-    return grouped.agg(*[
-        F.filter(column, lambda x: x["t"].isNotNull()).alias(f"_{s}") for s, column in listed.items()
-    ]).select(*keys, "page", *[field_of(f"_{s}", "v").alias(s) for s in splits])
+    return grouped.agg(*[column.alias(f"_{s}") for s, column in listed.items()]).select(
+        *keys, "page", *[field_of(f"_{s}", "v").alias(s) for s in splits]
+    )

@@ -28,12 +28,12 @@ def pointwise(function: Callable[[pd.Series, pd.Series], pd.Series], actual="y",
 
 
 def forecast_each(
-    df: DataFrame, forecaster: Callable[[pd.DataFrame], pd.DataFrame], history_hours: int = 672, keys=KEYS,
+    df: DataFrame, forecaster: Callable[[pd.DataFrame], pd.DataFrame], history_hours: int, keys=KEYS,
     time: str = TIME, value: str = VALUE, schema: str = FORECAST_SCHEMA,
 ) -> DataFrame:
     """Run a user's forecaster on the newest ``history_hours`` rows of each series.
 
-    The look-back is part of the contract: it bounds what one call receives. The rank filter runs
+    The caller states the look-back: it bounds what one call receives. The rank filter runs
     before the shuffle, so a hot series does not travel whole.
     """
     recent = newest(df.select(*keys, time, value), history_hours, keys, time)

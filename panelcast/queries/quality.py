@@ -32,9 +32,17 @@ def spoiled(panel: DataFrame) -> DataFrame:
     )
 
 
-def report(spark, sf_dir, rules) -> DataFrame:
+def misshapen(panel: DataFrame) -> DataFrame:
+    """The panel with its columns in another order, one more, and other types."""
+    return panel.select(
+        F.col("area").cast("int").alias("area"), "datetime_utc", F.col("consumer_type").cast("bigint").alias("consumer_type"),
+        F.col("energy_consumption").cast("float").alias("energy_consumption"), F.lit("x").alias("extra"),
+    )
+
+
+def report(spark, sf_dir, rules, shape: bool = False) -> DataFrame:
     panel = fixtures.panel(spark, sf_dir)
-    tables = {"clean": panel, "spoiled": spoiled(panel)}
+    tables = {"clean": panel, "spoiled": spoiled(panel), **({"misshapen": misshapen(panel)} if shape else {})}
     checked = [q.validate(df, rules(df)).withColumn("source", F.lit(n)) for n, df in tables.items()]
     return reduce(DataFrame.unionByName, checked)
 
@@ -85,8 +93,20 @@ RULES = {
     "j11_full_hours": lambda df: [q.full_hours("datetime_utc")],
 }
 
+SHAPE = ("j01", "j02", "j05", "j07", "j09")
+
+
+def _shape_row(row: str) -> str:
+    """The same check of a table that fails it."""
+    check = row.split("'")
+    return f"""
+union all select '{check[1]}', '{check[3]}', false, 1, count(*), 'misshapen' from panel"""
+
+
 for _name, _rules in RULES.items():
-    query(_name, _sql(ROWS[_name[:3]]))(lambda spark, sf_dir, rules=_rules: report(spark, sf_dir, rules))
+    _shape = _name[:3] in SHAPE
+    query(_name, _sql(ROWS[_name[:3]]) + (_shape_row(ROWS[_name[:3]]) if _shape else ""))(
+        lambda spark, sf_dir, rules=_rules, shape=_shape: report(spark, sf_dir, rules, shape))
 
 
 @query("j12_suite", _sql(*ROWS.values()))
