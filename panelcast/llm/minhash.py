@@ -172,7 +172,8 @@ class NearDuplicates:
         return sided(self._sets(ends, nodes, source), "members")(likely).mapInArrow(confirm, "x long, y long")
 
     def _sets(self, reps: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
-        """The full shingle sets of some classes."""
+        """The full shingle sets of some classes. Their ids are written first, so that Spark knows their size and sends
+        them to the texts while it is small, and not the texts to them."""
         shingle = self.shingle
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +184,8 @@ class NearDuplicates:
                     pa.array([m.tobytes() for m in members], pa.binary())], names=["rep", "print", "members"])
 
         needed = reps.join(nodes.select("rep", "print"), "rep")
-        texts = source.join(needed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+        ids = staged(reps.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+        texts = source.join(ids, "doc_id", "left_semi").select("doc_id", "text")
         full = (texts.mapInArrow(sets, "rep long, print binary, members binary").join(needed, ["rep", "print"])
                 .groupBy("rep", "print").agg(F.first("members").alias("members")))
         return staged(full, "sets")
