@@ -74,3 +74,12 @@ def new_forecasts(hourly: DataFrame) -> DataFrame:
 
 def late_truth(observed: DataFrame, hours: int = 36) -> DataFrame:
     return observed.filter(F.col(TIME) > add_hours(latest(observed), -hours)).select(*FORECAST.names)
+
+
+def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel that grows with the table: hourly totals per user, where one user holds a third of all rows."""
+    user = F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).cast("bigint").alias("user_id")
+    return (
+        events(spark, sf_dir).groupBy(user, to_hour("ts").alias("hour"))
+        .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
+    )
