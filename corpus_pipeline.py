@@ -9,24 +9,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from panelcast.llm import minhash, mixing, packing, pii, toxicity
 from panelcast.llm.labelled import remainder
 from panelcast.llm.queries import ranks
-from panelcast.llm.staging import staged, table
+from panelcast.llm.staging import ship, staged, table
 
 ORACLE_SQL = None  # learned scores, keyed surrogates and token ids have no SQL; a test compares with a brute-force version
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not call toxic."""
+    ship(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(F.col("doc_id"), 5) > 0)
     return toxicity.scored(docs, model, score_col="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates, the one with the smallest id."""
+    ship(spark)
     return minhash.keep_one(docs, minhash.NearDuplicates())
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data; ``n_chars`` follows the text."""
+    ship(spark)
     changed = pii.pseudonymise(docs, count_col="_mentions")
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(F.col("_mentions") > 0, F.length("text")).otherwise(F.col("n_chars"))
@@ -41,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and the sequences they are in."""
+    ship(spark)
     return packing.pack(docs, ranks())
 
 
@@ -54,6 +58,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)

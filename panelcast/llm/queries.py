@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, sql, topk, toxicity
 from panelcast.llm.labelled import remainder
-from panelcast.llm.staging import table
+from panelcast.llm.staging import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +16,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(function: Callable) -> Callable:
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function

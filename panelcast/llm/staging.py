@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from panelcast.session import scratch_path
 
 _STAGED: list[str] = []
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the workers, once per application.
+
+    Functions that run in tasks import it there; this way it need not be installed on the executors or be
+    on their path. Spark fetches the archive from the driver, so the folder it is made in may be local.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="panelcast-")) / "panelcast.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+            for source in sorted(package.rglob("*.py")):
+                packed.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
