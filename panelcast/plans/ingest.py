@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from panelcast.operators.clean import clean
 from panelcast.operators.quality import enforce, panel_suite
+from panelcast.operators.statistics import describe_columns
 from panelcast.operators.windows import export_metadata, export_window, require_complete
-from panelcast.schemas import DATASET_END, DATASET_START, DAYS_DELAY, DAYS_EXPORT, PANEL, RAW_TIME_FORMAT
+from panelcast.schemas import DATASET_END, DATASET_START, DAYS_DELAY, DAYS_EXPORT, PANEL, RAW_TIME_FORMAT, VALUE
 from panelcast.sources.feature_table import create_view, read_table, table_path, upsert
 from panelcast.sources.results import latest_run, record_run
 from panelcast.sources.snapshots import write_snapshot
@@ -43,7 +44,8 @@ def run_ingest(
 ) -> DataFrame:
     """Window, completeness, clean, validate, upsert; returns the run's record.
 
-    The validation report is kept in ``validation``, rows that a quarantine takes out in ``rejected``.
+    The validation report is kept in ``validation``, statistics of the batch in ``statistics``, and rows that a
+    quarantine takes out in ``rejected``.
     """
     start, end = export_window(reference, days_delay, days_export, dataset_start, dataset_end)
     records = in_window(raw, start, end).persist()
@@ -53,6 +55,8 @@ def run_ingest(
         base = root.rstrip("/")
         checked = enforce(panel, panel_suite(panel), policy, f"{base}/rejected", f"{base}/validation")
         upsert(spark, table_path(root, version), checked)
+        summary = describe_columns(checked, (VALUE,)).withColumns({"version": F.lit(version), "computed_at": F.current_timestamp()})
+        summary.coalesce(1).write.mode("append").parquet(f"{base}/statistics")
         run = export_metadata(records, start, end, source, days_delay, days_export, "HourUTC", RAW_TIME_FORMAT)
         record_run(run.withColumn("feature_group_version", F.lit(version)), root, "feature")
     finally:

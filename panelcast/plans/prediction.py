@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from panelcast.operators.aggregates import time_span
@@ -9,10 +11,11 @@ from panelcast.operators.clean import AttachKeys, drop_missing, key_rows, split_
 from panelcast.operators.forecast import forecast
 from panelcast.operators.joins import horizon_grid, key_product, merge_versions, overlay
 from panelcast.operators.windows import since
-from panelcast.schemas import FORECAST, HORIZON, TIME
+from panelcast.plans.ingest import FEATURE_RUN
+from panelcast.schemas import FORECAST, HORIZON, RAW_TIME_FORMAT, TIME
 from panelcast.sources.feature_table import read_range
 from panelcast.sources.models import load_model
-from panelcast.sources.results import encode_hours, publish, read_published, replace_self
+from panelcast.sources.results import encode_hours, latest_run, publish, read_published, replace_self
 
 
 def forecast_inputs(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -36,14 +39,25 @@ def update_cache(spark: SparkSession, predictions: DataFrame, root: str, start)
     return read_published(spark, root, "predictions_monitoring", FORECAST)
 
 
+def last_ingested(spark: SparkSession, root: str) -> tuple[datetime, datetime]:
+    """The window of the newest ingest."""
+    run = latest_run(spark, root, "feature", FEATURE_RUN).first()
+    form = RAW_TIME_FORMAT.replace("yyyy", "%Y").replace("MM", "%m").replace("dd", "%d").replace("HH", "%H").replace("mm", "%M")
+    return tuple(datetime.strptime(run[f"export_datetime_utc_{end}"], form) for end in ("start", "end"))
+
+
 def run_prediction(
-    spark: SparkSession, table: str, models: str, root: str, start, end, horizon: int = HORIZON,
-    model_name: str = "best_model", model_version: int | None = None, fill: str | None = "zero",
+    spark: SparkSession, table: str, models: str, root: str, start=None, end=None, horizon: int = HORIZON,
+    model_name: str = "best_model", model_version: int | None = None, fill: str | None = "zero", runs: str | None = None,
 ) -> DataFrame:
     """Read the range, forecast all key pairs, publish X, y and predictions, update the cache.
 
-    Returns the published predictions.
+    Without ``start`` and ``end`` the range is that of the last ingest, from the run records below
+    ``runs``; without a version the newest model is taken. Returns the published predictions.
     """
+    if start is None or end is None:
+        first, last = last_ingested(spark, runs or root)
+        start, end = first if start is None else start, last if end is None else end
     panel = read_range(spark, table, start, end).transform(key_rows)
     exogenous, target = split_target(panel)
     model = load_model(spark, models, model_name, model_version)

@@ -7,17 +7,21 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.operators.aggregates import best_config, label_splits, score
+from panelcast.operators.aggregates import best_config, label_splits, score, score_slices, split_profile
 from panelcast.operators.forecast import (
-    cross_validate, evaluate, fit, forecast, grid_configs, observed, validation_summary,
+    cross_validate, effective, evaluate, fit, forecast, grid_configs, observed, validation_summary,
 )
 from panelcast.operators.joins import pair
 from panelcast.operators.timeseries import label_folds, label_last_hours, lags, seasonal_naive
-from panelcast.schemas import HORIZON, VALUE
+from panelcast.schemas import HORIZON, KEYS, VALUE
 from panelcast.sources.models import register_model
 from panelcast.sources.paths import has_data
+from panelcast.sources.results import record_run
 
 BEST_CONFIG = "config_id int, MAPE double, fit_time double, prediction_time double, config string"
+TRAINING_RUN = "model string, version int, config string, splits string, errors string, worst_slices string"
+# Series with the largest errors that a training record lists.
+WORST_SLICES = 100
 
 
 def split(panel: DataFrame, horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:
@@ -87,10 +91,32 @@ def train_and_register(
     Without a configuration, the published one is used.
     """
     config = published_config(spark, root) if config is None else config
-    train, test = split(panel, horizon)
-    scores = score(evaluate(fit(train, config), train, test, horizon))
-    final, _ = refit_and_forecast(train, test, config, horizon)
-    return register_model(spark, final, scores, root, name)
+    kept = panel.persist()  # split, fits, scores and the refit all read it
+    try:
+        train, test = split(kept, horizon)
+        fitted = fit(train, config)
+        scores = score(evaluate(fitted, train, test, horizon))
+        final, _ = refit_and_forecast(train, test, config, horizon)
+        version = register_model(spark, final, scores, root, name)
+        record_run(_training_run(spark, fitted, train, test, config, horizon, version, name), root, "training")
+    finally:
+        kept.unpersist()
+    return version
+
+
+def _training_run(spark: SparkSession, model: PipelineModel, train: DataFrame, test: DataFrame, config: dict, horizon: int, version: int, name: str) -> DataFrame:
+    """One row: model and version, configuration, spans of both splits, and errors of baseline, model and slices."""
+    spans = split_profile(label_splits({"train": train, "test": test})).select(
+        F.struct("split", F.col("t_min").cast("string").alias("t_min"), F.col("t_max").cast("string").alias("t_max"), "dataset_size").alias("s"))
+    errors = compare_with_baseline(model, train, test, horizon).select(F.struct("model", "RMSPE", "MAPE").alias("e"))
+    slices = score_slices(evaluate(model, train, test, horizon)).where("not overall").drop("overall")
+    row = spans.agg(F.collect_list("s").alias("splits")).select(
+        F.lit(name).alias("model"), F.lit(version).alias("version"), F.lit(json.dumps({**config, **effective(config)})).alias("config"),
+        F.to_json("splits").alias("splits"))
+    return row.withColumns({
+        "errors": errors.agg(F.to_json(F.collect_list("e"))).scalar(),
+        "worst_slices": slices.orderBy(F.desc("MAPE"), *KEYS).limit(WORST_SLICES).agg(F.to_json(F.collect_list(F.struct("*")))).scalar(),
+    })
 
 
 def season_trials(panel: DataFrame, seasons, horizon: int = HORIZON, k: int = 3) -> DataFrame:

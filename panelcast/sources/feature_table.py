@@ -177,10 +177,24 @@ def mark_expired(listing: DataFrame, keep: int, name: str = "name", version: str
     return listing.withColumn("expired", rank > keep)
 
 
-def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
-    """Remove all but the newest ``keep`` version folders; returns the removed versions."""
-    found = versions(spark, root)
+def drop_old_versions(spark: SparkSession, root: str, keep: int, prefix: str = "v") -> list[int]:
+    """Remove all but the newest ``keep`` version folders; returns the removed versions.
+
+    The ``prefix=N`` folders are ``v=N`` for tables and models and ``td_version=N`` for snapshots.
+    """
+    found = versions(spark, root, prefix)
     expired = found[:-keep] if keep else found
     for version in expired:
-        remove(spark, table_path(root, version))
+        remove(spark, f"{root.rstrip('/')}/{prefix}={version}")
     return expired
+
+
+def drop_old_views(spark: SparkSession, root: str, keep: int) -> int:
+    """Take all but the newest ``keep`` versions of every view off the manifest; returns how many."""
+    listing = manifest(spark, root)
+    marked = mark_expired(listing, keep, "view").collect()
+    expired = [r for r in marked if r["expired"]]
+    if expired:
+        left = spark.createDataFrame([(r["view"], r["version"], r["source"]) for r in marked if not r["expired"]], MANIFEST)
+        left.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/manifest")
+    return len(expired)

@@ -126,6 +126,11 @@ def test_search_publishes_a_config(spark, panel):
     config = training.published_config(spark, root)
     assert config["config_id"] == best.first()["config_id"] and config["reg_lambda"] in (1e-6, 0.5) and config["lag"] in ([24], [1, 24])
     assert training.train_and_register(spark, panel, root) == 1  # the published configuration, whole
+    from pyspark.sql.types import StructType
+    record = results.latest_run(spark, root, "training", StructType.fromDDL(training.TRAINING_RUN)).first()
+    assert record["version"] == 1 and json.loads(record["config"])["lag"] == config["lag"]
+    assert {s["split"] for s in json.loads(record["splits"])} == {"train", "test"}
+    assert {e["model"] for e in json.loads(record["errors"])} == {"baseline", "model"} and len(json.loads(record["worst_slices"])) == 3
 
 
 def test_tree_trials_honour_their_settings(panel):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.windows import export_metadata
 from panelcast.plans.ingest import FEATURE_RUN, run_ingest, run_view
+from panelcast.plans.prediction import last_ingested
 from panelcast.schemas import FORECAST, PANEL, RAW
 from panelcast.session import scratch_path
 from panelcast.sources import feature_table, landed, paths, results, snapshots
@@ -124,6 +125,9 @@ def test_ingest_job(spark, hour):
     options = {"days_delay": 1, "days_export": 2, "dataset_start": hour(0), "dataset_end": hour(24 * 6)}
     run = run_ingest(spark, raw, root, hour(24 * 4), **options).first()
     assert run["export_datetime_utc_start"] == "2024-01-02 00:00" and run["num_unique_samples_per_time_series"] == 48
+    start, end = last_ingested(spark, root)
+    assert [f"{t:%Y-%m-%d %H:%M}" for t in (start, end)] == [run["export_datetime_utc_start"][:16], run["export_datetime_utc_end"][:16]]
+    assert spark.read.parquet(f"{root}/statistics").first()["count"] > 0 and spark.read.parquet(f"{root}/validation").where("not ok").count() == 0
     run_ingest(spark, raw, root, hour(24 * 5), **options)
     table = feature_table.read_table(spark, feature_table.table_path(root, 1))
     assert table.count() == 2 * 72
@@ -161,3 +165,18 @@ def test_staged_copies_are_removed(spark, make_panel, tmp_path):
         feature_table.upsert(spark, path, make_panel({(0, 111): [(0, value)]}))
     results.replace_self(spark, make_panel({(0, 111): [(0, 1.0)]}), str(tmp_path / "cache"))
     assert listed() == before
+
+
+def test_retention_of_views_snapshots_and_models(spark, make_panel, tmp_path):
+    root, table = str(tmp_path), str(tmp_path / "table")
+    feature_table.upsert(spark, table, make_panel({(0, 111): [(0, 1.0)]}))
+    for _ in range(3):
+        feature_table.create_view(spark, root, "consumption", table)
+    assert feature_table.drop_old_views(spark, root, keep=1) == 2
+    assert [r.version for r in feature_table.manifest(spark, root).collect()] == [3]
+    with pytest.raises(LookupError):
+        feature_table.open_view(spark, root, "consumption", 1)
+    for version in (1, 2, 3):
+        snapshots.write_snapshot(feature_table.read_table(spark, table), root, "2024-01-01", "2024-01-02", version)
+    assert feature_table.drop_old_versions(spark, root, keep=1, prefix="td_version") == [1, 2]
+    assert snapshots.read_snapshot(spark, root, 3).count() == 1
