@@ -99,11 +99,13 @@ def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col
              length_col: str = "n_chars") -> DataFrame:
     """Documents as often as the mix takes them: one row per whole copy, and one with the first words for a cut copy.
 
-    Ids must be unique here. Documents the mix takes nothing from, those without words among them, are left out.
+    Documents that the mix takes nothing from, those without words among them, are left out. Rows of one id and one
+    size, null ids among them, share evenly what they give, rounded down to a word.
     """
-    copies = mixed.where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.floor(F.col("taken") / F.col("size")).alias("_copies"), F.pmod("taken", "size").alias("_rest"))
-    joined = docs.join(copies, docs[id_col].eqNullSafe(F.col("_id")))
+    copies = (mixed.where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+              .agg(F.floor(F.sum("taken") / F.count("*")).alias("_taken"))
+              .withColumn("_copies", F.floor(F.col("_taken") / F.col("_size"))).withColumn("_rest", F.pmod("_taken", "_size")))
+    joined = docs.join(copies, docs[id_col].eqNullSafe(F.col("_id")) & (words(F.col(text_col)) == F.col("_size")))
     each = joined.withColumn("_take", F.explode(F.when(F.col("_rest") > 0, F.array_append(
         F.array_repeat(F.lit(-1).cast("long"), F.col("_copies").cast("int")), F.col("_rest"))).otherwise(
         F.array_repeat(F.lit(-1).cast("long"), F.col("_copies").cast("int")))))

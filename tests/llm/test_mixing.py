@@ -59,6 +59,12 @@ def test_copies_follow_the_mix(spark, docs):
     assert got == {r.doc_id: r.taken for r in mixed.collect() if r.taken}
 
 
+def test_copies_of_rows_without_an_id(spark, make_docs):
+    docs = make_docs([(None, f"a b c {'d ' * n}", "s") for n in (0, 0, 0, 1, 2)] + [(4, "x y", "s"), (4, "x y z", "s")])
+    out = repeated(docs, mix(docs))
+    assert sorted(r.text for r in out.collect()) == sorted(r.text for r in docs.collect())
+
+
 def test_one_source_empty_texts_and_an_empty_table(spark, make_docs):
     one = mix(make_docs([(1, "a b", "s"), (2, "c", "s"), (2, "c", "s")])).collect()
     assert sorted((r.doc_id, r.taken) for r in one) == [(1, 2), (2, 1), (2, 1)]
