@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -47,28 +47,40 @@ def count_pairs(texts: DataFrame, ranks_path: str, text_col: str = "text") -> Da
 
 @dataclass
 class MatchedModels:
-    """Two models over the same pairs and tokens; the second axis is target, background."""
+    """Two models over the same pairs and tokens; the second axis is target, background.
+
+    ``pairs`` and ``counts`` are the most frequent pairs, which tasks hold. ``rest`` is a table of all other counted pairs
+    with what each takes off the losses that it has as an unseen pair; ``contexts`` and ``tokens`` are of all pairs.
+    """
 
     pairs: np.ndarray
     counts: np.ndarray
     contexts: np.ndarray
     tokens: np.ndarray
+    rest: DataFrame | None = None
 
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """Negative log probability of every token under either model."""
+    def losses(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Negative log probability of every token under either model, its pair, and whether that is held; others count as unseen."""
         keys = _pairs(ids)
         at = np.minimum(np.searchsorted(self.pairs, keys), max(0, len(self.pairs) - 1))
-        seen = self.counts[at] * (self.pairs[at] == keys)[:, None] if len(self.pairs) else np.zeros((len(ids), 2))
+        found = self.pairs[at] == keys if len(self.pairs) else np.zeros(len(ids), bool)
+        seen = self.counts[at] * found[:, None] if len(self.pairs) else np.zeros((len(ids), 2))
         before = self.contexts[keys // (VOCABULARY + 1)]
-        return -np.log((seen + STRENGTH * self.tokens[ids]) / (before + STRENGTH))
+        return -np.log((seen + STRENGTH * self.tokens[ids]) / (before + STRENGTH)), keys, found
 
     def total(self, ids: np.ndarray, block: int = 1 << 16) -> np.ndarray:
         """The sums of both losses; a long text is read in blocks, each with the token before it."""
-        out = np.zeros(2)
+        return self.split(ids, block)[0]
+
+    def split(self, ids: np.ndarray, block: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The sums of both losses, and the pairs that are not held with how often each occurs."""
+        out, missing = np.zeros(2), [np.zeros(0, np.int64)]
         for at in range(0, len(ids), block):
             first = max(0, at - 1)
-            out += self.losses(ids[first:at + block])[at - first:].sum(axis=0)
-        return out
+            losses, keys, found = (x[at - first:] for x in self.losses(ids[first:at + block]))
+            out += losses.sum(axis=0)
+            missing.append(keys[~found])
+        return out, *np.unique(np.concatenate(missing), return_counts=True)
 
 
 def learn(target: DataFrame, background: DataFrame, ranks_path: str, text_col: str = "text", max_pairs: int = MAX_PAIRS) -> MatchedModels:
@@ -76,8 +88,9 @@ def learn(target: DataFrame, background: DataFrame, ranks_path: str, text_col: s
 
     The vocabulary is the tokenizer's, so no token is unknown. Background counts are scaled to the target's number of
     tokens, and both models lean on their token frequencies with the same strength, so that neither gains by its size.
-    Both keep the same pairs: all of them, or those above the least count that leaves ``max_pairs`` or fewer; that count
-    is found from a histogram. Other pairs back off to the token. The models' size is bounded by ``max_pairs``.
+    Both keep all counted pairs. Those above the least count that leaves ``max_pairs`` or fewer are held by the tasks that
+    score; that count is found from a histogram. The others stay a table, which scoring joins with the pairs of texts. So
+    ``max_pairs`` bounds the memory of a task and changes no score.
     """
     both = (count_pairs(target, ranks_path, text_col).select("pair", F.col("n").alias("target"), F.lit(0).cast("long").alias("background"))
             .union(count_pairs(background, ranks_path, text_col).select("pair", F.lit(0).cast("long"), "n")))
@@ -98,29 +111,53 @@ def learn(target: DataFrame, background: DataFrame, ranks_path: str, text_col: s
         if kept > max_pairs:
             break
         least = row["bin"]
-    frequent = counts.where(F.lit(False) if least is None else F.floor(F.log2(amount.cast("double")) * 8) >= least)
-    table = frequent.toPandas().sort_values("pair")
+    is_held = F.lit(False) if least is None else F.floor(F.log2(amount.cast("double")) * 8) >= least
+    table = counts.where(is_held).toPandas().sort_values("pair")
     pairs, seen = table["pair"].to_numpy(np.int64), table[["target", "background"]].to_numpy(float) * scale
+    before = (counts.groupBy(F.floor(F.col("pair") / F.lit(VOCABULARY + 1)).alias("before"))
+              .agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas())
     contexts = np.zeros((VOCABULARY + 1, 2))
-    np.add.at(contexts, pairs // (VOCABULARY + 1), seen)
-    return MatchedModels(pairs, seen.astype(np.float32), contexts, tokens)
+    contexts[before["before"].to_numpy(int)] = before[["target", "background"]].to_numpy(float) * scale
+
+    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, seen = batch.column(0).to_numpy(), np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], axis=1) * scale
+            gain = np.log1p(seen.astype(np.float32) / (STRENGTH * tokens[keys % (VOCABULARY + 1)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gain[:, 0]), pa.array(gain[:, 1])], names=["pair", "target_gain", "background_gain"])
+
+    rest = counts.where(~is_held).select("pair", "target", "background").mapInArrow(gains, "pair long, target_gain double, background_gain double")
+    return MatchedModels(pairs, seen.astype(np.float32), contexts, tokens, rest)
 
 
-def scored(docs: DataFrame, models: MatchedModels, ranks_path: str, text_col: str = "text") -> DataFrame:
+def scored(docs: DataFrame, models: MatchedModels, ranks_path: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens``, ``target_loss``, ``background_loss`` (means per token) and ``score``, their difference.
 
     A low score says that a text is more like the target than like the background. Null and empty texts have no tokens
-    and zeros. Columns that already have these names are replaced.
+    and zeros. Columns that already have these names are replaced. Every row is scored by itself, whatever its id. Pairs
+    that tasks do not hold are taken out once per text and joined with ``models.rest``. The rows are written on the way,
+    without the text unless ``keep_text``, and keep their order.
     """
-    @F.pandas_udf("n_tokens long, target_loss double, background_loss double")
+    held = replace(models, rest=None)
+
+    @F.pandas_udf("n_tokens long, target_loss double, background_loss double, pairs array<long>, times array<long>")
     def score(texts: pd.Series) -> pd.DataFrame:
         tokenizer, out = Tokenizer.load(ranks_path), []
         for text in texts:
             ids = np.frombuffer(tokenizer.encode(text), "<u4").astype(np.int64)
-            out.append((len(ids), *(models.total(ids) / max(1, len(ids)))))
-        return pd.DataFrame(out, columns=["n_tokens", "target_loss", "background_loss"])
-
-    rows = docs.withColumn("_losses", score(F.col(text_col).cast("string")))
-    return rows.withColumns({"n_tokens": F.col("_losses.n_tokens"), "target_loss": F.col("_losses.target_loss"),
-                             "background_loss": F.col("_losses.background_loss"),
-                             "score": F.col("_losses.target_loss") - F.col("_losses.background_loss")}).drop("_losses")
+            sums, pairs, times = held.split(ids)
+            out.append((len(ids), *sums, pairs, times))
+        return pd.DataFrame(out, columns=["n_tokens", "target_loss", "background_loss", "pairs", "times"])
+
+    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_losses": score(F.col(text_col).cast("string"))})
+    rows = staged(rows if keep_text else rows.drop(text_col), "losses")
+    missing = (rows.select("_row", F.explode(F.arrays_zip(F.col("_losses.pairs").alias("pair"), F.col("_losses.times").alias("times"))).alias("_one"))
+               .select("_row", "_one.pair", "_one.times"))
+    gained = (missing.join(models.rest, "pair").groupBy("_row")
+              .agg(F.sum(F.col("times") * F.col("target_gain")).alias("_target"), F.sum(F.col("times") * F.col("background_gain")).alias("_background")))
+    rows = rows.join(gained, "_row", "left").orderBy("_row")
+    tokens = F.greatest(F.col("_losses.n_tokens"), F.lit(1))
+    rows = rows.withColumns({"_target": (F.col("_losses.target_loss") - F.coalesce("_target", F.lit(0.0))) / tokens,
+                             "_background": (F.col("_losses.background_loss") - F.coalesce("_background", F.lit(0.0))) / tokens})
+    return rows.withColumns({"n_tokens": F.col("_losses.n_tokens"), "target_loss": F.col("_target"),
+                             "background_loss": F.col("_background"),
+                             "score": F.col("_target") - F.col("_background")}).drop("_row", "_losses", "_target", "_background")

@@ -70,7 +70,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against conversations as the target; the background is the documents themselves."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     models = language_model.learn(table(spark, sf_dir, "conversations"), docs, ranks())
-    return language_model.scored(docs, models, ranks()).drop("text")
+    return language_model.scored(docs, models, ranks(), keep_text=False)
 
 
 @query("op7_quality")

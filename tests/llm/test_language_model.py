@@ -72,3 +72,22 @@ def test_query_and_odd_rows(spark, make_docs):
     rows = lm.scored(make_docs([(1, None, "s"), (None, "", "s"), (3, "a b", "s")]), models, ranks()).collect()
     assert [(r.n_tokens, float(r["score"])) for r in rows[:2]] == [(0, 0.0)] * 2 and np.isfinite(float(rows[2]["score"]))
     assert lm.scored(make_docs([]), models, ranks()).count() == 0
+
+
+def test_pairs_that_tasks_do_not_hold_change_no_score(spark, make_docs):
+    docs, target = table(spark, SF, "documents"), table(spark, SF, "conversations")
+    odd = docs.select("doc_id", "text").limit(30).union(make_docs([(None, "never seen xq zv", "s"), (None, "a b", "s"), (7, None, "s")]).select("doc_id", "text"))
+    whole, few, none = (lm.learn(target, docs, ranks(), **size) for size in ({}, {"max_pairs": 500}, {"max_pairs": 0}))
+    assert 0 < len(few.pairs) <= 500 < len(whole.pairs) == len(few.pairs) + few.rest.count() and len(none.pairs) == 0
+    first, *others = ([[r.n_tokens, r.target_loss, r.background_loss, r["score"]] for r in
+                       lm.scored(odd, m, ranks()).orderBy("doc_id", "text").collect()] for m in (whole, few, none))
+    assert len(first) == odd.count()
+    for other in others:
+        assert other == [pytest.approx(row, rel=1e-6, abs=1e-6) for row in first]
+
+
+def test_rows_keep_their_columns(spark, make_docs):
+    models = lm.learn(make_docs([(1, "a b", "s")]), make_docs([(1, "b c", "s")]), ranks(), max_pairs=0)
+    docs = make_docs([(1, "a b", "s"), (1, "b c", "s")])
+    assert sorted(lm.scored(docs, models, ranks()).columns) == sorted({*docs.columns, "n_tokens", "target_loss", "background_loss", "score"})
+    assert "text" not in lm.scored(docs, models, ranks(), keep_text=False).columns
