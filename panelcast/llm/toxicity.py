@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelcast.llm.labelled import SAMPLE_ROWS, labelled_sample
 from panelcast.llm.logistic import fit_logistic, probability
 from panelcast.llm.minhash import random_factors, shingle_set, signature
+from panelcast.llm.staging import staged
 
 #: Characters that often stand for letters belong to a word.
 TOKEN = re.compile(r"\w[\w@$*]*")
 QUOTE = re.compile("[\"“”„«»‹›]")
 WINDOW = 8
 MAX_TERMS = 2_000
-MAX_CANDIDATES = 20_000
 LEAST_DOCUMENTS = 3
 LEAST_LOG_ODDS = 3.0
 PREFIXES = range(4, 9)
@@ -200,7 +200,7 @@ def _terms_of(text: str) -> set[tuple[str, bool]]:
     return {(w, False) for w in words} | {(w[:n], True) for w in words for n in PREFIXES if len(w) > n}
 
 
-def _counted(sample: DataFrame, terms, least: int) -> list:
+def _counted(sample: DataFrame, terms) -> DataFrame:
     """Documents of either label that hold a term; ``terms`` says of a text what to count."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean = Counter(), Counter()
@@ -214,8 +214,7 @@ def _counted(sample: DataFrame, terms, least: int) -> list:
             names=["term", "open", "toxic", "clean"])
 
     counted = sample.select("text", "label").mapInArrow(count, "term string, open boolean, toxic long, clean long")
-    return (counted.groupBy("term", "open").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-            .where(F.col("toxic") + F.col("clean") >= least).orderBy(F.desc("toxic"), "term", "open").limit(MAX_CANDIDATES).collect())
+    return counted.groupBy("term", "open").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def _different_documents(sample: DataFrame, terms: list[tuple[str, bool]]) -> dict[tuple[str, bool], float]:
@@ -262,15 +261,21 @@ def learn_lexicon(sample: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[
     """Terms whose odds of a toxic document are high, with their log odds.
 
     Chance must be an unlikely reason for so many different toxic documents, given that so many terms were looked at.
-    Stems come first, the shortest of a family; a stem that one word makes up, nearly alone, is that word.
+    All terms of the sample are tested in tasks, and only those that pass come to the driver. Stems come first, the
+    shortest of a family; a stem that one word makes up, nearly alone, is that word.
     """
-    frequent = _counted(sample.where("label = 1"), _terms_of, LEAST_DOCUMENTS)
-    candidates = frozenset((r["term"], r["open"]) for r in frequent)
-    rows = _counted(sample, lambda text: _terms_of(text) & candidates, LEAST_DOCUMENTS)
-    base, doubt = toxic_rows / (toxic_rows + clean_rows), math.log(10 * max(1, len(rows)))
-    odds = {(r["term"], r["open"]): (math.log((r["toxic"] + 0.5) / (toxic_rows + 1)) - math.log((r["clean"] + 0.5) / (clean_rows + 1)), r["toxic"], r["clean"])
-            for r in rows if r["toxic"] >= LEAST_DOCUMENTS and _surprise(r["toxic"], r["clean"], base) >= doubt}
-    strong = {k: v for k, v in odds.items() if v[0] >= LEAST_LOG_ODDS}
+    looked_at = staged(_counted(sample, _terms_of).where(F.col("toxic") >= LEAST_DOCUMENTS), "terms")
+    base, doubt = toxic_rows / (toxic_rows + clean_rows), math.log(10 * max(1, looked_at.count()))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
+            odds = [math.log((t + 0.5) / (toxic_rows + 1)) - math.log((c + 0.5) / (clean_rows + 1)) for t, c in counts]
+            passed = [o >= LEAST_LOG_ODDS and _surprise(t, c, base) >= doubt for o, (t, c) in zip(odds, counts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(odds, pa.float64())], names=["term", "open", "toxic", "clean", "odds"]).filter(pa.array(passed, pa.bool_()))
+
+    tested = looked_at.mapInArrow(test, "term string, open boolean, toxic long, clean long, odds double")
+    strong = {(r["term"], r["open"]): (r["odds"], r["toxic"], r["clean"]) for r in tested.collect()}
     different = _different_documents(sample.where("label = 1"), sorted(strong))
     strong = {k: v for k, v in strong.items() if different[k] >= LEAST_DOCUMENTS - 0.5 and _surprise(different[k], v[2], base) >= doubt}
     kept: dict[tuple[str, bool], float] = {}
@@ -286,6 +291,14 @@ def learn_lexicon(sample: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[
     return best, [kept[k] for k in best]
 
 
+def innocent_words(clean: DataFrame, model: ToxicityModel) -> frozenset:
+    """All words of clean texts that look like misspellings of a term."""
+    def near(text: str) -> set[tuple[str, bool]]:
+        return {(w, False) for w in set(TOKEN.findall(text.lower())) if (hit := model._hit(w)) and not hit[1]}
+
+    return frozenset(r["term"] for r in _counted(clean, near).collect())
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column, limit: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn from at most ``limit`` labelled documents: two thirds give the lexicon, the rest the weights of the features.
 
@@ -302,10 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, limit: int = SAMPL
     if not model.terms:
         return model
 
-    def near(text: str) -> set[tuple[str, bool]]:
-        return {(w, False) for w in set(TOKEN.findall(text.lower())) if (hit := model._hit(w)) and not hit[1]}
-
-    model.innocent = frozenset(r["term"] for r in _counted(lexicon_part.where("label = 0"), near, 1))
+    model.innocent = innocent_words(lexicon_part.where("label = 0"), model)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

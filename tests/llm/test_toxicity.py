@@ -1,5 +1,7 @@
+import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +90,19 @@ def test_sample_is_bounded(spark, make_docs):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, toxic int")
     assert labelled_sample(docs, labels, F.col("doc_id") != 3, "toxic", 10).count() == 10
     assert labelled_sample(docs, labels, F.col("doc_id") != 3, "toxic", 1000).count() == 39
+
+
+def test_a_rare_term_is_found_among_many_frequent_ones(spark):
+    rng = np.random.default_rng(3)
+    words = np.array(["".join(w) for w in itertools.islice(itertools.product("abcdefghijklm", repeat=4), 25_000)])
+    rows = [(" ".join([*words[rng.random(len(words)) < 0.5], *(["zzqzq"] if i < 15 else [])]), int(i < 40)) for i in range(120)]
+    terms, odds = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int").repartition(4), 40, 80)
+    assert ("zzqzq", False) in terms and len(terms) == len(odds) == 1
+
+
+def test_all_innocent_words_are_kept(spark):
+    model, term = toxicity.ToxicityModel([("abcdefghi", False)], [4.0]), "abcdefghi"
+    near = {term[:i] + x + term[i + 1:j] + y + term[j + 1:] for i, j in itertools.combinations(range(9), 2)
+            for x, y in itertools.product("jklmnopqrstuvwxyz0123456789", repeat=2)}
+    texts = spark.createDataFrame([(" ".join([*sorted(near), term, "other"]), 0)], "text string, label int")
+    assert len(near) > 20_000 and toxicity.innocent_words(texts, model) == near
