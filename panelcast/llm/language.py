@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -252,13 +252,16 @@ def _typical(kept: list[tuple[list[str], str]], number: dict[str, int]) -> dict[
 
 def fit(docs: DataFrame, training: Column, limit: int = SAMPLE_DOCUMENTS, lang_col: str = "lang", text_col: str = "text",
         id_col: str = "doc_id") -> LanguageModel:
-    """Learn from at most ``limit`` documents that ``training`` allows, the first in the order of a hash of the id, and
-    from at most ``SAMPLE_LANGUAGES`` languages, the most frequent. A document gives at most ``RUNS`` runs of words,
+    """Learn from at most ``limit`` documents that ``training`` allows and from at most ``SAMPLE_LANGUAGES`` languages, the
+    most frequent. Every language gives the same share of documents, or all if it has fewer, and what is left is filled up
+    from all of them; documents are taken in the order of a hash of the id. A document gives at most ``RUNS`` runs of words,
     spread over its whole text. Null languages and texts teach nothing."""
-    rows = docs.where(training & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).select("lang")
-    picked = (rows.join(F.broadcast(frequent), "lang", "left_semi").select("_id").distinct()
-              .orderBy(F.xxhash64("_id"), "_id").limit(limit))
+    rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"))
+    frequent = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()]
+    share, order = max(1, limit // max(1, len(frequent))), [F.xxhash64("_id"), F.col("_id")]
+    ranked = (rows.where(F.col("lang").isin(frequent)).distinct()
+              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= limit))
+    picked = ranked.orderBy(F.col("rank") > share, *order, "lang").limit(limit).select(F.col("_id").cast("string"), "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,7 +269,7 @@ def fit(docs: DataFrame, training: Column, limit: int = SAMPLE_DOCUMENTS, lang_c
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["_id", "lang", "runs"])
 
     sample = (docs.select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(picked.select(F.col("_id").cast("string"))), "_id").where("lang is not null and text is not null")
+              .join(F.broadcast(picked), ["_id", "lang"]).where("text is not null")
               .select("_id", "lang", "text").mapInArrow(cut, "_id string, lang string, runs array<string>"))
     rows = sorted(sample.collect())
     return train([run.split() for r in rows for run in r["runs"]], [r["lang"] for r in rows for _ in r["runs"]])

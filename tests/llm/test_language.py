@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from panelcast.llm import language
 from panelcast.llm.queries import op3
@@ -74,3 +75,10 @@ def test_nothing_learned_and_an_empty_table(spark, make_docs):
     docs = make_docs([(1, "the of", "s"), (None, None, "s")])
     assert {(r.lang_pred, r.score) for r in language.labelled(docs, model).collect()} == {("und", 0.0)}
     assert language.labelled(make_docs([]), trained()).count() == 0
+
+
+def test_a_rare_language_has_its_share_of_the_sample(spark):
+    rows = [(i, "en", f"the and of with that house {i}") for i in range(600)] + [(1000 + i, "xx", "zuk zak zok zik bruz " * 8) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    model = language.fit(docs, F.lit(True), limit=20)
+    assert model.languages == ["en", "xx"] and model.predict(["zuk zok bruz zik zak", "the house of that"])[0] == ["xx", "en"]
