@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, sql, topk, toxicity
+from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, spelling, sql, topk, toxicity
 from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import ship, table
 
@@ -95,3 +95,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_dedup", sql.EMBEDDING_DEDUP)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_spelling_variants", sql.SPELLING_VARIANTS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))

