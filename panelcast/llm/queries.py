@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, spelling, sql, topk, toxicity
+from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, secret_scan, spelling, sql, topk, toxicity
 from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import ship, table
 
@@ -100,3 +100,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_spelling_variants", sql.SPELLING_VARIANTS)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_secret_scans")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.with_secrets(docs, secret_scan.word_bits(docs))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, secret_scan.KINDS), F.sha2(secret_scan.listed("secrets", secret_scan.KINDS[:3]), 256).alias("base_sha256"),
+        secret_scan.listed("secrets").alias("spans"), F.array_max(F.transform("secrets", lambda s: s["bits"])).alias("most_bits"))
