@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, secret_scan, spelling, sql, topk, toxicity
+from panelcast.llm import (conversation_repair, embed_dedup, language, language_model, minhash, mixing, packing, pii, quality, secret_scan,
+                           spelling, sql, topk, toxicity)
 from panelcast.llm.labelled import remainder
 from panelcast.llm.staging import ship, table
 
@@ -102,6 +103,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+@query("op12_conversation_repair", sql.CONVERSATION_REPAIR)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows).withColumnRenamed("conv", "conv_id")
+
+
 @query("op13_secret_scans")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -80,20 +80,30 @@ lowest as (
   select x, min(y) as y from reached group by x)
 select s.doc_id, len(s.s)::bigint as n_shingles, y as component_id, s.doc_id = y as kept from sets s join lowest on x = s.doc_id
 """
-SPELLING_VARIANTS = r"""
-with recursive crc_table as (
+
+
+#: The table of CRC-32, by its rule, and the sum of a string of code points below U+0800.
+CRC_TABLE = """crc_table as (
   select list_transform(range(256), lambda t: list_reduce(list_concat([t], range(8)), lambda c, k:
-           case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+           case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t)"""
+
+
+def crc32(string: str) -> str:
+    return f"""xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split({string}, ''), lambda x:
+           case when unicode(x) < 128 then [unicode(x)::bigint] else [(192 + (unicode(x) >> 6))::bigint, (128 + (unicode(x) & 63))::bigint] end))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+SPELLING_VARIANTS = rf"""
+with recursive {CRC_TABLE},
 runs as (
-  select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) as raw from documents),
+  select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as raw from documents),
 lowered as (
   select coalesce(doc_id::varchar, '') as id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
          count(*) as times
   from runs where length(raw) >= 6 group by all),
 hashed as (
-  select run, times, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(id || ':' || run, ''), lambda x:
-           case when unicode(x) < 128 then [unicode(x)::bigint] else [(192 + (unicode(x) >> 6))::bigint, (128 + (unicode(x) & 63))::bigint] end))),
-           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+  select run, times, {crc32("id || ':' || run")} as h
   from lowered, crc_table),
 damaged as (
   select case when h % 199 = 0 then run[:(h % length(run))] || run[(h % length(run)) + 2:] else run end as word, times from hashed),
@@ -121,3 +131,61 @@ ended as (
   select word, arg_max(root, steps) as root from chain group by word)
 select f.word, form, root, n, n_near, form_n from formed f join ended e on f.word = e.word
 """
+
+
+def _edited(letter: str, cost: str, line: str | None, then: str) -> str:
+    lines = f"{then}.l" if line is None else f"list_prepend({line}, {then}.l)"
+    return f"{{'c': {then}.c + {cost}, 'a': '{letter}' || {then}.a, 'l': {lines}}}"
+
+
+def _row(state: str, kept: dict[str, str], role: str, then: str) -> str:
+    """The least of a row's edits in a state; ``kept`` has the state that a kept initial leads to."""
+    keeps = [f"case when not gone and left(role, 1) = '{c}' then {_edited('K', 'cut', 'line', to)} end" for c, to in kept.items()]
+    told = f"""case when not gone then {_edited('R', '2 + cut', f"'{role}:' || text", then)} end"""
+    return f"list_min([{', '.join([_edited('D', '3', None, state), *keeps, told])}])"
+
+
+def _or_inserted(here: str, role: str, then: str) -> str:
+    return f"""list_min([{here}, {_edited('I', '2', f"'{role}:'", then)}])"""
+
+
+CONVERSATION_REPAIR = rf"""
+with recursive {CRC_TABLE},
+dealt as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         {crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as k from conversations, crc_table),
+damaged as (
+  select conv_id, turn, case when k = 4 then 'user' else role end as role,
+         case when k = 1 then '' when k = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(case when k = 3 then [0, 1] else [0] end) as copy from dealt where k <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as ending from damaged),
+faulted as (
+  select *, case when ending = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+                 when ending not in ('.', '!', '?') then 'truncated' else '' end as fault,
+         lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair from placed),
+counted as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+         count(*) filter (where fault = 'truncated') as truncated, count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal
+  from faulted group by conv_id),
+everyone as (
+  select c.conv_id, coalesce(n, 0) as n, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+         coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal
+  from (select distinct conv_id from conversations) c left join counted d on c.conv_id is not distinct from d.conv_id),
+best as (
+  select conv_id, n + 1 as i, {{'c': 0, 'a': '', 'l': []::varchar[]}} as start_, {{'c': 4, 'a': 'II', 'l': ['user:', 'assistant:']}} as system_,
+         {{'c': 2, 'a': 'I', 'l': ['assistant:']}} as user_, {{'c': 0, 'a': '', 'l': []::varchar[]}} as assistant_ from everyone
+  union all
+  select conv_id, i, {_or_inserted('s0', 'user', 'u1')}, {_or_inserted('s1', 'user', 'u1')}, u1, {_or_inserted('s3', 'user', 's2')} from (
+    select *, {_or_inserted('s2', 'assistant', 's3')} as u1 from (
+      select conv_id, i, {_row('start_', {'s': 'system_', 'u': 'user_'}, 'user', 'user_')} as s0, {_row('system_', {'u': 'user_'}, 'user', 'user_')} as s1,
+             {_row('user_', {'a': 'assistant_'}, 'assistant', 'assistant_')} as s2, {_row('assistant_', {'u': 'user_'}, 'user', 'user_')} as s3
+      from (select b.*exclude (i), f.i, role, text, role || ':' || text as line, fault in ('blank', 'duplicate') as gone, (fault = 'truncated')::int as cut
+            from best b join faulted f on b.conv_id is not distinct from f.conv_id and f.i = b.i - 1))))
+select e.conv_id, gaps::bigint as gaps, blank::bigint as blank, duplicate::bigint as duplicate, truncated::bigint as truncated,
+       illegal::bigint as illegal, start_.c::bigint as cost, start_.a as audit,
+       sha256(coalesce(array_to_string(start_.l, chr(10)), '')) as repaired_sha256
+from everyone e join best b on e.conv_id is not distinct from b.conv_id where b.i = 1
+"""

@@ -11,7 +11,7 @@ from tests.llm.conftest import SF
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(training_data.ORACLES) <= set(names)
 
@@ -19,7 +19,7 @@ def test_all_operators_and_the_pipeline_are_registered():
 @pytest.mark.parametrize("name", sorted(training_data.ORACLES))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     got = training_data.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
