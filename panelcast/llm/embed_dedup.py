@@ -46,7 +46,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     A vector links with nothing if its group is null, or if it is null, empty, zero or holds null or non-finite
     components; vectors of unequal length don't link. A null id takes no part: no links, null component. Rows that
-    repeat an id are one node whose links add up; equal vectors under different ids link. Empty tables give none.
+    repeat an id and its vector are one vector, those that repeat an id with other vectors are vectors of their own, which
+    share a component; equal vectors under different ids link. Vectors of any length are compared whole; ties don't occur.
+    Empty tables give no rows. Only the three columns are read, so others may have any name.
     """
     prepared_type = "id long, class binary, group string, dim int, unit array<double>, keys array<long>"
     prepared_schema = pa.schema([("id", pa.int64()), ("class", pa.binary()), ("group", pa.string()), ("dim", pa.int32()),
@@ -56,9 +58,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[int, list] = {}
+            rest: list[int | None] = []
             for vec_id, group, values in zip(*(batch.column(i).to_pylist() for i in range(2)), _arrays(batch.column(2))):
                 if vec_id is not None and group is not None and values is not None and values.size and np.isfinite(values).all() and values.any():
                     found.setdefault(values.size, []).append((vec_id, group, values))
+                else:
+                    rest.append(vec_id)
+            yield pa.RecordBatch.from_arrays([pa.array(rest, pa.int64()), *(pa.nulls(len(rest), f.type) for f in list(prepared_schema)[1:])], schema=prepared_schema)
             for dim, members in found.items():
                 if dim not in fixed:
                     fixed[dim] = _projections(dim, tables, projections, width, seed)
@@ -84,9 +90,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     source = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(group_col).cast("string").alias("group"),
                             F.col(vector_col).cast("array<double>").alias("v"))
     prepared = staged(source.mapInArrow(prepare, prepared_type), "vectors")
-    classes = staged(prepared.groupBy("class").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("group").alias("group"), F.first("dim").alias("dim"),
-        F.first("unit").alias("unit"), F.first("keys").alias("keys")), "classes")
+    valid = prepared.where("class is not null")
+    copies = valid.select("class", "id").distinct().groupBy("class").agg(F.count("*").alias("copies"))
+    classes = staged(valid.groupBy("class").agg(
+        F.min("id").alias("least"), F.first("group").alias("group"), F.first("dim").alias("dim"), F.first("unit").alias("unit"), F.first("keys").alias("keys"))
+        .join(copies, "class").withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     keyed = classes.select("class", "rep", F.posexplode("keys").alias("table", "key"))
     sizes = keyed.groupBy("table", "key").agg(F.count("*").alias("members")).where("members > 1")
@@ -102,14 +110,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                    .mapInArrow(compare, "rep long, links long, root long"), "links")
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = connected_components(found.where("root is not null and root <> rep"), "rep", "root")
-    per_class = classes.groupBy("class").agg(F.first("rep").alias("rep"), F.first("copies").alias("copies"))
-    of_class = (per_class.join(links, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
-                .select("class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                        F.coalesce("component", "rep").alias("component_id")))
-    linked = (prepared.select("id", "class").join(of_class, "class")
-              .groupBy("id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id")))
-    return (vectors.select(F.col(id_col).cast("long").alias("vec_id")).join(linked, F.col("vec_id") == F.col("id"), "left")
+    several = valid.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("id")
+    shared = valid.join(several, "id", "left_semi").select("id", "class").distinct().join(classes.select("class", "rep"), "class").select("id", "rep")
+    same_id = shared.join(shared.groupBy("id").agg(F.min("rep").alias("root")), "id").select("rep", "root")
+    roots = staged(connected_components(found.where("root is not null").select("rep", "root").union(same_id).where("root <> rep"), "rep", "root"), "roots")
+    placed = (classes.select("class", "rep", "least", "copies").join(roots, F.col("rep") == F.col("node"), "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = (placed.join(links, "rep", "left").join(smallest, "component")
+                .select("class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"))
+    return (prepared.select(F.col("id").alias("vec_id"), "class").join(of_class, "class", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
 

@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.llm.packing import Tokenizer
-from panelcast.llm.staging import staged
+from panelcast.llm.staging import fresh, staged
 
-VOCABULARY = 50_256
+VOCABULARY = 50_257
 MAX_PAIRS = 1_000_000
 STRENGTH = 20.0
 FLUSH_PAIRS = 2_000_000
@@ -25,10 +25,10 @@ def _pairs(ids: np.ndarray) -> np.ndarray:
     return before * (VOCABULARY + 1) + ids
 
 
-def count_pairs(texts: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+def count_pairs(texts: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
     """``pair`` and ``n`` over whole texts, summed in each task before the shuffle. Null and empty texts have none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.load(ranks_path)
+        tokenizer = Tokenizer.load(vocabulary)
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -83,7 +83,7 @@ class MatchedModels:
         return out, *np.unique(np.concatenate(missing), return_counts=True)
 
 
-def learn(target: DataFrame, background: DataFrame, ranks_path: str, text_col: str = "text", max_pairs: int = MAX_PAIRS) -> MatchedModels:
+def learn(target: DataFrame, background: DataFrame, vocabulary: str, text_col: str = "text", max_pairs: int = MAX_PAIRS) -> MatchedModels:
     """Bigram models of two corpora, counted over all their texts.
 
     The vocabulary is the tokenizer's, so no token is unknown. Background counts are scaled to the target's number of
@@ -92,8 +92,8 @@ def learn(target: DataFrame, background: DataFrame, ranks_path: str, text_col: s
     score; that count is found from a histogram. The others stay a table, which scoring joins with the pairs of texts. So
     ``max_pairs`` bounds the memory of a task and changes no score.
     """
-    both = (count_pairs(target, ranks_path, text_col).select("pair", F.col("n").alias("target"), F.lit(0).cast("long").alias("background"))
-            .union(count_pairs(background, ranks_path, text_col).select("pair", F.lit(0).cast("long"), "n")))
+    both = (count_pairs(target, vocabulary, text_col).select("pair", F.col("n").alias("target"), F.lit(0).cast("long").alias("background"))
+            .union(count_pairs(background, vocabulary, text_col).select("pair", F.lit(0).cast("long"), "n")))
     counts = staged(both.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "pairs")
     token = counts.groupBy((F.col("pair") % (VOCABULARY + 1)).alias("token")).agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     totals = token.toPandas()
@@ -129,35 +129,36 @@ def learn(target: DataFrame, background: DataFrame, ranks_path: str, text_col: s
     return MatchedModels(pairs, seen.astype(np.float32), contexts, tokens, rest)
 
 
-def scored(docs: DataFrame, models: MatchedModels, ranks_path: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+def scored(docs: DataFrame, models: MatchedModels, vocabulary: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens``, ``target_loss``, ``background_loss`` (means per token) and ``score``, their difference.
 
     A low score says that a text is more like the target than like the background. Null and empty texts have no tokens
     and zeros. Columns that already have these names are replaced. Every row is scored by itself, whatever its id. Pairs
     that tasks do not hold are taken out once per text and joined with ``models.rest``. The rows are written on the way,
-    without the text unless ``keep_text``, and keep their order.
+    without the text unless ``keep_text``. Very long texts are read whole, in blocks; an empty table stays empty; all other
+    columns stay, whatever their names.
     """
     held = replace(models, rest=None)
 
     @F.pandas_udf("n_tokens long, target_loss double, background_loss double, pairs array<long>, times array<long>")
     def score(texts: pd.Series) -> pd.DataFrame:
-        tokenizer, out = Tokenizer.load(ranks_path), []
+        tokenizer, out = Tokenizer.load(vocabulary), []
         for text in texts:
             ids = np.frombuffer(tokenizer.encode(text), "<u4").astype(np.int64)
             sums, pairs, times = held.split(ids)
             out.append((len(ids), *sums, pairs, times))
         return pd.DataFrame(out, columns=["n_tokens", "target_loss", "background_loss", "pairs", "times"])
 
-    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_losses": score(F.col(text_col).cast("string"))})
+    row, losses, one, target, background = fresh(docs, "row", "losses", "one", "target", "background")
+    rows = docs.withColumns({row: F.monotonically_increasing_id(), losses: score(F.col(text_col).cast("string"))})
     rows = staged(rows if keep_text else rows.drop(text_col), "losses")
-    missing = (rows.select("_row", F.explode(F.arrays_zip(F.col("_losses.pairs").alias("pair"), F.col("_losses.times").alias("times"))).alias("_one"))
-               .select("_row", "_one.pair", "_one.times"))
-    gained = (missing.join(models.rest, "pair").groupBy("_row")
-              .agg(F.sum(F.col("times") * F.col("target_gain")).alias("_target"), F.sum(F.col("times") * F.col("background_gain")).alias("_background")))
-    rows = rows.join(gained, "_row", "left").orderBy("_row")
-    tokens = F.greatest(F.col("_losses.n_tokens"), F.lit(1))
-    rows = rows.withColumns({"_target": (F.col("_losses.target_loss") - F.coalesce("_target", F.lit(0.0))) / tokens,
-                             "_background": (F.col("_losses.background_loss") - F.coalesce("_background", F.lit(0.0))) / tokens})
-    return rows.withColumns({"n_tokens": F.col("_losses.n_tokens"), "target_loss": F.col("_target"),
-                             "background_loss": F.col("_background"),
-                             "score": F.col("_target") - F.col("_background")}).drop("_row", "_losses", "_target", "_background")
+    missing = (rows.select(row, F.explode(F.arrays_zip(F.col(f"{losses}.pairs").alias("pair"), F.col(f"{losses}.times").alias("times"))).alias(one))
+               .select(row, f"{one}.pair", f"{one}.times"))
+    gained = (missing.join(models.rest, "pair").groupBy(row)
+              .agg(F.sum(F.col("times") * F.col("target_gain")).alias(target), F.sum(F.col("times") * F.col("background_gain")).alias(background)))
+    tokens = F.greatest(F.col(f"{losses}.n_tokens"), F.lit(1))
+    rows = rows.join(gained, row, "left").withColumns({
+        target: (F.col(f"{losses}.target_loss") - F.coalesce(target, F.lit(0.0))) / tokens,
+        background: (F.col(f"{losses}.background_loss") - F.coalesce(background, F.lit(0.0))) / tokens})
+    return rows.withColumns({"n_tokens": F.col(f"{losses}.n_tokens"), "target_loss": F.col(target), "background_loss": F.col(background),
+                             "score": F.col(target) - F.col(background)}).drop(row, losses, target, background)

@@ -6,12 +6,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.llm.components import connected_components
-from panelcast.llm.staging import staged
+from panelcast.llm.staging import fresh, staged
 
 SHINGLE = 5
 PERCENT = 75
@@ -66,7 +67,7 @@ class NearDuplicates:
     """Links documents whose shingle sets have a Jaccard similarity of ``percent`` or more.
 
     1. Every text becomes its shingle set, a print of that set, and ``bands * rows`` minima. Texts with equal
-       sets are one class from here on, represented by its smallest id.
+       sets are one class from here on, represented by a number.
     2. The minima of a band are a bucket's key. In each bucket the classes are paired with its smallest one only.
        Pairs whose sizes or signatures rule the similarity out go; the rest is confirmed on full sets.
     3. Connected components of those links. Buckets whose members are all in one component are finished, however
@@ -78,8 +79,9 @@ class NearDuplicates:
     So no link that the bands find is lost, and no group is expanded into all its pairs. With the defaults a pair at
     similarity 0.75 misses all bands five times in a million.
 
-    A text without words (empty, null) has no set and links with nothing. A null id stays null; a class of null ids
-    alone has a null component. Rows that repeat an id are one document whose texts' classes are joined.
+    A text without words (empty, null) has no set and links with nothing. Classes are numbered, so those whose rows have
+    only null ids are compared like any other; a component of null ids alone is null. Rows that repeat an id are one
+    document: the classes of its texts are in one component. Very long texts are read whole. Other columns are not read.
     """
 
     def __init__(self, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
@@ -92,26 +94,31 @@ class NearDuplicates:
         """Per row ``doc_id``, ``n_shingles``, ``component_id``, ``kept``; an empty table gives no rows."""
         source = docs.select(F.col(self.id_col).cast("long").alias("doc_id"), F.col(self.text_col).cast("string").alias("text"))
         prints = staged(self._prints(source), "prints")
-        classes = staged(prints.where("n > 0").groupBy("print").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature")), "classes")
-        nodes = classes.where("rep is not null")
+        of_class = self._components(prints, source)
+        return (prints.select("doc_id", "n", "print").join(of_class, "print", "left")
+                .select("doc_id", F.col("n").alias("n_shingles"),
+                        F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
+                .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+    def _components(self, prints: DataFrame, source: DataFrame) -> DataFrame:
+        """``print``, ``component`` (a number) and ``smallest``, the smallest id in it, of every class."""
+        nodes = staged(prints.where("n > 0").groupBy("print").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
+            .withColumn("rep", F.monotonically_increasing_id()), "classes")
         buckets = staged(self._buckets(nodes), "buckets")
 
         near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
         pairs = buckets.where("rep <> pivot").where(near("n", "pivot_n")).select(F.col("rep").alias("x"), F.col("pivot").alias("y")).distinct()
-        links = staged(self._confirmed(pairs, nodes, source), "links")
+        links = staged(self._confirmed(pairs, nodes, source).union(_same_id(prints, nodes)), "links")
         found = staged(connected_components(links, "x", "y"), "components")
 
         unsettled = staged(self._open_members(buckets, nodes, found), "open")
         if not unsettled.isEmpty():
-            more = self._connecting_links(unsettled, source)
+            more = self._connecting_links(unsettled, nodes, source)
             found = connected_components(found.select(F.col("node").alias("x"), F.col("component").alias("y")).union(more), "x", "y")
-        of_class = (classes.select("print", "rep").join(found, F.col("rep") == F.col("node"), "left")
-                    .select("print", F.coalesce("component", "rep").alias("component")))
-        return (prints.select("doc_id", "n", "print").join(of_class, "print", "left")
-                .select("doc_id", F.col("n").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
-                .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+        placed = staged(nodes.select("print", "rep", "doc_id").join(found, F.col("rep") == F.col("node"), "left")
+                        .select("print", "doc_id", F.coalesce("component", "rep").alias("component")), "placed")
+        return placed.join(placed.groupBy("component").agg(F.min("doc_id").alias("smallest")), "component").select("print", "component", "smallest")
 
     def _prints(self, source: DataFrame) -> DataFrame:
         shingle, count, seed = self.shingle, self.bands * self.rows, self.seed
@@ -181,13 +188,15 @@ class NearDuplicates:
                 members = [shingle_set(text.as_py(), shingle) for text in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array([hashlib.blake2b(m.tobytes(), digest_size=16).digest() for m in members], pa.binary()),
-                    pa.array([m.tobytes() for m in members], pa.binary())], names=["rep", "print", "members"])
-
-        needed = reps.join(nodes.select("rep", "print"), "rep")
-        ids = staged(reps.select(F.col("rep").alias("doc_id")).distinct(), "ids")
-        texts = source.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-        full = (texts.mapInArrow(sets, "rep long, print binary, members binary").join(needed, ["rep", "print"])
-                .groupBy("rep", "print").agg(F.first("members").alias("members")))
+                    pa.array([m.tobytes() for m in members], pa.binary())], names=["id", "print", "members"])
+
+        needed = staged(reps.join(nodes.select("rep", "print", F.col("doc_id").alias("id")), "rep"), "ids")
+        ids = needed.where("id is not null").select("id").distinct()
+        texts = source.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+        if not needed.where("id is null").isEmpty():
+            texts = texts.union(source.where("doc_id is null"))
+        full = (texts.select("doc_id", "text").mapInArrow(sets, "id long, print binary, members binary").drop("id")
+                .join(needed.select("rep", "print"), "print").groupBy("rep", "print").agg(F.first("members").alias("members")))
         return staged(full, "sets")
 
     def _open_members(self, buckets: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -219,11 +228,10 @@ class NearDuplicates:
         return (tiles.mapInArrow(run, "key long, band int, i int, j int, member struct<rep: long, n: long, component: long, second: boolean, "
                                       "print: binary, signature: binary>").select("key", "band", "i", "j", "member.*"))
 
-    def _connecting_links(self, unsettled: DataFrame, source: DataFrame) -> DataFrame:
+    def _connecting_links(self, unsettled: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
         """Links among the members of each tile, enough to connect all that are."""
         least, percent, bands = self.least, self.percent, self.bands
-        nodes = unsettled.select("rep", "print").distinct()
-        full = self._sets(nodes.select("rep").distinct(), nodes, source)
+        full = self._sets(unsettled.select("rep").distinct(), nodes, source)
         member = F.struct("rep", "n", "component", "second", "signature", "members")
         tiles = unsettled.join(full, ["rep", "print"]).groupBy("key", "band", "i", "j").agg(F.collect_list(member).alias("members"))
 
@@ -271,17 +279,47 @@ def _candidates(rows: pa.StructArray, crossed: bool, band: int, bands: int, leas
     return tuple(np.concatenate([np.zeros(0, np.int64), *part]).astype(np.int64) for part in found)
 
 
+def _same_id(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between the classes of one id, each to the id's first class."""
+    known = prints.where("n > 0 and doc_id is not null").select("doc_id", "print")
+    several = known.groupBy("doc_id").agg(F.min("print").alias("a"), F.max("print").alias("b")).where("a <> b").select("doc_id")
+    shared = (known.join(several, "doc_id", "left_semi").distinct().join(nodes.select("print", "rep"), "print")).select("doc_id", "rep")
+    first = shared.groupBy("doc_id").agg(F.min("rep").alias("first"))
+    return shared.join(first, "doc_id").where("rep <> first").select(F.col("rep").alias("x"), F.col("first").alias("y"))
+
+
 def keep_one(docs: DataFrame, near: NearDuplicates) -> DataFrame:
-    """The rows of one document of every group of near-duplicates, the one with the smallest id, once.
+    """The rows of one document of every group of near-duplicates, once each; all columns stay.
 
-    All columns stay. Rows with a null id stay unless their text has a near-duplicate with an id.
+    It is the document with the smallest id, of an id's texts the one whose print is least; in a group without ids that
+    print decides alone. A text without words is in no group: it stays, once for each id, and always if the id is null.
+    An empty table stays empty.
     """
-    found = staged(near.classify(docs), "groups")
-    counted = found.where("kept").groupBy("doc_id").count()
-    once = counted.where("count = 1 or doc_id is null").select("doc_id")
-    repeated = counted.where("count > 1 and doc_id is not null").select("doc_id")
-    same = lambda ids: docs[near.id_col].eqNullSafe(ids["doc_id"])
-    kept = docs.join(once, same(once), "left_semi")
-    if repeated.isEmpty():
+    source = docs.select(F.col(near.id_col).cast("long").alias("doc_id"), F.col(near.text_col).cast("string").alias("text"))
+    prints = staged(near._prints(source), "prints")
+    rows = staged(prints.select("doc_id", "n", "print").join(near._components(prints, source), "print", "left"), "groups")
+    chosen = (rows.where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print")).alias("least"))
+              .select("least.doc_id", "least.print"))
+    times = rows.groupBy("doc_id").agg(F.count("*").alias("times"))
+    odd_ids = times.where("doc_id is null or times > 1").select("doc_id")
+    wanted = staged(chosen.union(rows.where("n = 0").select("doc_id", "print").distinct()), "chosen")
+    once = wanted.join(times.where("times = 1 and doc_id is not null"), "doc_id", "left_semi").select("doc_id")
+    known = docs[near.id_col].cast("long")
+    kept = docs.join(once, known == once["doc_id"], "left_semi")
+    if odd_ids.isEmpty():
         return kept
-    return kept.union(docs.join(repeated, same(repeated), "left_semi").dropDuplicates([near.id_col]))
+
+    @F.pandas_udf("struct<n: int, print: binary>")
+    def printed(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_set(t, near.shingle) for t in texts]
+        return pd.DataFrame({"n": [len(s) for s in sets], "print": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]})
+
+    (mark,) = fresh(docs, "mark")
+    odd = (docs.join(odd_ids, known.eqNullSafe(odd_ids["doc_id"]), "left_semi")
+           .withColumn(mark, printed(F.col(near.text_col).cast("string"))))
+    odd = odd.join(wanted, odd[near.id_col].cast("long").eqNullSafe(wanted["doc_id"]) & (odd[f"{mark}.print"] == wanted["print"]), "left_semi")
+    empty = F.col(near.id_col).isNull() & (F.col(f"{mark}.n") == 0)
+    (key,) = fresh(odd, "key")
+    odd = staged(odd.withColumn(key, F.when(empty, F.monotonically_increasing_id())), "odd")
+    single = odd.where(F.col(key).isNull()).withColumn(f"{key}p", F.col(f"{mark}.print")).dropDuplicates([near.id_col, f"{key}p"]).drop(f"{key}p")
+    return kept.union(single.drop(mark, key)).union(odd.where(F.col(key).isNotNull()).drop(mark, key))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelcast.llm.staging import staged
+from panelcast.llm.staging import fresh, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -100,18 +100,36 @@ def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col
     """Documents as often as the mix takes them: one row per whole copy, and one with the first words for a cut copy.
 
     Documents that the mix takes nothing from, those without words among them, are left out. Rows of one id and one
-    size, null ids among them, share evenly what they give, rounded down to a word.
+    size, null ids among them, share what they give: all the same, and the words that are over one more each. Very long
+    texts are cut like others, an empty table gives no rows, and all columns stay, whatever their names.
     """
-    copies = (mixed.where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
-              .agg(F.floor(F.sum("taken") / F.count("*")).alias("_taken"))
-              .withColumn("_copies", F.floor(F.col("_taken") / F.col("_size"))).withColumn("_rest", F.pmod("_taken", "_size")))
-    joined = docs.join(copies, docs[id_col].eqNullSafe(F.col("_id")) & (words(F.col(text_col)) == F.col("_size")))
-    each = joined.withColumn("_take", F.explode(F.when(F.col("_rest") > 0, F.array_append(
-        F.array_repeat(F.lit(-1).cast("long"), F.col("_copies").cast("int")), F.col("_rest"))).otherwise(
-        F.array_repeat(F.lit(-1).cast("long"), F.col("_copies").cast("int")))))
+    key, size, share, over, take, place = fresh(docs, "mix_id", "mix_size", "mix_share", "mix_over", "mix_take", "mix_place")
+    groups = staged(mixed.where("taken > 0").groupBy(F.col("doc_id").alias(key), F.col("size").alias(size))
+                    .agg(F.sum("taken").alias("words"), F.count("*").alias("rows"))
+                    .select(key, size, F.floor(F.col("words") / F.col("rows")).alias(share), F.pmod("words", "rows").alias(over)), "shares")
+    joined = docs.join(groups, docs[id_col].eqNullSafe(F.col(key)) & (words(F.col(text_col)) == F.col(size)))
+    if groups.where(F.col(over) > 0).isEmpty():
+        given = joined.withColumn(take, F.col(share))
+    else:
+        given = _places(joined, key, size, place).withColumn(take, F.col(share) + (F.col(place) < F.col(over)).cast("long"))
+    copies, rest = F.floor(F.col(take) / F.col(size)).cast("int"), F.pmod(take, size)
+    whole = F.array_repeat(F.lit(-1).cast("long"), copies)
+    each = given.withColumn(take, F.explode(F.when(rest > 0, F.array_append(whole, rest)).otherwise(whole)))
     runs = F.regexp_extract_all(text_col, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.when(F.col("_take") < 0, F.col(text_col)).otherwise(F.array_join(F.slice(runs, F.lit(1), F.col("_take").cast("int")), ""))
+    cut = F.when(F.col(take) < 0, F.col(text_col)).otherwise(F.array_join(F.slice(runs, F.lit(1), F.col(take).cast("int")), ""))
     out = each.withColumn(text_col, cut)
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col("_take") < 0, F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
+        out = out.withColumn(length_col, F.when(F.col(take) < 0, F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
     return out.select(*docs.columns)
+
+
+def _places(rows: DataFrame, key: str, size: str, place: str, parts: int = 64) -> DataFrame:
+    """``rows`` with each one's place among those of one id and size: counted inside salted parts, after those before."""
+    part, start = f"{place}_part", f"{place}_start"
+    kept = staged(rows.withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int")), "places")
+    before = Window.partitionBy(key, size).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (kept.groupBy(key, size, part).agg(F.count("*").alias("n")).withColumn(start, F.coalesce(F.sum("n").over(before), F.lit(0)))
+              .select(F.col(key).alias("k"), F.col(size).alias("s"), F.col(part).alias("p"), start))
+    joined = kept.join(starts, kept[key].eqNullSafe(starts["k"]) & (kept[size] == starts["s"]) & (kept[part] == starts["p"]))
+    inside = Window.partitionBy(key, size, part).orderBy(part)
+    return joined.withColumn(place, F.row_number().over(inside) - 1 + F.col(start)).drop("k", "s", "p", part, start)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,37 +30,50 @@ PIECES_DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens
               "part long, ids binary")
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write for bytes: visible ones stand for themselves, the others come after 255."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Tokenizer:
-    """Ids of a text as little-endian 32-bit bytes, by a byte-level BPE vocabulary of ranks.
+    """Ids of a text as little-endian 32-bit bytes, by the byte-level BPE vocabulary of a ``tokenizers`` file.
 
-    The strings of special tokens are ordinary text. The vocabulary's pattern starts a new token at a single space
-    between two visible characters, so a very long text is cut there into parts of a bounded size.
+    The ids are those that library gives: its added tokens are found in texts first, the rest is encoded by merges, here
+    with a faster encoder. The vocabulary's pattern starts a new token at a single space between two visible characters,
+    so a very long text is cut there into parts of a bounded size; added tokens may not hold spaces.
     """
 
     _loaded: dict[str, "Tokenizer"] = {}
     cut = re.compile(r"(?<=\S) (?=\S)")
 
-    def __init__(self, ranks_path: str):
+    def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
 
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(path, encoding="utf-8") as file:
+            stored = json.load(file)
+        added = {t["content"]: t["id"] for t in stored["added_tokens"]}
+        if any(re.search(r"\s", content) for content in added):
+            raise ValueError("an added token holds a space")
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in token): rank for token, rank in stored["model"]["vocab"].items() if token not in added}
+        self.encoding = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     @classmethod
-    def load(cls, ranks_path: str) -> "Tokenizer":
+    def load(cls, path: str) -> "Tokenizer":
         """One per worker process."""
-        if ranks_path not in cls._loaded:
-            cls._loaded[ranks_path] = cls(ranks_path)
-        return cls._loaded[ranks_path]
+        if path not in cls._loaded:
+            cls._loaded[path] = cls(path)
+        return cls._loaded[path]
 
     def encode(self, text: str | None, part: int = PART_CHARACTERS) -> bytes:
         out, at, text = [], 0, text or ""
         while at < len(text):
             found = self.cut.search(text, at + part) if len(text) - at > part else None
             end = found.start() if found else len(text)
-            out.append(np.array(self.encoding.encode_ordinary(text[at:end]), "<u4").tobytes())
+            out.append(np.array(self.encoding.encode(text[at:end], allowed_special="all"), "<u4").tobytes())
             at = end
         return b"".join(out)
 
@@ -142,7 +155,7 @@ def _record_batch(rows: list[tuple], part: int | None, keep_ids: bool) -> pa.Rec
     return pa.RecordBatch.from_arrays(arrays, schema=PIECES)
 
 
-def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
          windows: int = WINDOWS, fan_in: int = FAN_IN, keep_ids: bool = False) -> DataFrame:
     """Pieces of tokenised documents, placed in sequences of at most ``size`` tokens (a power of two).
 
@@ -152,7 +165,8 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
     tasks together, to a merge that packs it the same way and cuts its last sequence at powers of two. So every
     sequence is full or as long as a power of two, and nothing is padded.
 
-    A document is its ids and a separator, id 0; a null or empty text is the separator alone. Rows that repeat
+    ``vocabulary`` is the path of a ``tokenizers`` file. A document is its ids and a separator, id 0; a null or empty text is
+    the separator alone, a very long one is cut like any other and encoded in parts. Rows that repeat
     an id are documents of their own; a null id stays null. An empty table gives no rows. Only the two named
     columns are read, so others may have any name. ``keep_ids`` adds the ids of each piece (32-bit, little-endian).
     """
@@ -161,7 +175,7 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        tokenizer, packer = Tokenizer.load(ranks_path), Packer(size, windows, part << 32)
+        tokenizer, packer = Tokenizer.load(vocabulary), Packer(size, windows, part << 32)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for i in range(batch.num_rows):

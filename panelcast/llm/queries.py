@@ -28,16 +28,16 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-def ranks() -> str:
-    """The vocabulary of byte_bpe_50k.json, as the ranks that the faster encoder reads."""
+def vocabulary() -> str:
+    """The file of the tokenizer that packing and language models use."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 @query("op1_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), ranks())
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
 @query("op2_toxicity")
@@ -70,8 +70,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against conversations as the target; the background is the documents themselves."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    models = language_model.learn(table(spark, sf_dir, "conversations"), docs, ranks())
-    return language_model.scored(docs, models, ranks(), keep_text=False)
+    models = language_model.learn(table(spark, sf_dir, "conversations"), docs, vocabulary())
+    return language_model.scored(docs, models, vocabulary(), keep_text=False)
 
 
 @query("op7_quality")

@@ -48,17 +48,17 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 EMBEDDING_DEDUP = """
 with recursive whole as (
-  select vec_id, label, embedding::double[] as v from embeddings
-  where label is not null and embedding is not null
+  select distinct vec_id, label, embedding::double[] as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null
     and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x <> 0]) > 0),
 links as (
-  select a.vec_id as x, b.vec_id as y from whole a join whole b on a.label = b.label and a.vec_id <> b.vec_id
-  where list_cosine_similarity(a.v, b.v) >= 0.98),
+  select a.vec_id as x, a.label, a.v, b.vec_id as y
+  from whole a join whole b on a.label = b.label and (a.vec_id <> b.vec_id or a.v <> b.v) where list_cosine_similarity(a.v, b.v) >= 0.98),
 reached(x, y) as (
   select vec_id, vec_id from embeddings union select r.x, l.y from reached r join links l on r.y = l.x),
 lowest as (
   select x, min(y) as y from reached group by x)
-select e.vec_id, (select count(*) from links l where l.x = e.vec_id) as n_links, y as component_id, e.vec_id = y as kept
+select e.vec_id, (select count(*) from links l where l.x = e.vec_id and l.label = e.label and l.v = e.embedding::double[]) as n_links, y as component_id, e.vec_id = y as kept
 from embeddings e join lowest on x = e.vec_id
 """
 

@@ -1,8 +1,11 @@
 import math
 
+import duckdb
 import numpy as np
+import pandas as pd
 
 from panelcast.llm.embed_dedup import near_duplicates
+from panelcast.llm.sql import EMBEDDING_DEDUP
 from tests.llm.conftest import components
 
 TYPE = "vec_id long, embedding array<float>, label int, links string, rep string"
@@ -51,7 +54,19 @@ def test_against_all_cosines(spark):
 
 
 def test_null_ids_repeated_rows_and_an_empty_table(spark):
-    got = spark.createDataFrame([(None, [1.0, 0.0], 0, "", ""), (1, [1.0, 0.0], 0, "", ""), (1, [1.0, 0.0], 0, "", "")], TYPE)
-    rows = near_duplicates(got).collect()
-    assert sorted((r.vec_id or -1, r.component_id or -1, r.kept) for r in rows) == [(-1, -1, True), (1, 1, True), (1, 1, True)]
+    near, far = [1.0, 0.01], [0.0, 1.0]
+    rows = [(None, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, far, 0), (2, near, 0), (3, far, 0), (4, near, 0), (4, near, 0),
+            (5, [1.0, 0.0], 1), (6, None, 0), (6, None, 0)]
+    df = spark.createDataFrame([(i, v, g, "", "") for i, v, g in rows], TYPE)
+    nodes = {(i, tuple(v), g) for i, v, g in rows if i is not None and v}
+    cosine = lambda a, b: np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)
+    links = [(a, b) for a in nodes for b in nodes if a != b and a[2] == b[2] and cosine(a[1], b[1]) >= 0.98]
+    reach = components([i for i in range(1, 7)], [(a[0], b[0]) for a, b in links])
+    want = [(i or -1, sum(a == (i, tuple(v or ()), g) for a, _ in links), reach.get(i, -1), reach.get(i) == i) for i, v, g in rows]
+    got = near_duplicates(df).collect()
+    assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1, r.kept) for r in got) == sorted(want)
+    con = duckdb.connect()
+    con.register("embeddings", pd.DataFrame([(i, v, g) for i, v, g in rows if i is not None], columns=["vec_id", "embedding", "label"]))
+    sql = con.execute(f"select vec_id, n_links, component_id, kept from ({EMBEDDING_DEDUP})").fetchall()
+    assert sorted(sql) == sorted(w for w in want if w[0] > 0)
     assert run(spark, []) == {}

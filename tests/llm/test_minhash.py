@@ -56,12 +56,35 @@ def test_against_all_pairs(spark, make_docs, texts):
         assert got == expected
 
 
-def test_null_ids_and_repeated_rows(spark, make_docs):
-    docs = make_docs([(None, "x y", "s"), (3, "x y", "s"), (3, "x y", "s"), (None, "alone here", "s"), (5, "z", "s")])
-    got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in NearDuplicates().classify(docs).collect())
-    assert got == [(-1, -1, True), (-1, 3, False), (3, 3, True), (3, 3, True), (5, 5, True)]
-    kept = keep_one(docs, NearDuplicates())
-    assert kept.columns == docs.columns and sorted(r.doc_id or -1 for r in kept.where("doc_id is not null").collect()) == [3, 5]
+def rows_by_hand(rows):
+    """Components of rows: those with one id and words are one document, near ones are linked."""
+    sets = [shingles(t) for _, t in rows]
+    alike = lambda a, b: sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if alike(a, b) or sets[a] and sets[b] and rows[a][0] is not None and rows[a][0] == rows[b][0]]
+    of = components(range(len(rows)), links)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[of[k]] = min((x for x in (least.get(of[k]), i) if x is not None), default=None)
+    return [(i, len(sets[k]), least[of[k]] if sets[k] else i, i == (least[of[k]] if sets[k] else i)) for k, (i, _) in enumerate(rows)], of, sets
+
+
+def test_null_and_repeated_ids(spark, make_docs, texts):
+    a, b = texts[0], texts[20]
+    near_a, near_b = a + " more", b + " more"
+    lone = " ".join(f"q{i}" for i in range(40))
+    rows = [(3, a), (7, a), (7, b), (9, near_b), (None, near_a), (None, a), (None, lone), (None, lone), (None, lone + " x"), (None, "x y"),
+            (11, "z w"), (11, "z w"), (12, ""), (12, None), (None, ""), (None, None), (13, "u v"), (13, ""), (14, "p"), (15, "P")]
+    want, of, sets = rows_by_hand(rows)
+    docs = make_docs([(i, t, "s") for i, t in rows])
+    found = NearDuplicates().classify(docs).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == sorted(want, key=repr)
+    kept = keep_one(docs.withColumnsRenamed({"start": "mark", "size": "print"}), NearDuplicates())
+    assert kept.columns == ["doc_id", "text", "lang", "source", "mark", "print", "score"]
+    kept = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    groups = {of[k] for k in range(len(rows)) if sets[k]}
+    assert sum(bool(shingles(t)) for _, t in kept) == len(groups)
+    assert [x for x in kept if x[0] in (3, 7, 9)] == [(3, a)] and len([x for x in kept if x[0] is None and not x[1]]) == 2
+    assert sum(x[0] == 12 for x in kept) == 1 and sum(x[0] == 11 for x in kept) == 1 and sum(x[0] == 13 for x in kept) == 2
 
 
 def test_empty_table(spark, make_docs):

@@ -65,6 +65,17 @@ def test_copies_of_rows_without_an_id(spark, make_docs):
     assert sorted(r.text for r in out.collect()) == sorted(r.text for r in docs.collect())
 
 
+def test_no_word_of_the_budget_is_lost_on_repeated_ids(spark, make_docs):
+    docs = make_docs([(k // 5, "a b c d e f g", "st"[k % 2]) for k in range(40)] + [(None, "x y z", "u")] * 30)
+    clashing = docs.withColumnsRenamed({"start": "_size", "size": "mix_take", "score": "mix_id"})
+    mixed = mix(docs, weights=(5, 1, 3))
+    out = repeated(clashing, mixed)
+    assert out.columns == clashing.columns
+    given = {s: sum(len(r.text.split()) for r in out.where(f"source = '{s}'").collect()) for s in "stu"}
+    assert given == {s: sum(r.taken for r in mixed.where(f"source = '{s}'").collect()) for s in "stu"}
+    assert sum(given.values()) > 300
+
+
 def test_one_source_empty_texts_and_an_empty_table(spark, make_docs):
     one = mix(make_docs([(1, "a b", "s"), (2, "c", "s"), (2, "c", "s")])).collect()
     assert sorted((r.doc_id, r.taken) for r in one) == [(1, 2), (2, 1), (2, 1)]
