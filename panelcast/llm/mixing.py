@@ -96,22 +96,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             length_col: str = "n_chars") -> DataFrame:
+             source_col: str = "source", length_col: str = "n_chars") -> DataFrame:
     """Documents as often as the mix takes them: one row per whole copy, and one with the first words for a cut copy.
 
-    Documents that the mix takes nothing from, those without words among them, are left out. Rows of one id and one
-    size, null ids among them, share what they give: all the same, and the words that are over one more each. Very long
+    Documents that the mix takes nothing from, those without words among them, are left out. Rows of one id, one
+    source and one size, null ids among them, share what they give: all the same, and the words that are over one more each. Very long
     texts are cut like others, an empty table gives no rows, and all columns stay, whatever their names.
     """
-    key, size, share, over, take, place = fresh(docs, "mix_id", "mix_size", "mix_share", "mix_over", "mix_take", "mix_place")
-    groups = staged(mixed.where("taken > 0").groupBy(F.col("doc_id").alias(key), F.col("size").alias(size))
+    key, size, origin, share, over, take, place = fresh(docs, "mix_id", "mix_size", "mix_source", "mix_share", "mix_over", "mix_take", "mix_place")
+    groups = staged(mixed.where("taken > 0").groupBy(F.col("doc_id").alias(key), F.col("size").alias(size), F.col("source").alias(origin))
                     .agg(F.sum("taken").alias("words"), F.count("*").alias("rows"))
-                    .select(key, size, F.floor(F.col("words") / F.col("rows")).alias(share), F.pmod("words", "rows").alias(over)), "shares")
-    joined = docs.join(groups, docs[id_col].eqNullSafe(F.col(key)) & (words(F.col(text_col)) == F.col(size)))
+                    .select(key, size, origin, F.floor(F.col("words") / F.col("rows")).alias(share), F.pmod("words", "rows").alias(over)), "shares")
+    joined = docs.join(groups, docs[id_col].eqNullSafe(F.col(key)) & (words(F.col(text_col)) == F.col(size))
+                       & docs[source_col].cast("string").eqNullSafe(F.col(origin)))
     if groups.where(F.col(over) > 0).isEmpty():
         given = joined.withColumn(take, F.col(share))
     else:
-        given = _places(joined, key, size, place).withColumn(take, F.col(share) + (F.col(place) < F.col(over)).cast("long"))
+        given = _places(joined, (key, size, origin), place).withColumn(take, F.col(share) + (F.col(place) < F.col(over)).cast("long"))
     copies, rest = F.floor(F.col(take) / F.col(size)).cast("int"), F.pmod(take, size)
     whole = F.array_repeat(F.lit(-1).cast("long"), copies)
     each = given.withColumn(take, F.explode(F.when(rest > 0, F.array_append(whole, rest)).otherwise(whole)))
@@ -123,13 +124,16 @@ def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col
     return out.select(*docs.columns)
 
 
-def _places(rows: DataFrame, key: str, size: str, place: str, parts: int = 64) -> DataFrame:
-    """``rows`` with each one's place among those of one id and size: counted inside salted parts, after those before."""
+def _places(rows: DataFrame, group: tuple[str, ...], place: str, parts: int = 64) -> DataFrame:
+    """``rows`` with each one's place in its group: counted inside salted parts of it, after those before."""
     part, start = f"{place}_part", f"{place}_start"
     kept = staged(rows.withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int")), "places")
-    before = Window.partitionBy(key, size).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (kept.groupBy(key, size, part).agg(F.count("*").alias("n")).withColumn(start, F.coalesce(F.sum("n").over(before), F.lit(0)))
-              .select(F.col(key).alias("k"), F.col(size).alias("s"), F.col(part).alias("p"), start))
-    joined = kept.join(starts, kept[key].eqNullSafe(starts["k"]) & (kept[size] == starts["s"]) & (kept[part] == starts["p"]))
-    inside = Window.partitionBy(key, size, part).orderBy(part)
-    return joined.withColumn(place, F.row_number().over(inside) - 1 + F.col(start)).drop("k", "s", "p", part, start)
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = kept.groupBy(*group, part).agg(F.count("*").alias("n")).withColumn(start, F.coalesce(F.sum("n").over(before), F.lit(0)))
+    starts = starts.select(*[F.col(c).alias(f"{c}_of") for c in (*group, part)], start)
+    same = F.lit(True)
+    for c in (*group, part):
+        same = same & kept[c].eqNullSafe(starts[f"{c}_of"])
+    inside = Window.partitionBy(*group, part).orderBy(part)
+    return (kept.join(starts, same).withColumn(place, F.row_number().over(inside) - 1 + F.col(start))
+            .drop(*[f"{c}_of" for c in (*group, part)], part, start))
