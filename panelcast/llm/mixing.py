@@ -104,8 +104,8 @@ def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col
     texts are cut like others, an empty table gives no rows, and all columns stay, whatever their names.
     """
     key, size, origin, share, over, take, place = fresh(docs, "mix_id", "mix_size", "mix_source", "mix_share", "mix_over", "mix_take", "mix_place")
-    groups = staged(mixed.where("taken > 0").groupBy(F.col("doc_id").alias(key), F.col("size").alias(size), F.col("source").alias(origin))
-                    .agg(F.sum("taken").alias("words"), F.count("*").alias("rows"))
+    groups = staged(mixed.groupBy(F.col("doc_id").alias(key), F.col("size").alias(size), F.col("source").alias(origin))
+                    .agg(F.sum("taken").alias("words"), F.count("*").alias("rows")).where("words > 0")
                     .select(key, size, origin, F.floor(F.col("words") / F.col("rows")).alias(share), F.pmod("words", "rows").alias(over)), "shares")
     joined = docs.join(groups, docs[id_col].eqNullSafe(F.col(key)) & (words(F.col(text_col)) == F.col(size))
                        & docs[source_col].cast("string").eqNullSafe(F.col(origin)))
