@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 from time import perf_counter
@@ -24,6 +25,7 @@ from panelcast.operators.features import (
     other_features, vector_size, window_values,
 )
 from panelcast.operators.joins import pair
+from panelcast.operators.normal_equations import Moments, moments
 from panelcast.operators.timeseries import LAGS, MEAN_WINDOWS, STD_WINDOWS, fold_bounds
 from panelcast.schemas import HORIZON, KEYS, OBSERVED, TIME, VALUE
 from panelcast.session import ensure_checkpoints
@@ -127,11 +129,50 @@ def fit(train: DataFrame, config: dict | None = None) -> PipelineModel:
         panel.unpersist()
 
 
-def window_settings(model: PipelineModel) -> tuple[list, list, list]:
+@dataclass(frozen=True)
+class LinearForecaster:
+    """A pooled linear model given by its numbers: solved from normal equations, or set by hand.
+
+    It forecasts and is evaluated like a fitted pipeline. Coefficients are in the order of the feature vector.
+    """
+
+    coefficients: tuple[float, ...]
+    intercept: float
+    config: dict = field(default_factory=dict)
+
+
+def design(panel: DataFrame, settings, others, keys=KEYS, time: str = TIME, value: str = VALUE) -> DataFrame:
+    """Time, value and the feature array ``x`` of every row with a full history."""
+    lags, means, stds = settings
+    ready = WindowFeatures(lags=lags, means=means, stds=stds).transform(CalendarFeatures().transform(AttachKeys().transform(panel)))
+    x = F.concat("window", F.array(*[F.col(c).cast("double") for c in others])) if others else F.col("window")
+    return ready.select(*keys, time, value, x.alias("x"))
+
+
+def moments_of(panel: DataFrame, config: dict | None = None) -> Moments:
+    """Second moments of all features and the value over the training rows of a panel."""
+    settings, others = feature_settings(config or {}), other_features(config or {})
+    width = vector_size(*settings, others) + 1
+    rows = design(panel, settings, others).withColumn("_all", F.lit(0))
+    return moments(rows, "_all", "x", VALUE, width).get(0, Moments.none(width))
+
+
+def solve(train: DataFrame, config: dict | None = None) -> LinearForecaster:
+    """The linear model of a configuration in one pass over the panel; nothing is kept between passes."""
+    config = checked(config)
+    coefficients, intercept = moments_of(train, config).ridge(effective(config)["reg_lambda"])
+    return LinearForecaster(tuple(map(float, coefficients)), intercept, config)
+
+
+def window_settings(model) -> tuple[list, list, list]:
+    if isinstance(model, LinearForecaster):
+        return feature_settings(model.config)
     return next(s for s in model.stages if isinstance(s, WindowFeatures)).settings()
 
 
-def others_of(model: PipelineModel) -> list[str]:
+def others_of(model) -> list[str]:
+    if isinstance(model, LinearForecaster):
+        return other_features(model.config)
     stage = next(s for s in model.stages if isinstance(s, FeatureVector))
     return list(stage.getOrDefault("others"))
 
@@ -219,8 +260,8 @@ def linear_weights(coefficients, intercept: float, settings, others=(*CALENDAR,
     }
 
 
-def weights_of(model: PipelineModel) -> dict:
-    fitted = model.stages[-1]
+def weights_of(model) -> dict:
+    fitted = model if isinstance(model, LinearForecaster) else model.stages[-1]
     return linear_weights(fitted.coefficients, fitted.intercept, window_settings(model), others_of(model))
 
 
@@ -328,7 +369,7 @@ def as_rows(forecasts: DataFrame, horizon: int = HORIZON, keys=KEYS, time: str =
 
 
 def forecast(
-    model: PipelineModel, panel: DataFrame, horizon: int = HORIZON, series: DataFrame | None = None,
+    model: PipelineModel | LinearForecaster, panel: DataFrame, horizon: int = HORIZON, series: DataFrame | None = None,
     fill: str | None = "zero",
 ) -> DataFrame:
     """Forecast the ``horizon`` hours after the latest hour of the panel.
@@ -341,7 +382,7 @@ def forecast(
         state = series.join(state.drop("last"), list(KEYS), "left").withColumn(
             "last", panel.agg(F.max(TIME)).scalar()
         )
-    if isinstance(model.stages[-1], _linear_model_type()):
+    if isinstance(model, LinearForecaster) or isinstance(model.stages[-1], _linear_model_type()):
         done = linear_forecast(state, literal_weights(weights_of(model)), settings[2], horizon)
     else:
         done = tree_forecast(state, model.stages[-1], settings, horizon, others_of(model))
@@ -353,7 +394,7 @@ def _linear_model_type():
     return LinearRegressionModel
 
 
-def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, horizon: int = HORIZON) -> DataFrame:
+def evaluate(model: PipelineModel | LinearForecaster, train: DataFrame, test: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """(actual, forecast) pairs of the test hours that have an observation, whatever its value."""
     return pair(observed(test), forecast(model, train, horizon))
 
@@ -407,16 +448,17 @@ FOLD_RESULTS = "config_id int, fold int, config string, MAPE double, fit_time do
 
 def cross_validate(
     panel: DataFrame, configs: list[dict], horizon: int = HORIZON, k: int = 3, parallel_trials: int = 4,
-    std=GRID_STD_WINDOWS, keep_features: bool = True,
+    std=GRID_STD_WINDOWS, keep_features: bool = True, solved: dict | None = None,
 ) -> DataFrame:
     """Fold results (config_id, fold, config, MAPE, fit_time, prediction_time) of all trials.
 
     Every setting of a configuration counts; ``config`` is the whole of it with what the learner really
-    got, as JSON. Configurations with the same features share them: the feature rows, some 700 bytes
-    each, are kept for their trials, or with ``keep_features=False`` made anew by each trial, for
-    training tables whose features do not fit the cluster's memory and local disks. Each trial is a
-    Spark job on the rows before its fold's cut. Linear models come back as a few numbers per trial and
-    are forecast in a single plan; a tree model is forecast by its own trial.
+    got, as JSON. All linear trials that look equally far back cost one pass over the panel, whatever their penalties,
+    folds and features (``fold_moments``), and are forecast in a single plan. Tree trials with the same features
+    share the feature rows, some 700 bytes each, which are kept, or with ``keep_features=False`` made anew by each
+    trial, for training tables whose features do not fit the cluster's memory and local disks; each is a fit on the
+    rows before its fold's cut, forecast by itself. A dictionary given as ``solved`` gets (coefficients, penalty, moments) of
+    every linear trial by (config_id, fold).
     """
     spark = panel.sparkSession
     configs = [{"std": std, **checked(c)} for c in configs]
@@ -424,59 +466,109 @@ def cross_validate(
     cuts = [(r["fold"], r["train_end"], r["origin"]) for r in folds.collect()]
     kept = panel.select(*KEYS, TIME, VALUE).persist()
     truth = observed(panel).select(*KEYS, TIME, F.col(VALUE).alias("y"))
-    alike: dict[str, list[dict]] = {}
-    for config in configs:
-        alike.setdefault(json.dumps([feature_settings(config), other_features(config)]), []).append(config)
+    alike: dict[tuple, list[dict]] = {}
+    for config in configs:  # linear trials share one pass if they look equally far back, trees if their features are the same
+        linear = effective(config).keys() == {"reg_lambda"}
+        same = depth_of(*feature_settings(config)) if linear else json.dumps([feature_settings(config), other_features(config)])
+        alike.setdefault((linear, same), []).append(config)
     try:
-        results = [r for group in alike.values() for r in _trials(spark, kept, truth, folds, cuts, group, horizon, parallel_trials, keep_features)]
+        results = []
+        for (linear, _), group in alike.items():
+            if linear:
+                results += _linear_trials(spark, kept, truth, folds, cuts, group, horizon, {} if solved is None else solved)
+            else:
+                results += _trials(spark, kept, truth, folds, cuts, group, horizon, parallel_trials, keep_features)
     finally:
         kept.unpersist()
     return spark.createDataFrame(sorted(results), FOLD_RESULTS)
 
 
+def _union(lists) -> list:
+    return list(dict.fromkeys(tuple(x) if isinstance(x, list) else x for one in lists for x in one))
+
+
+def fold_moments(panel: DataFrame, cuts: list[tuple], settings, others) -> list[Moments]:
+    """The state of the training rows of every fold, from one pass.
+
+    Folds expand, so a row counts in the first fold that trains on it and in all later ones: each row goes to one segment
+    between two cuts, and a fold's state is the merged states of the segments up to its cut.
+    """
+    ends = sorted((train_end, fold, origin) for fold, train_end, origin in cuts)
+    segment = F.lit(None).cast("int")
+    for i, (train_end, _, origin) in reversed(list(enumerate(ends))):
+        cut = F.timestamp_add("HOUR", F.lit(train_end).cast("int"), F.lit(str(origin)).cast("timestamp_ntz"))
+        segment = F.when(F.col(TIME) < cut, F.lit(i)).otherwise(segment)
+    width = vector_size(*settings, others) + 1
+    found = moments(design(panel, settings, others).withColumn("_segment", segment), "_segment", "x", VALUE, width)
+    out, total = {}, Moments.none(width)
+    for i, (_, fold, _) in enumerate(ends):
+        total = total.merge(found.get(i, Moments.none(width)))
+        out[fold] = total
+    return [out[fold] for fold, _, _ in cuts]
+
+
+def _linear_trials(spark, panel, truth, folds, cuts, configs: list[dict], horizon, out: dict) -> list[tuple]:
+    """Linear trials that look equally far back: one pass for the equations of all, one plan for their forecasts.
+
+    The pass has every feature that any trial has; a trial solves its rows and columns of the equations on the driver.
+    """
+    each = {c["config_id"]: (feature_settings(c), other_features(c)) for c in configs}
+    settings = tuple(_union(s[i] for s, _ in each.values()) for i in range(3))
+    others = _union(o for _, o in each.values())
+    names = [*(("lag", k) for k in settings[0]), *(("mean", *w) for w in settings[1]), *(("std", *w) for w in settings[2]), *others]
+    place = {name: i for i, name in enumerate(names)}
+    began = perf_counter()
+    states = fold_moments(panel, cuts, settings, others)
+    passed = (perf_counter() - began) / (len(configs) * len(cuts))
+    lines, fit_times = [], {}
+    for config in configs:
+        (lags, means, stds), own = each[config["config_id"]]
+        columns = [place[n] for n in (*(("lag", k) for k in lags), *(("mean", *w) for w in means), *(("std", *w) for w in stds), *own)]
+        for (fold, _, _), state in zip(cuts, states):
+            began = perf_counter()
+            own_state, penalty = state.only(columns), effective(config)["reg_lambda"]
+            solved, intercept = own_state.ridge(penalty)
+            out[config["config_id"], fold] = solved, penalty, own_state
+            wide = np.zeros(len(names))
+            wide[columns] = solved
+            w = linear_weights(wide, intercept, settings, others)
+            lines.append((config["config_id"], fold, w["lag"], w["std"], w["calendar"], w["key"], w["intercept"]))
+            fit_times[config["config_id"], fold] = passed + perf_counter() - began
+    histories = fold_histories(panel, folds, depth_of(*settings))
+    began = perf_counter()
+    state = histories.join(spark.createDataFrame(lines, FOLD_WEIGHTS), "fold")
+    predicted = as_rows(linear_forecast(state, {n: F.col(n) for n in WEIGHTS}, settings[2], horizon), horizon, ("config_id", "fold", *KEYS))
+    scored = score(predicted.withColumnRenamed(VALUE, "p").join(truth, [*KEYS, TIME]), ("config_id", "fold")).collect()
+    took = (perf_counter() - began) / len(lines)
+    errors = {(r["config_id"], r["fold"]): r["MAPE"] for r in scored}
+    by_id = {c["config_id"]: json.dumps({**c, **effective(c)}) for c in configs}
+    return [(c, fold, by_id[c], errors.get((c, fold)), spent, took) for (c, fold), spent in fit_times.items()]
+
+
 def _trials(spark, panel, truth, folds, cuts, configs: list[dict], horizon, parallel_trials, keep_features) -> list[tuple]:
-    """Trials of configurations that have the same features."""
+    """Trials of trees that have the same features: each is a fit of its own."""
     settings, others = feature_settings(configs[0]), other_features(configs[0])
     ready = features_of(panel, configs[0]).select(TIME, VALUE, "features")
     if keep_features:
         ready = ready.persist()
     histories = fold_histories(panel, folds, depth_of(*settings))
 
-    def scored(predicted: DataFrame, by) -> list:
-        return score(predicted.withColumnRenamed(VALUE, "p").join(truth, [*KEYS, TIME]), by).collect()
-
     def trial(job) -> tuple:
         config, (fold, train_end, origin) = job
         cut = F.timestamp_add("HOUR", F.lit(train_end).cast("int"), F.lit(str(origin)).cast("timestamp_ntz"))
         began = perf_counter()
         fitted = regressor(config).fit(ready.filter(F.col(TIME) < cut))
         elapsed = perf_counter() - began
-        if isinstance(fitted, _linear_model_type()):
-            w = linear_weights(fitted.coefficients, fitted.intercept, settings, others)
-            return config, fold, elapsed, (w["lag"], w["std"], w["calendar"], w["key"], w["intercept"]), None, None
         began = perf_counter()
         done = tree_forecast(histories.filter(F.col("fold") == fold).drop("fold"), fitted, settings, horizon, others)
-        rows = scored(as_rows(done, horizon), ())
-        return config, fold, elapsed, None, rows[0]["MAPE"], perf_counter() - began
+        rows = score(as_rows(done, horizon).withColumnRenamed(VALUE, "p").join(truth, [*KEYS, TIME]), ()).collect()
+        return config["config_id"], fold, json.dumps({**config, **effective(config)}), rows[0]["MAPE"], elapsed, perf_counter() - began
 
     try:
         with ThreadPool(parallel_trials) as pool:
-            done = pool.map(inheritable_thread_target(spark)(trial), list(product(configs, cuts)))
-        lines = [(c["config_id"], fold, *weights) for c, fold, _, weights, _, _ in done if weights]
-        by_trial, each = {}, 0.0
-        if lines:
-            state = histories.join(spark.createDataFrame(lines, FOLD_WEIGHTS), "fold")
-            began = perf_counter()
-            predicted = as_rows(linear_forecast(state, {n: F.col(n) for n in WEIGHTS}, settings[2], horizon), horizon, ("config_id", "fold", *KEYS))
-            by_trial = {(r["config_id"], r["fold"]): r["MAPE"] for r in scored(predicted, ("config_id", "fold"))}
-            each = (perf_counter() - began) / len(lines)
+            return pool.map(inheritable_thread_target(spark)(trial), list(product(configs, cuts)))
     finally:
         ready.unpersist()
-    return [
-        (c["config_id"], fold, json.dumps({**c, **effective(c)}), by_trial.get((c["config_id"], fold), mape), fit_time,
-         each if predict_time is None else predict_time)
-        for c, fold, fit_time, _, mape, predict_time in done
-    ]
 
 
 def validation_summary(results: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from panelcast.plans import prediction, training
 from panelcast.queries.aggregation import FOLDS, INDEXED, SEASON_TRIALS, SLICES_SQL, season_results, slices
 from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import (
-    APE, LAGGED, LINE, LINE_OF_ALL, LINE_OF_TRAIN, LINE_PAIRS, NEXT_FORECAST, PAIRS, TEST_FORECAST, dense_sql, panel_sql,
+    APE, CONSTANT, FIXED_COEFFICIENTS, LAGGED, LINE, LINE_OF_ALL, LINE_OF_TRAIN, LINE_PAIRS, NEXT_FORECAST, PAIRS, STEP_PAIRS, TEST_FORECAST, dense_sql,
+    panel_sql, recursion, recursive_sql,
 )
 from panelcast.queries.timeseries import OVER
 from panelcast.schemas import KEYS, TIME
@@ -25,6 +26,13 @@ def fitted(spark, sf_dir, config=None):
     return fc.fit(train, config), train, test
 
 
+#: All 82 features with weights that SQL knows.
+FIXED = fc.LinearForecaster(FIXED_COEFFICIENTS, CONSTANT)
+BEFORE_TEST = "hi - interval 24 hour"
+#: A gradient this close to 0, in units of deviations, is that of a solution.
+SOLVED = 1e-7
+
+
 @query("k01_feature_stages", dense_sql(f"""
 select area, consumer_type, datetime_utc, energy_consumption, lag_1, lag_72, mean_24, mean_72, std_24, std_72,
        cast(isodow(datetime_utc) - 1 as double) as day_of_week, cast(hour(datetime_utc) as double) as hour_of_day,
@@ -49,10 +57,25 @@ def k01(spark, sf_dir):
 
 
 @query("k02_pooled_fit", dense_sql("""
+select cast(f as integer) as feature, true as solved, (select count(*) from dense, span where datetime_utc <= hi - interval 24 hour) as rows_trained,
+       (select count(*) from dense, span where datetime_utc <= hi - interval 24 hour and datetime_utc >= lo + interval 72 hour) as rows_with_history
+from range(82) t(f)"""))
+def k02(spark, sf_dir):
+    """The fit over all 82 features. ``solved`` says that a feature's normal equation holds for the fitted coefficients: it is
+    taken from second moments that are gathered apart from the fit."""
+    model, train, _ = fitted(spark, sf_dir)
+    state = fc.moments_of(train)
+    gradient = state.gradient(model.stages[-1].coefficients.toArray(), fc.effective({})["reg_lambda"])
+    rows = [(i, bool(abs(g) < SOLVED), int(state.n)) for i, g in enumerate(gradient)]
+    return spark.createDataFrame(rows, "feature int, solved boolean, rows_with_history long").withColumn(
+        "rows_trained", train.agg(F.count(F.lit(1))).scalar())
+
+
+@query("k02d_line_fit", dense_sql("""
 select 0 as feature, round(b, 6) as weight, (select count(*) from dense, span where datetime_utc <= hi - interval 24 hour) as rows_trained from line
 union all
 select -1, round(a, 6), (select count(*) from dense, span where datetime_utc <= hi - interval 24 hour) from line""", LAGGED, LINE_OF_TRAIN))
-def k02(spark, sf_dir):
+def k02d(spark, sf_dir):
     model, train, _ = fitted(spark, sf_dir, LINE)
     learner = model.stages[-1]
     terms = [(i, round(float(c), 6)) for i, c in enumerate(learner.coefficients)] + [(-1, round(float(learner.intercept), 6))]
@@ -80,8 +103,27 @@ def k02c(spark, sf_dir):
     return fc.forecast(model, train).select(*KEYS, TIME, F.coalesce(finite, F.lit(False)).alias("finite"))
 
 
-@query("k03_recursive_forecast", dense_sql(TEST_FORECAST, LAGGED, LINE_OF_TRAIN))
+@query("k03_recursive_forecast", recursive_sql("""
+select area, consumer_type, t as datetime_utc, round(p, 6) as energy_consumption from steps where step > 0""", recursion(BEFORE_TEST)))
 def k03(spark, sf_dir):
+    """24 steps over all 82 features, each value fed back; the weights are fixed, so that SQL can follow."""
+    train, _ = training.split(fixtures.dense(spark, sf_dir))
+    return rounded(fc.forecast(FIXED, train), "energy_consumption")
+
+
+@query("k03d_fitted_forecast", dense_sql("""
+select k.area, k.consumer_type, hi - interval 24 hour + to_hours(cast(s as integer)) as datetime_utc, true as same
+from (select distinct area, consumer_type from panel) k, span, range(1, 25) t(s)"""))
+def k03d(spark, sf_dir):
+    """Fits over all 82 features by the library's learner and by normal equations; ``same`` says that their forecasts agree."""
+    model, train, _ = fitted(spark, sf_dir, {"reg_lambda": 0.01})
+    solved = fc.forecast(fc.solve(train, {"reg_lambda": 0.01}), train).withColumnRenamed("energy_consumption", "other")
+    close = F.abs(F.col("energy_consumption") - F.col("other")) < 1e-6
+    return fc.forecast(model, train).join(solved, [*KEYS, TIME]).select(*KEYS, TIME, F.coalesce(close, F.lit(False)).alias("same"))
+
+
+@query("k03e_line_forecast", dense_sql(TEST_FORECAST, LAGGED, LINE_OF_TRAIN))
+def k03e(spark, sf_dir):
     model, train, _ = fitted(spark, sf_dir, LINE)
     return rounded(fc.forecast(model, train), "energy_consumption")
 
@@ -106,8 +148,18 @@ def k03b(spark, sf_dir):
     return rounded(fc.as_rows(done, 72), "energy_consumption")
 
 
-@query("k04_evaluate", dense_sql(SLICES_SQL[SLICES_SQL.rindex("select area"):SLICES_SQL.rindex("from pairs")].replace("from pairs", "from line_pairs") + "from line_pairs", LAGGED, LINE_OF_TRAIN, LINE_PAIRS))
+def _slices_of(pairs: str) -> str:
+    return SLICES_SQL[SLICES_SQL.rindex("select area"):SLICES_SQL.rindex("from pairs")].replace("from pairs", f"from {pairs}") + f"from {pairs}"
+
+
+@query("k04_evaluate", recursive_sql(_slices_of("step_pairs"), recursion(BEFORE_TEST), STEP_PAIRS))
 def k04(spark, sf_dir):
+    train, test = training.split(fixtures.dense(spark, sf_dir))
+    return slices(score_slices(fc.evaluate(FIXED, train, test)))
+
+
+@query("k04c_evaluate_line", dense_sql(_slices_of("line_pairs"), LAGGED, LINE_OF_TRAIN, LINE_PAIRS))
+def k04c(spark, sf_dir):
     model, train, test = fitted(spark, sf_dir, LINE)
     return slices(score_slices(fc.evaluate(model, train, test)))
 
@@ -118,17 +170,39 @@ def k04b(spark, sf_dir):
     return slices(score_slices(training.baseline_pairs(train, test)))
 
 
-@query("k05_compare_with_baseline", dense_sql(f"""
+@query("k05_compare_with_baseline", recursive_sql(f"""
+select 'model' as model, round(sqrt(avg(pow({APE}, 2))), 6) as "RMSPE", round(avg({APE}), 6) as "MAPE" from step_pairs
+union all
+select 'baseline', round(sqrt(avg(pow({APE}, 2))), 6), round(avg({APE}), 6) from pairs""", PAIRS, recursion(BEFORE_TEST), STEP_PAIRS))
+def k05(spark, sf_dir):
+    train, test = training.split(fixtures.dense(spark, sf_dir))
+    return rounded(training.compare_with_baseline(FIXED, train, test), "RMSPE", "MAPE")
+
+
+@query("k05b_compare_line_with_baseline", dense_sql(f"""
 select 'model' as model, round(sqrt(avg(pow({APE}, 2))), 6) as "RMSPE", round(avg({APE}), 6) as "MAPE" from line_pairs
 union all
 select 'baseline', round(sqrt(avg(pow({APE}, 2))), 6), round(avg({APE}), 6) from pairs""", PAIRS, LAGGED, LINE_OF_TRAIN, LINE_PAIRS))
-def k05(spark, sf_dir):
+def k05b(spark, sf_dir):
     model, train, test = fitted(spark, sf_dir, LINE)
     return rounded(training.compare_with_baseline(model, train, test), "RMSPE", "MAPE")
 
 
-@query("k06_refit_and_forecast", dense_sql(NEXT_FORECAST, LAGGED, LINE_OF_ALL))
+@query("k06_refit_and_forecast", dense_sql("""
+select k.area, k.consumer_type, hi + to_hours(cast(s as integer)) as datetime_utc, true as same
+from (select distinct area, consumer_type from panel) k, span, range(1, 25) t(s)"""))
 def k06(spark, sf_dir):
+    """The refit on all hours over all 82 features; ``same`` compares its forecasts with those of the solved equations."""
+    train, test = training.split(fixtures.dense(spark, sf_dir))
+    refitted = training.refit_and_forecast(train, test, {"reg_lambda": 0.01})[1]
+    everything = train.unionByName(test)
+    solved = fc.forecast(fc.solve(everything, {"reg_lambda": 0.01}), everything).withColumnRenamed("energy_consumption", "other")
+    close = F.abs(F.col("energy_consumption") - F.col("other")) < 1e-6
+    return refitted.join(solved, [*KEYS, TIME]).select(*KEYS, TIME, F.coalesce(close, F.lit(False)).alias("same"))
+
+
+@query("k06b_refit_line_and_forecast", dense_sql(NEXT_FORECAST, LAGGED, LINE_OF_ALL))
+def k06b(spark, sf_dir):
     train, test = training.split(fixtures.dense(spark, sf_dir))
     return rounded(training.refit_and_forecast(train, test, LINE)[1], "energy_consumption")
 
@@ -149,26 +223,48 @@ def k07(spark, sf_dir):
     return fc.trial_plan(label_folds(fixtures.dense(spark, sf_dir)))
 
 
-@query("k08_cross_validated_search", dense_sql(f"""
+FOLDS_OF_TRAIN = """
 , train as (select x.* from indexed x, span where datetime_utc <= hi - interval 24 hour),
 folds_of_train as (
   select cast(row_number() over (order by train_end) - 1 as integer) as fold, train_end, train_end + 24 as test_end
   from (select unnest(generate_series(greatest(72, n // 3 - 24), n - 24, n // 3)) as train_end
-        from (select count(distinct datetime_utc) as n from train))),
-seasons as (select * from (values (0, 24), (1, 48), (2, 168)) s(config_id, season)),
+        from (select count(distinct datetime_utc) as n from train)))"""
+
+
+@query("k08_cross_validated_search", dense_sql(FOLDS_OF_TRAIN + """
+select cast(s * 3 + r as integer) as config_id, fold, [1e-6, 0.01, 0.015][r + 1] as reg_lambda, count(*) as train_rows, true as solved, true as finite
+from train, folds_of_train, range(2) a(s), range(3) b(r) where i < train_end and i >= 72 group by s, r, fold""", INDEXED))
+def k08(spark, sf_dir):
+    """All penalties and both sets of windows over all features. The errors have no SQL (a test compares each with a fit of its
+    own); it states the trials, the rows each trains on, and that its normal equations are solved."""
+    train, _ = training.split(fixtures.dense(spark, sf_dir))
+    grid = [{**c, "std": std} for std in (fc.STD_WINDOWS, fc.GRID_STD_WINDOWS) for c in fc.grid_configs({"reg_lambda": fc.GRID["reg_lambda"]})]
+    grid = [{**c, "config_id": i} for i, c in enumerate(grid)]
+    solved: dict = {}
+    results = fc.cross_validate(train, grid, solved=solved)
+    rows = [(c, f, p, int(state.n), bool(abs(state.gradient(weights, p)).max() < SOLVED)) for (c, f), (weights, p, state) in solved.items()]
+    trials = spark.createDataFrame(rows, "config_id int, fold int, reg_lambda double, train_rows long, solved boolean")
+    return trials.join(results.select("config_id", "fold", (F.col("MAPE") < float("inf")).alias("finite")), ["config_id", "fold"])
+
+
+@query("k08c_search_of_lines", dense_sql(FOLDS_OF_TRAIN + f""",
+trials as (
+  select cast(s * 3 + r as integer) as config_id, season, penalty
+  from (values (0, 24), (1, 48), (2, 168)) a(s, season), (values (0, 0.0), (1, 0.01), (2, 0.015)) b(r, penalty)),
 earlier as (
-  select s.config_id, a.area, a.consumer_type, a.i, a.observed, a.energy_consumption as y, b.energy_consumption as l
-  from train a, seasons s join train b on b.area = a.area and b.consumer_type = a.consumer_type and b.i = a.i - s.season),
+  select s.config_id, s.penalty, a.area, a.consumer_type, a.i, a.observed, a.energy_consumption as y, b.energy_consumption as l
+  from train a, trials s join train b on b.area = a.area and b.consumer_type = a.consumer_type and b.i = a.i - s.season),
 lines as (
-  select config_id, fold, regr_slope(y, l) as b, regr_intercept(y, l) as a
+  select config_id, fold, regr_slope(y, l) / (1 + any_value(penalty) / stddev_pop(y)) as b, avg(y) as my, avg(l) as ml
   from earlier join folds_of_train on i < train_end group by 1, 2)
-select config_id, fold, round(avg(abs(y - (a + b * l)) / greatest(abs(y), 2.220446049250313e-16)), 6) as "MAPE"
+select config_id, fold, round(avg(abs(y - (my + b * (l - ml))) / greatest(abs(y), 2.220446049250313e-16)), 6) as "MAPE"
 from earlier join folds_of_train on i >= train_end and i < test_end join lines using (config_id, fold)
 where observed group by 1, 2""", INDEXED))
-def k08(spark, sf_dir):
-    """Three sets of features, each a search of its own lag."""
+def k08c(spark, sf_dir):
+    """Three sets of features, each a search of its own lag, with all penalties."""
     train, _ = training.split(fixtures.dense(spark, sf_dir))
-    results = fc.cross_validate(train, [{**LINE, "config_id": i, "lag": (season,)} for i, season in enumerate((24, 48, 168))])
+    grid = [{**LINE, "lag": (season,), "reg_lambda": p} for season in (24, 48, 168) for p in fc.GRID["reg_lambda"]]
+    results = fc.cross_validate(train, [{**c, "config_id": i} for i, c in enumerate(grid)])
     return results.select("config_id", "fold", F.round("MAPE", 6).alias("MAPE"))
 
 

@@ -78,6 +78,41 @@ select area, consumer_type, datetime_utc + interval 24 hour as datetime_utc, rou
 from dense, line, span where datetime_utc > hi - interval 24 hour"""
 
 
+# All 82 features with weights by rule: SQL follows the same recursion, hour by hour.
+LAG_WEIGHTS = tuple(0.01 * ((k * 7) % 5) / 5 for k in range(1, 73))
+MEAN_WEIGHTS, STD_WEIGHTS = (0.2, 0.1, 0.05), (0.03, 0.02, 0.01)
+OTHER_WEIGHTS, CONSTANT = (0.5, 0.25, 1.5, 0.125), 3.0
+FIXED_COEFFICIENTS = (*LAG_WEIGHTS, *MEAN_WEIGHTS, *STD_WEIGHTS, *OTHER_WEIGHTS)
+
+
+def recursion(cut: str, horizon: int = 24, source: str = "dense", series: str = "") -> str:
+    """``steps``: the forecasts of the hours after ``cut`` by the fixed weights over all 82 features."""
+    means = " + ".join(f"{w!r} * list_avg(h[{73 - n}:])" for w, n in zip(MEAN_WEIGHTS, (24, 48, 72)))
+    stds = " + ".join(f"{w!r} * list_stddev_samp(h[{73 - n}:])" for w, n in zip(STD_WEIGHTS, (24, 48, 72)))
+    day, hour, area, kind = OTHER_WEIGHTS
+    return f"""steps(area, consumer_type, t, step, h, p) as (
+  select k.area, k.consumer_type, c.t, 0, (
+      select list(coalesce(d.energy_consumption, 0.0) order by x.i) from range(72) x(i)
+      left join {source} d on d.area = k.area and d.consumer_type = k.consumer_type and d.datetime_utc = c.t - to_hours(cast(71 - x.i as integer))),
+    cast(null as double)
+  from {series or '(select distinct area, consumer_type from dense)'} k, (select {cut} as t from span) c
+  union all
+  select area, consumer_type, t + interval 1 hour, step + 1, list_append(h[2:], v), v from (
+    select *, {CONSTANT!r} + list_sum(list_transform(range(1, 73), lambda k: 0.01 * ((k * 7) % 5) / 5 * h[73 - k])) + {means} + {stds}
+           + {day!r} * (isodow(t + interval 1 hour) - 1) + {hour!r} * hour(t + interval 1 hour) + {area!r} * area + {kind!r} * consumer_type as v
+    from steps where step < {horizon}))"""
+
+
+STEP_PAIRS = """step_pairs as (
+  select t.area, t.consumer_type, t.datetime_utc, t.energy_consumption as y, s.p
+  from dense t join steps s on s.area = t.area and s.consumer_type = t.consumer_type and s.t = t.datetime_utc and s.step > 0
+  where t.observed)"""
+
+
+def recursive_sql(body: str, *more: str) -> str:
+    return "with recursive " + dense_sql(body, *more)[len("with "):]
+
+
 def ctes(*parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
