@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelcast.functions.hours import ntz
 from panelcast.operators.aggregates import time_span
 from panelcast.operators.clean import AttachKeys, drop_missing, key_rows, split_target
 from panelcast.operators.forecast import forecast
@@ -15,7 +16,7 @@ from panelcast.plans.ingest import FEATURE_RUN
 from panelcast.schemas import FORECAST, HORIZON, RAW_TIME_FORMAT, TIME
 from panelcast.sources.feature_table import read_range
 from panelcast.sources.models import load_model
-from panelcast.sources.results import encode_hours, latest_run, publish, read_published, replace_self
+from panelcast.sources.results import latest_run, publish, read_published, update_days
 
 
 def forecast_inputs(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -32,10 +33,8 @@ def merge_into_cache(predictions: DataFrame, cached: DataFrame, start) -> DataFr
 
 
 def update_cache(spark: SparkSession, predictions: DataFrame, root: str, start) -> DataFrame:
-    """Merge predictions into the stored cache and return the new cache."""
-    cached = read_published(spark, root, "predictions_monitoring", FORECAST)
-    merged = encode_hours(merge_into_cache(predictions, cached, start))
-    replace_self(spark, merged, f"{root.rstrip('/')}/predictions_monitoring.parquet")
+    """Merge predictions into the stored cache, day by day, and return the new cache."""
+    update_days(spark, root, "predictions_monitoring", FORECAST, predictions, ntz(start), lambda new, cached: merge_into_cache(new, cached, start))
     return read_published(spark, root, "predictions_monitoring", FORECAST)
 
 

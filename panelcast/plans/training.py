@@ -14,8 +14,8 @@ from panelcast.operators.forecast import (
 from panelcast.operators.joins import pair
 from panelcast.operators.timeseries import label_folds, label_last_hours, lags, seasonal_naive
 from panelcast.schemas import HORIZON, KEYS, VALUE
+from panelcast.sources.commits import claim, head, new_folder
 from panelcast.sources.models import register_model
-from panelcast.sources.paths import has_data
 from panelcast.sources.results import record_run
 
 BEST_CONFIG = "config_id int, MAPE double, fit_time double, prediction_time double, config string"
@@ -44,15 +44,18 @@ def best_of(results: DataFrame) -> DataFrame:
 
 
 def publish_best(best: DataFrame, root: str) -> None:
-    best.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/best_config")
+    """Commit the configuration as the newest one; earlier ones stay in the log."""
+    folder = new_folder(f"{root.rstrip('/')}/configs", "best")
+    best.coalesce(1).write.json(folder)
+    claim(best.sparkSession, f"{root.rstrip('/')}/configs", "best_config", lambda _: [folder])
 
 
 def read_best(spark: SparkSession, root: str, schema: str = BEST_CONFIG) -> DataFrame:
     """The published configuration; training cannot start without one."""
-    path = f"{root.rstrip('/')}/best_config"
-    if not has_data(spark, path):
+    found = head(spark, f"{root.rstrip('/')}/configs").of("best_config")
+    if not found:
         raise FileNotFoundError("no best configuration has been published; run the search first")
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(found[max(found, key=int)][0])
 
 
 def published_config(spark: SparkSession, root: str) -> dict:

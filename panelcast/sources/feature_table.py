@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import date
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
-
-from panelcast.functions.hours import ntz
 from panelcast.operators.windows import between_hours
 from panelcast.schemas import COLUMN_DOCS, KEYS, PANEL, ROW_KEYS, TIME
-from panelcast.session import scratch_path
-from panelcast.sources.paths import has_data, remove, versions
+from panelcast.sources.commits import claim, commit, head, new_folder, retain
+from panelcast.sources.paths import _path, remove, versions
 
 DAY = "day"
+ROWS = "rows"
 
 
 def table_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version}"
 
 
-def _with_day(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-
-
 def latest_by_key(df: DataFrame, on=ROW_KEYS, order: str | None = None) -> DataFrame:
     """One row per key: the one that landed last by ``order``.
 
@@ -51,12 +45,13 @@ def _by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", DAY)
 
 
-def _write_days(df: DataFrame, path: str) -> None:
-    """Replace the days that ``df`` holds, with files sorted for row-group skipping."""
-    (
-        df.sortWithinPartitions(DAY, *KEYS, TIME)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
-    )
+def _write_days(spark: SparkSession, df: DataFrame, path: str) -> dict[str, str]:
+    """Write rows by day to a new folder, in files sorted for row-group skipping; the folder of each day."""
+    folder = new_folder(path, "days")
+    df.sortWithinPartitions(DAY, *KEYS, TIME).write.partitionBy(DAY).parquet(folder)
+    jvm_path, fs = _path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory()]
+    return {n.removeprefix(f"{DAY}="): f"{folder}/{n}" for n in names if n.startswith(f"{DAY}=")}
 
 
 def merge_rows(stored: DataFrame, incoming: DataFrame, on=ROW_KEYS) -> DataFrame:
@@ -66,54 +61,88 @@ def merge_rows(stored: DataFrame, incoming: DataFrame, on=ROW_KEYS) -> DataFrame
 
 
 def upsert(
-    spark: SparkSession, path: str, incoming: DataFrame, schema: T.StructType = PANEL, order: str | None = None,
+    spark: SparkSession, path: str, incoming: DataFrame, schema: T.StructType = PANEL, order: str | None = None, merge: bool = True,
 ) -> None:
     """Insert or replace rows by series and hour; ``order`` is the column that says which row of a key landed last.
 
-    Only the days present in the batch are read and rewritten. The merged days are written to the
-    shared scratch folder first: no file is overwritten while a task may still read it, and a run
-    that stops while publishing can be repeated.
+    Only the days present in the batch are read and written, once, to a new folder; a commit then puts them in the place of
+    the old ones. A run that stops before its commit changes nothing, and a second writer of the same days is refused.
+    With ``merge=False`` the batch is added as a layer on its days, without reading them: cheap for few late rows, merged
+    by readers until ``compact``.
     """
     rows = incoming.select(*schema.names, *([order] if order else []))
     batch = latest_by_key(rows, order=order).withColumn(DAY, F.to_date(TIME))
-    if not has_data(spark, path):
-        _write_days(_by_day(batch), path)
-        return
-    batch = batch.persist()
-    try:
-        first, last = batch.agg(F.min(DAY), F.max(DAY)).first()
-        if first is None:
-            return
-        staged = scratch_path(spark, "upsert")
-        _write_days(_by_day(merge_rows(touched_days(spark, path, batch, first, last, schema), batch)), staged)
-    finally:
-        batch.unpersist()
-    # The staged files are laid out already, so publishing copies them without a shuffle.
-    _write_days(spark.read.schema(_with_day(schema)).parquet(staged), path)
-    remove(spark, staged)
-
-
-def touched_days(
-    spark: SparkSession, path: str, batch: DataFrame, first: date, last: date, schema: T.StructType = PANEL,
-) -> DataFrame:
-    """Stored rows of the days in the batch: a static range prunes partitions, the join is exact."""
-    stored = spark.read.schema(_with_day(schema)).parquet(path)
-    in_range = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last)))
-    return in_range.join(batch.select(DAY).distinct(), DAY, "left_semi").select(*schema.names, DAY)
+    base = head(spark, path)
+    if not merge or not base.of(ROWS):
+        written = _write_days(spark, _by_day(batch), path)
+    else:
+        batch = batch.persist()
+        try:
+            days = {str(r[0]) for r in batch.select(DAY).distinct().collect()}
+            stored = _layers(spark, {d: f for d, f in base.of(ROWS).items() if d in days}, schema)
+            merged = batch if stored is None else merge_rows(stored.withColumn(DAY, F.to_date(TIME)), batch)
+            written = _write_days(spark, _by_day(merged), path)
+        finally:
+            batch.unpersist()
+    if written or not base.number:
+        below = {} if merge else base.of(ROWS)
+        commit(spark, path, base, {ROWS: {day: [*below.get(day, []), folder] for day, folder in written.items()}})
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType = PANEL) -> list[str]:
+    """Merge the layers of every day that has several; returns those days."""
+    base = head(spark, path)
+    layered = {day: folders for day, folders in base.of(ROWS).items() if len(folders) > 1}
+    if layered:
+        rows = _layers(spark, layered, schema).withColumn(DAY, F.to_date(TIME))
+        written = _write_days(spark, _by_day(rows), path)
+        commit(spark, path, base, {ROWS: {day: [written[day]] for day in layered}})
+    return sorted(layered)
+
+
+def _layers(spark: SparkSession, days: dict[str, list[str]], schema: T.StructType) -> DataFrame | None:
+    """The rows of some days; where a day has layers, the row of a key in the newest of them."""
+    read = lambda paths: spark.read.schema(schema).parquet(*sorted(paths))
+    single = [f[0] for f in days.values() if len(f) == 1]
+    parts = [read(single)] if single else []
+    depth = max(map(len, days.values()), default=0)
+    if depth > 1:
+        layers = [read([f[k] for f in days.values() if len(f) > max(k, 1)]).withColumn("_layer", F.lit(k)) for k in range(depth)]
+        stacked = layers[0]
+        for layer in layers[1:]:
+            stacked = stacked.unionByName(layer)
+        rest = [c for c in schema.names if c not in ROW_KEYS]
+        newest = stacked.groupBy(*ROW_KEYS).agg(F.max_by(F.struct(*rest), "_layer").alias("_row"))
+        parts.append(newest.select(*[F.col(c) if c in ROW_KEYS else F.col(f"_row.{c}").alias(c) for c in schema.names]))
+    if len(parts) == 2:
+        return parts[0].unionByName(parts[1])
+    return parts[0] if parts else None
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, first: str = "", last: str = "9999-12-31") -> DataFrame:
+    """The rows of the newest commit's days from ``first`` to ``last``; days outside are not even listed."""
+    state = head(spark, path)
+    if not state.number:
+        raise FileNotFoundError(f"no feature table at {path}")
+    rows = _layers(spark, {d: f for d, f in state.of(ROWS).items() if first <= d <= last}, schema)
+    return spark.createDataFrame([], schema) if rows is None else rows
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType = PANEL) -> DataFrame:
     """The whole feature table in contract column order, with documented columns."""
-    return describe(spark.read.schema(_with_day(schema)).parquet(path).select(*schema.names))
+    return describe(_stored(spark, path, schema).select(*schema.names))
 
 
 def read_range(
     spark: SparkSession, path: str, start, end, closed: str = "left", schema: T.StructType = PANEL,
 ) -> DataFrame:
-    """Event-time range of the table; the day bounds prune partitions before any file is opened."""
-    table = spark.read.schema(_with_day(schema)).parquet(path)
-    days = F.col(DAY).between(F.to_date(ntz(start)), F.to_date(ntz(end)))
-    return between_hours(table.filter(days), start, end, closed=closed).select(*schema.names)
+    """Event-time range of the table: the commit names the folders of its days, row groups are skipped by hour.
+
+    Bounds that are columns are not known before the query runs; they filter rows of all days.
+    """
+    known = [str(x)[:10] for x in (start, end) if not isinstance(x, Column)]
+    table = _stored(spark, path, schema, *known) if len(known) == 2 else _stored(spark, path, schema)
+    return between_hours(table, start, end, closed=closed).select(*schema.names)
 
 
 def describe(df: DataFrame, docs: dict = COLUMN_DOCS) -> DataFrame:
@@ -144,29 +173,29 @@ MANIFEST = T.StructType([
 ])
 
 
+def _manifest(root: str) -> str:
+    return f"{root.rstrip('/')}/manifest"
+
+
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    path = f"{root.rstrip('/')}/manifest"
-    if not has_data(spark, path):
-        return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).json(path)
+    """All registered views, from the newest commit of the manifest."""
+    state = head(spark, _manifest(root))
+    return spark.createDataFrame([(v, int(n), sources[0]) for v, parts in state.parts.items() for n, sources in parts.items()], MANIFEST)
 
 
 def create_view(spark: SparkSession, root: str, name: str, source: str) -> int:
     """Save a select-all view of a feature table under the next version and register it by name."""
-    known = manifest(spark, root).filter(F.col("view") == name)
-    version = (known.agg(F.max("version")).first()[0] or 0) + 1
-    row = spark.createDataFrame([(name, version, source)], MANIFEST)
-    row.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifest")
+    version = claim(spark, _manifest(root), name, lambda _: [source])
     open_view(spark, root, name, version)
     return version
 
 
 def open_view(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
     """The saved view as a DataFrame, also usable in SQL as ``name_vN``."""
-    saved = manifest(spark, root).filter((F.col("view") == name) & (F.col("version") == version)).first()
+    saved = head(spark, _manifest(root)).of(name).get(str(version))
     if saved is None:
         raise LookupError(f"no view {name} version {version}")
-    df = read_table(spark, saved["source"])
+    df = read_table(spark, saved[0])
     df.createOrReplaceTempView(f"{name}_v{version}")
     return df
 
@@ -190,11 +219,5 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int, prefix: str = "
 
 
 def drop_old_views(spark: SparkSession, root: str, keep: int) -> int:
-    """Take all but the newest ``keep`` versions of every view off the manifest; returns how many."""
-    listing = manifest(spark, root)
-    marked = mark_expired(listing, keep, "view").collect()
-    expired = [r for r in marked if r["expired"]]
-    if expired:
-        left = spark.createDataFrame([(r["view"], r["version"], r["source"]) for r in marked if not r["expired"]], MANIFEST)
-        left.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/manifest")
-    return len(expired)
+    """Take all but the newest ``keep`` versions of every view off the manifest, in one commit; returns how many."""
+    return sum(map(len, retain(spark, _manifest(root), keep).values()))

@@ -5,32 +5,42 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.sources.paths import versions
+from panelcast.sources.commits import claim, head, new_folder, retain
 
 MODEL_METRICS = "version int, model string, RMSPE double, MAPE double"
 
 
 def register_model(spark: SparkSession, model: PipelineModel, metrics: DataFrame, root: str, name: str) -> int:
-    """Save a model under the next version and append its (RMSPE, MAPE) row; returns the version."""
-    folder = f"{root.rstrip('/')}/{name}"
-    version = max(versions(spark, folder), default=0) + 1
-    model.write().overwrite().save(f"{folder}/v={version}")
-    (
-        metrics.select(F.lit(version).alias("version"), F.lit(name).alias("model"), "RMSPE", "MAPE")
-        .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/model_versions")
-    )
-    return version
+    """Save a model with its (RMSPE, MAPE) row and commit both as the next version; returns the version.
+
+    Writers that register at once get versions of their own, and a version that is listed can be loaded.
+    """
+    folder = new_folder(root, name)
+    model.write().save(f"{folder}/model")
+    metrics.select("RMSPE", "MAPE").coalesce(1).write.json(f"{folder}/metrics")
+    return claim(spark, root, name, lambda _: [folder])
 
 
 def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
     """A stored version, by default the newest."""
-    folder = f"{root.rstrip('/')}/{name}"
-    found = versions(spark, folder)
-    chosen = version if version is not None else max(found, default=None)
-    if chosen not in found:
+    found = head(spark, root).of(name)
+    chosen = version if version is not None else max(map(int, found), default=None)
+    if str(chosen) not in found:
         raise LookupError(f"no version {chosen} of model {name}")
-    return PipelineModel.load(f"{folder}/v={chosen}")
+    return PipelineModel.load(f"{found[str(chosen)][0]}/model")
 
 
 def model_versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MODEL_METRICS).json(f"{root.rstrip('/')}/model_versions")
+    """One row per registered version of every model: its version, name and metrics."""
+    listed = [(int(v), name, folders[0]) for name, parts in head(spark, root).parts.items() for v, folders in parts.items()]
+    if not listed:
+        return spark.createDataFrame([], MODEL_METRICS)
+    scores = spark.read.schema("RMSPE double, MAPE double").json([f"{folder}/metrics" for _, _, folder in listed])
+    at = F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+)/metrics/", 1)
+    known = spark.createDataFrame([(v, n, folder.rsplit("/", 1)[1]) for v, n, folder in listed], "version int, model string, folder string")
+    return scores.withColumn("folder", at).join(known, "folder").select("version", "model", "RMSPE", "MAPE")
+
+
+def drop_old_models(spark: SparkSession, root: str, keep: int, name: str | None = None) -> dict[str, list[int]]:
+    """Take all but the newest ``keep`` versions off the list, with their metrics; ``sweep`` removes their files."""
+    return retain(spark, root, keep, None if name is None else {name})

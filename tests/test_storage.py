@@ -8,7 +8,7 @@ from panelcast.plans.ingest import FEATURE_RUN, run_ingest, run_view
 from panelcast.plans.prediction import last_ingested
 from panelcast.schemas import FORECAST, PANEL, RAW
 from panelcast.session import scratch_path
-from panelcast.sources import feature_table, landed, paths, results, snapshots
+from panelcast.sources import commits, feature_table, landed, paths, results, snapshots
 
 
 def rows(df):
@@ -46,14 +46,13 @@ def test_upsert_replaces_inserts_and_is_idempotent(spark, make_panel):
     stored = make_panel({(0, 111): [(h, 1.0) for h in range(72)]})
     batch = make_panel({(0, 111): [(30, 5.0), (31, 6.0)], (1, 111): [(30, 7.0)]})
     feature_table.upsert(spark, path, stored)
-    untouched = paths._path(spark, f"{path}/day=2024-01-01")
-    before = untouched[1].getFileStatus(untouched[0]).getModificationTime()
+    untouched = commits.head(spark, path).of("rows")["2024-01-01"]
     feature_table.upsert(spark, path, batch)
     once = rows(feature_table.read_table(spark, path))
     feature_table.upsert(spark, path, batch)
     assert rows(feature_table.read_table(spark, path)) == once
     assert len(once) == 73 and sum(r[3] for r in once) == 70 + 5 + 6 + 7
-    assert untouched[1].getFileStatus(untouched[0]).getModificationTime() == before
+    assert commits.head(spark, path).of("rows")["2024-01-01"] == untouched
 
 
 def test_range_read_prunes_days(spark, make_panel, hour):
@@ -62,7 +61,8 @@ def test_range_read_prunes_days(spark, make_panel, hour):
     part = feature_table.read_range(spark, path, hour(25), hour(47))
     assert part.count() == 22
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(datetime_utc)" in plan
+    assert "PushedFilters: [IsNotNull(datetime_utc)" in plan
+    assert {f.rsplit("day=", 1)[1][:10] for f in part.inputFiles()} == {"2024-01-02"}
 
 
 def test_column_descriptions_survive_the_schema(spark, make_panel):
@@ -163,7 +163,6 @@ def test_staged_copies_are_removed(spark, make_panel, tmp_path):
     before, path = listed(), str(tmp_path / "table")
     for value in (1.0, 2.0):
         feature_table.upsert(spark, path, make_panel({(0, 111): [(0, value)]}))
-    results.replace_self(spark, make_panel({(0, 111): [(0, 1.0)]}), str(tmp_path / "cache"))
     assert listed() == before
 
 
