@@ -57,7 +57,7 @@ ROUNDS_PER_CHECKPOINT = 8
 # Names a configuration may have.
 SETTINGS = frozenset({
     "config_id", "lag", "mean", "std", "calendar", "keys", "learner", "reg_lambda", "smallest_ridge",
-    "n_estimators", "learning_rate", "max_depth", "deepest", "seed",
+    "n_estimators", "learning_rate", "max_depth", "deepest", "seed", "fill",
 })
 
 
@@ -394,9 +394,10 @@ def _linear_model_type():
     return LinearRegressionModel
 
 
-def evaluate(model: PipelineModel | LinearForecaster, train: DataFrame, test: DataFrame, horizon: int = HORIZON) -> DataFrame:
+def evaluate(model: PipelineModel | LinearForecaster, train: DataFrame, test: DataFrame, horizon: int = HORIZON,
+             fill: str | None = "zero") -> DataFrame:
     """(actual, forecast) pairs of the test hours that have an observation, whatever its value."""
-    return pair(observed(test), forecast(model, train, horizon))
+    return pair(observed(test), forecast(model, train, horizon, fill=fill))
 
 
 def observed(df: DataFrame, value: str = VALUE, flag: str = OBSERVED) -> DataFrame:

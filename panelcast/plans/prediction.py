@@ -15,9 +15,12 @@ from panelcast.operators.windows import since
 from panelcast.plans.ingest import FEATURE_RUN
 from panelcast.schemas import FORECAST, HORIZON, RAW_TIME_FORMAT, TIME
 from panelcast.sources.feature_table import read_range
-from panelcast.sources.models import load_model
+from panelcast.sources.models import load_model, model_config
 from panelcast.sources.results import latest_run, publish, read_published, update_days
 
+#: The policy for missing hours that is stored with the model.
+STORED = "stored"
+
 
 def forecast_inputs(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Keys and hours to forecast, with the keys as features."""
@@ -47,12 +50,13 @@ def last_ingested(spark: SparkSession, root: str) -> tuple[datetime, datetime]:
 
 def run_prediction(
     spark: SparkSession, table: str, models: str, root: str, start=None, end=None, horizon: int = HORIZON,
-    model_name: str = "best_model", model_version: int | None = None, fill: str | None = "zero", runs: str | None = None,
+    model_name: str = "best_model", model_version: int | None = None, fill: str | None = STORED, runs: str | None = None,
 ) -> DataFrame:
     """Read the range, forecast all key pairs, publish X, y and predictions, update the cache.
 
     Without ``start`` and ``end`` the range is that of the last ingest, from the run records below
-    ``runs``; without a version the newest model is taken. Returns the published predictions.
+    ``runs``; without a version the newest model is taken. Missing hours are filled as the model was registered with,
+    unless ``fill`` says otherwise. Returns the published predictions.
     """
     if start is None or end is None:
         first, last = last_ingested(spark, runs or root)
@@ -60,6 +64,8 @@ def run_prediction(
     panel = read_range(spark, table, start, end).transform(key_rows)
     exogenous, target = split_target(panel)
     model = load_model(spark, models, model_name, model_version)
+    if fill == STORED:
+        fill = model_config(spark, models, model_name, model_version).get("fill", "zero")
     predictions = forecast(model, panel, horizon, key_product(panel), fill).select(*FORECAST.names)
     publish({"X": exogenous, "y": target, "predictions": predictions}, root)
     published = read_published(spark, root, "predictions", FORECAST)

@@ -20,8 +20,10 @@ from panelcast.sources.results import record_run
 
 BEST_CONFIG = "config_id int, MAPE double, fit_time double, prediction_time double, config string"
 TRAINING_RUN = "model string, version int, config string, splits string, errors string, worst_slices string"
-# Series with the largest errors that a training record lists.
+# Series with the largest errors that a training record shows; all of them are stored with the model.
 WORST_SLICES = 100
+# What stands for missing hours unless a configuration says otherwise.
+FILL = "zero"
 
 
 def split(panel: DataFrame, horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:
@@ -91,16 +93,18 @@ def train_and_register(
 ) -> int:
     """Score on the test hours, refit on everything, store as a new version; returns the version.
 
-    Without a configuration, the published one is used.
+    Without a configuration, the published one is used. Its ``fill`` says what stands for missing hours of the history; it
+    is stored with the model, and predictions use it. The errors of all slices are stored with the model.
     """
     config = published_config(spark, root) if config is None else config
     kept = panel.persist()  # split, fits, scores and the refit all read it
     try:
         train, test = split(kept, horizon)
         fitted = fit(train, config)
-        scores = score(evaluate(fitted, train, test, horizon))
+        pairs = evaluate(fitted, train, test, horizon, config.get("fill", FILL))
         final, _ = refit_and_forecast(train, test, config, horizon)
-        version = register_model(spark, final, scores, root, name)
+        slices = score_slices(pairs).where("not overall").drop("overall")
+        version = register_model(spark, final, score(pairs), root, name, {"fill": FILL, **config}, slices)
         record_run(_training_run(spark, fitted, train, test, config, horizon, version, name), root, "training")
     finally:
         kept.unpersist()

@@ -18,9 +18,9 @@ from panelcast.plans import training
 from panelcast.plans.ingest import FEATURE_RUN
 from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import CACHED, LAGGED, LINE, LINE_OF_TRAIN, NEW, RAW, TEST_FORECAST, ctes, dense_sql, panel_sql
-from panelcast.schemas import COLUMN_DOCS, FORECAST, PANEL
+from panelcast.schemas import COLUMN_DOCS, FORECAST, PANEL, ROW_KEYS
 from panelcast.session import scratch_path
-from panelcast.sources import feature_table, landed, models, paths, results, snapshots
+from panelcast.sources import commits, feature_table, landed, models, paths, results, snapshots
 
 RANGE = (datetime(2024, 1, 10, 6), datetime(2024, 1, 20, 18))
 RANGE_SQL = "datetime_utc >= timestamp '2024-01-10 06:00:00' and datetime_utc < timestamp '2024-01-20 18:00:00'"
@@ -70,7 +70,7 @@ def a04(spark, sf_dir):
     return overlay(merge_versions(fixtures.panel(spark, sf_dir), absent))
 
 
-@query("a05_keyed_upsert", panel_sql("""
+A05 = panel_sql("""
 , first_day as (select cast(min(datetime_utc) as date) as d from panel),
 incoming as (select datetime_utc, area, consumer_type, energy_consumption + 1 as energy_consumption
              from panel, first_day where datetime_utc >= d + interval 18 day),
@@ -78,7 +78,10 @@ stored as (select panel.* from panel, first_day where datetime_utc < d + interva
 select * from incoming
 union all
 select s.* from stored s anti join incoming i
-  on s.datetime_utc = i.datetime_utc and s.area = i.area and s.consumer_type = i.consumer_type"""))
+  on s.datetime_utc = i.datetime_utc and s.area = i.area and s.consumer_type = i.consumer_type""")
+
+
+@query("a05_keyed_upsert", A05)
 def a05(spark, sf_dir):
     panel = fixtures.panel(spark, sf_dir)
     first = panel.agg(F.min(F.to_date("datetime_utc"))).scalar()
@@ -92,6 +95,22 @@ def a05(spark, sf_dir):
     return feature_table.read_table(spark, path)
 
 
+@query("a05b_layered_upsert", A05)
+def a05b(spark, sf_dir):
+    """The second batch as a layer on its days, read merged, then compacted, then swept: the rows stay the same."""
+    panel = fixtures.panel(spark, sf_dir)
+    first = panel.agg(F.min(F.to_date("datetime_utc"))).scalar()
+    path = scratch_path(spark, "layered-table")
+    feature_table.upsert(spark, path, panel.filter(F.to_date("datetime_utc") < F.date_add(first, 20)))
+    late = panel.filter(F.to_date("datetime_utc") >= F.date_add(first, 18)).withColumn("energy_consumption", F.col("energy_consumption") + 1)
+    feature_table.upsert(spark, path, late, merge=False)
+    before = feature_table.read_table(spark, path).count()
+    feature_table.compact(spark, path)
+    commits.sweep(spark, path, older_than=0)
+    after = feature_table.read_table(spark, path)
+    return after.where(F.lit(before) == after.agg(F.count(F.lit(1))).scalar())
+
+
 @query("a06_column_descriptions", panel_sql("\nunion all ".join(
     f"select '{name}' as name, '{text}' as description, count({name}) as non_null from panel"
     for name, text in COLUMN_DOCS.items()
@@ -229,19 +248,49 @@ def a14(spark, sf_dir):
     )
 
 
-@query("a15_model_versions", dense_sql(TEST_FORECAST.replace("from lagged", ", 2 as version from lagged"), LAGGED, LINE_OF_TRAIN))
-def a15(spark, sf_dir):
+@query("a14b_sweep", panel_sql("""
+select strftime(datetime_utc, '%Y-%m-%d') as day, count(*) as rows, cast(1 as bigint) as folders_left from panel group by 1"""))
+def a14b(spark, sf_dir):
+    """Days that are written again and again leave folders that no commit names; a sweep leaves one for each day."""
+    panel = fixtures.panel(spark, sf_dir)
+    path = scratch_path(spark, "swept-table")
+    for kept in ("area = 0", "area < 2", "true"):
+        feature_table.upsert(spark, path, panel.where(kept))
+    commits.sweep(spark, path, older_than=0)
+    jvm_path, fs = paths._path(spark, f"{path}/data")
+    left = [day.getPath().getName() for batch in fs.listStatus(jvm_path) for day in fs.listStatus(batch.getPath()) if day.isDirectory()]
+    on_disk = spark.createDataFrame([(n.removeprefix("day="),) for n in left], "day string").groupBy("day").agg(F.count(F.lit(1)).alias("folders_left"))
+    rows = feature_table.read_table(spark, path).groupBy(F.date_format("datetime_utc", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(on_disk, "day")
+
+
+def _registered(spark, sf_dir, config):
     root = scratch_path(spark, "models")
-    panel = fixtures.dense(spark, sf_dir)
-    train, test = training.split(panel)
-    model = fc.fit(train, LINE)
+    train, test = training.split(fixtures.dense(spark, sf_dir))
+    model = fc.fit(train, config)
     scores = score(fc.evaluate(model, train, test))
     models.register_model(spark, model, scores, root, "best_model")
     models.register_model(spark, model, scores, root, "best_model")
     newest = models.load_model(spark, root, "best_model")
-    predicted = fc.forecast(newest, train)
     versions = models.model_versions(spark, root).agg(F.max("version")).scalar()
-    return rounded(predicted, "energy_consumption").withColumn("version", versions)
+    return train, fc.forecast(newest, train).withColumn("version", versions)
+
+
+@query("a15_model_versions", dense_sql("""
+select k.area, k.consumer_type, hi - interval 24 hour + to_hours(cast(s as integer)) as datetime_utc, true as same, 2 as version
+from (select distinct area, consumer_type from panel) k, span, range(1, 25) t(s)"""))
+def a15(spark, sf_dir):
+    """A stored and reloaded model over all features; ``same`` compares it with the solved equations."""
+    config = {"reg_lambda": 0.01}
+    train, predicted = _registered(spark, sf_dir, config)
+    solved = fc.forecast(fc.solve(train, config), train).withColumnRenamed("energy_consumption", "other")
+    close = F.abs(F.col("energy_consumption") - F.col("other")) < 1e-6
+    return predicted.join(solved, [*ROW_KEYS]).select(*ROW_KEYS, F.coalesce(close, F.lit(False)).alias("same"), "version")
+
+
+@query("a15b_versions_of_a_line", dense_sql(TEST_FORECAST.replace("from lagged", ", 2 as version from lagged"), LAGGED, LINE_OF_TRAIN))
+def a15b(spark, sf_dir):
+    return rounded(_registered(spark, sf_dir, LINE)[1], "energy_consumption")
 
 
 @query("a16_hour_codec", panel_sql("""

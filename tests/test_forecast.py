@@ -114,7 +114,7 @@ def test_cross_validation_forecasts_from_each_cut(panel):
     fitted = fc.fit(train, {"std": fc.GRID_STD_WINDOWS})
     test = between_hours(panel, _hour(cuts[1]), _hour(cuts[1] + 24))
     want = score(fc.evaluate(fitted, train, test)).first()["MAPE"]
-    assert found[0, 1] == pytest.approx(want, rel=1e-6)
+    assert found[0, 1] == pytest.approx(want, rel=1e-6, abs=1e-9)
 
 
 def test_search_publishes_a_config(spark, panel):
