@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.errors import absolute_percentage_error, mape, rmspe
 from panelcast.functions.hours import epoch_hour
@@ -95,22 +95,32 @@ def best_config(means: DataFrame, config: str = "config_id", measure: str = "MAP
     return means.agg(F.min_by(F.struct(config, *rest), order).alias("best")).select("best.*")
 
 
+def page_of(time: str = TIME, page_hours: int = PAGE_HOURS) -> Column:
+    """The page of an hour, counted from the epoch: the same for every table and for ever."""
+    return F.floor(epoch_hour(time) / page_hours).cast("int")
+
+
+def page_index(paged: DataFrame, keys=KEYS, time: str = TIME) -> DataFrame:
+    """Per series and page its first hour, its rows and the rows of earlier pages: where the n-th row of a series is."""
+    earlier = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    counted = paged.select(*keys, "page", F.element_at(time, 1).alias("first_hour"), F.size(time).cast("long").alias("rows"))
+    return counted.withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+
+
 def pages(
     df: DataFrame, keys=KEYS, time: str = TIME, values=(VALUE,), page_hours: int = PAGE_HOURS,
     names: dict | None = None,
 ) -> DataFrame:
     """Each series as parallel arrays in time order, cut into pages of ``page_hours`` hours.
 
-    A page bounds the list a task builds, however long the series; page numbers start at 0 at the
-    table's first hour, and a table of up to ``page_hours`` hours has one page. Hours become epoch
-    hours.
+    A page bounds the list a task builds, however long the series. Pages are counted from the epoch (``page_of``), so an hour
+    stays on its page when others come or go, and the table is read once. Hours become epoch hours.
     """
     names = names or {}
-    first = df.agg(F.min(epoch_hour(time))).scalar()
     hour = epoch_hour(time)
     listed = F.array_sort(F.collect_list(F.struct(hour.alias("t"), *[F.col(v) for v in values])))
     return (
-        df.withColumn("page", F.floor((hour - first) / page_hours).cast("int"))
+        df.withColumn("page", page_of(time, page_hours))
         .groupBy(*keys, "page").agg(listed.alias("_list"))
         .select(
             *keys, "page", field_of("_list", "t").alias(names.get(time, time)),
@@ -129,9 +139,7 @@ def series_by_split(
     label: str = "split", page_hours: int = PAGE_HOURS,
 ) -> DataFrame:
     """One row per series and page with the values of each split as an ordered array."""
-    first = labelled.agg(F.min(epoch_hour(time))).scalar()
-    page = F.floor((epoch_hour(time) - first) / page_hours).cast("int")
-    grouped = labelled.withColumn("page", page).groupBy(*keys, "page")
+    grouped = labelled.withColumn("page", page_of(time, page_hours)).groupBy(*keys, "page")
     # A row of another split is NULL, which the lists skip, so all lists together hold each row once.
     listed = {
         s: F.array_sort(F.collect_list(F.when(F.col(label) == s, F.struct(F.col(time).alias("t"), F.col(value).alias("v")))))

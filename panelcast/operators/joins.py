@@ -12,7 +12,7 @@ from panelcast.functions.hours import add_hours
 from panelcast.schemas import KEYS, ROW_KEYS, TIME, VALUE
 
 # Number of ways the smaller key set is spread when two key sets are multiplied.
-PRODUCT_PARTS = 16
+PARTS_PER_CORE = 2
 
 
 def merge_versions(new: DataFrame, cached: DataFrame, on=ROW_KEYS, value: str = VALUE) -> DataFrame:
@@ -66,19 +66,25 @@ def misaligned(left: DataFrame, right: DataFrame, on=ROW_KEYS) -> DataFrame:
     return one_sided.select(*on, F.when(F.col("_l").isNull(), "right").otherwise("left").alias("only_in"))
 
 
-def key_product(df: DataFrame, first: str = KEYS[0], second: str = KEYS[1]) -> DataFrame:
-    """Every value of one key with every value of the other, seen together or not.
+def key_product(df: DataFrame, *keys: str) -> DataFrame:
+    """Every value of each key with every value of the others, seen together or not; by default of the series' keys.
 
-    The pairs are the result, so their number is given. They are produced by an equi-join on a part
-    number: the first key's values are dealt over the parts, the second key's values are copied to
-    each part, and every part builds its share.
+    The combinations are the result, so their number is given. Each further key is added by an equi-join on a part number:
+    the combinations so far are dealt over the parts, the key's values are copied to each part, and every part builds its
+    share. There are as many parts as ``PARTS_PER_CORE`` for each core of the cluster, but no more than combinations.
     """
-    parts = F.lit(PRODUCT_PARTS)
-    dealt = df.select(first).distinct().withColumn("_part", F.pmod(F.hash(first), parts))
-    copied = df.select(second).distinct().withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    return dealt.join(copied, "_part").select(first, second)
+    first, *others = keys or KEYS
+    most = df.sparkSession.sparkContext.defaultParallelism * PARTS_PER_CORE
+    result = df.select(first).distinct()
+    for i, key in enumerate(others, 1):
+        seen = F.lit(1).cast("long")
+        for k in (first, *others)[:i]:
+            seen = seen * F.greatest(F.approx_count_distinct(k), F.lit(1))
+        parts = df.agg(F.least(seen, F.lit(most)).cast("int")).scalar()
+        copied = df.select(key).distinct().withColumn("_parts", parts).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        dealt = result.withColumn("_part", F.pmod(F.hash(*(first, *others)[:i]), parts))
+        result = dealt.join(copied.drop("_parts"), "_part").drop("_part")
+    return result.select(first, *others)
 
 
 def horizon_grid(df: DataFrame, horizon: int, keys=KEYS, time: str = TIME) -> DataFrame:

@@ -15,6 +15,8 @@ from panelcast.functions.hours import add_hours, day_of_week, epoch_hour, hour_o
 from panelcast.schemas import HORIZON, KEYS, TIME, VALUE
 
 BUCKET_HOURS = 720
+# Spark's own limit for filtering ranks before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
 LAGS = tuple(range(1, 73))
 MEAN_WINDOWS = ((1, 24), (1, 48), (1, 72))
 STD_WINDOWS = ((1, 24), (1, 48), (1, 72))
@@ -106,15 +108,28 @@ def calendar(df: DataFrame, time: str = TIME) -> DataFrame:
     return df.withColumns({"day_of_week": day_of_week(time), "hour_of_day": hour_of_day(time)})
 
 
-def newest(df: DataFrame, count: int, keys=KEYS, time: str = TIME) -> DataFrame:
+def newest(df: DataFrame, count: int, keys=KEYS, time: str = TIME, bucket_hours: int = BUCKET_HOURS) -> DataFrame:
     """The newest ``count`` rows of every series.
 
-    The rank filter is applied by each task before the shuffle (window group limit), so a hot series
-    sends at most ``count`` rows per task. Spark does so for counts up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000); raise it for a larger count.
+    Up to ``GROUP_LIMIT`` rows the rank filter is applied by each task before the shuffle (window group limit), so a hot
+    series sends at most ``count`` rows per task. Beyond that, the rows of each time bucket of a series are counted; buckets
+    that are wholly among the newest are kept, and only the one that ``count`` cuts is ranked. No size of ``count`` sorts
+    a series in one task.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(time).desc()))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= count).drop("_rank")
+    if count <= GROUP_LIMIT:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(time).desc()))
+        return df.withColumn("_rank", rank).filter(F.col("_rank") <= count).drop("_rank")
+    bucket = F.floor(epoch_hour(time) / bucket_hours)
+    newer = Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    kept = (
+        df.groupBy(*keys, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_left", count - F.coalesce(F.sum("_rows").over(newer), F.lit(0))).filter(F.col("_left") > 0)
+    )
+    rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(F.col(time).desc()))
+    rows = df.withColumn("_bucket", bucket).join(kept, [*keys, "_bucket"])
+    whole = rows.filter(F.col("_rows") <= F.col("_left")).select(*df.columns)
+    cut = rows.filter(F.col("_rows") > F.col("_left")).withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_left"))
+    return whole.unionByName(cut.select(*df.columns))
 
 
 def label_last_hours(

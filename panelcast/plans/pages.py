@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from panelcast.functions.hours import epoch_hour, from_epoch_hour
 from panelcast.functions.payloads import field_of, ordered_pairs
-from panelcast.operators.aggregates import PAGE_HOURS, label_splits, pages
+from panelcast.operators.aggregates import PAGE_HOURS, label_splits, page_of, pages
 from panelcast.operators.hooks import rows_of
 from panelcast.operators.joins import fill_hours
 from panelcast.operators.timeseries import newest
@@ -46,9 +46,8 @@ def comparison_pages(truth: DataFrame, forecasts: DataFrame, page_hours: int = P
     """
     sides = {"y_monitoring": truth, "predictions_monitoring": forecasts}
     both = label_splits({s: df.select(*KEYS, TIME, VALUE) for s, df in sides.items()}, "side")
-    first = both.agg(F.min(epoch_hour(TIME))).scalar()
     hour = epoch_hour(TIME)
-    listed = both.withColumn("page", F.floor((hour - first) / page_hours).cast("int")).groupBy(*KEYS, "page").agg(*[
+    listed = both.withColumn("page", page_of(TIME, page_hours)).groupBy(*KEYS, "page").agg(*[
         F.array_sort(F.array_compact(F.collect_list(
             F.when(F.col("side") == s, F.struct(hour.alias("t"), F.col(VALUE).alias("v")))
         ))).alias(f"_{s}") for s in sides

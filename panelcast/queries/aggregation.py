@@ -125,19 +125,32 @@ def money_list(value: str) -> str:
 
 @query("e11_series_arrays", panel_sql(f"""
 select area, consumer_type,
-       cast(floor(date_diff('hour', lo, datetime_utc) / 168) as integer) as page,
+       cast(floor(date_diff('hour', timestamp '1970-01-01', datetime_utc) / 168) as integer) as page,
        {text_list(HOUR)} as datetime_utc, {money_list('energy_consumption')} as energy_consumption
-from panel, span group by 1, 2, 3"""))
+from panel group by 1, 2, 3"""))
 def e11(spark, sf_dir):
     paged = aggregates.pages(fixtures.panel(spark, sf_dir), page_hours=168)
     return lists_as_text(paged, ("datetime_utc",), ("energy_consumption",))
 
 
+@query("e11b_page_index", panel_sql("""
+, paged as (
+  select area, consumer_type, cast(floor(date_diff('hour', timestamp '1970-01-01', datetime_utc) / 168) as integer) as page,
+         min(date_diff('hour', timestamp '1970-01-01', datetime_utc)) as first_hour, count(*) as rows
+  from panel where datetime_utc >= timestamp '2024-01-10' group by 1, 2, 3)
+select *, cast(coalesce(sum(rows) over (partition by area, consumer_type order by page rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset"
+from paged"""))
+def e11b(spark, sf_dir):
+    """The pages of a table whose old hours have left keep their numbers; the index finds a row by its place."""
+    recent = fixtures.panel(spark, sf_dir).filter(F.col("datetime_utc") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+    return aggregates.page_index(aggregates.pages(recent, page_hours=168))
+
+
 @query("e12_series_by_split", panel_sql(f"""
 , labelled as (
   select p.*, case when row_number() over (partition by area, consumer_type order by datetime_utc desc) <= 24
               then 'y_test' else 'y_train' end as split,
-         cast(floor(date_diff('hour', lo, datetime_utc) / 8784) as integer) as page from panel p, span)
+         cast(floor(date_diff('hour', timestamp '1970-01-01', datetime_utc) / 8784) as integer) as page from panel p)
 select area, consumer_type, page,
        coalesce({money_list('energy_consumption')} filter (where split = 'y_train'), '') as y_train,
        coalesce({money_list('energy_consumption')} filter (where split = 'y_test'), '') as y_test

@@ -22,6 +22,7 @@ from panelcast.sources.feature_table import read_range, upsert
 from panelcast.sources.models import register_model
 from panelcast.sources.results import publish
 
+PAGE_SQL = "cast(floor(date_diff('hour', timestamp '1970-01-01', datetime_utc) / 8784) as integer)"
 CACHE = """cache as (
   select area, consumer_type, datetime_utc,
          coalesce(energy_consumption_cached, energy_consumption_new) as energy_consumption
@@ -147,8 +148,8 @@ def m06(spark, sf_dir):
 
 @query("m07_metrics_page", dense_sql(f"""
 , metrics as (select datetime_utc, avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) as m from scored group by 1)
-select cast(0 as integer) as page, {text_list(HOUR)} as datetime_utc,
-       {text_list('cast(round(m, 4) as decimal(18,4))')} as mape from metrics""", *CACHE_PARTS, TRUTH, SCORED))
+select {PAGE_SQL} as page, {text_list(HOUR)} as datetime_utc,
+       {text_list('cast(round(m, 4) as decimal(18,4))')} as mape from metrics group by 1""", *CACHE_PARTS, TRUTH, SCORED))
 def m07(spark, sf_dir):
     page = pages.metrics_page(m03_exact(spark, sf_dir))
     four = F.transform("mape", lambda x: F.round(x, 4))
@@ -161,12 +162,16 @@ def m03_exact(spark, sf_dir):
 
 
 @query("m08_truth_and_forecasts", dense_sql(f"""
-, t as (select area, consumer_type, {text_list(HOUR)} as y_monitoring_datetime_utc,
-               {money_list('energy_consumption')} as y_monitoring_energy_consumption from truth group by 1, 2),
-c as (select area, consumer_type, {text_list(HOUR)} as predictions_monitoring_datetime_utc,
-             {money_list('energy_consumption')} as predictions_monitoring_energy_consumption from cache group by 1, 2)
-select area, consumer_type, cast(0 as integer) as page, t.* exclude (area, consumer_type), c.* exclude (area, consumer_type)
-from t join c using (area, consumer_type)""", *CACHE_PARTS, TRUTH))
+, t as (select area, consumer_type, {PAGE_SQL} as page, {text_list(HOUR)} as y_monitoring_datetime_utc,
+               {money_list('energy_consumption')} as y_monitoring_energy_consumption from truth group by 1, 2, 3),
+c as (select area, consumer_type, {PAGE_SQL} as page, {text_list(HOUR)} as predictions_monitoring_datetime_utc,
+             {money_list('energy_consumption')} as predictions_monitoring_energy_consumption from cache group by 1, 2, 3)
+select area, consumer_type, page, coalesce(t.y_monitoring_datetime_utc, '') as y_monitoring_datetime_utc,
+       coalesce(y_monitoring_energy_consumption, '') as y_monitoring_energy_consumption,
+       coalesce(predictions_monitoring_datetime_utc, '') as predictions_monitoring_datetime_utc,
+       coalesce(predictions_monitoring_energy_consumption, '') as predictions_monitoring_energy_consumption
+from t full join c using (area, consumer_type, page)
+where (area, consumer_type) in (select (area, consumer_type) from t) and (area, consumer_type) in (select (area, consumer_type) from c)""", *CACHE_PARTS, TRUTH))
 def m08(spark, sf_dir):
     page = pages.comparison_pages(truth(spark, sf_dir), cache(spark, sf_dir))
     sides = ("y_monitoring", "predictions_monitoring")

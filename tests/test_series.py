@@ -170,10 +170,39 @@ def test_best_config_breaks_ties(spark):
 def test_pages_are_bounded_and_whole(make_panel):
     panel = make_panel({(0, 111): [(h, float(h)) for h in range(25)]})
     got = sorted(aggregates.pages(panel, page_hours=10).collect(), key=lambda r: r["page"])
-    assert [len(r["datetime_utc"]) for r in got] == [10, 10, 5]
+    assert [len(r["datetime_utc"]) for r in got] == [8, 10, 7] and [r["page"] for r in got] == [47335, 47336, 47337]
     assert [v for r in got for v in r["energy_consumption"]] == [float(h) for h in range(25)]
 
 
+def test_pages_keep_their_numbers_when_old_hours_leave(make_panel):
+    panel = make_panel({(0, 111): [(h, float(h)) for h in range(100)], (1, 111): [(h, 1.0) for h in range(5, 40)]})
+    pages = lambda df: {(r["area"], r["page"]): r["datetime_utc"] for r in aggregates.pages(df, page_hours=10).collect()}
+    whole, later = pages(panel), pages(panel.filter("datetime_utc >= '2024-01-02 06:00:00'"))
+    assert later == {k: [t for t in v if t >= 473352 + 30] for k, v in whole.items() if v[-1] >= 473352 + 30}
+    index = aggregates.page_index(aggregates.pages(panel, page_hours=10)).orderBy("area", "page").collect()
+    assert [(r["rows"], r["offset"]) for r in index if r["area"] == 1] == [(3, 0), (10, 3), (10, 13), (10, 23), (2, 33)]
+
+
+@pytest.mark.parametrize("count", [1001, 5000, 5001, 9999])
+def test_newest_of_any_size_without_sorting_a_series(make_panel, count):
+    panel = make_panel({(0, 111): [(h, float(h)) for h in range(6000)], (1, 111): [(3 * h, 1.0) for h in range(1500)], (2, 111): [(7, 1.0)]})
+    kept = ts.newest(panel, count)
+    assert kept.columns == panel.columns
+    got = {(r["area"], r["n"]): r["lo"] for r in kept.groupBy("area").agg(F.count("*").alias("n"), F.min("energy_consumption").alias("lo")).collect()}
+    assert got == {(0, min(count, 6000)): float(max(0, 6000 - count)), (1, min(count, 1500)): 1.0, (2, 1): 1.0}
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "row_number" in line]
+    assert windows and all("_bucket" in line for line in windows)
+
+
+def test_products_of_several_keys(spark):
+    df = spark.createDataFrame([(a, b, c) for a, b, c in ((1, "x", 5), (2, "y", 5), (3, "z", 6), (4, None, 6))], "a int, b string, c int")
+    assert joins.key_product(df, "a", "b", "c").count() == 4 * 4 * 2 and joins.key_product(df, "a").count() == 4
+    assert joins.key_product(df.limit(0), "a", "b").count() == 0
+    parts = lambda d: joins.key_product(d, "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{spark.sparkContext.defaultParallelism * joins.PARTS_PER_CORE}" in parts(df)
+
+
 def test_series_by_split(make_panel):
     train, test = make_panel({(0, 111): [(1, 2.0), (0, 1.0)]}), make_panel({(0, 111): [(2, 3.0)]})
     labelled = aggregates.label_splits({"y_train": train, "y_test": test})
