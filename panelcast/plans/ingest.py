@@ -11,10 +11,15 @@ from panelcast.operators.quality import enforce, panel_suite
 from panelcast.operators.statistics import describe_columns
 from panelcast.operators.windows import export_metadata, export_window, require_complete
 from panelcast.schemas import DATASET_END, DATASET_START, DAYS_DELAY, DAYS_EXPORT, PANEL, RAW_TIME_FORMAT, VALUE
+from panelcast.sources import table_statistics
 from panelcast.sources.feature_table import create_view, read_table, table_path, upsert
 from panelcast.sources.results import latest_run, record_run
 from panelcast.sources.snapshots import write_snapshot
 
+# Columns whose statistics are kept by day.
+STATISTICS = ("area", "consumer_type", VALUE)
+
+# The fields of the run records.
 FEATURE_RUN = T.StructType([
     T.StructField("days_delay", T.IntegerType()),
     T.StructField("days_export", T.IntegerType()),
@@ -44,8 +49,8 @@ def run_ingest(
 ) -> DataFrame:
     """Window, completeness, clean, validate, upsert; returns the run's record.
 
-    The validation report is kept in ``validation``, statistics of the batch in ``statistics``, and rows that a
-    quarantine takes out in ``rejected``.
+    The validation report is kept in ``validation``, statistics of the batch in ``statistics``, mergeable ones of the days it
+    touched beside the table (``table_statistics``), and rows that a quarantine takes out in ``rejected``.
     """
     start, end = export_window(reference, days_delay, days_export, dataset_start, dataset_end)
     records = in_window(raw, start, end).persist()
@@ -57,6 +62,7 @@ def run_ingest(
         upsert(spark, table_path(root, version), checked)
         summary = describe_columns(checked, (VALUE,)).withColumns({"version": F.lit(version), "computed_at": F.current_timestamp()})
         summary.coalesce(1).write.mode("append").parquet(f"{base}/statistics")
+        table_statistics.refresh(spark, table_path(root, version), STATISTICS)
         run = export_metadata(records, start, end, source, days_delay, days_export, "HourUTC", RAW_TIME_FORMAT)
         record_run(run.withColumn("feature_group_version", F.lit(version)), root, "feature")
     finally:

@@ -19,6 +19,34 @@ def o01(spark, sf_dir):
     return rounded(scored, "MAPE")
 
 
+GROWTH = 1.01 / 0.99
+
+
+@query("o01b_group_lambda", dense_sql(f"""
+select area, consumer_type, round(avg({APE}), 6) as "MAPE" from pairs group by 1, 2""", PAIRS))
+def o01b(spark, sf_dir):
+    """The mean error of each slice by a user's function over its rows, as states that are merged."""
+    aggregate = hooks.GroupMean(lambda rows: (rows["y"] - rows["p"]).abs() / rows["y"].abs().clip(lower=2.220446049250313e-16), "MAPE")
+    return rounded(hooks.aggregate_by(pairs(spark, sf_dir), ("area", "consumer_type"), aggregate, ("y", "p")), "MAPE")
+
+
+@query("o01c_group_median", f"""
+with counted as (
+  select event_type, cast(sign(value) as integer) as s,
+         case when value = 0 then 0 else cast(ceil(ln(abs(value)) / ln({GROWTH!r})) as integer) end as step, count(*) as n
+  from events where value is not null group by 1, 2, 3),
+placed as (
+  select *, sum(n) over (partition by event_type order by s, s * step) as seen, sum(n) over (partition by event_type) as total from counted),
+reached as (
+  select *, row_number() over (partition by event_type order by s, s * step) as r from placed where seen > 0.5 * (total - 1))
+select event_type, round(case when s = 0 then 0.0 else s * 2 * pow({GROWTH!r}, step) / ({GROWTH!r} + 1) end, 6) as median from reached where r = 1""")
+def o01c(spark, sf_dir):
+    """The median of all events of a type, to one percent, by a sketch of a user."""
+    median = hooks.GroupQuantile("value", 0.5, 0.01, "median")
+    events = fixtures.events(spark, sf_dir).select("event_type", F.col("value").cast("double").alias("value"))
+    return rounded(hooks.aggregate_by(events, ("event_type",), median, ("value",)), "median")
+
+
 @query("o02_arrays_to_rows", panel_sql("""
 select area, consumer_type, date_diff('hour', timestamp '1970-01-01', datetime_utc) as datetime_utc, energy_consumption
 from panel"""))

@@ -20,7 +20,7 @@ from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import CACHED, LAGGED, LINE, LINE_OF_TRAIN, NEW, RAW, TEST_FORECAST, ctes, dense_sql, panel_sql
 from panelcast.schemas import COLUMN_DOCS, FORECAST, PANEL, ROW_KEYS
 from panelcast.session import scratch_path
-from panelcast.sources import commits, feature_table, landed, models, paths, results, snapshots
+from panelcast.sources import commits, feature_table, landed, models, paths, results, snapshots, table_statistics
 
 RANGE = (datetime(2024, 1, 10, 6), datetime(2024, 1, 20, 18))
 RANGE_SQL = "datetime_utc >= timestamp '2024-01-10 06:00:00' and datetime_utc < timestamp '2024-01-20 18:00:00'"
@@ -148,6 +148,42 @@ def a07c(spark, sf_dir):
     return rounded(statistics.correlations(fixtures.panel(spark, sf_dir), NUMERIC), "corr")
 
 
+@query("a07d_stored_statistics", panel_sql("\nunion all ".join(
+    f"""select '{c}' as "column", count({c}) as count, count(*) - count({c}) as nulls, cast(min({c}) as double) as min,
+    cast(max({c}) as double) as max, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
+    true as distinct_within_5_percent, true as median_within_2_percent from panel""" for c in NUMERIC)))
+def a07d(spark, sf_dir):
+    """Statistics of a table from the states of its days, after a second batch that overlaps the first. What sketches
+    estimate is compared with exact counts, within stated bounds."""
+    path, panel = scratch_path(spark, "counted-table"), fixtures.panel(spark, sf_dir)
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    feature_table.upsert(spark, path, panel.filter(F.col("datetime_utc") < middle).withColumn("energy_consumption", F.col("energy_consumption") * 2))
+    table_statistics.refresh(spark, path, NUMERIC)
+    feature_table.upsert(spark, path, panel)
+    table_statistics.refresh(spark, path, NUMERIC)
+    found = statistics.summarised(table_statistics.table_states(spark, path))
+    exact = statistics.describe_columns(panel, NUMERIC, exact_distinct=True).select("column", F.col("distinct").alias("exact"))
+    medians = found.select(F.map_from_entries(F.collect_list(F.struct("column", "p50")))).scalar()
+    below = panel.withColumn("_m", medians).agg(*[
+        F.struct(F.avg((F.col(c) < F.col("_m")[c]).cast("double")).alias("lo"), F.avg((F.col(c) <= F.col("_m")[c]).cast("double")).alias("hi")).alias(c) for c in NUMERIC])
+    ranks = below.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.lo").alias("lo"), F.col(f"{c}.hi").alias("hi")) for c in NUMERIC])))
+    joined = found.join(exact, "column").join(ranks, "column")
+    return rounded(joined, "mean", "std").select(
+        "column", "count", "nulls", "min", "max", "mean", "std",
+        (F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("distinct_within_5_percent"),
+        ((F.col("lo") <= 0.52) & (F.col("hi") >= 0.48)).alias("median_within_2_percent"))
+
+
+@query("a07e_stored_correlations", panel_sql("""
+select 'area' as first, 'consumer_type' as second, round(corr(area, consumer_type), 6) as corr from panel union all
+select 'area', 'energy_consumption', round(corr(area, energy_consumption), 6) from panel union all
+select 'consumer_type', 'energy_consumption', round(corr(consumer_type, energy_consumption), 6) from panel"""))
+def a07e(spark, sf_dir):
+    path = stored_panel(spark, sf_dir, "correlated-table")
+    table_statistics.refresh(spark, path, NUMERIC)
+    return rounded(table_statistics.table_correlations(spark, path), "corr")
+
+
 @query("a08_feature_view", ALL_PANEL)
 def a08(spark, sf_dir):
     root = scratch_path(spark, "views")

@@ -79,7 +79,7 @@ def upsert(
         batch = batch.persist()
         try:
             days = {str(r[0]) for r in batch.select(DAY).distinct().collect()}
-            stored = _layers(spark, {d: f for d, f in base.of(ROWS).items() if d in days}, schema)
+            stored = layers_of(spark, {d: f for d, f in base.of(ROWS).items() if d in days}, schema)
             merged = batch if stored is None else merge_rows(stored.withColumn(DAY, F.to_date(TIME)), batch)
             written = _write_days(spark, _by_day(merged), path)
         finally:
@@ -94,13 +94,13 @@ def compact(spark: SparkSession, path: str, schema: T.StructType = PANEL) -> lis
     base = head(spark, path)
     layered = {day: folders for day, folders in base.of(ROWS).items() if len(folders) > 1}
     if layered:
-        rows = _layers(spark, layered, schema).withColumn(DAY, F.to_date(TIME))
+        rows = layers_of(spark, layered, schema).withColumn(DAY, F.to_date(TIME))
         written = _write_days(spark, _by_day(rows), path)
         commit(spark, path, base, {ROWS: {day: [written[day]] for day in layered}})
     return sorted(layered)
 
 
-def _layers(spark: SparkSession, days: dict[str, list[str]], schema: T.StructType) -> DataFrame | None:
+def layers_of(spark: SparkSession, days: dict[str, list[str]], schema: T.StructType) -> DataFrame | None:
     """The rows of some days; where a day has layers, the row of a key in the newest of them."""
     read = lambda paths: spark.read.schema(schema).parquet(*sorted(paths))
     single = [f[0] for f in days.values() if len(f) == 1]
@@ -124,7 +124,7 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, first: str = "
     state = head(spark, path)
     if not state.number:
         raise FileNotFoundError(f"no feature table at {path}")
-    rows = _layers(spark, {d: f for d, f in state.of(ROWS).items() if first <= d <= last}, schema)
+    rows = layers_of(spark, {d: f for d, f in state.of(ROWS).items() if first <= d <= last}, schema)
     return spark.createDataFrame([], schema) if rows is None else rows
 
 

@@ -3,9 +3,10 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast.operators import statistics
 from panelcast.plans import prediction, training
 from panelcast.schemas import FORECAST
-from panelcast.sources import commits, feature_table, results
+from panelcast.sources import commits, feature_table, results, table_statistics
 from panelcast.sources.commits import Commit, Conflict, claim, commit, head, put_if_absent, retain, sweep
 
 
@@ -150,3 +151,26 @@ def test_configurations_stay_in_the_log(spark, tmp_path):
         training.publish_best(spark.range(1).select(F.lit(k).alias("config_id")), root)
     assert training.read_best(spark, root, "config_id int").first()[0] == 2
     assert len(head(spark, f"{root}/configs").of("best_config")) == 2 and commits.retain(spark, f"{root}/configs", 1) == {"best_config": [1]}
+
+
+def test_statistics_follow_the_days_that_change(spark, make_panel, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    feature_table.upsert(spark, path, make_panel({(a, 111): [(h, float(h * (a + 1))) for h in range(96)] for a in range(3)}))
+    columns = ("area", "energy_consumption")
+    assert table_statistics.refresh(spark, path, columns) == [f"2024-01-0{d}" for d in range(1, 5)] and table_statistics.refresh(spark, path, columns) == []
+    feature_table.upsert(spark, path, make_panel({(0, 111): [(30, 1000.0)]}))
+    assert table_statistics.refresh(spark, path, columns) == ["2024-01-02"]
+    rows = feature_table.read_table(spark, path)
+    got = {r["column"]: r for r in statistics.summarised(table_statistics.table_states(spark, path)).collect()}
+    want = {r["column"]: r for r in statistics.describe_columns(rows, columns, exact_distinct=True).collect()}
+    for c in columns:
+        assert [got[c][m] for m in ("count", "nulls", "min", "max")] == [want[c][m] for m in ("count", "nulls", "min", "max")]
+        assert got[c]["mean"] == pytest.approx(want[c]["mean"]) and got[c]["std"] == pytest.approx(want[c]["std"])
+        assert got[c]["distinct"] == pytest.approx(want[c]["distinct"], rel=0.05)
+    corr = table_statistics.table_correlations(spark, path).first()["corr"]
+    assert corr == pytest.approx(statistics.correlations(rows, columns).first()["corr"])
+    bins = statistics.estimated_histogram(table_statistics.table_states(spark, path), 4).where("column = 'energy_consumption'").collect()
+    assert len(bins) == 4 and bins[0]["lo"] == 0.0 and bins[3]["hi"] == 1000.0 and sum(r["rows"] for r in bins) == 288
+    for r in bins:
+        inside = rows.where(f"energy_consumption >= {r['lo']} and energy_consumption < {r['hi']}").count()
+        assert abs(inside - r["rows"]) <= 0.02 * 288 + 3

@@ -216,6 +216,27 @@ def test_user_metric_and_forecaster(spark, panel):
     assert last.count() == 3
 
 
+def test_user_aggregates_merge_and_split_a_hot_group(spark):
+    rows = [("hot" if i % 3 else f"k{i % 7}", float((i * 37) % 101 - 50), float(i % 5)) for i in range(3000)] + [(None, 2.0, 1.0), ("nulls", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, y double, p double").repartition(9)
+    error = lambda r: (r["y"] - r["p"]).abs()
+    got = {r["k"]: r["value"] for r in hooks.aggregate_by(df, ["k"], hooks.GroupMean(error), ["y", "p"], fan_in=2).collect()}
+    groups = {}
+    for k, y, p in rows:
+        groups.setdefault(k, []).append((y, p))
+    assert set(got) == set(groups) and got["nulls"] is None
+    for k, pairs in groups.items():
+        if k != "nulls":
+            assert got[k] == pytest.approx(sum(abs(y - p) for y, p in pairs) / len(pairs))
+    for q in (0.0, 0.5, 0.9, 1.0):
+        quantile = hooks.GroupQuantile("y", q, 0.01)
+        got = {r["k"]: r["value"] for r in hooks.aggregate_by(df, ["k"], quantile, ["y"]).collect()}
+        for k, pairs in groups.items():
+            values = sorted(y for y, _ in pairs if y is not None)
+            assert got[k] == (pytest.approx(values[int(q * (len(values) - 1))], rel=0.0101) if values else None)
+    assert hooks.aggregate_by(df.limit(0), ["k"], hooks.GroupMean(error), ["y", "p"]).count() == 0
+
+
 def test_zero_and_negative_observations_are_scored(make_panel):
     rows = {(0, 111): [(h, 5.0 if h < 48 else (5.0, 0.0, -3.0)[h % 3]) for h in range(72)]}
     train, test = training.split(make_panel(rows))
