@@ -78,3 +78,22 @@ def n04(spark, sf_dir):
     partials = scratch_path(spark, "score-parts")
     drained(jobs.start_scoring(errors, partials, scratch_path(spark, "score-checkpoint")))
     return rounded(jobs.read_scores(spark, partials), "MAPE")
+
+
+@query("n04b_closed_scores", panel_sql("""
+select a.datetime_utc, round(avg(abs(a.energy_consumption - b.energy_consumption)
+       / greatest(abs(a.energy_consumption), 2.220446049250313e-16)), 6) as "MAPE", count(*) as n
+from panel a join panel b on a.area = b.area and a.consumer_type = b.consumer_type
+     and b.datetime_utc = a.datetime_utc - interval 24 hour
+where a.datetime_utc + interval 1 hour <= (select hi - interval 36 hour from span)
+group by 1"""))
+def n04b(spark, sf_dir):
+    """Yesterday's value as the forecast; hours are scored once, when the watermark (36 hours) has closed them."""
+    panel = fixtures.panel(spark, sf_dir).select(*FORECAST.names)
+    forecasts, truth, root = (scratch_path(spark, n) for n in ("forecasts", "truth", "closed-scores"))
+    shift_hours(panel, 24).write.parquet(forecasts)
+    panel.write.parquet(truth)
+    scores = jobs.closed_scores(
+        jobs.landed_stream(spark, forecasts, FORECAST), jobs.landed_stream(spark, truth, FORECAST), delay="36 hours")
+    drained(jobs.start_closed_scores(scores, root, scratch_path(spark, "closed-checkpoint")))
+    return rounded(jobs.read_closed_scores(spark, root), "MAPE")

@@ -14,7 +14,9 @@ from panelcast.functions.errors import absolute_percentage_error
 from panelcast.operators.clean import clean
 from panelcast.operators.quality import enforce, panel_suite
 from panelcast.schemas import PANEL, RAW, ROW_KEYS, TIME, VALUE
+from panelcast.sources.commits import commit, head, new_folder, sweep
 from panelcast.sources.feature_table import upsert
+from panelcast.sources.paths import _path
 
 # A record may arrive the export length plus the publication delay after its hour.
 ARRIVAL_LAG = "45 days"
@@ -95,13 +97,98 @@ def matched_errors(
     the arrival lag is dropped. Both sides are deduplicated first, because a repeated row would be
     matched again.
     """
+    matched = _matched(forecasts, truth, on, delay, time, value)
+    return matched.select(F.col(time).cast("timestamp_ntz").alias(time), "ape")
+
+
+def _matched(forecasts: DataFrame, truth: DataFrame, on, delay: str, time: str, value: str) -> DataFrame:
+    """Instant and error of each match; the instant carries the watermark on to what follows."""
     left = unique_rows(forecasts.select(*on, F.col(value).alias("p")), on, delay, time)
     right = unique_rows(truth.select(*on, F.col(value).alias("y")), on, delay, time)
-    return left.join(right, list(on)).filter(F.col("y").isNotNull()).select(
-        F.col(time).cast("timestamp_ntz").alias(time), absolute_percentage_error("y", "p").alias("ape")
+    return left.join(right, list(on)).filter(F.col("y").isNotNull()).select(time, absolute_percentage_error("y", "p").alias("ape"))
+
+
+def closed_scores(
+    forecasts: DataFrame, truth: DataFrame, on=ROW_KEYS, delay: str = ARRIVAL_LAG, time: str = TIME, value: str = VALUE,
+) -> DataFrame:
+    """MAPE and matches of every hour, once, when no more rows of it can come.
+
+    Deduplication, stream-stream join and windowed aggregate are one chain of stateful operators in append mode: the
+    watermark of the slower side passes through the join, and an hour leaves the aggregate when it has passed its end. So
+    scores need no partial results, and state is bounded by the arrival lag.
+    """
+    return (
+        _matched(forecasts, truth, on, delay, time, value)
+        .groupBy(F.window(time, "1 hour").alias("_window")).agg(F.avg("ape").alias("MAPE"), F.count("ape").alias("n"))
+        .select(F.col("_window.start").cast("timestamp_ntz").alias(time), "MAPE", "n")
     )
 
 
+def start_closed_scores(
+    scores: DataFrame, root: str, checkpoint: str, most_folders: int = 8, time: str = TIME,
+) -> StreamingQuery:
+    """Store closed hours by day, exactly once, in a bounded number of folders.
+
+    A batch's rows and its number become visible in one commit, so a batch that is replayed is skipped. When a day has more
+    than ``most_folders`` folders they are written anew as one, and what no commit names any more is swept.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, base = batch.sparkSession, head(batch.sparkSession, root)
+        if int(base.of("batch").get("last", ["-1"])[0]) >= batch_id:
+            return
+        days = _scores_by_day(spark, batch, root, time)
+        changes = {d: [*base.of("scores").get(d, []), folder] for d, folder in days.items()}
+        commit(spark, root, base, {"scores": changes, "batch": {"last": [str(batch_id)]}})
+        compact_scores(spark, root, most_folders, time)
+
+    return (
+        scores.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+
+
+SCORES = f"{TIME} timestamp_ntz, MAPE double, n bigint"
+
+
+def _scores_by_day(spark: SparkSession, rows: DataFrame, root: str, time: str) -> dict[str, str]:
+    folder = new_folder(root, "scores")
+    rows.withColumn("_day", F.date_format(time, "yyyy-MM-dd")).repartition("_day").write.partitionBy("_day").parquet(folder)
+    jvm_path, fs = _path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory()]
+    return {n.removeprefix("_day="): f"{folder}/{n}" for n in names if n.startswith("_day=")}
+
+
+def compact_scores(spark: SparkSession, root: str, most_folders: int = 8, time: str = TIME) -> list[str]:
+    """Write days with more than ``most_folders`` folders anew; returns those days. Readers keep the state they opened."""
+    base = head(spark, root)
+    large = {d: f for d, f in base.of("scores").items() if len(f) > most_folders}
+    if large:
+        rows = spark.read.schema(SCORES).parquet(*[f for folders in large.values() for f in folders])
+        commit(spark, root, base, {"scores": {d: [f] for d, f in _scores_by_day(spark, rows, root, time).items()}})
+        sweep(spark, root, keep_commits=2)
+    return sorted(large)
+
+
+def read_closed_scores(spark: SparkSession, root: str) -> DataFrame:
+    folders = [f for day in head(spark, root).of("scores").values() for f in day]
+    return spark.read.schema(SCORES).parquet(*folders) if folders else spark.createDataFrame([], SCORES)
+
+
+def record_late_rows(spark: SparkSession, query: StreamingQuery, path: str) -> int:
+    """Append, per batch, the rows that came behind the watermark and were dropped, by stateful operator; returns their sum.
+
+    Call it when a run has ended. A run keeps the progress of its last ``spark.sql.streaming.numRecentProgressUpdates``
+    batches, so that setting must cover a run.
+    """
+    rows = [(str(p["runId"]), int(p["batchId"]), i, op["operatorName"], int(op["numRowsDroppedByWatermark"]))
+            for p in query.recentProgress for i, op in enumerate(p["stateOperators"])]
+    late = [r for r in rows if r[4]]
+    if late:
+        table = spark.createDataFrame(late, "run string, batch long, operator int, name string, rows long")
+        table.coalesce(1).write.mode("append").parquet(path)
+    return sum(r[4] for r in late)
+
+
 def start_scoring(errors: DataFrame, partials: str, checkpoint: str, time: str = TIME) -> StreamingQuery:
     """Append (hour, sum of errors, count) per batch.
 

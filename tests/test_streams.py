@@ -1,9 +1,12 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from panelcast.functions.errors import mape
 from panelcast.schemas import FORECAST, RAW
 from panelcast.session import scratch_path
+from panelcast.sources.commits import head
 from panelcast.sources.feature_table import read_table
 from panelcast.streaming import jobs
 
@@ -57,3 +60,56 @@ def test_scores_merge_over_batches(spark, make_panel):
         .groupBy("datetime_utc").agg(mape("y", "p").alias("m")).collect()
     )
     assert got == {r["datetime_utc"]: pytest.approx(r["m"]) for r in want}
+
+
+def test_closed_hours_come_once_and_folders_stay_few(spark, make_panel, tmp_path):
+    forecasts, truth, root, state, late = (str(tmp_path / n) for n in ("f", "t", "scores", "state", "late"))
+    series = lambda hours, v: make_panel({(a, 111): [(h, v + a) for h in hours] for a in range(2)}).select(*FORECAST.names)
+    dropped = 0
+
+    def run(hours, **more):
+        nonlocal dropped
+        series(hours, 10.0).coalesce(1).write.mode("append").parquet(forecasts)
+        series(hours, 12.0).coalesce(1).write.mode("append").parquet(truth)
+        scores = jobs.closed_scores(jobs.landed_stream(spark, forecasts, FORECAST), jobs.landed_stream(spark, truth, FORECAST), delay="2 hours")
+        query = jobs.start_closed_scores(scores, root, state, most_folders=3, **more)
+        drain(query)
+        dropped += jobs.record_late_rows(spark, query, late)
+
+    seen = []
+    for start in range(0, 24, 4):
+        run(range(start, start + 4))
+        seen.append(jobs.read_closed_scores(spark, root).count())
+        folders = head(spark, root).of("scores")
+        assert all(len(f) <= 3 for f in folders.values())
+    assert seen == sorted(seen) and seen[-1] == 23 - 2 and dropped == 0  # 21 hours end at or before the watermark, 21:00
+    got = jobs.read_closed_scores(spark, root).orderBy("datetime_utc").collect()
+    assert len({r["datetime_utc"] for r in got}) == 21 and {r["n"] for r in got} == {2}
+    assert got[0]["MAPE"] == pytest.approx((2 / 12 + 2 / 13) / 2)
+    run([2, 24])  # hour 2 is closed
+    assert dropped > 0 and spark.read.parquet(late).agg(F.sum("rows")).first()[0] == dropped
+    after = jobs.read_closed_scores(spark, root)
+    assert after.count() == after.select("datetime_utc").distinct().count() == 22
+    assert [r["n"] for r in after.where("datetime_utc = '2024-01-01 02:00:00'").collect()] == [2]
+
+
+def test_a_replayed_batch_of_scores_is_skipped(spark, tmp_path):
+    root = str(tmp_path / "scores")
+    batch = spark.createDataFrame([(datetime(2024, 1, 1), 0.5, 3)], jobs.SCORES)
+    written = []
+
+    class Writer:
+        def foreachBatch(self, write):
+            written.append(write)
+            return self
+
+        def __getattr__(self, _):
+            return lambda *a, **k: self
+
+    class Stream:
+        writeStream = Writer()
+
+    jobs.start_closed_scores(Stream(), root, "unused")
+    for batch_id in (0, 0, 1, 0, 1):
+        written[0](batch, batch_id)
+    assert jobs.read_closed_scores(spark, root).count() == 2
