@@ -9,11 +9,12 @@ from panelcast import fixtures
 from panelcast.operators import forecast as fc
 from panelcast.operators.aggregates import best_config, mean_over_folds, score_slices
 from panelcast.operators.timeseries import label_folds, lags
+from panelcast.operators.trees import FlatTrees
 from panelcast.plans import prediction, training
 from panelcast.queries.aggregation import FOLDS, INDEXED, SEASON_TRIALS, SLICES_SQL, season_results, slices
 from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import (
-    APE, CONSTANT, FIXED_COEFFICIENTS, LAGGED, LINE, LINE_OF_ALL, LINE_OF_TRAIN, LINE_PAIRS, NEXT_FORECAST, PAIRS, STEP_PAIRS, TEST_FORECAST, dense_sql,
+    APE, CONSTANT, FIXED_COEFFICIENTS, HAND_TREES, HAND_TREES_SQL, LAGGED, LINE, LINE_OF_ALL, LINE_OF_TRAIN, LINE_PAIRS, NEXT_FORECAST, PAIRS, STEP_PAIRS, TEST_FORECAST, dense_sql,
     panel_sql, recursion, recursive_sql,
 )
 from panelcast.queries.timeseries import OVER
@@ -122,6 +123,14 @@ def k03d(spark, sf_dir):
     return fc.forecast(model, train).join(solved, [*KEYS, TIME]).select(*KEYS, TIME, F.coalesce(close, F.lit(False)).alias("same"))
 
 
+@query("k03f_tree_recursion", recursive_sql("""
+select area, consumer_type, t as datetime_utc, round(p, 6) as energy_consumption from steps where step > 0""", recursion(BEFORE_TEST, value=HAND_TREES_SQL)))
+def k03f(spark, sf_dir):
+    """24 steps of three trees made by hand over all 82 features, each value fed back."""
+    train, _ = training.split(fixtures.dense(spark, sf_dir))
+    return rounded(fc.forecast(fc.TreeForecaster(FlatTrees.of_nodes(HAND_TREES)), train), "energy_consumption")
+
+
 @query("k03e_line_forecast", dense_sql(TEST_FORECAST, LAGGED, LINE_OF_TRAIN))
 def k03e(spark, sf_dir):
     model, train, _ = fitted(spark, sf_dir, LINE)

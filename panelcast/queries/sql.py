@@ -85,24 +85,38 @@ OTHER_WEIGHTS, CONSTANT = (0.5, 0.25, 1.5, 0.125), 3.0
 FIXED_COEFFICIENTS = (*LAG_WEIGHTS, *MEAN_WEIGHTS, *STD_WEIGHTS, *OTHER_WEIGHTS)
 
 
-def recursion(cut: str, horizon: int = 24, source: str = "dense", series: str = "") -> str:
-    """``steps``: the forecasts of the hours after ``cut`` by the fixed weights over all 82 features."""
+def recursion(cut: str, horizon: int = 24, value: str | None = None) -> str:
+    """``steps``: the forecasts of the hours after ``cut``, by the fixed weights over all 82 features or another expression
+    over ``h``, the last 72 values, and ``t``, the hour before."""
     means = " + ".join(f"{w!r} * list_avg(h[{73 - n}:])" for w, n in zip(MEAN_WEIGHTS, (24, 48, 72)))
     stds = " + ".join(f"{w!r} * list_stddev_samp(h[{73 - n}:])" for w, n in zip(STD_WEIGHTS, (24, 48, 72)))
     day, hour, area, kind = OTHER_WEIGHTS
+    linear = f"""{CONSTANT!r} + list_sum(list_transform(range(1, 73), lambda k: 0.01 * ((k * 7) % 5) / 5 * h[73 - k])) + {means} + {stds}
+           + {day!r} * (isodow(t + interval 1 hour) - 1) + {hour!r} * hour(t + interval 1 hour) + {area!r} * area + {kind!r} * consumer_type"""
     return f"""steps(area, consumer_type, t, step, h, p) as (
   select k.area, k.consumer_type, c.t, 0, (
       select list(coalesce(d.energy_consumption, 0.0) order by x.i) from range(72) x(i)
-      left join {source} d on d.area = k.area and d.consumer_type = k.consumer_type and d.datetime_utc = c.t - to_hours(cast(71 - x.i as integer))),
+      left join dense d on d.area = k.area and d.consumer_type = k.consumer_type and d.datetime_utc = c.t - to_hours(cast(71 - x.i as integer))),
     cast(null as double)
-  from {series or '(select distinct area, consumer_type from dense)'} k, (select {cut} as t from span) c
+  from (select distinct area, consumer_type from dense) k, (select {cut} as t from span) c
   union all
   select area, consumer_type, t + interval 1 hour, step + 1, list_append(h[2:], v), v from (
-    select *, {CONSTANT!r} + list_sum(list_transform(range(1, 73), lambda k: 0.01 * ((k * 7) % 5) / 5 * h[73 - k])) + {means} + {stds}
-           + {day!r} * (isodow(t + interval 1 hour) - 1) + {hour!r} * hour(t + interval 1 hour) + {area!r} * area + {kind!r} * consumer_type as v
+    select *, {value or linear} as v
     from steps where step < {horizon}))"""
 
 
+# Three trees by hand over the 82 features, and the same as SQL.
+HAND_TREES = (
+    (1.0, {"feature": 0, "at_most": 400.0, "then": {"feature": 79, "at_most": 11.0, "then": 150.0, "other": 320.5},
+           "other": {"feature": 72, "at_most": 900.0, "then": 610.25, "other": 1200.0}}),
+    (0.1, {"feature": 76, "at_most": 250.0, "then": -75.0, "other": {"feature": 80, "at_most": 0.0, "then": 31.0, "other": 77.0}}),
+    (0.1, {"feature": 23, "at_most": 300.0, "then": {"feature": 78, "at_most": 4.0, "then": -210.0, "other": 95.5}, "other": 125.0}),
+)
+HAND_TREES_SQL = """case when h[72] <= 400 then case when hour(t + interval 1 hour) <= 11 then 150.0 else 320.5 end
+                          when list_avg(h[49:]) <= 900 then 610.25 else 1200.0 end::double
+           + 0.1 * case when list_stddev_samp(h[25:]) <= 250 then -75.0 when area <= 0 then 31.0 else 77.0 end::double
+           + 0.1 * case when h[49] > 300 then 125.0 when isodow(t + interval 1 hour) - 1 <= 4 then -210.0 else 95.5 end::double"""
+
 STEP_PAIRS = """step_pairs as (
   select t.area, t.consumer_type, t.datetime_utc, t.energy_consumption as y, s.p
   from dense t join steps s on s.area = t.area and s.consumer_type = t.consumer_type and s.t = t.datetime_utc and s.step > 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import forecast as fc, hooks, joins
 from panelcast.operators.aggregates import score
+from panelcast.operators.trees import FlatTrees
 from panelcast.plans import monitoring, pages, prediction, training
 from panelcast.schemas import FORECAST, METRICS, VALUE
 from panelcast.session import scratch_path
@@ -102,6 +103,28 @@ def test_tree_recursion_matches_a_loop(panel, hour):
     assert np.allclose([got[hour(HOURS + i)] for i in range(10)], past[72:])
 
 
+def test_flat_trees_equal_the_library_and_its_steps(spark, panel):
+    model = fc.fit(panel, {"learner": "trees", "n_estimators": 70, "max_depth": 4})
+    learner, trees = model.stages[-1], FlatTrees.of_model(spark, model.stages[-1])
+    rows = fc.features_of(panel).limit(200)
+    want = [r["prediction"] for r in learner.transform(rows).collect()]
+    x = np.array([r["features"].toArray() for r in learner.transform(rows).collect()])
+    assert np.allclose(trees.predict(x), want) and len(trees.roots) == 70 and trees.predict(x[:0]).shape == (0,)
+    settings, others = fc.window_settings(model), fc.others_of(model)
+    state = fc.latest_history(panel, 72).union(fc.latest_history(panel, 72).limit(1).withColumn("area", F.lit(2).cast("tinyint")).withColumn("history", F.lit(None)))
+    one, steps = (as_map(f(state, m, settings, 24, others)) for f, m in ((fc.flat_tree_forecast, trees), (fc.stepwise_forecast, learner)))
+    assert set(one) == set(steps) and all(np.allclose(one[k], steps[k]) for k in one if steps[k] is not None)
+    missing = [k for k in steps if steps[k] is None]
+    assert len(missing) == 1 and all(v is None for v in one[missing[0]])
+    assert fc.as_rows(fc.flat_tree_forecast(state, trees, settings, 24, others)).where("energy_consumption is null").count() == 24
+    plan = fc.flat_tree_forecast(state, trees, settings, 24, others)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 2 and "ExistingRDD" not in plan.replace("Scan ExistingRDD[area", "")
+
+
+def as_map(df):
+    return {(r["area"], r["consumer_type"]): r["forecast"] for r in df.collect()}
+
+
 def test_cross_validation_forecasts_from_each_cut(panel):
     got = fc.cross_validate(panel, fc.grid_configs({"reg_lambda": [0.0, 0.5]}), 24, 3)
     found = {(r["config_id"], r["fold"]): r["MAPE"] for r in got.collect()}
