@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.llm.components import connected_components
-from panelcast.llm.staging import fresh, staged
+from panelcast.llm.staging import Temporary, fresh, staged
 
 SHINGLE = 5
 PERCENT = 75
@@ -102,22 +102,23 @@ class NearDuplicates:
 
     def _components(self, prints: DataFrame, source: DataFrame) -> DataFrame:
         """``print``, ``component`` (a number) and ``smallest``, the smallest id in it, of every class."""
-        nodes = staged(prints.where("n > 0").groupBy("print").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
-            .withColumn("rep", F.monotonically_increasing_id()), "classes")
-        buckets = staged(self._buckets(nodes), "buckets")
-
-        near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
-        pairs = buckets.where("rep <> pivot").where(near("n", "pivot_n")).select(F.col("rep").alias("x"), F.col("pivot").alias("y")).distinct()
-        links = staged(self._confirmed(pairs, nodes, source).union(_same_id(prints, nodes)), "links")
-        found = staged(connected_components(links, "x", "y"), "components")
-
-        unsettled = staged(self._open_members(buckets, nodes, found), "open")
-        if not unsettled.isEmpty():
-            more = self._connecting_links(unsettled, nodes, source)
-            found = connected_components(found.select(F.col("node").alias("x"), F.col("component").alias("y")).union(more), "x", "y")
-        placed = staged(nodes.select("print", "rep", "doc_id").join(found, F.col("rep") == F.col("node"), "left")
-                        .select("print", "doc_id", F.coalesce("component", "rep").alias("component")), "placed")
+        with Temporary(prints.sparkSession) as own:
+            nodes = staged(prints.where("n > 0").groupBy("print").agg(
+                F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
+                .withColumn("rep", F.monotonically_increasing_id()), "classes")
+            buckets = staged(self._buckets(nodes), "buckets")
+
+            near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
+            pairs = buckets.where("rep <> pivot").where(near("n", "pivot_n")).select(F.col("rep").alias("x"), F.col("pivot").alias("y")).distinct()
+            links = staged(self._confirmed(pairs, nodes, source).union(_same_id(prints, nodes)), "links")
+            found = staged(connected_components(links, "x", "y"), "components")
+
+            unsettled = staged(self._open_members(buckets, nodes, found), "open")
+            if not unsettled.isEmpty():
+                more = self._connecting_links(unsettled, nodes, source)
+                found = connected_components(found.select(F.col("node").alias("x"), F.col("component").alias("y")).union(more), "x", "y")
+            placed = own.keep(staged(nodes.select("print", "rep", "doc_id").join(found, F.col("rep") == F.col("node"), "left")
+                            .select("print", "doc_id", F.coalesce("component", "rep").alias("component")), "placed"))
         return placed.join(placed.groupBy("component").agg(F.min("doc_id").alias("smallest")), "component").select("print", "component", "smallest")
 
     def _prints(self, source: DataFrame) -> DataFrame:
@@ -298,16 +299,17 @@ def keep_one(docs: DataFrame, near: NearDuplicates) -> DataFrame:
     source = docs.select(F.col(near.id_col).cast("long").alias("doc_id"), F.col(near.text_col).cast("string").alias("text"))
     prints = staged(near._prints(source), "prints")
     rows = staged(prints.select("doc_id", "n", "print").join(near._components(prints, source), "print", "left"), "groups")
-    chosen = (rows.where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print")).alias("least"))
-              .select("least.doc_id", "least.print"))
     times = rows.groupBy("doc_id").agg(F.count("*").alias("times"))
-    odd_ids = times.where("doc_id is null or times > 1").select("doc_id")
-    wanted = staged(chosen.union(rows.where("n = 0").select("doc_id", "print").distinct()), "chosen")
-    once = wanted.join(times.where("times = 1 and doc_id is not null"), "doc_id", "left_semi").select("doc_id")
+    odd_ids = staged(times.where("doc_id is null or times > 1").select("doc_id"), "odd_ids")
+    # those that go are fewer than those that stay, and their table's size is known
+    gone = staged(rows.where("n > 0 and doc_id <> smallest").select("doc_id").union(odd_ids.where("doc_id is not null")).distinct(), "gone")
     known = docs[near.id_col].cast("long")
-    kept = docs.join(once, known == once["doc_id"], "left_semi")
+    kept = docs.where(known.isNotNull()).join(gone, known == gone["doc_id"], "left_anti")
     if odd_ids.isEmpty():
         return kept
+    chosen = (rows.where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print")).alias("least"))
+              .select("least.doc_id", "least.print"))
+    wanted = staged(chosen.union(rows.where("n = 0").select("doc_id", "print").distinct()), "chosen")
 
     @F.pandas_udf("struct<n: int, print: binary>")
     def printed(texts: pd.Series) -> pd.DataFrame:

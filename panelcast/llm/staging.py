@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import zipfile
 from pathlib import Path
 
@@ -12,6 +13,7 @@ from panelcast.session import scratch_path
 
 _STAGED: list[str] = []
 _SHIPPED: set[str] = set()
+_OPEN = threading.local()
 
 
 def ship(spark: SparkSession) -> None:
@@ -43,9 +45,38 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     _STAGED.append(path)
+    for scope in getattr(_OPEN, "scopes", []):
+        scope.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Temporary:
+    """Tables staged inside this context, by this thread, go at its end, but for the one that is kept.
+
+    What is kept must be a staged table, so nothing reads the others any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.kept = spark, [], set()
+
+    def __enter__(self) -> "Temporary":
+        _OPEN.scopes = [*getattr(_OPEN, "scopes", []), self]
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """``table``, which was the last to be staged."""
+        self.kept.add(self.paths[-1])
+        return table
+
+    def __exit__(self, *_) -> None:
+        _OPEN.scopes = [s for s in _OPEN.scopes if s is not self]
+        for path in self.paths:
+            if path not in self.kept and path in _STAGED:
+                _STAGED.remove(path)
+                jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Remove all staged tables; results that still read them must have been written before."""
     while _STAGED:
