@@ -118,7 +118,7 @@ def test_flat_trees_equal_the_library_and_its_steps(spark, panel):
     assert len(missing) == 1 and all(v is None for v in one[missing[0]])
     assert fc.as_rows(fc.flat_tree_forecast(state, trees, settings, 24, others)).where("energy_consumption is null").count() == 24
     plan = fc.flat_tree_forecast(state, trees, settings, 24, others)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") <= 2 and "ExistingRDD" not in plan.replace("Scan ExistingRDD[area", "")
+    assert plan.count("ArrowEvalPython") <= 2  # one for each side of the union
 
 
 def as_map(df):
