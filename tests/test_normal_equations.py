@@ -59,7 +59,7 @@ def test_solved_model_equals_the_fitted_pipeline(panel):  # noqa: F811
     config = {"reg_lambda": 0.01}
     solved, fitted = fc.solve(panel, config), fc.fit(panel, config)
     assert np.allclose(solved.coefficients, fitted.stages[-1].coefficients.toArray(), atol=1e-6)
-    assert solved.intercept == pytest.approx(fitted.stages[-1].intercept, abs=1e-6)
+    assert solved.intercept == pytest.approx(fitted.stages[-1].intercept, rel=1e-6)
     a, b = ([r[VALUE] for r in fc.forecast(m, panel).orderBy(*KEYS, TIME).collect()] for m in (solved, fitted))
     assert np.allclose(a, b, atol=1e-6) and len(a) == 72
 
