@@ -90,6 +90,15 @@ def rolling_std(df: DataFrame, windows=STD_WINDOWS, keys=KEYS, time: str = TIME,
     return look_back(df, _over_full_window(F.stddev_samp, windows, "std", keys, value), _reach(windows), keys, time)
 
 
+def window_columns(lags=LAGS, means=MEAN_WINDOWS, stds=STD_WINDOWS, keys=KEYS, value: str = VALUE) -> dict[str, Column]:
+    """Lags, rolling means and rolling standard deviations as columns of one ``look_back``; NULL where an hour is missing."""
+    return {
+        **{f"lag_{k}": F.first(value).over(hours_before(k, k, keys)) for k in lags},
+        **_over_full_window(F.avg, means, "mean", keys, value),
+        **_over_full_window(F.stddev_samp, stds, "std", keys, value),
+    }
+
+
 def history(df: DataFrame, length: int = 72, keys=KEYS, time: str = TIME, value: str = VALUE) -> DataFrame:
     """The previous ``length`` hours of a row as one array, oldest first.
 

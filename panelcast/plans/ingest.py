@@ -11,7 +11,7 @@ from panelcast.operators.quality import enforce, panel_suite
 from panelcast.operators.statistics import describe_columns
 from panelcast.operators.windows import export_metadata, export_window, require_complete
 from panelcast.schemas import DATASET_END, DATASET_START, DAYS_DELAY, DAYS_EXPORT, PANEL, RAW_TIME_FORMAT, VALUE
-from panelcast.sources import table_statistics
+from panelcast.sources import feature_store, table_statistics
 from panelcast.sources.feature_table import create_view, read_table, table_path, upsert
 from panelcast.sources.results import latest_run, record_run
 from panelcast.sources.snapshots import write_snapshot
@@ -46,11 +46,13 @@ def run_ingest(
     spark: SparkSession, raw: DataFrame, root: str, reference: datetime | None = None,
     days_delay: int = DAYS_DELAY, days_export: int = DAYS_EXPORT, version: int = 1, source: str = "landed",
     dataset_start: datetime = DATASET_START, dataset_end: datetime = DATASET_END, policy: str = "fail",
+    features: feature_store.Features | None = None,
 ) -> DataFrame:
     """Window, completeness, clean, validate, upsert; returns the run's record.
 
     The validation report is kept in ``validation``, statistics of the batch in ``statistics``, mergeable ones of the days it
-    touched beside the table (``table_statistics``), and rows that a quarantine takes out in ``rejected``.
+    touched beside the table (``table_statistics``), and rows that a quarantine takes out in ``rejected``. With ``features``
+    the look-back features of these days and of those after them that they reach are made anew (``feature_store``).
     """
     start, end = export_window(reference, days_delay, days_export, dataset_start, dataset_end)
     records = in_window(raw, start, end).persist()
@@ -63,6 +65,8 @@ def run_ingest(
         summary = describe_columns(checked, (VALUE,)).withColumns({"version": F.lit(version), "computed_at": F.current_timestamp()})
         summary.coalesce(1).write.mode("append").parquet(f"{base}/statistics")
         table_statistics.refresh(spark, table_path(root, version), STATISTICS)
+        if features is not None:
+            feature_store.refresh(spark, table_path(root, version), features)
         run = export_metadata(records, start, end, source, days_delay, days_export, "HourUTC", RAW_TIME_FORMAT)
         record_run(run.withColumn("feature_group_version", F.lit(version)), root, "feature")
     finally:

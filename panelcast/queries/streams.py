@@ -10,6 +10,7 @@ from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import RAW, ctes, panel_sql
 from panelcast.schemas import FORECAST, RAW as RAW_SCHEMA
 from panelcast.session import scratch_path
+from panelcast.sources.feature_store import Features, read_features
 from panelcast.sources.feature_table import read_table
 from panelcast.streaming import jobs
 
@@ -34,6 +35,21 @@ def n01(spark, sf_dir):
     return read_table(spark, table)
 
 
+@query("n01b_stream_features", panel_sql("""
+select p.*, a.energy_consumption as lag_1, b.energy_consumption as lag_24 from panel p
+left join panel a on a.area = p.area and a.consumer_type = p.consumer_type and a.datetime_utc = p.datetime_utc - interval 1 hour
+left join panel b on b.area = p.area and b.consumer_type = p.consumer_type and b.datetime_utc = p.datetime_utc - interval 24 hour"""))
+def n01b(spark, sf_dir):
+    """Landed files in any order of days, ingested batch by batch; each brings the stored lags of the days it reaches up to date."""
+    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "stream-table")
+    features = Features(lags=(1, 24), means=(), stds=(), with_calendar=False, full=False)
+    fixtures.raw(spark, sf_dir).repartition(3, F.substring("HourUTC", 1, 10)).write.parquet(landing)
+    drained(jobs.start_ingest(
+        spark, landing, table, scratch_path(spark, "stream-checkpoint"), files_per_batch=2, features=features
+    ))
+    return read_features(spark, table, features)
+
+
 @query("n02_stream_dedupe", ctes(RAW) + 'select "HourUTC", "PriceArea", "ConsumerType_DE35", "TotalCon" from raw')
 def n02(spark, sf_dir):
     landing, out = scratch_path(spark, "doubled"), scratch_path(spark, "deduplicated")

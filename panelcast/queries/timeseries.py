@@ -13,7 +13,9 @@ from panelcast.queries.aggregation import FOLDS, INDEXED
 from panelcast.queries.registry import query, rounded
 from panelcast.queries.sql import RAW, ctes, dense_sql, panel_sql
 from panelcast.queries.storage import landed_payloads
-from panelcast.schemas import OBSERVED
+from panelcast.schemas import OBSERVED, PANEL
+from panelcast.session import scratch_path
+from panelcast.sources import feature_store, feature_table
 from panelcast.sources.landed import read_payloads
 
 OVER = "over (partition by area, consumer_type order by datetime_utc"
@@ -67,6 +69,57 @@ def f04(spark, sf_dir):
     return full.withColumn("history", F.array_join(money, ","))
 
 
+STORED_STATISTICS = ",\n".join(
+    f"round({function}(energy_consumption) {OVER} rows between {n} preceding and 1 preceding), 6) as {name}_1_{n}"
+    for function, name in (("avg", "mean"), ("stddev_samp", "std")) for n in (24, 48, 72)
+)
+
+
+@query("f04c_stored_features", dense_sql(f"""
+select * exclude (r) from (
+  select area, consumer_type, datetime_utc, isodow(datetime_utc) - 1 as day_of_week, hour(datetime_utc) as hour_of_day,
+         string_agg(cast(cast(energy_consumption as decimal(18,2)) as varchar), ',') {OVER} rows between 72 preceding and 1 preceding) as history,
+         {STORED_STATISTICS}, 4 as days_made, row_number() {OVER}) as r
+  from (select area, consumer_type, datetime_utc, energy_consumption
+               + case when cast(datetime_utc as date) = cast(hi as date) - 8 then 1 else 0 end as energy_consumption from dense, span))
+where r > 72"""))
+def f04c(spark, sf_dir):
+    """All look-back features from the store: days ingested in two batches, then one day corrected late. ``days_made`` are the
+    days that the correction made anew, itself and the three that its hours reach."""
+    table = scratch_path(spark, "feature-store")
+    dense = fixtures.dense(spark, sf_dir).select(*PANEL.names)
+    last = dense.agg(F.max(F.to_date("datetime_utc"))).scalar()
+    day = F.to_date("datetime_utc")
+    for batch in (dense.filter(day < F.date_add(last, -2)), dense.filter(day >= F.date_add(last, -2))):
+        feature_table.upsert(spark, table, batch)
+        feature_store.refresh(spark, table)
+    late = dense.filter(day == F.date_add(last, -8)).withColumn("energy_consumption", F.col("energy_consumption") + 1)
+    feature_table.upsert(spark, table, late)
+    made = feature_store.refresh(spark, table)
+    statistics = [f"{name}_1_{n}" for name in ("mean", "std") for n in (24, 48, 72)]
+    money = F.transform(F.reverse(F.slice("window", 1, 72)), lambda x: x.cast("decimal(18,2)").cast("string"))
+    return feature_store.read_features(spark, table).select(
+        "area", "consumer_type", "datetime_utc", "day_of_week", "hour_of_day", F.array_join(money, ",").alias("history"),
+        *[F.round(F.element_at("window", 73 + i), 6).alias(c) for i, c in enumerate(statistics)], F.lit(len(made)).alias("days_made"))
+
+
+@query("f01c_stored_lags_with_gaps", panel_sql("""
+select p.*, a.energy_consumption as lag_1, b.energy_consumption as lag_24, c.energy_consumption as lag_72 from panel p
+left join panel a on a.area = p.area and a.consumer_type = p.consumer_type and a.datetime_utc = p.datetime_utc - interval 1 hour
+left join panel b on b.area = p.area and b.consumer_type = p.consumer_type and b.datetime_utc = p.datetime_utc - interval 24 hour
+left join panel c on c.area = p.area and c.consumer_type = p.consumer_type and c.datetime_utc = p.datetime_utc - interval 72 hour"""))
+def f01c(spark, sf_dir):
+    """Lags of a table with gaps from the store; the rows of one hour of every day arrive late, as layers."""
+    table = scratch_path(spark, "lag-store")
+    features = feature_store.Features(lags=(1, 24, 72), means=(), stds=(), with_calendar=False, full=False)
+    panel, late = fixtures.panel(spark, sf_dir), F.hour("datetime_utc") == 5
+    feature_table.upsert(spark, table, panel.filter(~late))
+    feature_store.refresh(spark, table, features)
+    feature_table.upsert(spark, table, panel.filter(late), merge=False)
+    feature_store.refresh(spark, table, features)
+    return feature_store.read_features(spark, table, features)
+
+
 @query("f05_calendar", panel_sql("""
 select *, cast(isodow(datetime_utc) - 1 as integer) as day_of_week, cast(hour(datetime_utc) as integer) as hour_of_day
 from panel"""))

@@ -14,6 +14,7 @@ from panelcast.functions.errors import absolute_percentage_error
 from panelcast.operators.clean import clean
 from panelcast.operators.quality import enforce, panel_suite
 from panelcast.schemas import PANEL, RAW, ROW_KEYS, TIME, VALUE
+from panelcast.sources import feature_store
 from panelcast.sources.commits import commit, head, new_folder, sweep
 from panelcast.sources.feature_table import upsert
 from panelcast.sources.paths import _path
@@ -37,8 +38,9 @@ def landed_stream(
 def start_ingest(
     spark: SparkSession, landing: str, table: str, checkpoint: str, schema: StructType = RAW,
     files_per_batch: int | None = None, policy: str = "fail", rejected: str | None = None, report: str | None = None,
+    features: feature_store.Features | None = None,
 ) -> StreamingQuery:
-    """Clean, validate and upsert each new set of landed files.
+    """Clean, validate and upsert each new set of landed files; with ``features`` bring the stored look-back features up to date.
 
     The upsert is keyed, so a batch that is replayed after a failure changes nothing. The batch is
     read and cleaned once; ``rejected`` and ``report`` are the tables of ``enforce``.
@@ -47,6 +49,8 @@ def start_ingest(
         panel = batch.transform(clean).select(*PANEL.names).persist()
         try:
             upsert(batch.sparkSession, table, enforce(panel, panel_suite(panel), policy, rejected, report))
+            if features is not None:
+                feature_store.refresh(batch.sparkSession, table, features)
         finally:
             panel.unpersist()
 
