@@ -12,16 +12,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelcast.llm.staging import fresh, staged
+
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 GRAMS = (2, 3, 4)
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-LEXICON_WORDS = 3_000
 LEXICON_COUNT = 5
 LEXICON_SHARE = 0.9
 SAMPLE_DOCUMENTS = 2_000
-SAMPLE_LANGUAGES = 200
+SHARES = 64
+GROUP_LIMIT = 1_000  # the largest rank that Spark filters before a shuffle
 RUNS = 12
 RUN_WORDS = 48
 SEQUENCES = 3_000
@@ -30,7 +32,7 @@ EPOCHS = 3
 BATCH = 64
 RATE = 0.2
 BLOCK = 512
-MARGIN = 64
+GROUP_NUMBERS = 1 << 20
 SLICE_CHARACTERS = 4_000_000
 SEED = 3
 
@@ -89,30 +91,45 @@ class LanguageModel:
     def marginals(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Posterior of every word, given its whole text; ``scores`` holds the words of all texts in a row.
 
-        Texts are cut into blocks of ``BLOCK`` words that are read with ``MARGIN`` words of context on either side; a
-        word further away no longer changes a posterior. A text of up to one block is read in one piece.
+        Texts are cut into blocks of ``BLOCK`` words that are read side by side. What a block passes on is a matrix; along the
+        blocks of a text these give the messages that enter each of them from both sides, so the result is that of one piece.
         """
         if not len(scores):
             return scores
-        text_ends = lengths.cumsum()
-        first, start, stop, end = [], [], [], []
-        for begin, finish in zip(text_ends - lengths, text_ends):
-            for at in range(begin, finish, BLOCK):
-                first.append(max(begin, at - MARGIN))
-                start.append(at)
-                stop.append(min(finish, at + BLOCK))
-                end.append(min(finish, at + BLOCK + MARGIN))
-        first, start, stop, end = map(np.array, (first, start, stop, end))
+        begins = lengths.cumsum() - lengths
+        counts = -(-lengths // BLOCK)
+        text = np.repeat(np.arange(len(lengths)), counts)
+        place = np.arange(len(text)) - np.repeat(counts.cumsum() - counts, counts)
+        first = begins[text] + place * BLOCK
+        sizes = np.minimum(lengths[text] - place * BLOCK, BLOCK)
+        labels = len(self.start)
+        entering = np.tile(np.exp(self.start - self.start.max()), (len(text), 1))
+        leaving = np.full((len(text), labels), 1 / labels)
         out = np.zeros_like(scores)
-        order = np.argsort(end - first, kind="stable")
-        for group in np.array_split(order, max(1, len(order) // 512)):
-            sizes = end[group] - first[group]
-            steps = np.arange(sizes.max())
-            there = steps[None, :] < sizes[:, None]
-            index = np.where(there, first[group][:, None] + steps, 0)
-            posterior = forward_backward(scores[index], there, self.transitions, self.start)[0]
-            wanted = there & (index >= start[group][:, None]) & (index < stop[group][:, None])
-            out[index[wanted]] = posterior[wanted]
+
+        def groups(chosen: np.ndarray, cells: int):
+            """Blocks of like length together, as many as have ``cells`` numbers each in ``GROUP_NUMBERS``."""
+            order = chosen[np.argsort(sizes[chosen], kind="stable")]
+            for group in np.array_split(order, min(len(order), -(-len(order) * cells // GROUP_NUMBERS))):
+                steps = np.arange(sizes[group].max())
+                there = steps[None, :] < sizes[group][:, None]
+                yield group, there, np.where(there, first[group][:, None] + steps, 0)
+
+        parted = np.flatnonzero(counts[text] > 1)
+        if len(parted):
+            move = np.exp(self.transitions)
+            passed = np.zeros((len(text), labels, labels))
+            for group, there, index in groups(parted, max(BLOCK * labels, labels * labels)):
+                passed[group] = passage(scores[index], there, move)
+            for b in parted:  # in the order of a text's words
+                if place[b]:
+                    entering[b] = _unit(_unit(entering[b - 1] @ passed[b - 1]) @ move)
+            for b in parted[::-1]:
+                if place[b] < counts[text[b]] - 1:
+                    leaving[b] = _unit(move @ _unit(passed[b + 1] @ leaving[b + 1]))
+        for group, there, index in groups(np.arange(len(text)), BLOCK * labels):
+            posterior = forward_backward(scores[index], there, self.transitions, entering[group], leaving[group])[0]
+            out[index[there]] = posterior[there]
         return out
 
     def predict(self, texts) -> tuple[list[str], list[float]]:
@@ -147,23 +164,43 @@ class LanguageModel:
         shares += top.tolist()
 
 
-def forward_backward(scores: np.ndarray, there: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors (text, word, label), and posteriors of neighbouring labels summed over all words; sums are scaled at each step."""
+def _unit(message: np.ndarray) -> np.ndarray:
+    return message / message.sum()
+
+
+def passage(scores: np.ndarray, there: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """For each run of words the matrix from a message at its first word to one at its last, up to a factor."""
+    emitted = np.exp(scores - scores.max(axis=2, keepdims=True))
+    now = np.eye(len(move)) * emitted[:, 0, None, :]
+    for t in range(1, scores.shape[1]):
+        further = (now @ move) * emitted[:, t, None, :]
+        further /= further.max(axis=(1, 2), keepdims=True)
+        now = np.where(there[:, t, None, None], further, now)
+    return now
+
+
+def forward_backward(scores: np.ndarray, there: np.ndarray, transitions: np.ndarray, entering: np.ndarray,
+                     leaving: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors (text, word, label), and posteriors of neighbouring labels summed over all words; sums are scaled at each step.
+
+    ``entering`` weighs the labels of the first words and ``leaving`` what follows the last ones, alike for all texts or a
+    row for each; nothing follows by default.
+    """
     texts, steps, labels = scores.shape
     emitted = np.exp(scores - scores.max(axis=2, keepdims=True))
     move = np.exp(transitions)
     forward, backward = np.empty_like(emitted), np.empty_like(emitted)
-    now = np.exp(start - start.max()) * emitted[:, 0]
+    now = entering * emitted[:, 0]
     forward[:, 0] = now / now.sum(axis=1, keepdims=True)
     for t in range(1, steps):
         now = (forward[:, t - 1] @ move) * emitted[:, t]
         forward[:, t] = now / now.sum(axis=1, keepdims=True)
-    now = np.ones((texts, labels)) / labels
-    backward[:, steps - 1] = now
+    last = np.broadcast_to(1 / labels if leaving is None else leaving, (texts, labels))
+    backward[:, steps - 1] = now = last
     for t in range(steps - 2, -1, -1):
         now = (backward[:, t + 1] * emitted[:, t + 1]) @ move.T
         now /= now.sum(axis=1, keepdims=True)
-        now = np.where(there[:, t + 1, None], now, 1 / labels)  # nothing follows the last word
+        now = np.where(there[:, t + 1, None], now, last)
         backward[:, t] = now
     posterior = forward * backward
     posterior /= posterior.sum(axis=2, keepdims=True)
@@ -173,11 +210,12 @@ def forward_backward(scores: np.ndarray, there: np.ndarray, transitions: np.ndar
     return posterior, (pair * there[:, 1:, None, None]).sum(axis=(0, 1)) if steps > 1 else np.zeros((labels, labels))
 
 
-def train(texts: list[list[str]], labels: list[str], seed: int = SEED) -> LanguageModel:
+def train(texts: list[list[str]], labels: list[str], lexicon: dict[str, str] | None = None, seed: int = SEED) -> LanguageModel:
     """Maximise the likelihood of label sequences by adaptive gradient steps.
 
     A training sequence is spliced from runs of words of different documents, each word labelled with its document's
-    language: that is where the model learns to switch. Documents without words teach nothing.
+    language: that is where the model learns to switch. Documents without words teach nothing. ``lexicon`` gives the words
+    that are typical of one language.
     """
     kept = [(words, label) for words, label in zip(texts, labels) if words]
     model = LanguageModel(sorted({label for _, label in kept}))
@@ -186,7 +224,7 @@ def train(texts: list[list[str]], labels: list[str], seed: int = SEED) -> Langua
         return model
     number = {name: k for k, name in enumerate(model.languages)}
     rng = np.random.default_rng(seed)
-    model.lexicon = _typical(kept, number)
+    model.lexicon = {w: number[name] for w, name in sorted((lexicon or {}).items()) if name in number}
     sequences, targets = [], []
     for _ in range(SEQUENCES):
         words: list[str] = []
@@ -224,7 +262,7 @@ def train(texts: list[list[str]], labels: list[str], seed: int = SEED) -> Langua
             lexical = np.flatnonzero(typical[words] >= 0)
             flat, holder = np.concatenate([flat, BUCKETS + typical[words][lexical]]), np.concatenate([holder, lexical])
             emitted = np.stack([np.bincount(holder, weights[flat, k], len(words)) for k in range(count)], axis=1)
-            posterior, pairs = forward_backward(emitted[back.reshape(BATCH, -1)], there, chain[:count], chain[count])
+            posterior, pairs = forward_backward(emitted[back.reshape(BATCH, -1)], there, chain[:count], np.exp(chain[count] - chain[count].max()))
             goal = one_hot[targets[picked]]
             error = (goal - posterior).reshape(-1, count)
             by_word = np.stack([np.bincount(back.ravel(), error[:, k], len(words)) for k in range(count)], axis=1) / BATCH
@@ -240,39 +278,61 @@ def train(texts: list[list[str]], labels: list[str], seed: int = SEED) -> Langua
     return model
 
 
-def _typical(kept: list[tuple[list[str], str]], number: dict[str, int]) -> dict[str, int]:
-    """Frequent words that nearly always occur in one language."""
-    counts: dict[str, Counter] = {name: Counter() for name in number}
-    for words, label in kept:
-        counts[label].update(words)
-    total = sum(counts.values(), Counter())
-    return {w: number[name] for name in sorted(number) for w, c in sorted(counts[name].items(), key=lambda x: (-x[1], x[0]))[:LEXICON_WORDS]
-            if c >= LEXICON_COUNT and c >= LEXICON_SHARE * total[w]}
+def typical_words(sample: DataFrame) -> dict[str, str]:
+    """The words that occur ``LEXICON_COUNT`` times or more in the whole texts of a sample (``lang``, ``text``), nearly always in
+    one language, and that language."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts.update((lang, m.group()) for m in WORD.finditer(text.lower()))
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
+                                              pa.array(list(counts.values()), pa.int64())], names=["lang", "word", "n"])
+
+    rows = (sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
+            .groupBy("word", "lang").agg(F.sum("n").alias("n"))
+            .groupBy("word").agg(F.sum("n").alias("total"), F.max_by("lang", "n").alias("lang"), F.max("n").alias("n"))
+            .where((F.col("n") >= LEXICON_COUNT) & (F.col("n") >= LEXICON_SHARE * F.col("total"))))
+    return {r["word"]: r["lang"] for r in rows.select("word", "lang").collect()}
+
+
+def sampled_ids(rows: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` of the distinct rows (``_id``, ``lang``), in the order of a hash of the id. Every language gives the same
+    share, or all it has if that is less, and what is left is filled up from all of them.
+
+    A language's ids are dealt over ``SHARES`` by another hash. Ranks inside a share end at a number that Spark filters before
+    the shuffle, so no task sorts a language; only these first ids of each share are ranked together.
+    """
+    order = [F.xxhash64("_id"), F.col("_id")]
+    distinct = rows.distinct()
+    share = F.pmod(F.hash("_id"), F.lit(SHARES))
+    first = (distinct.withColumn("_share", share)
+             .withColumn("_rank", F.row_number().over(Window.partitionBy("lang", "_share").orderBy(*order)))
+             .where(F.col("_rank") <= min(limit, GROUP_LIMIT)))
+    each = rows.agg(F.greatest(F.lit(1), F.floor(limit / F.countDistinct("lang")))).scalar()
+    ranked = (first.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_rank") <= limit)
+              .withColumn("_each", each))
+    return ranked.orderBy(F.col("_rank") > F.col("_each"), *order, "lang").limit(limit).select("_id", "lang")
 
 
 def fit(docs: DataFrame, training: Column, limit: int = SAMPLE_DOCUMENTS, lang_col: str = "lang", text_col: str = "text",
         id_col: str = "doc_id") -> LanguageModel:
-    """Learn from at most ``limit`` documents that ``training`` allows and from at most ``SAMPLE_LANGUAGES`` languages, the
-    most frequent. Every language gives the same share of documents, or all if it has fewer, and what is left is filled up
-    from all of them; documents are taken in the order of a hash of the id. A document gives at most ``RUNS`` runs of words,
-    spread over its whole text. Null languages and texts teach nothing."""
+    """Learn from at most ``limit`` documents that ``training`` allows, dealt over all languages (see ``sampled_ids``), so
+    ``limit`` also bounds the languages; a language costs 2 MB of driver memory to learn and 0.5 MB in the model. Words typical of
+    a language are counted over the sample's whole texts. The gradient steps draw from at most ``RUNS`` runs of words of a
+    document, spread over its whole text. Null languages and texts teach nothing, repeated rows count as often as they are there."""
     rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"))
-    frequent = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()]
-    share, order = max(1, limit // max(1, len(frequent))), [F.xxhash64("_id"), F.col("_id")]
-    ranked = (rows.where(F.col("lang").isin(frequent)).distinct()
-              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= limit))
-    picked = ranked.orderBy(F.col("rank") > share, *order, "lang").limit(limit).select(F.col("_id").cast("string"), "lang")
+    picked = sampled_ids(rows, limit).select(F.col("_id").cast("string"), "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_runs(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["_id", "lang", "runs"])
 
-    sample = (docs.select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(picked), ["_id", "lang"]).where("text is not null")
-              .select("_id", "lang", "text").mapInArrow(cut, "_id string, lang string, runs array<string>"))
-    rows = sorted(sample.collect())
-    return train([run.split() for r in rows for run in r["runs"]], [r["lang"] for r in rows for _ in r["runs"]])
+    sample = staged(docs.select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
+                    .join(F.broadcast(picked), ["_id", "lang"]).where("text is not null").select("_id", "lang", "text"), "languages")
+    runs = sorted(sample.mapInArrow(cut, "_id string, lang string, runs array<string>").collect())
+    return train([run.split() for r in runs for run in r["runs"]], [r["lang"] for r in runs for _ in r["runs"]], typical_words(sample))
 
 
 def _runs(text: str) -> list[str]:
@@ -286,12 +346,14 @@ def labelled(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     """``docs`` with ``lang_pred`` and ``score``, the share of the text's words that the model gives that language.
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text when nothing was learned. Ties go to
-    the language first in code point order. Columns that already have these names are replaced.
+    the language first in code point order. Very long texts are read whole, repeated rows get equal answers, an empty table
+    stays empty. Columns that already have these names are replaced, all others stay.
     """
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         names, shares = model.predict(texts)
         return pd.DataFrame({"lang_pred": names, "score": shares})
 
-    return (docs.withColumn("_language", predict(F.col(text_col).cast("string")))
-            .withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language"))
+    (answer,) = fresh(docs, "language")
+    return (docs.withColumn(answer, predict(F.col(text_col).cast("string")))
+            .withColumns({"lang_pred": F.col(answer)["lang_pred"], "score": F.col(answer)["score"]}).drop(answer))

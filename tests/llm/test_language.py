@@ -1,4 +1,6 @@
 import itertools
+import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(6)
     scores, transitions, start = rng.normal(size=(2, 5, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
     there = np.array([[True] * 5, [True] * 3 + [False] * 2])
-    posterior, pairs = language.forward_backward(scores, there, transitions, start)
+    posterior, pairs = language.forward_backward(scores, there, transitions, np.exp(start))
     expected_pairs = np.zeros((3, 3))
     for text, length in ((0, 5), (1, 3)):
         total, marks, moves = 0.0, np.zeros((length, 3)), np.zeros((3, 3))
@@ -54,6 +56,50 @@ def test_blocks_give_the_posteriors_of_the_whole(monkeypatch):
     assert np.abs(model.marginals(scores, lengths) - whole).max() < 1e-9
 
 
+def test_messages_between_blocks_are_exact(monkeypatch):
+    """Nearly undecided words and transitions that hardly ever switch: the first word still counts at the last one."""
+    rng = np.random.default_rng(1)
+    lengths = np.array([700, 1, 0, 128, 64, 129, 301])
+    scores = rng.normal(scale=0.002, size=(lengths.sum(), 3))
+    scores[0] += [6, 0, 0]
+    model = language.LanguageModel(["a", "b", "c"], transitions=np.where(np.eye(3), 0.0, -9.0), start=rng.normal(size=3))
+    whole = np.concatenate([
+        language.forward_backward(scores[None, at:at + n], np.ones((1, n), bool), model.transitions, np.exp(model.start))[0][0]
+        for at, n in zip(lengths.cumsum() - lengths, lengths) if n])
+    for block, numbers in ((64, 1 << 20), (7, 1 << 20), (1, 100), (512, 1)):
+        monkeypatch.setattr(language, "BLOCK", block)
+        monkeypatch.setattr(language, "GROUP_NUMBERS", numbers)
+        assert np.abs(model.marginals(scores, lengths) - whole).max() < 1e-12
+    flipped = scores.copy()
+    flipped[0] = [0, 6, 0]
+    assert np.abs(model.marginals(flipped, lengths)[500] - whole[500]).max() > 1e-3
+
+
+def test_the_sample_covers_all_languages_and_sorts_none_in_one_task(spark):
+    rows = [(i, "hot") for i in range(3000)] + [(10_000 + i, f"l{i % 300:03d}") for i in range(900)] + [(10_000, "l000")] * 5
+    ids = spark.createDataFrame(rows, "_id long, lang string").repartition(4)
+    picked = language.sampled_ids(ids, 600)
+    assert "WindowGroupLimit" in picked._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in picked.collect()]
+    counts = Counter(lang for _, lang in got)
+    assert len(got) == len(set(got)) == 600 and len(counts) == 301
+    assert all(counts[f"l{i:03d}"] >= 1 for i in range(300)) and set(got) <= set(rows)
+    assert sorted(got) == sorted(tuple(r) for r in language.sampled_ids(ids.repartition(7), 600).collect())
+    assert language.sampled_ids(ids.limit(0), 600).count() == 0
+
+
+def test_typical_words_against_counting(spark):
+    texts = [("en", " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(4000)))] * 5
+    texts += [("de", "Haus und und und und und worda wordaaa"), ("en", "und"), ("de", "12 !"), ("en", "")]
+    counts = Counter((w, lang) for lang, t in texts for w in language.WORD.findall(t.lower()))
+    total = Counter()
+    for (w, _), n in counts.items():
+        total[w] += n
+    expected = {w: lang for (w, lang), n in counts.items() if n >= 5 and n >= 0.9 * total[w]}
+    got = language.typical_words(spark.createDataFrame(texts, "lang string, text string").repartition(3))
+    assert got == expected and len(got) == 3999 and "und" not in got and not any(re.search(r"\d", w) for w in got)
+
+
 def test_words_of_one_batch_do_not_mix():
     words = ["ab", "abc", "x", "ab"]
     together, owner = language.buckets(words)
@@ -82,3 +128,11 @@ def test_a_rare_language_has_its_share_of_the_sample(spark):
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
     model = language.fit(docs, F.lit(True), limit=20)
     assert model.languages == ["en", "xx"] and model.predict(["zuk zok bruz zik zak", "the house of that"])[0] == ["xx", "en"]
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "the and of", "x", "y", 0.5)] * 2 + [(2, "der und", "x", "y", 0.5)],
+                                 "doc_id long, text string, _language string, Lang_Pred string, score double")
+    got = language.labelled(docs, trained())
+    assert sorted(c.lower() for c in got.columns) == ["_language", "doc_id", "lang_pred", "score", "text"]
+    assert sorted((r[0], r["_language"], r["lang_pred"]) for r in got.collect()) == [(1, "x", "en"), (1, "x", "en"), (2, "x", "de")]
