@@ -24,6 +24,7 @@ LEXICON_SHARE = 0.9
 SAMPLE_DOCUMENTS = 2_000
 SHARES = 64
 GROUP_LIMIT = 1_000  # the largest rank that Spark filters before a shuffle
+SURPLUS = 2
 RUNS = 12
 RUN_WORDS = 48
 SEQUENCES = 3_000
@@ -300,15 +301,15 @@ def sampled_ids(rows: DataFrame, limit: int) -> DataFrame:
     """At most ``limit`` of the distinct rows (``_id``, ``lang``), in the order of a hash of the id. Every language gives the same
     share, or all it has if that is less, and what is left is filled up from all of them.
 
-    A language's ids are dealt over ``SHARES`` by another hash. Ranks inside a share end at a number that Spark filters before
-    the shuffle, so no task sorts a language; only these first ids of each share are ranked together.
+    A language's ids are dealt over ``SHARES`` by another hash, and each gives at most ``SURPLUS * limit / SHARES`` of its first
+    ones, a rank that Spark filters before the shuffle. So no task sorts a language, only ``SURPLUS * limit`` of its ids.
     """
     order = [F.xxhash64("_id"), F.col("_id")]
     distinct = rows.distinct()
     share = F.pmod(F.hash("_id"), F.lit(SHARES))
     first = (distinct.withColumn("_share", share)
              .withColumn("_rank", F.row_number().over(Window.partitionBy("lang", "_share").orderBy(*order)))
-             .where(F.col("_rank") <= min(limit, GROUP_LIMIT)))
+             .where(F.col("_rank") <= min(-(-SURPLUS * limit // SHARES), GROUP_LIMIT)))
     each = rows.agg(F.greatest(F.lit(1), F.floor(limit / F.countDistinct("lang")))).scalar()
     ranked = (first.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_rank") <= limit)
               .withColumn("_each", each))
