@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelcast.llm.staging import staged
+from panelcast.llm.staging import fresh, staged
 
-KEY = "panelcast-surrogates"
 ROUNDS = 50
 
 # Given names by script and gender, and the honorifics that go before a surname.
@@ -37,7 +37,7 @@ GENDER_OF = {name.casefold(): (script, gender) for (script, gender), names in GI
 #: Earlier patterns win where two overlap. A group named ``v`` is the part to replace.
 PATTERNS = [
     ("SECRET", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?(?P<v>[^\s\"',;]{6,})")),
-    ("EMAIL", re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}")),
+    ("EMAIL", re.compile(r"(?<![\w.+-])[\w.+-]++@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}")),
     ("KEY", re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")),
     ("IBAN", re.compile(r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b")),
     ("HEX", re.compile(r"\b(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,}\b")),
@@ -51,27 +51,60 @@ CAPITAL = re.compile(r"[^\W\d_][\w'’-]*\.?")
 BY_DIGITS = {"CARD", "SSN", "PHONE"}
 
 
+class _Taken:
+    """Spans without overlaps, in order."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, start: int, end: int) -> bool:
+        """Take a span if it is free."""
+        at = bisect_left(self.starts, end)  # spans before this one start ahead of the end
+        if at and self.ends[at - 1] > start:
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical value) of the personal data in a text, in order and without overlaps.
 
-    Mentions of one thing share a value: numbers by their digits, all others without regard to case. People are a
-    known given name before a capitalised word, or an honorific before one; their names count wherever they recur.
+    Mentions of one thing share a value: numbers by their digits (telephones without the +1 of their country), all others
+    without regard to case; a secret that has the form of another type is of that type. A run of 13 to 19 digits is a card
+    only with a right check digit. People are a known given name before a capitalised word, or an honorific before one; their
+    names count wherever they recur.
     """
     found: list[tuple[int, int, str, str]] = []
+    taken = _Taken()
     if SIGNS.search(text):
-        taken: list[tuple[int, int]] = []
         for kind, pattern in PATTERNS:
             for match in pattern.finditer(text):
                 start, end = match.span("v") if "v" in pattern.groupindex else match.span()
-                if not any(start < b and a < end for a, b in taken):
-                    taken.append((start, end))
-                    found.append((start, end, kind, canonical(kind, text[start:end])))
-    found += [x for x in _people(text) if not any(x[0] < b and a < x[1] for a, b, _, _ in found)]
+                mention = text[start:end]
+                if kind == "CARD" and mention.isdigit() and not _luhn(mention):
+                    continue
+                if taken.add(start, end):
+                    true_kind = _form(mention) or kind if kind == "SECRET" else kind
+                    found.append((start, end, true_kind, canonical(true_kind, mention)))
+    found += [x for x in _people(text) if taken.add(x[0], x[1])]
     return sorted(found)
 
 
+def _form(mention: str) -> str | None:
+    """The type whose form a mention has as a whole, secrets apart."""
+    for kind, pattern in PATTERNS[1:]:
+        if pattern.fullmatch(mention) and not (kind == "CARD" and mention.isdigit() and not _luhn(mention)):
+            return kind
+    return None
+
+
 def canonical(kind: str, mention: str) -> str:
-    return "".join(c for c in mention if c.isdigit()) if kind in BY_DIGITS else mention.casefold()
+    if kind not in BY_DIGITS:
+        return mention.casefold()
+    digits = "".join(c for c in mention if c.isdigit())
+    return digits[1:] if kind == "PHONE" and len(digits) == 11 and digits[0] == "1" else digits
 
 
 def _people(text: str) -> list[tuple[int, int, str, str]]:
@@ -170,10 +203,14 @@ def _luhn(digits: str) -> bool:
 
 
 def rendered(kind: str, mention: str, replacement: str) -> str:
-    """The replacement in the mention's format: its punctuation for numbers, its use of capitals for all others."""
+    """The replacement in the mention's format: its punctuation and country for numbers, its use of capitals for all others."""
     if kind in BY_DIGITS:
-        digits = iter(replacement)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        digits, country = iter(replacement), sum(map(str.isdigit, mention)) - len(replacement)
+        out = []
+        for c in mention:
+            country -= c.isdigit()
+            out.append(next(digits) if c.isdigit() and country < 0 else c)
+        return "".join(out)
     if len(mention) == len(replacement):
         return "".join(r.upper() if m.isupper() else r for m, r in zip(mention, replacement))
     if mention.isupper() and len(mention) > 1:
@@ -217,33 +254,38 @@ def assigned(values: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"values are left without a surrogate after {ROUNDS} rounds")
 
 
-def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with personal data replaced in whole texts; a column ``count_col`` has the number of mentions.
 
-    A first pass finds the distinct values of all documents, which are then given surrogates with checks for
-    collisions. A second pass replaces. Nearly every value has its first choice, which needs no table; the others reach
-    their documents by a join on the id, broadcast by Spark if their table is small by its measured size. The same value
-    has the same surrogate in all documents, and different values of a type have different ones.
+    ``key`` is the caller's secret: without it nobody can tell which value a surrogate stands for. A first pass finds the
+    distinct values of all texts, which are then given surrogates with checks for collisions. A second pass replaces. Nearly
+    every value has its first choice, which needs no table; the others reach their texts by a join on a hash of the text,
+    broadcast by Spark if their table is small by its measured size. Texts that share a hash get each other's entries, which
+    changes nothing, as an entry holds for all documents. The same value has the same surrogate in all documents, and
+    different values of a type have different ones.
 
-    Texts without personal data, empty and null texts stay as they are, with a count of 0. Rows that repeat an id are
-    replaced alike; a null id is a document like any other. All other columns stay; an empty table gives none.
+    Texts without personal data, empty and null texts stay as they are, with a count of 0. Very long texts are read whole, in
+    time that grows with their length. Ids play no part, so rows without one or with one that repeats are like any others.
+    All other columns stay; an empty table gives none.
     """
-    names = ("_kind", "_value", "_later", "_later_id")
-    if set(names) & set(docs.columns):
-        raise ValueError(f"{names} are taken")
-    source = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+    if not key:
+        raise ValueError("surrogates need a secret key")
+    at, value, entries = fresh(docs, "at", "value", "entries")
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.xxhash64(text).alias("at"), text.alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(i, kind, value) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if text
                     for kind, value in {(kind, value) for _, _, kind, value in entities(text)}]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], names=["id", "kind", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))],
+                                             names=["at", "kind", "value"])
 
-    mentions = staged(source.mapInArrow(find, "id string, kind string, value string"), "mentions")
+    mentions = staged(source.mapInArrow(find, "at long, kind string, value string"), "mentions")
     given = assigned(mentions.select("kind", "value").distinct(), key)
     later = staged(
-        mentions.join(given.where("attempt > 0"), ["kind", "value"]).distinct().groupBy(F.col("id").alias("_later_id"))
-        .agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("_later")), "later")
+        mentions.join(given.where("attempt > 0"), ["kind", "value"]).distinct().groupBy(F.col("at").alias(at))
+        .agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(entries)), "later")
 
     @F.pandas_udf("text string, mentions int")
     def replace(texts: pd.Series, rest: pd.Series) -> pd.DataFrame:
@@ -255,7 +297,7 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out.append(replaced(text, key, {} if entries is None else {(e["kind"], e["value"]): e["surrogate"] for e in entries}))
         return pd.DataFrame(out, columns=["text", "mentions"])
 
-    joined = docs.join(later, F.col(id_col).cast("string").eqNullSafe(F.col("_later_id")), "left")
-    result = joined.withColumn("_value", replace(F.col(text_col).cast("string"), F.col("_later")))
-    columns = [F.col("_value.text").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != count_col]
-    return result.select(*columns, *([F.col("_value.mentions").alias(count_col)] if count_col else []))
+    joined = docs.withColumn(at, F.xxhash64(text)).join(later, at, "left")
+    result = joined.withColumn(value, replace(text, F.col(entries)))
+    columns = [F.col(value)["text"].alias(c) if c == text_col else F.col(c) for c in docs.columns if c != count_col]
+    return result.select(*columns, *([F.col(value)["mentions"].alias(count_col)] if count_col else []))
