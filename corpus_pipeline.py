@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.llm import minhash, mixing, packing, pii, toxicity
 from panelcast.llm.labelled import remainder
-from panelcast.llm.queries import vocabulary
+from panelcast.llm.queries import surrogate_key, vocabulary
 from panelcast.llm.staging import fresh, ship, staged, table
 
 ORACLE_SQL = None  # learned scores, keyed surrogates and token ids have no SQL; a test compares with a brute-force version
@@ -33,7 +33,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """All documents, with surrogates for personal data; ``n_chars`` follows the text. Rows and other columns stay as they are."""
     ship(spark)
     (mentions,) = fresh(docs, "mentions")
-    changed = pii.pseudonymise(docs, count_col=mentions)
+    changed = pii.pseudonymise(docs, surrogate_key(spark), count_col=mentions)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(F.col(mentions) > 0, F.length("text")).otherwise(F.col("n_chars"))
                                      .cast(docs.schema["n_chars"].dataType))
