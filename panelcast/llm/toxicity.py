@@ -22,13 +22,11 @@ from panelcast.llm.staging import staged
 TOKEN = re.compile(r"\w[\w@$*]*")
 QUOTE = re.compile("[\"“”„«»‹›]")
 WINDOW = 8
-MAX_TERMS = 2_000
 LEAST_DOCUMENTS = 3
 LEAST_LOG_ODDS = 3.0
 PREFIXES = range(4, 9)
 MAX_STATES = 50_000
 MINIMA = 32
-COMPARED = 200
 
 # Words that report another's words, and words that address a reader, in the languages of the tables.
 REPORTING = set("said says say wrote writes quote quoted quotes called calls told claims claimed according reported word term "
@@ -221,7 +219,7 @@ def _different_documents(sample: DataFrame, terms: list[tuple[str, bool]]) -> di
     """How many documents hold each term if near copies count as one: n / (1 + (n - 1) * mean likeness of two of them).
 
     Agreeing minima of word hashes estimate the likeness; up to a half it is that of any two texts of a language and
-    counts as none. At most ``COMPARED`` documents of a term are compared."""
+    counts as none. All documents of the sample are compared, one with all others at a time."""
     number = {term: i for i, term in enumerate(terms)}
     factors, shifts = random_factors(MINIMA, 1), random_factors(MINIMA, 2)
 
@@ -233,19 +231,19 @@ def _different_documents(sample: DataFrame, terms: list[tuple[str, bool]]) -> di
                 pa.array([[number[k] for k in _terms_of(t) if k in number] for t in texts], pa.list_(pa.int64()))], names=["minima", "terms"])
 
     rows = sample.select("text").mapInArrow(sketch, "minima array<long>, terms array<long>").collect()
-    minima = np.array([r["minima"] for r in rows], np.int64).reshape(-1, MINIMA)
-    holders: dict[int, list[int]] = {}
+    minima = np.array([r["minima"] for r in rows], np.uint32).reshape(-1, MINIMA)
+    holders: list[list[int]] = [[] for _ in terms]
     for i, r in enumerate(rows):
         for k in r["terms"]:
-            holders.setdefault(k, []).append(i)
-    out = {}
-    for term, k in number.items():
-        own = holders.get(k, [])
-        compared = minima[own[:COMPARED]]
-        alike = sum(float(np.maximum(0, 2 * (compared == one).mean(axis=1) - 1).sum()) - 1 for one in compared)
-        mean = alike / max(1, len(compared) * (len(compared) - 1))
-        out[term] = len(own) / (1 + (len(own) - 1) * mean) if own else 0.0
-    return out
+            holders[k].append(i)
+    places = [np.array(own, np.int64) for own in holders]
+    alike = np.zeros(len(terms))
+    for i, r in enumerate(rows):
+        if r["terms"]:
+            likeness = np.maximum(0, 2 * (minima == minima[i]).mean(axis=1) - 1)
+            for k in r["terms"]:
+                alike[k] += likeness[places[k]].sum() - 1
+    return {term: len(places[k]) / (1 + alike[k] / max(1, len(places[k]))) for term, k in number.items()}
 
 
 def _surprise(toxic: float, clean: int, base: float) -> float:
@@ -287,7 +285,7 @@ def learn_lexicon(sample: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[
     for word in words:
         if not any((word[:n], True) in kept for n in PREFIXES):
             kept[(word, False)] = strong[(word, False)][0]
-    best = sorted(kept, key=lambda k: (-strong[k][1], k))[:MAX_TERMS]
+    best = sorted(kept, key=lambda k: (-strong[k][1], k))
     return best, [kept[k] for k in best]
 
 
@@ -338,7 +336,8 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_
     """``docs`` with a score from 0 to 1 for each whole text.
 
     Null and empty texts and texts without a term have the score of no hits. Long texts are read whole; only their words
-    are kept. A column that already has the score's name is replaced.
+    are kept. Rows that repeat score alike, and an empty table stays empty. A column that already has the score's name is
+    replaced; all others stay.
     """
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

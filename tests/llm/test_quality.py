@@ -40,3 +40,51 @@ def test_without_labels_and_on_an_empty_table(spark, make_docs):
     docs = make_docs([(1, "one two", "s"), (None, None, "s")])
     assert all(0 <= r.score <= 1 for r in quality.scored(docs, model).collect())
     assert quality.scored(make_docs([]), model).count() == 0
+
+
+def test_every_labelled_document_takes_part_with_different_opponents():
+    for good, bad in ((11_000, 900), (7, 30_000), (5, 5), (1, 3), (12, 2)):
+        first, second = quality.preferences(good, bad)
+        pairs = list(zip(first.tolist(), second.tolist()))
+        assert len(set(pairs)) == len(pairs) == max(good, bad) * min(quality.OPPONENTS, good, bad)
+        assert set(first) == set(range(good)) and set(second) == set(range(bad))
+        for side, many in ((first, good), (second, bad)):
+            times = np.bincount(side, minlength=many)
+            assert times.max() - times.min() <= quality.OPPONENTS
+
+
+def test_weights_minimise_the_loss_over_all_preferences():
+    rng = np.random.default_rng(2)
+    labels = (rng.random(300) < 0.3).astype(int)
+    rows = rng.normal(size=(300, len(quality.FEATURES))) + 0.4 * labels[:, None]
+    model = quality.train(rows, labels)
+
+    order = np.random.default_rng(quality.SEED)
+    good, bad = (order.permutation(rows[labels == kind]) for kind in (1, 0))
+    wide = lambda x: quality._expanded((x - model.mean) / model.spread)
+    better, worse = (wide(side) for side in (good, bad))
+
+    def loss(weights):
+        total = 0.5 * float(weights @ weights)
+        for i in range(len(bad)):  # bad documents are more frequent here
+            for r in range(quality.OPPONENTS):
+                total += np.log1p(np.exp(-(better[(i + r) % len(good)] - worse[i]) @ weights))
+        return total
+
+    least = loss(model.weights)
+    for i in range(0, len(model.weights), 5):
+        for step in (-0.02, 0.02):
+            moved = model.weights.copy()
+            moved[i] += step
+            assert loss(moved) > least
+
+
+def test_scores_of_repeated_rows_and_clashing_columns(spark, make_docs):
+    rng = np.random.default_rng(4)
+    labels = (rng.random(80) < 0.5).astype(int)
+    model = quality.train(rng.normal(size=(80, len(quality.FEATURES))) + labels[:, None], labels)
+    texts = ["One two three. Four five!", "x x x x", None, "", "One two three. Four five!", "word " * 30_000]
+    docs = make_docs([(i % 2 or None, t, "s") for i, t in enumerate(texts)]).withColumnRenamed("source", "score")
+    out = quality.scored(docs, model)
+    assert sorted(out.columns) == sorted(docs.columns)
+    assert sorted(round(r.score, 9) for r in out.collect()) == sorted(round(float(model.scores([t])[0]), 9) for t in texts)

@@ -106,3 +106,38 @@ def test_all_innocent_words_are_kept(spark):
             for x, y in itertools.product("jklmnopqrstuvwxyz0123456789", repeat=2)}
     texts = spark.createDataFrame([(" ".join([*sorted(near), term, "other"]), 0)], "text string, label int")
     assert len(near) > 20_000 and toxicity.innocent_words(texts, model) == near
+
+
+def test_all_terms_that_pass_are_kept(spark):
+    rng = np.random.default_rng(6)
+    words = ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklm", repeat=4), 2_600)]
+    held = [set(rng.choice(90, 30, replace=False).tolist()) for _ in words]
+    rows = [(" ".join(["common", *(w for w, own in zip(words, held) if i in own)]), int(i < 90)) for i in range(180)]
+    terms, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int").repartition(4), 90, 90)
+    assert {t for t, _ in terms} == set(words)
+
+
+def test_all_documents_of_a_term_are_compared(spark):
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}x" for i in range(3_000)])
+    copy = " ".join(["badword", "other", *words[:60]])
+    texts = [copy] * 150 + [" ".join(["badword", *words[rng.choice(3_000, 60, replace=False)]]) for _ in range(260)] + ["other only"]
+    terms = [("badword", False), ("other", False), ("absent", False)]
+    got = toxicity._different_documents(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4), terms)
+
+    factors, shifts = toxicity.random_factors(toxicity.MINIMA, 1), toxicity.random_factors(toxicity.MINIMA, 2)
+    minima = [toxicity.signature(toxicity.shingle_set(t, 1), factors, shifts) for t in texts]
+    for (term, is_open), found in got.items():
+        own = [i for i, t in enumerate(texts) if term in t.split()]
+        alike = sum(max(0.0, 2 * float((minima[i] == minima[j]).mean()) - 1) for i in own for j in own if i != j)
+        mean = alike / max(1, len(own) * (len(own) - 1))
+        assert found == pytest.approx(len(own) / (1 + (len(own) - 1) * mean) if own else 0.0)
+    assert 3 < got["badword", False] < 12 and got["other", False] < 2.5
+
+
+def test_scores_of_repeated_rows_and_clashing_columns(model, make_docs):
+    texts = ["that moron is worthless", "that moron is worthless", None, "", "the of and"]
+    docs = make_docs([(i % 2 or None, t, "s") for i, t in enumerate(texts)]).withColumnRenamed("source", "score")
+    out = toxicity.scored(docs, model)
+    assert sorted(out.columns) == sorted(docs.columns)
+    assert sorted(round(r.score, 9) for r in out.collect()) == sorted(round(float(model.scores([t])[0]), 9) for t in texts)
