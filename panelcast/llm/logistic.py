@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -13,11 +15,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: in
     held = np.zeros(rows.shape[1], bool)
     if not intercept:
         held[0] = True
-    ridge = np.full(rows.shape[1], penalty)
-    for _ in range(rounds):
+
+    def sums(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         chance = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
-        slope = rows.T @ (chance - y) + ridge * weights
-        curve = (rows * (chance * (1 - chance))[:, None]).T @ rows + np.diag(ridge + 1e-9)
+        return rows.T @ (chance - y), (rows * (chance * (1 - chance))[:, None]).T @ rows
+
+    return newton(sums, weights, held, np.full(rows.shape[1], penalty), rounds, least)
+
+
+def newton(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], weights: np.ndarray, held: np.ndarray, ridge: np.ndarray,
+           rounds: int, least: float | None = None) -> np.ndarray:
+    """Newton steps on the slope and curve of a loss over all rows, which ``sums`` gives for any weights."""
+    for _ in range(rounds):
+        slope, curve = sums(weights)
+        slope = slope + ridge * weights
+        curve = curve + np.diag(ridge + 1e-9)
         free = ~held
         step = np.zeros_like(weights)
         step[free] = np.linalg.solve(curve[np.ix_(free, free)], slope[free])

@@ -8,20 +8,27 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from panelcast.llm.labelled import SAMPLE_ROWS, labelled_sample
-from panelcast.llm.logistic import fit_logistic
+from panelcast.llm.labelled import labels_of
+from panelcast.llm.logistic import fit_logistic, newton
+from panelcast.llm.staging import staged
+from panelcast.operators.normal_equations import moments
 
 #: Documents of the other kind that each document of the more frequent kind is compared with.
 OPPONENTS = 4
 THRESHOLD = 0.7
 SEED = 7
+PENALTY, ROUNDS = 1.0, 15
+#: Documents of the rarer kind that are sent to the tasks of the other; more are joined by their numbers.
+FEW_ROWS = 2_000
 SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()-]")
 ENDED = re.compile(r"[.!?][\"')\]]?(?:\s|\Z)")
 
@@ -113,7 +120,9 @@ def preferences(good: int, bad: int, opponents: int = OPPONENTS) -> tuple[np.nda
 
 
 def train(rows: np.ndarray, labels: np.ndarray, opponents: int = OPPONENTS, seed: int = SEED) -> QualityModel:
-    """Strengths from preferences of a good document over a bad one, by the logistic loss on the differences of their
+    """``trained`` on rows in memory.
+
+    Strengths from preferences of a good document over a bad one, by the logistic loss on the differences of their
     features; all documents take part. The cut is the quantile of the strengths that leaves the share of good ones above it."""
     model = QualityModel()
     good, bad = rows[labels == 1], rows[labels == 0]
@@ -125,7 +134,7 @@ def train(rows: np.ndarray, labels: np.ndarray, opponents: int = OPPONENTS, seed
     first, second = preferences(len(good), len(bad), opponents)
     differences = spread(rng.permutation(good))[first] - spread(rng.permutation(bad))[second]
     sign = rng.integers(0, 2, len(first)) * 2 - 1  # either order of a pair
-    model.weights = fit_logistic(differences * sign[:, None], (sign > 0).astype(float), penalty=1.0, rounds=15, intercept=False)[1:]
+    model.weights = fit_logistic(differences * sign[:, None], (sign > 0).astype(float), penalty=PENALTY, rounds=ROUNDS, intercept=False)[1:]
     strengths = model.strengths(rows)
     model.cut = float(np.quantile(strengths, (labels == 0).mean()))
     above, below = strengths[labels == 1], strengths[labels == 0]
@@ -133,19 +142,126 @@ def train(rows: np.ndarray, labels: np.ndarray, opponents: int = OPPONENTS, seed
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, training: Column, limit: int = SAMPLE_ROWS) -> QualityModel:
-    """Learn from at most ``limit`` labelled documents, all of them. Without labels of both kinds every text scores alike."""
-    sample = labelled_sample(docs, labels, training, "quality", limit)
+def _numbered(rows: DataFrame, *order: str) -> tuple[DataFrame, dict[str, int]]:
+    """Rows with their ``number`` from 0 within their ``kind`` in an order, and how many each kind has.
+
+    The sort leaves the rows of a kind in a partition one after the other, so the driver needs only counts by partition and kind.
+    """
+    laid = staged(rows.sort("kind", *order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33)  # the partition's number is in the upper bits
+    found = laid.groupBy("kind", part.alias("part")).agg(F.min("_at").alias("first"), F.count("kind").alias("n")).collect()
+    sizes, shifts = Counter(), []
+    for kind, at, first, n in sorted(found):
+        shifts.append((kind, at, sizes[kind] - first))
+        sizes[kind] += n
+    shift = rows.sparkSession.createDataFrame(shifts, "kind string, _part long, _shift long")
+    joined = laid.withColumn("_part", part).join(F.broadcast(shift), ["kind", "_part"])
+    return joined.withColumn("number", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift"), dict(sizes)
+
+
+def _pairs(numbered: DataFrame, good: int, bad: int, opponents: int = OPPONENTS) -> DataFrame:
+    """The ``preferences`` of all numbered rows, as the features of the ``better`` and the ``worse`` document."""
+    many, few = ("1", "0") if good >= bad else ("0", "1")
+    names, n_few = (("better", "worse") if good >= bad else ("worse", "better")), min(good, bad)
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(min(opponents, n_few) - 1))).alias("_round")
+    own = numbered.where(F.col("kind") == many).select("number", F.col("x").alias(names[0]), rounds)
+    other = numbered.where(F.col("kind") == few).select(F.col("number").alias("_other"), F.col("x").alias(names[1]))
+    own = own.withColumn("_other", (F.col("number") + F.col("_round")) % n_few)
+    # A row of the rarer kind meets many / few of a round: few of them are no keys to shuffle by.
+    return staged(own.join(F.broadcast(other) if n_few <= FEW_ROWS else other.hint("merge"), "_other").select("better", "worse"), "pairs")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(len(column), len(FEATURES))
+
+
+def _sums(pairs: DataFrame, model: QualityModel, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curve of the logistic loss over all pairs: one state per task, added in the order of the tasks."""
+    mean, spread, width = model.mean, model.spread, len(weights)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slope, curve = np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            better, worse = (_expanded((_matrix(batch.column(i)) - mean) / spread) for i in (0, 1))
+            gap = better - worse
+            chance = 1 / (1 + np.exp(-np.clip(gap @ weights, -30, 30)))
+            slope += gap.T @ (chance - 1)
+            curve += (gap * (chance * (1 - chance))[:, None]).T @ gap
+        both = np.concatenate([slope, curve.ravel()])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.arange(len(both))), pa.array(np.full(len(both), TaskContext.get().partitionId(), np.int64)), pa.array(both)],
+            names=["at", "part", "value"])
+
+    states = F.array_sort(F.collect_list(F.struct("part", "value")))
+    total = F.aggregate(states, F.lit(0.0), lambda acc, s: acc + s["value"])
+    rows = pairs.mapInArrow(partial, "at long, part long, value double").groupBy("at").agg(total.alias("value")).collect()
+    both = np.zeros(width + width * width)
+    for at, value in rows:
+        both[at] = value
+    return both[:width], both[width:].reshape(width, width)
+
+
+def _quantiles(rows: DataFrame, wanted: dict[str, float]) -> dict[str, float]:
+    """The quantile of ``strength`` that is wanted of each kind, exact, between two rows in proportion."""
+    numbered, sizes = _numbered(rows, "strength")
+    places = {kind: share * (sizes[kind] - 1) for kind, share in wanted.items()}
+    either = [F.col("kind").eqNullSafe(kind) & F.col("number").isin(math.floor(p), math.ceil(p)) for kind, p in places.items()]
+    found = {(r["kind"], r["number"]): r["strength"] for r in numbered.where(reduce(operator.or_, either)).collect()}
+    out = {}
+    for kind, p in places.items():
+        low, high = found[kind, math.floor(p)], found[kind, math.ceil(p)]
+        out[kind] = low + (high - low) * (p - math.floor(p))
+    return out
+
+
+def trained(rows: DataFrame, opponents: int = OPPONENTS) -> QualityModel:
+    """Strengths from preferences of a good document over a bad one, by the logistic loss on the differences of their
+    features, and the cut at the quantile that leaves the share of good ones above it.
+
+    ``rows`` has every document's ``label``, features ``x`` and ``place`` in an order that knows nothing of either. All of
+    them give the means, the pairs, the slopes and the quantiles, in tasks; the driver gets sums. Weights are kept to nine
+    decimals, so that the order of additions does not show.
+    """
+    model = QualityModel()
+    rows = rows.withColumn("kind", F.col("label").cast("string"))
+    numbered, sizes = _numbered(rows.select("kind", "place", "x"), "place", "x")
+    good, bad, n = sizes.get("1", 0), sizes.get("0", 0), sum(sizes.values())
+    if not good or not bad:
+        return model
+    state = moments(rows.withColumn("_all", F.lit(0)), "_all", "x", "label", len(FEATURES) + 1)[0]
+    model.mean, model.spread = state.mean[:-1], np.sqrt(np.diag(state.scatter)[:-1] / state.n) + 1e-3
+    pairs, width = _pairs(numbered, good, bad, opponents), _width()
+    weights = newton(lambda w: _sums(pairs, model, w), np.zeros(width), np.zeros(width, bool), np.full(width, PENALTY), ROUNDS)
+    model.weights = np.round(weights, 9)
+
+    def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.strengths(_matrix(batch.column(1))))], names=["kind", "strength"])
+
+    strong = rows.select("kind", "x").mapInArrow(strengths, "kind string, strength double")
+    strong = strong.select(F.explode(F.array(F.lit("all"), "kind")).alias("kind"), "strength")
+    found = _quantiles(strong, {"all": bad / n, "1": 0.5, "0": 0.5})
+    model.cut = round(found["all"], 9)
+    model.scale = 2.0 / max(1e-3, round(found["1"] - found["0"], 9) / 2)
+    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
+    """Learn from all labelled documents that ``training`` allows. Without labels of both kinds every text scores alike.
+
+    Labels may be as many as documents, so neither side is broadcast. Features are made before the join: a shuffle of them
+    takes some 200 bytes a document, one of the texts their whole size.
+    """
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).where("_id is not null and text is not null")
+    schema = StructType([texts.schema["_id"], StructField("x", ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1).cast(pa.int64())], names=["x", "label"])
+            rows = [features(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["_id", "x"])
 
-    rows = sample.mapInArrow(run, "x array<double>, label long").collect()
-    if not rows:
-        return QualityModel()
-    return train(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows]))
+    found = texts.mapInArrow(run, schema).join(labels_of(labels, training, "quality", id_col).hint("merge"), "_id")
+    return trained(staged(found.select("x", F.col("label").cast("long").alias("label"), F.xxhash64("_id").alias("place")), "labelled"))
 
 
 def scored(docs: DataFrame, model: QualityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from panelcast.llm import quality
 from panelcast.llm.queries import op7
@@ -88,3 +89,44 @@ def test_scores_of_repeated_rows_and_clashing_columns(spark, make_docs):
     out = quality.scored(docs, model)
     assert sorted(out.columns) == sorted(docs.columns)
     assert sorted(round(r.score, 9) for r in out.collect()) == sorted(round(float(model.scores([t])[0]), 9) for t in texts)
+
+
+def _by_hand(texts, labels, order):
+    """The model of rows in this order, with pairs and quantiles by loops over all of them."""
+    rows = np.array([quality.features(t) for t in texts])[order]
+    labels = np.array(labels)[order]
+    model = quality.QualityModel(mean=rows.mean(axis=0), spread=rows.std(axis=0) + 1e-3)
+    wide = quality._expanded((rows - model.mean) / model.spread)
+    first, second = quality.preferences(int((labels == 1).sum()), int((labels == 0).sum()))
+    gaps = wide[labels == 1][first] - wide[labels == 0][second]
+    model.weights = quality.fit_logistic(gaps, np.ones(len(gaps)), penalty=1.0, rounds=15, intercept=False)[1:]
+    found = wide @ model.weights
+    model.cut = float(np.quantile(found, (labels == 0).mean()))
+    model.scale = 2 / max(1e-3, (np.median(found[labels == 1]) - np.median(found[labels == 0])) / 2)
+    return model
+
+
+def test_the_fit_learns_from_every_labelled_document(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = ["alpha", "Beta.", "x", "!!", "12", "gamma,", "DELTA", "|"]
+    n = 12_700  # more than any bounded sample had
+    labels = [int(x) for x in rng.random(n) < 0.6]
+    texts = [" ".join(rng.choice(words, size=3, p=None if label else [.05, .05, .2, .2, .2, .1, .1, .1])) for label in labels]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    marks = spark.createDataFrame([(i, label) for i, label in enumerate(labels)] + [(1, None), (None, 1), (n, 1)], "doc_id long, quality int")
+    places = dict(docs.selectExpr("doc_id", "xxhash64(doc_id) as h").collect())
+    hand = _by_hand(texts, labels, sorted(range(n), key=places.get))
+    everyone = F.lit(True)
+    for few_rows in (quality.FEW_ROWS, 0):  # sent to the tasks, and joined
+        monkeypatch.setattr(quality, "FEW_ROWS", few_rows)
+        model = quality.fit(docs, marks, everyone)
+        assert np.allclose(model.mean, hand.mean, atol=1e-12) and np.allclose(model.spread, hand.spread, atol=1e-9)
+        assert np.allclose(model.weights, hand.weights, atol=1e-6)
+        assert np.isclose(model.cut, hand.cut, atol=1e-6) and np.isclose(model.scale, hand.scale, rtol=1e-6)
+
+
+def test_the_fit_without_labels_of_both_kinds(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (None, "x")], "doc_id long, text string")
+    for rows in ([], [(1, 1)], [(2, 0), (1, 1)]):
+        marks = spark.createDataFrame(rows, "doc_id long, quality int")
+        assert not quality.fit(docs, marks, marks.doc_id.isNotNull()).weights.any()
