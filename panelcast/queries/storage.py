@@ -17,7 +17,9 @@ from panelcast.operators.windows import between_hours, export_metadata
 from panelcast.plans import training
 from panelcast.plans.ingest import FEATURE_RUN
 from panelcast.queries.registry import query, rounded
-from panelcast.queries.sql import CACHED, LAGGED, LINE, LINE_OF_TRAIN, NEW, RAW, TEST_FORECAST, ctes, dense_sql, panel_sql
+from panelcast.queries.sql import (
+    CACHED, FIT_OF_TRAIN, FITTED_STEP, LAGGED, LINE, LINE_OF_TRAIN, NEW, RAW, TEST_FORECAST, ctes, dense_sql, panel_sql, recursion, recursive_sql,
+)
 from panelcast.schemas import COLUMN_DOCS, FORECAST, PANEL, ROW_KEYS
 from panelcast.session import scratch_path
 from panelcast.sources import commits, feature_table, landed, models, paths, results, snapshots, table_statistics
@@ -312,16 +314,18 @@ def _registered(spark, sf_dir, config):
     return train, fc.forecast(newest, train).withColumn("version", versions)
 
 
-@query("a15_model_versions", dense_sql("""
-select k.area, k.consumer_type, hi - interval 24 hour + to_hours(cast(s as integer)) as datetime_utc, true as same, 2 as version
-from (select distinct area, consumer_type from panel) k, span, range(1, 25) t(s)"""))
+@query("a15_model_versions", recursive_sql("""
+select area, consumer_type, t as datetime_utc, round(p, 4) as energy_consumption, true as same, 2 as version from steps where step > 0""",
+                                           *FIT_OF_TRAIN, recursion("hi - interval 24 hour", **FITTED_STEP)))
 def a15(spark, sf_dir):
-    """A stored and reloaded model over all features; ``same`` compares it with the solved equations."""
+    """Forecasts of a stored and reloaded model over all features, whose normal equations SQL solves; ``same`` compares them
+    with those of the solved equations."""
     config = {"reg_lambda": 0.01}
     train, predicted = _registered(spark, sf_dir, config)
     solved = fc.forecast(fc.solve(train, config), train).withColumnRenamed("energy_consumption", "other")
     close = F.abs(F.col("energy_consumption") - F.col("other")) < 1e-6
-    return predicted.join(solved, [*ROW_KEYS]).select(*ROW_KEYS, F.coalesce(close, F.lit(False)).alias("same"), "version")
+    return predicted.join(solved, [*ROW_KEYS]).select(
+        *ROW_KEYS, F.round("energy_consumption", 4).alias("energy_consumption"), F.coalesce(close, F.lit(False)).alias("same"), "version")
 
 
 @query("a15b_versions_of_a_line", dense_sql(TEST_FORECAST.replace("from lagged", ", 2 as version from lagged"), LAGGED, LINE_OF_TRAIN))
