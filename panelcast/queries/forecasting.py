@@ -198,17 +198,19 @@ def k05b(spark, sf_dir):
     return rounded(training.compare_with_baseline(model, train, test), "RMSPE", "MAPE")
 
 
-@query("k06_refit_and_forecast", dense_sql("""
-select k.area, k.consumer_type, hi + to_hours(cast(s as integer)) as datetime_utc, true as same
-from (select distinct area, consumer_type from panel) k, span, range(1, 25) t(s)"""))
+@query("k06_refit_and_forecast", recursive_sql("""
+select area, consumer_type, t as datetime_utc, round(p, 4) as energy_consumption, true as same from steps where step > 0""",
+                                               *FIT_OF_ALL, recursion("hi", **FITTED_STEP)))
 def k06(spark, sf_dir):
-    """The refit on all hours over all 82 features; ``same`` compares its forecasts with those of the solved equations."""
+    """Forecasts of the refit on all hours over all 82 features, whose normal equations SQL solves; ``same`` compares them with
+    those of the solved equations."""
     train, test = training.split(fixtures.dense(spark, sf_dir))
     refitted = training.refit_and_forecast(train, test, {"reg_lambda": 0.01})[1]
     everything = train.unionByName(test)
     solved = fc.forecast(fc.solve(everything, {"reg_lambda": 0.01}), everything).withColumnRenamed("energy_consumption", "other")
     close = F.abs(F.col("energy_consumption") - F.col("other")) < 1e-6
-    return refitted.join(solved, [*KEYS, TIME]).select(*KEYS, TIME, F.coalesce(close, F.lit(False)).alias("same"))
+    return refitted.join(solved, [*KEYS, TIME]).select(
+        *KEYS, TIME, F.round("energy_consumption", 4).alias("energy_consumption"), F.coalesce(close, F.lit(False)).alias("same"))
 
 
 @query("k06b_refit_line_and_forecast", dense_sql(NEXT_FORECAST, LAGGED, LINE_OF_ALL))
