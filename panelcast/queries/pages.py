@@ -15,7 +15,9 @@ from panelcast.operators.timeseries import newest
 from panelcast.plans import monitoring, pages, prediction, training
 from panelcast.queries.aggregation import HOUR, money_list, text_list
 from panelcast.queries.registry import listed, lists_as_text, query, rounded
-from panelcast.queries.sql import CACHED, LAGGED, LINE, LINE_OF_TRAIN, MERGED, NEW, TRUTH, dense_sql, panel_sql
+from panelcast.queries.sql import (
+    CACHED, FIT_OF_TRAIN, FITTED_STEP, LAGGED, LINE, LINE_OF_TRAIN, MERGED, NEW, TRUTH, dense_sql, panel_sql, recursion, recursive_sql,
+)
 from panelcast.schemas import FORECAST, ROW_KEYS
 from panelcast.session import scratch_path
 from panelcast.sources.feature_table import read_range, upsert
@@ -66,22 +68,29 @@ def predicted(spark, sf_dir, config):
     return train, table, prediction.run_prediction(spark, table, f"{root}/models", root, FIRST, END)
 
 
-@query("m02_batch_prediction", dense_sql("""
-, ranged as (select * from panel where datetime_utc >= timestamp '2024-01-01' and datetime_utc < timestamp '2024-01-30 12:00:00'),
-latest as (select max(datetime_utc) as t from ranged)
-select k.area, c.consumer_type, t + to_hours(cast(s as integer)) as datetime_utc,
-       exists (select 1 from ranged r, latest where r.area = k.area and r.consumer_type = c.consumer_type
-               and r.datetime_utc > t - interval 72 hour) as forecast, true as same
-from (select distinct area from ranged) k, (select distinct consumer_type from ranged) c, latest, range(1, 25) h(s)"""))
+RANGED = """ranged as (select * from panel where datetime_utc >= timestamp '2024-01-01' and datetime_utc < timestamp '2024-01-30 12:00:00'),
+latest as (select max(datetime_utc) as last from ranged)"""
+PRODUCT = "select * from (select distinct area from ranged), (select distinct consumer_type from ranged)"
+
+
+@query("m02_batch_prediction", recursive_sql("""
+, given as (
+  select area, consumer_type, t as datetime_utc, p, exists (select 1 from ranged r, latest where r.area = s.area and r.consumer_type = s.consumer_type
+         and r.datetime_utc > last - interval 72 hour) as forecast
+  from steps s where step > 0)
+select area, consumer_type, datetime_utc, case when forecast then round(p, 4) end as energy_consumption, forecast, true as same from given""",
+                                             *FIT_OF_TRAIN, RANGED, recursion("last", **FITTED_STEP, keys=PRODUCT, table="ranged", cuts="latest")))
 def m02(spark, sf_dir):
-    """A stored model over all features, run from stored tables; ``same`` compares it with the solved equations."""
+    """Forecasts of a stored model over all features, run from stored tables; SQL solves its normal equations, and ``same``
+    compares them with those of the solved equations."""
     config = {"reg_lambda": 0.01}
     train, table, published = predicted(spark, sf_dir, config)
     panel = read_range(spark, table, FIRST, END)
     other = fc.forecast(fc.solve(train, config), panel, series=key_product(panel)).withColumnRenamed("energy_consumption", "other")
     both = F.col("energy_consumption").isNull() & F.col("other").isNull()
     same = F.coalesce(both | (F.abs(F.col("energy_consumption") - F.col("other")) < 1e-6), F.lit(False))
-    return published.join(other, list(ROW_KEYS)).select(*ROW_KEYS, F.col("energy_consumption").isNotNull().alias("forecast"), same.alias("same"))
+    return published.join(other, list(ROW_KEYS)).select(
+        *ROW_KEYS, F.round("energy_consumption", 4).alias("energy_consumption"), F.col("energy_consumption").isNotNull().alias("forecast"), same.alias("same"))
 
 
 @query("m02b_batch_prediction_of_a_line", dense_sql("""
